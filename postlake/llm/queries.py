@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import encode_decode
 from .common import table
+from .secrets import secret_spans
+from .sharding import shards
 from .token_counts import token_counts
 
 
@@ -22,10 +24,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op4_token_counts": op4_token_counts,
+        "op9_secrets": op9_secrets,
+        "op10_shards": op10_shards,
     }
 
 
