@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import encode_decode
 from .common import table
+from .language import predict_languages
+from .quality import quality_scores
 from .secrets import secret_spans
 from .sharding import shards
 from .token_counts import token_counts
@@ -20,10 +22,18 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_spans(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
@@ -36,7 +46,9 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
+        "op7_quality": op7_quality,
         "op9_secrets": op9_secrets,
         "op10_shards": op10_shards,
     }
