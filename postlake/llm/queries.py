@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import encode_decode
 from .common import table
 from .language import predict_languages
+from .near_dedup import near_duplicates
 from .quality import quality_scores
 from .secrets import secret_spans
 from .sharding import shards
@@ -34,6 +35,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_spans(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
@@ -43,16 +48,46 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(table(spark, sf_dir, "documents"))
 
 
+OP8_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])) END AS s
+    FROM words
+), items AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS n, count(*) AS c
+    FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM common WHERE 100 * c >= 85 * (n - c)
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), least AS (
+    SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
         "op7_quality": op7_quality,
+        "op8_near_dedup": op8_near_dedup,
         "op9_secrets": op9_secrets,
         "op10_shards": op10_shards,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_near_dedup": OP8_SQL,
+    }
