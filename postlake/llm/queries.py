@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import encode_decode
 from .common import table
+from .decontaminate import contaminated
 from .language import predict_languages
 from .near_dedup import near_duplicates
 from .quality import quality_scores
@@ -31,6 +32,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -80,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
+        "op6_decontaminate": op6_decontaminate,
         "op7_quality": op7_quality,
         "op8_near_dedup": op8_near_dedup,
         "op9_secrets": op9_secrets,
