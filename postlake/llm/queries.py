@@ -13,12 +13,17 @@ from .common import table
 from .decontaminate import contaminated
 from .language import predict_languages
 from .near_dedup import near_duplicates
+from .neighbours import nearest
 from .quality import quality_scores
 from .secrets import secret_spans
 from .sharding import shards
 from .token_counts import token_counts
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -82,6 +87,7 @@ FROM sets JOIN least USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_neighbours": op1_neighbours,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
