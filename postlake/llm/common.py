@@ -48,3 +48,21 @@ def slices(batches: Iterable[pa.RecordBatch], text_at: int = 1, most: int = SLIC
             held += n or 0
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+def without(docs: DataFrame, id_col: str, dropped: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """docs without the rows whose id is in `dropped` (one column, cut). Up to `most` ids are broadcast, more are joined by shuffle."""
+    ids = dropped.toDF("_dropped")
+    small = ids.limit(most + 1).count() <= most
+    return docs.join(F.broadcast(ids) if small else ids, docs[id_col] == ids["_dropped"], "left_anti")
+
+
+def rewrite(docs: DataFrame, text_col: str, change) -> DataFrame:
+    """The rows, batch by batch in Arrow, with all columns: `change` maps a batch and its texts to a batch of the same schema."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, at):
+            yield change(piece, piece.column(at).to_pylist())
+
+    return docs.mapInArrow(run, docs.schema)

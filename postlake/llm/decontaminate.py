@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices
+from .common import cut, slices, without
 
 _BREAKS = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
@@ -166,5 +166,5 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """The documents that hold no item; all columns, repeated rows and rows with a null id stay."""
-    leaks = cut(contaminated(docs, items, id_col=id_col, **settings).select(F.col(id_col).alias("_leaked")).distinct())
-    return docs.join(leaks, docs[id_col] == leaks["_leaked"], "left_anti")
+    leaks = cut(contaminated(docs, items, id_col=id_col, **settings).select(id_col).distinct())
+    return without(docs, id_col, leaks)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices
+from .common import cut, slices, without
 from .components import components
 
 _KNOWN: dict[bytes, int] = {}
@@ -220,3 +220,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = cut(classes.join(roots, F.col("class") == F.col("node"), "left").select("set_key", F.coalesce("root", "class").alias("root")))
     out = described.drop("keys").join(labelled, "set_key", "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("root", "id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+    """The kept document of each group, with all columns; of rows that share an id one stays, rows with a null id all stay."""
+    found = near_duplicates(docs, id_col=id_col, **settings)
+    left = without(docs, id_col, cut(found.where("not kept").select(id_col).distinct()))
+    if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+        return left
+    return left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(left.where(F.col(id_col).isNull()))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, slices
+from .common import remainder, rewrite, slices
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _KNOWN: dict[str, int] = {}
@@ -104,6 +104,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     return model.weights()
 
 
+def scores(texts: list[str | None], weights: np.ndarray, bits: int) -> np.ndarray:
+    dots = np.array([weights[at] @ x for at, x in (features(t, bits) for t in texts)])
+    return 1 / (1 + np.exp(-dots))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bits: int = 18, sample: int = 8192, least: float = 0.3) -> DataFrame:
     """Per row: id, held_out, score (0 to 1, higher: label 1 likelier), predicted (1 if score >= least).
 
@@ -116,10 +121,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            dots = np.array([weights[at] @ x for at, x in (features(t, bits) for t in piece.column(1).to_pylist())])
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(1 / (1 + np.exp(-dots)), pa.float64())], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(scores(piece.column(1).to_pylist(), weights, bits), pa.float64())], names=["id", "score"])
 
     kind = picked.schema["id"].dataType.simpleString()
     scored = picked.mapInArrow(run, f"id {kind}, score double")
     held = F.coalesce(remainder("id", 5) == 0, F.lit(False))
     return scored.select(F.col("id").alias(id_col), held.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def good_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bits: int = 18, sample: int = 8192, least: float = 0.3) -> DataFrame:
+    """The rows that `quality_scores` predicts 1 for, with all columns, in one pass without a shuffle."""
+    weights = train(docs, labels, id_col, text_col, label_col, bits, sample)
+    return rewrite(docs, text_col, lambda batch, texts: batch.filter(pa.array(scores(texts, weights, bits) >= least)))

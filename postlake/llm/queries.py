@@ -12,6 +12,7 @@ from .byte_bpe import encode_decode
 from .common import table
 from .decontaminate import contaminated
 from .language import predict_languages
+from .licenses import CUE, TEMPLATES, UNIT, scan_licenses
 from .near_dedup import near_duplicates
 from .neighbours import nearest
 from .quality import quality_scores
@@ -37,6 +38,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: the source is the top directory, the language the next, the id names the file."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    found = scan_licenses(docs.select(path.alias("path"), "text"))
+    return found.select(F.regexp_extract("path", r"[^/]*$", 0).cast("long").alias("doc_id"), "path", "license", "score", "origin")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +67,31 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(table(spark, sf_dir, "documents"))
 
 
+_VALUES = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(TEMPLATES))
+OP5_SQL = rf"""
+WITH templates(template, license, text) AS (VALUES {_VALUES}),
+words AS (SELECT template, license, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM templates),
+counts AS (SELECT template, license, word, count(*) AS tf FROM words GROUP BY ALL),
+known AS (SELECT word, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM counts GROUP BY word),
+weights AS (SELECT template, license, word, tf * idf AS weight FROM counts JOIN known USING (word)),
+norms AS (SELECT template, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1),
+files AS (SELECT doc_id, coalesce(source, '-') || '/' || coalesce(lang, '-') || '/' || doc_id AS path, text FROM documents),
+units AS (SELECT DISTINCT path, unnest(regexp_extract_all(text, '{UNIT}')) AS unit FROM files WHERE regexp_matches(text, '{CUE}')),
+terms AS (
+    SELECT unit, word, count(*) AS tf FROM (SELECT unit, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS word FROM (SELECT DISTINCT unit FROM units)) GROUP BY ALL
+), weighed AS (SELECT unit, word, tf * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1) AS weight FROM terms LEFT JOIN known USING (word)),
+lengths AS (SELECT unit, sqrt(sum(weight * weight)) AS length FROM weighed GROUP BY 1),
+scored AS (
+    SELECT w.unit, t.license, round(sum(w.weight * t.weight / n.norm) / any_value(l.length), 6) AS score
+    FROM weighed w JOIN weights t USING (word) JOIN norms n USING (template) JOIN lengths l ON l.unit = w.unit GROUP BY w.unit, t.template, t.license
+), ranked AS (
+    SELECT u.path, s.license, s.score, row_number() OVER (PARTITION BY u.path ORDER BY s.score DESC, s.license) AS place
+    FROM units u JOIN scored s USING (unit) WHERE s.score >= 0.6
+)
+SELECT DISTINCT f.doc_id, f.path, r.license, r.score, CASE WHEN r.license IS NULL THEN 'none' ELSE 'header' END AS origin
+FROM files f LEFT JOIN ranked r ON r.path = f.path AND r.place = 1
+"""
+
 OP8_SQL = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
@@ -91,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_language": op3_language,
         "op4_token_counts": op4_token_counts,
+        "op5_licenses": op5_licenses,
         "op6_decontaminate": op6_decontaminate,
         "op7_quality": op7_quality,
         "op8_near_dedup": op8_near_dedup,
@@ -101,5 +136,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_licenses": OP5_SQL,
         "op8_near_dedup": OP8_SQL,
     }

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import rewrite, slices
 
 #: Order of kinds where spans begin at one place.
 KINDS = ("assign", "access", "hex", "random")
@@ -112,3 +112,21 @@ def secret_spans(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     kind = picked.schema["id"].dataType.simpleString()
     more = ", redacted string" if mark is not None else ""
     return picked.mapInArrow(run, f"id {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_spans string, spans string{more}").withColumnRenamed("id", id_col)
+
+
+def without_secrets(docs: DataFrame, path: str, pattern: str, text_col: str = "text", chars_col: str = "n_chars", most: float = 1.9, mark: str = "[SECRET]") -> DataFrame:
+    """All rows and columns, with every secret in a text replaced by the mark, and `chars_col`, where it exists, by the new length of such a text."""
+    names = docs.columns
+
+    def change(batch: pa.RecordBatch, texts: list[str | None]) -> pa.RecordBatch:
+        tokenizer, out, lengths = encoding(path, pattern), [], batch.column(names.index(chars_col)).to_pylist() if chars_col in names else None
+        for i, text in enumerate(texts):
+            spans = base_spans(text) if text else []
+            spans += random_spans(text, spans, tokenizer, most) if text else []
+            out.append(redact(text, spans, mark) if spans else text)
+            if spans and lengths is not None:
+                lengths[i] = len(out[-1])
+        new = {text_col: out} | ({chars_col: lengths} if lengths is not None else {})
+        return pa.RecordBatch.from_arrays([pa.array(new[n], f.type) if n in new else batch.column(i) for i, (n, f) in enumerate(zip(names, batch.schema, strict=True))], schema=batch.schema)
+
+    return rewrite(docs, text_col, change)
