@@ -1,6 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds find candidates, Smith-Waterman alignment scores them.
 
-Document frequencies of all n-grams of the test items are counted over the whole corpus; each item keeps its rarer
+Document frequencies of all n-grams of the test items are counted over the whole corpus; each item keeps its rare
 n-grams as seeds. A seed met in a document points to a stretch of it, which is aligned word by word with the item, so that
 edited and paraphrased copies score in proportion to what they share in order. Items are taken in blocks of bounded
 size, so what is sent to the workers doesn't grow with the number of items.
@@ -62,12 +62,17 @@ class Seeds:
         hit = self.keys[number] == grams[at]
         return codes, at[hit], number[hit]
 
-    def rare(self, frequency: np.ndarray, share: float) -> np.ndarray:
-        """Whether each place (of, at) seeds its item: the rarer `share` of an item's n-grams, ties to the earlier place."""
+    def rare(self, frequency: np.ndarray, rows: int, part: float) -> np.ndarray:
+        """Whether each place (of, at) seeds its item: all n-grams but those that are common in the corpus and, too, for their item.
+
+        Common is what over 50 documents and over `part` of all hold, and over twice the median of the item's n-grams
+        that occur at all; so an item whose text itself is widespread keeps its seeds.
+        """
         chosen = np.zeros(len(self.of), bool)
         for start, end in zip(*(np.searchsorted(self.of, np.arange(len(self.items)) + k) for k in (0, 1)), strict=True):
-            rank = np.argsort(frequency[self.which[start:end]], kind="stable")
-            chosen[start + rank[: int(np.ceil(share * (end - start)))]] = True
+            met = frequency[self.which[start:end]]
+            usual = np.median(met[met > 0]) if (met > 0).any() else 0
+            chosen[start:end] = met <= max(50, part * rows, 2 * usual)
         return chosen
 
 
@@ -119,14 +124,14 @@ def _hits(seeds: Seeds, chosen: np.ndarray, text: str | None, pad: int, least: f
     return found
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 3, share: float = 0.5, least: float = 0.4, pad: int = 8, block_chars: int = 16 << 20) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 3, common: float = 1e-4, least: float = 0.4, pad: int = 8, block_chars: int = 16 << 20) -> DataFrame:
     """One row per document row and item it holds: id, item id, score, first_word, end_word.
 
     The score is the best local alignment's (2 a shared word, -1 a changed, added or left out one) over that of the
     whole item; rows have `least` or more. Equal alignments: the earliest stretch. Words are lower-case, without ASCII
     punctuation. Null and empty texts hold nothing; items of fewer than `n` words are no evidence and are found nowhere.
     Repeated document rows, and repeated items, are reported each; other columns are left out, whatever their names.
-    Empty tables give an empty result. `share`: the rarer part of an item's n-grams, by documents that hold them, which seeds.
+    Empty tables give an empty result. `common`: see `Seeds.rare`.
     """
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     wanted = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
@@ -140,18 +145,22 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         seeds = Seeds(sorted(((r["item"], r["text"]) for r in rows), key=lambda x: (x[0] is None, x)), n)
 
         def count(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(len(seeds.keys), np.int64)
+            total, n_docs = np.zeros(len(seeds.keys), np.int64), 0
             for piece in slices(batches):
+                n_docs += piece.num_rows
                 for text in piece.column(1).to_pylist():
                     total[np.unique(seeds.read(text)[2])] += 1
             met = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(total[met], pa.int64())], names=["gram", "docs"])
+            rows = pa.RecordBatch.from_arrays([pa.array([*met, -1], pa.int64()), pa.array([*total[met], n_docs], pa.int64())], names=["gram", "docs"])
+            yield rows  # gram -1: all documents
 
         counted = picked.mapInArrow(count, "gram bigint, docs bigint").groupBy("gram").agg(F.sum("docs").alias("docs")).collect()
         frequency = np.zeros(len(seeds.keys), np.int64)
+        total = sum(r["docs"] for r in counted if r["gram"] < 0)
         for r in counted:
-            frequency[r["gram"]] = r["docs"]
-        chosen = seeds.rare(frequency, share)
+            if r["gram"] >= 0:
+                frequency[r["gram"]] = r["docs"]
+        chosen = seeds.rare(frequency, total, common)
 
         def find(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds, chosen: np.ndarray = chosen) -> Iterator[pa.RecordBatch]:
             for piece in slices(batches):
