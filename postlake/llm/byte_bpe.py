@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import held, light, slices
 
 _NONE = np.int32(2**31 - 1)
 
@@ -63,7 +62,7 @@ class PairTable:
 class ByteBPE:
     """Encoder and decoder. Remembers the ids of at most `keep` cuts; `cells` bounds a matrix."""
 
-    def __init__(self, path: str, pattern: str, keep: int = 250_000, cells: int = 1 << 20, longest_row: int = 256):
+    def __init__(self, path: str, pattern: str, keep: int = 150_000, cells: int = 1 << 20, longest_row: int = 256):
         import regex
 
         with open(path, "rb") as lines:
@@ -188,9 +187,8 @@ class ByteBPE:
         return b"".join(map(self.vocabulary.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> ByteBPE:
-    return ByteBPE(path, pattern)
+    return held(f"bpe {path} {pattern}", lambda: ByteBPE(path, pattern))
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,6 +198,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     are encoded each; other columns are left out, whatever their names. An empty table gives an empty result.
     `path`: a rank file that every worker can read; `pattern`: the expression that cuts texts before joins.
     """
+    light(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -11,7 +11,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that one step of a Python worker holds at once; a longer text makes a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+
+
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """The one large object (vocabulary, memory of words) a Python worker keeps between tasks; one of another operator goes first."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def light(spark: SparkSession) -> None:
+    """Smaller Arrow batches than by default, for texts are long: they bound what tasks hold outside the heap. A setting of one's own stays."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +76,7 @@ def without(docs: DataFrame, id_col: str, dropped: DataFrame, most: int = 1_000_
 
 def rewrite(docs: DataFrame, text_col: str, change) -> DataFrame:
     """The rows, batch by batch in Arrow, with all columns: `change` maps a batch and its texts to a batch of the same schema."""
+    light(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

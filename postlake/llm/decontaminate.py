@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, without
+from .common import cut, light, slices, without
 
 _BREAKS = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
@@ -133,6 +133,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     Repeated document rows, and repeated items, are reported each; other columns are left out, whatever their names.
     Empty tables give an empty result. `common`: see `Seeds.rare`.
     """
+    light(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     wanted = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
     chars = wanted.agg(F.sum(F.length("text"))).first()[0] or 0

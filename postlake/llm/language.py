@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, slices
+from .common import light, remainder, slices
 
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -186,6 +186,7 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Equal probabilities go to the first language in order. Repeated rows are predicted each; other columns are left
     out, whatever their names. An empty table gives an empty result.
     """
+    light(docs.sparkSession)
     languages, net = train(docs, id_col, text_col, lang_col, sample)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 

@@ -18,11 +18,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, without
+from .common import cut, held, light, slices, without
 from .components import components
 
-_KNOWN: dict[bytes, int] = {}
-_KEEP = 300_000
+_KEEP = 150_000
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, 9)]
 
 
@@ -31,15 +30,16 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     words = text.encode().lower().split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_KNOWN) > _KEEP:
-        _KNOWN.clear()
+    seen: dict[bytes, int] = held("shingle words", dict)
+    if len(seen) > _KEEP:
+        seen.clear()
     try:
-        known = [_KNOWN[w] for w in words]
+        known = [seen[w] for w in words]
     except KeyError:
         for w in set(words):
-            if w not in _KNOWN:
-                _KNOWN[w] = xxhash.xxh64_intdigest(w)
-        known = [_KNOWN[w] for w in words]
+            if w not in seen:
+                seen[w] = xxhash.xxh64_intdigest(w)
+        known = [seen[w] for w in words]
     x = np.array(known, np.uint64)
     k = min(width, len(x))
     mixed = np.full(len(x) - k + 1, k, np.uint64)  # a shorter sequence never equals a full shingle
@@ -196,6 +196,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     longer one is joined by shuffle.
     """
     hashes = MinHash(bands, rows)
+    light(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     described = cut(_described(docs, width, hashes))
     filled = described.where("id is not null and set_key is not null")

@@ -15,11 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, rewrite, slices
+from .common import held, light, remainder, rewrite, slices
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
-_KNOWN: dict[str, int] = {}
-_KEEP = 300_000
+_KEEP = 150_000
 
 
 def features(text: str | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -31,15 +30,16 @@ def features(text: str | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
     words = _WORD.findall(text) if text else []
     if not words:
         return np.zeros(1, np.int64), np.ones(1)
-    if len(_KNOWN) > _KEEP:
-        _KNOWN.clear()
+    seen: dict[str, int] = held("quality words", dict)
+    if len(seen) > _KEEP:
+        seen.clear()
     try:
-        known = [_KNOWN[w] for w in words]
+        known = [seen[w] for w in words]
     except KeyError:
         for w in set(words):
-            if w not in _KNOWN:
-                _KNOWN[w] = zlib.crc32(w.encode()) << 3 | (0 if w.islower() else 1 if w.isupper() else 2 if w.istitle() else 3 if w.isdigit() else 4 if w.isalpha() else 5)
-        known = [_KNOWN[w] for w in words]
+            if w not in seen:
+                seen[w] = zlib.crc32(w.encode()) << 3 | (0 if w.islower() else 1 if w.isupper() else 2 if w.istitle() else 3 if w.isdigit() else 4 if w.isalpha() else 5)
+        known = [seen[w] for w in words]
     word = np.array(known, np.uint64)
     shape = np.where((word & np.uint64(7)) == np.uint64(5), word, word & np.uint64(7))  # signs count as they are
     left, right = slice(None, -1), slice(1, None)
@@ -85,6 +85,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         .where("id is not null and label in (0, 1)").where(remainder("id", 5) != 0).distinct()
         .orderBy(F.xxhash64("id"), "id", "label").limit(sample)
     )
+    light(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
 

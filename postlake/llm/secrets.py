@@ -10,13 +10,12 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rewrite, slices
+from .common import held, light, rewrite, slices
 
 #: Order of kinds where spans begin at one place.
 KINDS = ("assign", "access", "hex", "random")
@@ -39,8 +38,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-@lru_cache(maxsize=2)
 def encoding(path: str, pattern: str):
+    return held(f"tiktoken {path} {pattern}", lambda: _encoding(path, pattern))
+
+
+def _encoding(path: str, pattern: str):
     import tiktoken
 
     with open(path, "rb") as lines:
@@ -90,6 +92,7 @@ def secret_spans(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     spans. Spans of equal start are in the order of KINDS. Repeated rows are scanned each; other columns are left out,
     whatever their names. An empty table gives an empty result. `most`: characters a token up to which a run is random.
     """
+    light(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import held, light, slices
 
 _MARK = "▁"
 _SEGMENT = re.compile(r" +[^ ]*")
@@ -25,7 +24,7 @@ _SEGMENT = re.compile(r" +[^ ]*")
 class PieceCounter:
     """Counts tokens of texts; remembers the counts of at most `keep` segments."""
 
-    def __init__(self, path: str, keep: int = 300_000, part_chars: int = 1 << 18):
+    def __init__(self, path: str, keep: int = 150_000, part_chars: int = 1 << 18):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -83,9 +82,8 @@ class PieceCounter:
         return out
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> PieceCounter:
-    return PieceCounter(path)
+    return held(f"pieces {path}", lambda: PieceCounter(path))
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096) -> DataFrame:
@@ -94,6 +92,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     A null text counts as empty: 0 bytes, 0 tokens. Repeated rows are counted each; other columns are left out,
     whatever their names. An empty table gives an empty result. `path`: a sentencepiece model that every worker can read.
     """
+    light(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
