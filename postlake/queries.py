@@ -432,10 +432,11 @@ def role_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DEGREES = {0: ("BSc", "required", "CS"), 1: ("MSc", "required", "Statistics"), 4: ("BSc", "preferred", "Economics"), 6: ("MSc", "preferred", ""), 8: ("BSc", "required", "Engineering")}
-_AI = {5: "ai-efficiency,ai-automation"}
+#: The words around the mention reach back into the title, where "Developer" speaks of building.
+_AI = "CASE WHEN _ord % 12 = 5 THEN CASE WHEN contains(lower(title), 'develop') THEN 'ai-efficiency,ai-automation,ai-building' ELSE 'ai-efficiency,ai-automation' END ELSE '' END"
 
 
-@query("SELECT _ord % 12 AS text, CASE _ord % 12 " + " ".join(f"WHEN {k} THEN '{'/'.join(v)}'" for k, v in _DEGREES.items()) + " END AS degree, CASE _ord % 12 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _AI.items()) + f" ELSE '' END AS ai, count(*) AS n FROM {JOBS_SQL} GROUP BY ALL")
+@query("SELECT _ord % 12 AS text, CASE _ord % 12 " + " ".join(f"WHEN {k} THEN '{'/'.join(v)}'" for k, v in _DEGREES.items()) + f" END AS degree, {_AI} AS ai, count(*) AS n FROM {JOBS_SQL} GROUP BY ALL")
 def degrees_and_ai(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("profile.degree")
     flat = F.when(d.isNotNull(), F.concat_ws("/", d["level"], d["status"], F.array_join(d["fields"], ",")))
