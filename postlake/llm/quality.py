@@ -95,13 +95,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
             at, x = (pa.array([f[i].astype(kind).tobytes() for f in found], pa.binary()) for i, kind in enumerate(("<i4", "<f4")))
             yield pa.RecordBatch.from_arrays([piece.column(0), at, x, piece.column(2)], names=["id", "at", "x", "label"])
 
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "text", "label").limit(sample).mapInArrow(run, f"id {kind}, at binary, x binary, label int").collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), str(r["id"]), r["label"], bytes(r["at"])))
+    rows = texts.join(F.broadcast(chosen), "id").select("id", "text", "label").limit(sample).mapInArrow(run, f"id {kind}, at binary, x binary, label int").toArrow()
+    ids, labelled, at, x = (rows.column(c).combine_chunks() for c in ("id", "label", "at", "x"))
+    names = [str(i) for i in ids.to_pylist()]
+    order = sorted(range(len(names)), key=lambda i: (zlib.crc32(names[i].encode()), names[i], labelled[i].as_py(), at[i].as_py()))
+    part = lambda column, i, kind: np.frombuffer(column[i].as_buffer(), kind)
     model = Follower(bits)
-    examples = [(np.frombuffer(r["at"], "<i4"), np.frombuffer(r["x"], "<f4").astype(float), r["label"]) for r in rows]
     for epoch in range(epochs):
-        for i in np.random.default_rng(epoch).permutation(len(examples)):
-            model.learn(*examples[i])
+        for k in np.random.default_rng(epoch).permutation(len(order)):
+            i = order[k]
+            model.learn(part(at, i, "<i4"), part(x, i, "<f4").astype(float), labelled[i].as_py())
     return model.weights()
 
 
