@@ -93,7 +93,7 @@ def site_verdict(company: Column | str, url: Column | str) -> Column:
     return (
         F.when(h == "", "unknown").when(h.rlike(L.BOARD_HOSTS), "ats").when((name == "") | (label == ""), "unknown").when(parent, "match")
         .when(label == name, "match").when(close, "match").when(near, "match").when(held, "weak")
-        .when((F.length(initials) >= 2) & (label == initials), "match").otherwise("mismatch")
+        .when((F.length(initials) >= 2) & label.startswith(initials) & (F.length(label) <= F.length(initials) + 4), "match").otherwise("mismatch")
     )
 
 
