@@ -1,5 +1,5 @@
 from postlake.operators.dedup import cap_per, merge_duplicates, most_common
-from postlake.operators.registry import append_absent, three_way_merge, work_queue
+from postlake.operators.registry import append_absent, merge_notes, three_way_merge, work_queue
 from postlake.operators.state import first_seen_from_history, record_failures, revoke_failures, save_latest, streaks, unsent
 from pyspark.sql import functions as F
 
@@ -61,8 +61,9 @@ def test_three_way_merge(spark):
     merged = three_way_merge(base, ours, theirs)
     assert {"hunt 2026-08-22: nothing", "url-repaired 2026-08-22: moved"} <= set(notes(merged)["A"].split(" | "))
     assert {r["company_name"]: r["api_url"] for r in merged.collect()}["A"] == "https://repaired"
-    long = three_way_merge(registry(spark, ("A", "u", "x" * 200)), registry(spark, ("A", "u", "x" * 200 + " | hunt 2026-08-22: fresh")), registry(spark, ("A", "u", "x" * 200 + " | triage 2026-08-21: seen")))
-    assert len(notes(long)["A"]) <= 220 and "hunt 2026-08-22: fresh" in notes(long)["A"]
+    fresh = "dark-triage 2026-08-22: url-dead (http 404 on careers page)"
+    (capped,) = spark.createDataFrame([("x " * 130, fresh)], "t string, o string").select(merge_notes("t", "o")).first()
+    assert len(capped) <= 220 and fresh in capped
 
 
 def test_new_companies_and_the_queue(spark):
