@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import samples
@@ -179,12 +179,13 @@ def _merged(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     return dedup.merge_duplicates(jobs(spark, sf_dir).where(where))
 
 
-_FLAT = [F.array_join("seen_ids", " ").alias("seen_ids"), F.array_join("sources", " ").alias("sources")]
+def _flat() -> list[Column]:
+    return [F.array_join("seen_ids", " ").alias("seen_ids"), F.array_join("sources", " ").alias("sources")]
 
 
 @query(f"SELECT mkey, company, title, location, url, posted_date, seen_ids, sources, _ord FROM {_merged_sql('true')}")
 def merge_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged(spark, sf_dir).select("mkey", "company", "title", "location", "url", "posted_date", *_FLAT, "_ord")
+    return _merged(spark, sf_dir).select("mkey", "company", "title", "location", "url", "posted_date", *_flat(), "_ord")
 
 
 @query(f"SELECT mkey FROM {_merged_sql('true')} m WHERE NOT EXISTS (SELECT 1 FROM (SELECT {_SEEN} AS s FROM {JOBS_SQL} WHERE _ord % 50 = 0) x WHERE list_contains(m.ids, x.s))")
