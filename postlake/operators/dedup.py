@@ -46,9 +46,9 @@ def freshest(df: DataFrame, n: int) -> DataFrame:
 
 
 def most_common(df: DataFrame, groups: list[str], item: str, k: int, order: str | None = None) -> DataFrame:
-    """The k most frequent items per group: count descending, ties to the least `order` (default: the item)."""
+    """The k most frequent items per group: count descending, ties to the least `order`, then to the least item."""
     counted = df.groupBy(*groups, item).agg(F.count(F.lit(1)).alias("n"), F.min(order or item).alias("_first"))
-    return cap_per(counted, groups or [F.lit(1)], [F.desc("n"), F.col("_first")], k).drop("_first")
+    return cap_per(counted, groups or [F.lit(1)], [F.desc("n"), F.col("_first"), F.col(item)], k).drop("_first")
 
 
 def search(df: DataFrame, blob: Column, query: str) -> DataFrame:

@@ -445,7 +445,7 @@ def degrees_and_ai(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CLUSTER = "CASE " + " ".join(f"WHEN skill IN ({', '.join(q(n) for c, rules in L.SKILLS.items() for n, _ in rules if L.SKILL_CLUSTER.get(n, L.CATEGORY_CLUSTER.get(c)) == k)}) THEN {q(k)}" for k, _ in L.CLUSTERS) + " END"
-_TOP = "SELECT {g}, skill, n FROM (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY n DESC, o) AS p FROM (SELECT {g}, skill, count(*) AS n, min(_ord) AS o FROM {rows} GROUP BY ALL)) WHERE p <= {k}"
+_TOP = "SELECT {g}, skill, n FROM (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY n DESC, o, skill) AS p FROM (SELECT {g}, skill, count(*) AS n, min(_ord) AS o FROM {rows} GROUP BY ALL)) WHERE p <= {k}"
 
 
 @query(_TOP.format(g="cluster", k=8, rows=f"(SELECT *, {_CLUSTER} AS cluster FROM (SELECT _ord, unnest(skills) AS skill FROM {_PROFILES})) WHERE cluster IS NOT NULL"))
