@@ -22,7 +22,7 @@ from .common import cut
 class Index:
     """Rotation, centres and number of probes, fitted on a bounded sample; keeps the sample for first bounds of searches."""
 
-    def __init__(self, sample: np.ndarray, longest: float, lists: int, k: int, recall: float, seed: int = 5, rounds: int = 12):
+    def __init__(self, sample: np.ndarray, ids: np.ndarray, longest: float, lists: int, k: int, recall: float, seed: int = 5, rounds: int = 12):
         rng = np.random.default_rng(seed)
         self.longest, dims = longest, sample.shape[1] + 1
         self.rotation = np.linalg.qr(rng.normal(size=(dims, dims)))[0].astype(np.float32)
@@ -33,16 +33,17 @@ class Index:
             sums, counts = np.zeros(self.centres.shape), np.bincount(near, minlength=len(self.centres))
             np.add.at(sums, near, x)
             self.centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], self.centres).astype(np.float32)
-        self.sample, self.k = sample.astype(np.float32), k
+        first = np.sort(np.unique(ids, return_index=True)[1])  # one vector of each id: k places are k ids
+        self.sample, self.k = sample[first].astype(np.float32), k
         asked = sample[rng.choice(len(sample), min(256, len(sample)), replace=False)]
         # the share of the sample's own neighbours in the first lists; in the whole, which is denser, it is larger
         best = np.argsort(-(asked.astype(np.float32) @ self.sample.T), axis=1)[:, : k + 1]
         order = np.argsort(self.nearest(self.rotated(asked, True), len(self.centres)), axis=1)
-        place = np.sort(np.take_along_axis(order, self.nearest(x, 1)[:, 0][best], axis=1), axis=None)
+        place = np.sort(np.take_along_axis(order, self.nearest(x[first], 1)[:, 0][best], axis=1), axis=None)
         self.probes = int(place[min(len(place) - 1, int(np.ceil(recall * len(place))))]) + 1
 
     def floors(self, x: np.ndarray) -> np.ndarray:
-        """Scores that k candidates of the sample reach or all but reach, whether or not the query is among them."""
+        """Scores that k candidates (ids) of the sample reach or all but reach, whether or not the query is among them."""
         if len(self.sample) <= self.k:
             return np.full(len(x), -np.inf)
         scores = x.astype(np.float32) @ self.sample.T
@@ -63,15 +64,15 @@ class Index:
         return np.take_along_axis(part, np.argsort(np.take_along_axis(d, part, axis=1), axis=1, kind="stable"), axis=1)
 
 
-def scan(query: np.ndarray, columns: np.ndarray, partial: np.ndarray, k: int, step: int, epsilon: float, bound: float) -> np.ndarray:
+def scan(query: np.ndarray, columns: np.ndarray, partial: np.ndarray, k: int, step: int, epsilon: float, bound: float, single: np.ndarray | None = None) -> np.ndarray:
     """Places of the candidates that no test abandons.
 
     columns (dimensions, candidates): rotated vectors; partial: squared distances in the first `step` dimensions;
-    bound: a squared distance that k candidates anywhere are known to be within.
+    bound: a squared distance that k candidates anywhere are known to be within; single: one place of each id, if ids repeat.
     """
     dims, n = columns.shape
-    if n > k:
-        tried = np.argpartition(partial, k - 1)[:k]
+    if (n if single is None else len(single)) > k:
+        tried = np.argpartition(partial, k - 1)[:k] if single is None else single[np.argpartition(partial[single], k - 1)[:k]]
         bound = min(bound, float(((columns[:, tried] - query[:, None]) ** 2).sum(axis=0).max()) + 1e-5)
     alive, read = np.arange(n), min(step, dims)
     while True:
@@ -90,7 +91,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     Queries: rows for which `is_query` holds; candidates: every row with another id. Nearest first, ties to the smaller id;
     all candidates, if fewer than k are found. Vectors that are null, of length zero, or hold a null, NaN or infinite
     component take no part, nor do those of another dimension than the commonest (ties: the larger). Rows of one id: the
-    best counts as candidate, one is asked as query. A null id takes no part. Other columns are left out, whatever their
+    best counts as candidate, one is asked as query; places, bounds and floors count ids, not rows. A null id takes no part. Other columns are left out, whatever their
     names; an empty table gives an empty result. `sample` bounds the rows the centres are fitted on; every row is indexed.
     `lists`: default half the square root of the number of rows, 2048 at most; a query probes as many as hold the share
     `recall` of the neighbours within the sample. Lists of over `cell` rows are split by id, lists asked by over `cell` queries by query, so that no task grows with a list.
@@ -99,18 +100,23 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     finite = F.forall(F.col("v"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     able = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asked"))
     able = able.where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(finite, F.lit(False)) & F.exists(F.col("v"), lambda x: x != 0))
-    kinds = able.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("longest"))
+    per_id = able.groupBy(F.size("v").alias("d"), "id").agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("longest"))
+    kinds = per_id.groupBy("d").agg(F.sum("n").alias("n"), F.max("n").alias("copies"), F.max("longest").alias("longest"))
     top = kinds.orderBy(F.desc("n"), F.desc("d")).first()
     if top is None:
         return session.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     dims, rows = top["d"], top["n"]
-    able = able.where(F.size("v") == dims)
+    able, repeated = able.where(F.size("v") == dims), top["copies"] > 1
+    if repeated:
+        able = cut(able.groupBy("id", "v").agg(F.max("asked").alias("asked")))
+        rows = able.count()
     drawn = able.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(min(1.0, sample / rows) * (1 << 30)) + 1)).select("id", "v").limit(2 * sample)
     table = drawn.toArrow()
     flat = table.column("v").combine_chunks()
-    order = np.argsort(table.column("id").to_numpy(), kind="stable")
+    ids = table.column("id").to_numpy()
+    order = np.argsort(ids, kind="stable")
     data = (flat.values if hasattr(flat, "values") else flat.combine_chunks().values).to_numpy().reshape(-1, dims)[order] if len(order) else np.ones((1, dims))
-    index = Index(data, float(top["longest"]), lists or max(1, min(2048, round(rows**0.5 / 2))), k, recall)
+    index = Index(data, ids[order] if len(order) else np.zeros(1, np.int64), float(top["longest"]), lists or max(1, min(2048, round(rows**0.5 / 2))), k, recall)
     n_lists = len(index.centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +142,9 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
 
     placed = cut(able.select("id", "v").mapInArrow(assign, "id bigint, own binary, list int"))
     counts = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = np.array([counts.get(i, 0) for i in range(n_lists)])
+    # an id in several lists counts in one of them, so that sums over lists never exceed the ids there
+    homes = {r["list"]: r["n"] for r in placed.groupBy("id").agg(F.min("list").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()} if repeated else counts
+    sizes = np.array([homes.get(i, 0) for i in range(n_lists)])
     asked = able.where("asked").select("id", "v").dropDuplicates(["id"]).mapInArrow(probe, "id bigint, own binary, list array<int>, floor array<double>")
     probed = cut(asked.select("id", "own", F.explode(F.arrays_zip("list", "floor")).alias("p")).select("id", "own", "p.floor", "p.list"))
     asks = {r["list"]: r["n"] for r in probed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -156,6 +164,8 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
             if not base or not asks:
                 return
             others, originals = np.array([b[0] for b in base]), matrix([b[1] for b in base])
+            single = np.unique(others, return_index=True)[1]
+            single = single if len(single) < len(others) else None
             columns_ = np.ascontiguousarray(index.rotated(originals, False).T)
             head = columns_[:step]
             for start in range(0, len(asks), 256):
@@ -165,12 +175,15 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
                 partial = (turned[:, :step] ** 2).sum(axis=1)[:, None] + (head**2).sum(axis=0) - 2 * (turned[:, :step] @ head)
                 for i, (name, _, floor) in enumerate(part):
                     bound = float(queries[i] @ queries[i]) + index.longest**2 - 2 * floor
-                    alive = scan(turned[i], columns_, partial[i], k + 1, step, epsilon, bound)
+                    alive = scan(turned[i], columns_, partial[i], k + 1, step, epsilon, bound, single)
                     alive = alive[others[alive] != name]
                     if not len(alive):
                         continue
                     scores = (originals[alive] * queries[i]).sum(axis=1)
-                    best = np.lexsort((others[alive], -scores))[:k]
+                    best = np.lexsort((others[alive], -scores))
+                    if single is not None:
+                        best = best[np.sort(np.unique(others[alive][best], return_index=True)[1])]
+                    best = best[:k]
                     best = best[scores[best] >= floor]
                     out[0].extend([name] * len(best))
                     out[1].extend(others[alive][best].tolist())

@@ -61,6 +61,27 @@ def test_neighbours_edges(spark):
     assert nearest(frame.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_rows_and_ids(spark):
+    """Every row three times; then ids with 25 vectors each: places count ids, not rows."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 12))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] * 3
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, cell=64).collect()
+    assert recall(got, exact(np.arange(600), x, 20)) >= 0.9
+
+    near = np.repeat(rng.normal(size=(80, 12)), 25, axis=0) + 0.01 * rng.normal(size=(2000, 12))
+    ids = np.repeat(np.arange(80), 25)
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, near, strict=True)], "vec_id long, embedding array<double>")
+    by = {}
+    for r in nearest(frame, F.col("vec_id") % 20 == 0).collect():
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(by) == {0, 20, 40, 60} and all(len(set(v)) == len(v) == 20 for v in by.values())
+    for q, found in by.items():
+        scores = (near @ near[ids == q].mean(axis=0)).reshape(80, 25).max(axis=1)
+        scores[q] = -np.inf
+        assert len(set(found) & set(np.argsort(-scores)[:20].tolist())) >= 17
+
+
 def test_pack_balances_jointly():
     rng = np.random.default_rng(2)
     units = rng.gamma(1, size=(2000, 3))
