@@ -1,11 +1,16 @@
 """License scans with DataFrame functions only.
 
-Headers (lines that speak of licences) and licence files (by name) are compared to templates by TF-IDF cosine; files
-without a finding inherit from the licence file of their nearest ancestor directory.
+Headers (lines that speak of licences, and stretches of words around a cue, fitted to each template's length) and licence
+files (by name) are compared to templates by TF-IDF cosine; files without a finding inherit from the licence file of their
+nearest ancestor directory.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +47,10 @@ TEMPLATES = (
 CUE = r"(?:[Ll][Ii][Cc][Ee][Nn][CcSs]|SPDX|[Cc]opyleft|[Pp]ublic domain|[Pp]ermission is hereby granted|[Rr]edistribution and use)"
 #: A cue with up to 16 words on either side of it in its line.
 UNIT = r"(?:[^ \t\n]{1,40}[ \t]+){0,16}[^ \t\n]{0,40}" + CUE + r"[^ \t\n]{0,40}(?:[ \t]+[^ \t\n]{1,40}){0,16}"
+#: The same cues, also across line breaks and comment marks.
+ANY_CUE = r"(?i:licen[cs]|spdx|copyleft|public[^a-z0-9]+domain|permission[^a-z0-9]+is[^a-z0-9]+hereby[^a-z0-9]+granted|redistribution[^a-z0-9]+and[^a-z0-9]+use)"
+#: Cues of several words, as words.
+PHRASES = ("public domain", "permission is hereby granted", "redistribution and use")
 LICENSE_FILE = r"(?i)^(?:licen[cs]e|copying|unlicense)(?:[._-].*)?$"
 _WORD = "[a-z0-9]+"
 
@@ -71,11 +80,70 @@ def _best(units: DataFrame, templates: DataFrame) -> DataFrame:
     return top.select("unit", F.col("m.license").alias("license"), (-F.col("m.col1")).alias("score"))
 
 
+def _fitted(templates: tuple[tuple[str, str], ...]) -> tuple[list[tuple], dict[str, float], float]:
+    """Rows (license, n_words, keys, need, shares) of the templates, the idf of their words, and that of any other word.
+
+    Keys tell a template from prose about licences: at least one of the words that only templates of its licence have; where
+    there is none, all of its rarest words.
+    """
+    words = [re.findall(_WORD, text.lower()) for _, text in templates]
+    df = Counter(w for ws in words for w in set(ws))
+    idf = {w: math.log((len(templates) + 1) / (n + 1)) + 1 for w, n in df.items()}
+    of: dict[str, set[str]] = {}
+    for (license_, _), ws in zip(templates, words, strict=True):
+        for w in ws:
+            of.setdefault(w, set()).add(license_)
+    rows = []
+    for (license_, _), ws in zip(templates, words, strict=True):
+        if not ws:
+            continue
+        weights = {w: n * idf[w] for w, n in Counter(ws).items()}
+        norm = math.sqrt(sum(x * x for x in weights.values()))
+        own = sorted(w for w in weights if len(of[w]) == 1)
+        keys = own or sorted(w for w in weights if df[w] == min(df[v] for v in weights))
+        rows.append((license_, len(ws), keys, 1 if own else len(keys), {w: x / norm for w, x in weights.items()}))
+    return rows, idf, math.log(len(templates) + 1) + 1
+
+
+def _contexts(words: Column, reach: int) -> Column:
+    """Array of (words, at): the words around each cue, `reach` on either side, and the cue's place in them (from 0)."""
+
+    def cue(word: Column, i: Column) -> Column:
+        phrases = [[F.get(words, i + n) == w for n, w in enumerate(phrase.split())] for phrase in PHRASES]
+        found = word.rlike("licen[cs]|spdx|copyleft")
+        for first, *others in phrases:
+            for other in others:
+                first = first & other
+            found = found | first
+        return found
+
+    places = F.filter(F.transform(words, lambda w, i: F.when(cue(w, i), i)), lambda i: i.isNotNull())
+    return F.transform(places, lambda i: F.struct(F.slice(words, i - F.least(i, F.lit(reach)) + 1, F.least(i, F.lit(reach)) + reach + 1).alias("words"), F.least(i, F.lit(reach)).alias("at")))
+
+
+def _best_stretch(contexts: DataFrame, rows: list[tuple], idf: dict[str, float], new: float, least: float) -> DataFrame:
+    """(path, whole, license, score): of each context and template the most similar stretch of the template's length that holds the cue and the template's keys."""
+    session = contexts.sparkSession
+    known = session.createDataFrame([(*row, idf) for row in rows], "license string, n int, keys array<string>, need int, shares map<string,double>, idf map<string,double>")
+    holds = lambda words: F.size(F.array_intersect(words, F.col("keys"))) >= F.col("need")
+
+    def score(stretch: Column) -> Column:
+        tf = lambda w: F.size(F.filter(stretch, lambda x: x == w))
+        terms = F.transform(F.array_distinct(stretch), lambda w: F.struct((tf(w) * F.coalesce(F.try_element_at("idf", w), F.lit(new))).alias("x"), F.coalesce(F.try_element_at("shares", w), F.lit(0.0)).alias("y")))
+        sums = F.aggregate(terms, F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("all")), lambda a, t: F.struct((a["dot"] + t["x"] * t["y"]).alias("dot"), (a["all"] + t["x"] * t["x"]).alias("all")), lambda a: a["dot"] / F.sqrt(a["all"]))
+        return F.round(sums, 6)
+
+    stretches = F.transform(F.sequence(F.greatest(F.col("at") - F.col("n") + 1, F.lit(0)), F.col("at")), lambda start: F.slice("words", start + 1, F.col("n")))
+    scored = contexts.join(F.broadcast(known), holds(F.col("words"))).select("path", "whole", "license", F.array_max(F.transform(F.filter(stretches, holds), score)).alias("score"))
+    return scored.where(F.col("score") >= least)
+
+
 def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = 0.6) -> DataFrame:
     """One row per distinct path: path, license, score (cosine, 6 digits), origin (`file`, `header`, `inherited` or `none`), directory.
 
-    A licence file is compared as a whole, any other by its headers; the best of at least `least` counts (ties to the
-    first identifier). A file without one takes the licence of the licence file in the nearest directory above it, whose
+    A licence file is compared as a whole, any other by its headers, and both by the stretches of words around their cues,
+    so that a statement counts beside other words of its line or wrapped over lines; the best of at least `least` counts
+    (ties to the first identifier). A stretch must also hold a template's keys (see `_fitted`). A file without one takes the licence of the licence file in the nearest directory above it, whose
     path is `directory`. Null and empty texts have no header. Rows of one path are one file. Rows with a null path
     are scanned together as one file without directory. Other columns are left out, whatever their names. An empty table
     gives an empty result. `templates` is broadcast: a fixed list, not data.
@@ -85,11 +153,18 @@ def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "tex
     picked = files.select(F.col(path_col).alias("path"), F.col(text_col).alias("text"))
     name = F.regexp_extract("path", r"[^/]*$", 0)
     is_file = F.coalesce(name.rlike(LICENSE_FILE), F.lit(False))
-    found = F.when(F.col("text").rlike(CUE), F.regexp_extract_all("text", F.lit(UNIT), F.lit(0)))
+    found = F.coalesce(F.when(F.col("text").rlike(CUE), F.regexp_extract_all("text", F.lit(UNIT), F.lit(0))), F.array().cast("array<string>"))
+    rows, idf, new = _fitted(templates)
+    reach = max((n for _, n, *_ in rows), default=1) - 1
+    speaking = picked.where("text is not null").where(is_file | F.col("text").rlike(ANY_CUE)).select("path", is_file.alias("whole"), "text", F.explode(F.array(_words(F.col("text")))).alias("words"))
+    lines = F.transform(F.when(F.col("whole"), F.array("text")).otherwise(found), lambda u: F.struct(u.alias("unit"), F.lit(None).cast("array<string>").alias("words"), F.lit(None).cast("int").alias("at")))
+    around = F.transform(_contexts(F.col("words"), reach), lambda c: F.struct(F.lit(None).cast("string").alias("unit"), c["words"].alias("words"), c["at"].alias("at")))
     # few rows, read by several branches below: written once, so that texts are scanned once
-    units = cut(picked.select("path", is_file.alias("whole"), F.explode(F.when(is_file, F.array("text")).otherwise(found)).alias("unit")).where("unit is not null").distinct())
-    best = _best(units, known)
-    own = units.join(best, "unit").where(F.col("score") >= least).groupBy("path").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("m"), F.max("whole").alias("whole"))
+    pieces = cut(speaking.select("path", "whole", F.explode(F.concat(lines, around)).alias("p")).select("path", "whole", "p.*").distinct())
+    units = pieces.where("unit is not null").select("path", "whole", "unit")
+    by_line = units.join(_best(units, known), "unit").where(F.col("score") >= least).select("path", "whole", "license", "score")
+    by_stretch = _best_stretch(pieces.where("words is not null"), rows, idf, new, least)
+    own = by_line.unionByName(by_stretch).groupBy("path").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("m"), F.max("whole").alias("whole"))
     own = own.select("path", F.col("m.license").alias("license"), (-F.col("m.col1")).alias("score"), "whole")
     parent = lambda c: F.regexp_replace(c, r"/?[^/]*$", "")
     granted = own.where("whole").select(parent(F.col("path")).alias("above"), "license", "score").groupBy("above").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("g"))

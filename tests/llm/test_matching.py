@@ -125,6 +125,20 @@ def test_licenses_inherit_from_the_nearest_directory(spark):
     assert scan_licenses(files.where("false")).count() == 0
 
 
+def test_licenses_beside_other_words_and_over_lines(spark):
+    prose = " ".join(f"word{i}" for i in range(40))
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    rows = [
+        ("1", "Copyright 2019 Acme Corp. Licensed under the Apache License, Version 2.0.", "Apache-2.0"), ("2", "Copyright (c) 2021 Jane Doe. Released under the MIT License.", "MIT"),
+        ("3", f"{prose} {gpl} {prose}", "GPL-3.0"), ("4", f"{prose}\n# This work is licensed under the GNU\n# General Public License,\n# version 3.\n{prose}", "GPL-3.0"),
+        ("5", f"/* {prose} This software was dedicated to the public\n * domain under CC0 1.0 Universal. */", "CC0-1.0"), ("6", f"{prose} this license and that licence of {prose}, under the licence of the author {prose}", None),
+        ("7", f"{prose} was released under the license of {prose}", None), ("8", "Copyright 2020 The Authors, all rights reserved, Permission is hereby\ngranted, free of charge, to any person obtaining a copy of this software\nand associated documentation files (the Software), to deal in the Software without restriction.", "MIT"),
+        ("9", f"licensed license {prose} Licensed under CC BY-NC 4.0. {prose} license", "CC-BY-NC-4.0"), ("d/LICENSE", f"{prose} Released under the ISC License. {prose}", "ISC"),
+    ]
+    got = {r["path"]: (r["license"], r["origin"]) for r in scan_licenses(spark.createDataFrame([r[:2] for r in rows], "path string, text string")).collect()}
+    assert got == {p: (k, ("file" if "/" in p else "header") if k else "none") for p, _, k in rows}
+
+
 def test_license_query_equals_sql(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op5_licenses(spark, sf).toPandas().sort_values("doc_id").fillna("-").to_numpy().tolist()
