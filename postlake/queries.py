@@ -480,8 +480,8 @@ _ORDERED = "FROM orders WHERE o_custkey % 3 <> 0"
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses of three kinds of boards, one page per customer."""
-    o = read(spark, sf_dir, "orders").where("o_custkey % 3 <> 0")
+    """Responses of three kinds of boards, one page per customer; jazzhr's hold no postings."""
+    o = read(spark, sf_dir, "orders")
     day, i = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.col("o_orderkey").cast("string")
     green = F.to_json(F.struct(F.collect_list(F.struct(F.concat(F.lit(" Role  "), i).alias("title"), F.col("o_orderkey").alias("id"), F.concat(F.lit("https://x/"), i).alias("absolute_url"), day.alias("updated_at"), F.lit("&lt;p&gt;Hello&lt;/p&gt;").alias("content"), F.struct(F.lit("Haifa").alias("name")).alias("location"))).alias("jobs")))
     lever = F.to_json(F.collect_list(F.struct(F.concat(F.lit("Role "), i).alias("text"), i.alias("id"), F.concat(F.lit("https://x/"), i).alias("applyUrl"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("createdAt"), F.lit("il").alias("country"), F.struct(F.array(F.lit("Haifa"), F.lit("Lod")).alias("allLocations")).alias("categories"))))

@@ -37,6 +37,14 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted(str([plain(r[c]) for c in columns]) for r in got.collect()) == right
 
 
+def test_board_responses_read_every_order(spark):
+    """Pages of all customers reach the operator; those of jazzhr give no postings."""
+    pages = queries._bronze(spark, SF)
+    assert pages.count() == spark.read.parquet(f"{SF}/orders.parquet").select("o_custkey").distinct().count()
+    kinds = {r["ats_platform"] for r in queries.QUERIES["board_responses"](spark, SF).select("ats_platform").distinct().collect()}
+    assert pages.where("ats_platform = 'jazzhr'").count() > 0 and kinds == {"greenhouse", "lever"}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() >= 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
