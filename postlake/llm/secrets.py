@@ -27,6 +27,7 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Set aside: digests by their lengths in hex, and 8-4-4-4-12 identifiers.
 _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.IGNORECASE)
+_ALPHABET = "abcdefghijklmnopqrstuvwxyz" * 2
 _IDENTIFIER = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE)
 
 
@@ -50,15 +51,22 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("secrets", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def _spelled(run: str) -> bool:
+    """Whether a run without digits is no key by its letters: few different ones, many separators, or the alphabet."""
+    letters = re.sub("[^A-Za-z]", "", run)
+    return len(set(letters.lower())) < 8 or 6 * (len(run) - len(letters)) > len(run) or letters.lower() in _ALPHABET
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], tokenizer, most: float) -> list[tuple[int, int, int]]:
     """Runs with at most `most` characters a token that touch no base span, and are neither digest nor identifier.
 
-    A run must hold a digit and a letter: words run together, rules and numbers are no secrets.
+    A run must hold a letter: rules and numbers are no secrets. Without a digit it must not be spelled out (`_spelled`);
+    words run together have two or more characters a token.
     """
     found = []
     for m in _RUN.finditer(text):
         run, start, end = m[0], m.start(), m.end()
-        if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+        if not re.search("[A-Za-z]", run) or (not re.search("[0-9]", run) and _spelled(run)):
             continue
         if _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run) or any(s < end and start < e for s, _, e in base):
             continue

@@ -144,3 +144,13 @@ def test_secret_spans(spark, make):
     assert clean.columns == docs.columns and clean.count() == len(rows)
     assert {(r["text"], r["n_chars"]) for r in clean.where("doc_id = 5").collect()} == {("see [SECRET] here", 17)}
     assert secret_spans(docs.where("false"), RANKS, P.PATTERN).count() == 0
+
+
+def test_keys_of_letters_only_beside_long_words(spark, make):
+    keys = ["".join(random.Random(i).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", k=24)) for i in range(20)]
+    plain = ["Donaudampfschifffahrtsgesellschaft", "internationalization-of-everything", "AbstractSingletonProxyFactoryBean", "GRANT_ALL_PRIVILEGES_ON_SCHEMA", "src/main/java/org/apache/spark",
+             "ACGTTGCATGCCATGACCATGGATCC", "abcdefghijklmnopqrstuvwxyz", "a-b-c-d-e-f-g-h-i-j-k-l", "-" * 30]
+    docs = make([*enumerate(f"see {k} here" for k in keys), (100, " ".join(plain))])
+    got = {r["doc_id"]: r["spans"] for r in secret_spans(docs, RANKS, P.PATTERN).collect()}
+    assert all(got[i] == "random:4:28" for i in range(len(keys))) and got[100] == ""
+    assert without_secrets(docs, RANKS, P.PATTERN).where("text = 'see [SECRET] here'").count() == len(keys)
