@@ -136,14 +136,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     light(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     wanted = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
-    chars = wanted.agg(F.sum(F.length("text"))).first()[0] or 0
+    # copies of one text are one item until their ids are joined back, so that blocks are bounded whatever repeats
+    texts = wanted.groupBy("text").agg(F.count(F.lit(1)).alias("copies")).select("text", F.monotonically_increasing_id().alias("number"))
+    texts = cut(texts)
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(chars // block_chars) + 1
     kind = picked.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, item bigint, score double, first_word bigint, end_word bigint"
+    schema = f"id {kind}, number bigint, score double, first_word bigint, end_word bigint"
     parts = []
     for block in range(blocks):
-        rows = wanted.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        seeds = Seeds(sorted(((r["item"], r["text"]) for r in rows), key=lambda x: (x[0] is None, x)), n)
+        rows = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
+        seeds = Seeds(sorted((r["number"], r["text"]) for r in rows), n)
 
         def count(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
             total, n_docs = np.zeros(len(seeds.keys), np.int64), 0
@@ -168,10 +171,12 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                 found = [(d, seeds.ids[i], s, a, b) for d, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True) for i, s, a, b in _hits(seeds, chosen, text, pad, least)]
                 columns = list(zip(*found, strict=True)) or [[]] * 5
                 kinds = [piece.schema.field(0).type, pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["id", "item", "score", "first_word", "end_word"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["id", "number", "score", "first_word", "end_word"])
 
         parts.append(picked.mapInArrow(find, schema))
-    return reduce(DataFrame.unionByName, parts).withColumnsRenamed({"id": id_col, "item": item_col})
+    named = cut(wanted.join(texts, "text").select("number", "item"))
+    found = reduce(DataFrame.unionByName, parts).join(named, "number").select("id", "item", "score", "first_word", "end_word")
+    return found.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:

@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from postlake.llm import queries
+from postlake.llm import decontaminate, queries
 from postlake.llm.components import components
 from postlake.llm.decontaminate import align, contaminated, without_contaminated
 from postlake.llm.licenses import scan_licenses
@@ -110,6 +110,16 @@ def test_contamination_finds_copies_and_edits_only(spark, make):
     assert contaminated(make(rows).where("false"), bench).count() == 0 == contaminated(make(rows), bench.where("false")).count()
 
 
+def test_copies_of_an_item_are_aligned_once(spark, make, monkeypatch):
+    seen = []
+    real = decontaminate.Seeds
+    monkeypatch.setattr(decontaminate, "Seeds", lambda items, n: seen.append(len(items)) or real(items, n))
+    bench = spark.createDataFrame([(i, "one passage that is there many times") for i in range(40)] + [(None, "one passage that is there many times"), (90, "another item of some few words")], "item_id long, text string")
+    got = contaminated(make([(1, "well one passage that is there many times"), (2, "no")]), bench).collect()
+    assert sorted((r["doc_id"], -1 if r["item_id"] is None else r["item_id"]) for r in got) == [(1, i) for i in range(-1, 40)]
+    assert sum(seen) == 2
+
+
 def test_licenses_inherit_from_the_nearest_directory(spark):
     rows = [
         ("a/LICENSE", "Released under the MIT License."), ("a/b/COPYING.txt", "This work is licensed under the GNU General Public License, version 3."),
