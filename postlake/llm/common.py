@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +28,34 @@ def held(name: str, make: Callable[[], object]) -> object:
     return _HELD[name]
 
 
-def light(spark: SparkSession) -> None:
-    """Smaller Arrow batches than by default, for texts are long: they bound what tasks hold outside the heap. A setting of one's own stays."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+_WORDS = 150_000
+_ODD = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, 3)]
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit number for each word; a worker remembers a bounded number of words."""
+    seen: dict[bytes, int] = held("word hashes", dict)
+    if len(seen) > _WORDS:
+        seen.clear()
+    try:
+        known = [seen[w] for w in words]
+    except KeyError:
+        for w in set(words):
+            if w not in seen:
+                seen[w] = xxhash.xxh64_intdigest(w)
+        known = [seen[w] for w in words]
+    return np.array(known, np.uint64)
+
+
+def ngram_hashes(x: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit number for the k words from each place on; n-grams of different lengths never mean the same."""
+    if len(x) < k:
+        return np.zeros(0, np.uint64)
+    mixed = np.full(len(x) - k + 1, k, np.uint64)
+    for i in range(k):
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * _ODD[0] + x[i : len(x) - k + 1 + i]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _ODD[1]
+    return mixed ^ (mixed >> np.uint64(29))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +63,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared(spark: SparkSession) -> None:
-    """Make checkpoint() usable: the cluster's shared folder if it names one, else (tests, local mode) a temporary one."""
+    """Make checkpoint() usable: the shared folder that spark.checkpoint.dir names; a temporary one in local mode alone."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="postlake-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="postlake-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -67,16 +97,41 @@ def slices(batches: Iterable[pa.RecordBatch], text_at: int = 1, most: int = SLIC
             yield batch.slice(start)
 
 
+def spread(left: DataFrame, right: DataFrame, on: list[str], hot: Column) -> DataFrame:
+    """left joined with right, where the rows of right that are `hot` are broadcast and only the keys of the others shuffled.
+
+    The caller sees to it that few rows of right can be hot: say, keys of over 1/4096 of all rows of left.
+    """
+    few = F.broadcast(right.where(hot))
+    rest = left.join(few.select(*on), on, "left_anti")
+    return left.join(few, on).unionByName(rest.join(right.where(~hot), on))
+
+
+def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", most: int = 1_000_000, parts: int = 4096) -> DataFrame:
+    """left joined with right (cut, without null keys), whatever one key holds of left.
+
+    Up to `most` rows of right are broadcast. Beyond, keys that hold over 1/parts of left's rows, `parts` at most, are joined
+    by broadcast, the others by shuffle. `how`: inner, left, left_semi or left_anti. Rows of left with a null key match nothing.
+    """
+    if right.limit(most + 1).count() <= most:
+        return left.join(F.broadcast(right), on, how)
+    whole = left.dropna(subset=on)
+    heavy = cut(whole.groupBy(*on).count().where(F.col("count") * parts > whole.count()).select(*on))
+    few, key = F.broadcast(heavy), [F.col(c).isNull() for c in on]
+    out = whole.join(few, on, "left_semi").join(F.broadcast(right.join(few, on, "left_semi")), on, how)
+    out = out.unionByName(whole.join(few, on, "left_anti").join(right.join(few, on, "left_anti"), on, how))
+    if how in ("left", "left_anti"):
+        out = out.unionByName(left.where(reduce(Column.__or__, key)), allowMissingColumns=True)
+    return out
+
+
 def without(docs: DataFrame, id_col: str, dropped: DataFrame, most: int = 1_000_000) -> DataFrame:
     """docs without the rows whose id is in `dropped` (one column, cut). Up to `most` ids are broadcast, more are joined by shuffle."""
-    ids = dropped.toDF("_dropped")
-    small = ids.limit(most + 1).count() <= most
-    return docs.join(F.broadcast(ids) if small else ids, docs[id_col] == ids["_dropped"], "left_anti")
+    return lookup(docs, dropped.toDF(id_col), [id_col], "left_anti", most).select(docs.columns)
 
 
 def rewrite(docs: DataFrame, text_col: str, change) -> DataFrame:
     """The rows, batch by batch in Arrow, with all columns: `change` maps a batch and its texts to a batch of the same schema."""
-    light(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, light, rewrite, slices
+from .common import held, rewrite, slices
 
 #: Order of kinds where spans begin at one place.
 KINDS = ("assign", "access", "hex", "random")
@@ -25,6 +25,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 #: The base pattern takes whole runs and drops those under 16; a run of 16 or more is the same match.
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Characters outside base spans that a run they cut into must still hold to be judged.
+_LEAST = 8
 #: Set aside: digests by their lengths in hex, and 8-4-4-4-12 identifiers.
 _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.IGNORECASE)
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz" * 2
@@ -58,21 +60,30 @@ def _spelled(run: str) -> bool:
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], tokenizer, most: float) -> list[tuple[int, int, int]]:
-    """Runs with at most `most` characters a token that touch no base span, and are neither digest nor identifier.
+    """Runs with at most `most` characters a token that are neither digest nor identifier.
 
-    A run must hold a letter: rules and numbers are no secrets. Without a digit it must not be spelled out (`_spelled`);
-    words run together have two or more characters a token.
+    What base spans cover of a run is left out of the measure; a run counts whole if `_LEAST` or more of its characters are
+    left and random, and so overlaps the base spans in it. A run must hold a letter: rules and numbers are no secrets.
+    Without a digit it must not be spelled out (`_spelled`); words run together have two or more characters a token.
     """
-    found = []
+    found, first = [], 0
     for m in _RUN.finditer(text):
         run, start, end = m[0], m.start(), m.end()
-        if not re.search("[A-Za-z]", run) or (not re.search("[0-9]", run) and _spelled(run)):
+        while first < len(base) and base[first][2] <= start:
+            first += 1  # the runs come in order, and so do spans: those before this run are of no use to later ones
+        pieces, at = [], start
+        for s, _, e in base[first:]:
+            if s >= end:
+                break
+            pieces.append(text[at:s] if s > at else "")
+            at = max(at, min(e, end))
+        pieces.append(text[at:end])
+        rest = "".join(pieces)
+        if len(rest) < _LEAST or not re.search("[A-Za-z]", rest) or (not re.search("[0-9]", rest) and _spelled(rest)):
             continue
-        if _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run) or any(s < end and start < e for s, _, e in base):
+        if _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run):
             continue
-        # a run far beyond any key is judged by equal pieces, so that one pass stays linear
-        tokens = sum(len(tokenizer.encode_ordinary(run[i : i + 4096])) for i in range(0, len(run), 4096))
-        if len(run) / tokens <= most:
+        if len(rest) / sum(len(tokenizer.encode_ordinary(p)) for p in pieces if p) <= most:
             found.append((start, 3, end))
     return found
 
@@ -100,7 +111,6 @@ def secret_spans(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     spans. Spans of equal start are in the order of KINDS. Repeated rows are scanned each; other columns are left out,
     whatever their names. An empty table gives an empty result. `most`: characters a token up to which a run is random.
     """
-    light(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

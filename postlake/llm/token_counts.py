@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, light, slices
+from .common import held, slices
 
 _MARK = "▁"
 _SEGMENT = re.compile(r" +[^ ]*")
@@ -92,7 +92,6 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     A null text counts as empty: 0 bytes, 0 tokens. Repeated rows are counted each; other columns are left out,
     whatever their names. An empty table gives an empty result. `path`: a sentencepiece model that every worker can read.
     """
-    light(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
