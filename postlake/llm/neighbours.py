@@ -20,7 +20,7 @@ from .common import cut
 
 
 class Index:
-    """Rotation, centres and number of probes, fitted on a bounded sample; keeps the sample for first bounds of searches."""
+    """Rotation, centres and number of probes, fitted on a bounded sample."""
 
     def __init__(self, sample: np.ndarray, ids: np.ndarray, longest: float, lists: int, k: int, recall: float, seed: int = 5, rounds: int = 12):
         rng = np.random.default_rng(seed)
@@ -34,22 +34,13 @@ class Index:
             np.add.at(sums, near, x)
             self.centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], self.centres).astype(np.float32)
         first = np.sort(np.unique(ids, return_index=True)[1])  # one vector of each id: k places are k ids
-        self.sample, self.k = sample[first].astype(np.float32), k
         asked = sample[rng.choice(len(sample), min(256, len(sample)), replace=False)]
-        # the share of the sample's own neighbours in the first lists; in the whole, which is denser, it is larger
-        best = np.argsort(-(asked.astype(np.float32) @ self.sample.T), axis=1)[:, : k + 1]
+        # in how many of the first lists a sample's own neighbours are; in the whole, which is denser, they are in fewer
+        best = np.argsort(-(asked.astype(np.float32) @ sample[first].astype(np.float32).T), axis=1)[:, : k + 1]
         order = np.argsort(self.nearest(self.rotated(asked, True), len(self.centres)), axis=1)
         place = np.sort(np.take_along_axis(order, self.nearest(x[first], 1)[:, 0][best], axis=1), axis=None)
         self.probes = int(place[min(len(place) - 1, int(np.ceil(recall * len(place))))]) + 1
 
-    def floors(self, x: np.ndarray) -> np.ndarray:
-        """Scores that k candidates (ids) of the sample reach or all but reach, whether or not the query is among them."""
-        if len(self.sample) <= self.k:
-            return np.full(len(x), -np.inf)
-        scores = x.astype(np.float32) @ self.sample.T
-        at = scores.shape[1] - self.k - 1
-        return np.partition(scores, at, axis=1)[:, at].astype(np.float64) - 1e-4 * (1 + self.longest**2)
-
     def rotated(self, x: np.ndarray, query: bool) -> np.ndarray:
         """Queries get a last component of 0, others what their squared length lacks to the longest."""
         last = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.longest**2 - (x.astype(np.float64) ** 2).sum(axis=1), 0))
@@ -64,20 +55,25 @@ class Index:
         return np.take_along_axis(part, np.argsort(np.take_along_axis(d, part, axis=1), axis=1, kind="stable"), axis=1)
 
 
+def limit(bound, read: int, dims: int, epsilon: float):
+    """What a squared distance within `bound` rarely exceeds in `read` of all dimensions; all of it, but for rounding, in the end."""
+    return bound * read / dims * (1 + epsilon / np.sqrt(read)) ** 2 if read < dims else bound + 1e-4 * (1 + abs(bound))
+
+
 def scan(query: np.ndarray, columns: np.ndarray, partial: np.ndarray, k: int, step: int, epsilon: float, bound: float, single: np.ndarray | None = None) -> np.ndarray:
     """Places of the candidates that no test abandons.
 
     columns (dimensions, candidates): rotated vectors; partial: squared distances in the first `step` dimensions;
-    bound: a squared distance that k candidates anywhere are known to be within; single: one place of each id, if ids repeat.
+    bound: a squared distance that k candidates elsewhere are known to be within, infinite if none is known: then one is
+    taken from the k candidates nearest in the first dimensions; single: one place of each id, if ids repeat.
     """
     dims, n = columns.shape
-    if (n if single is None else len(single)) > k:
+    if bound == np.inf and (n if single is None else len(single)) > k:
         tried = np.argpartition(partial, k - 1)[:k] if single is None else single[np.argpartition(partial[single], k - 1)[:k]]
         bound = min(bound, float(((columns[:, tried] - query[:, None]) ** 2).sum(axis=0).max()) + 1e-5)
     alive, read = np.arange(n), min(step, dims)
     while True:
-        # under the hypothesis that a distance is within the bound, its share in `read` dimensions rarely is larger
-        stay = partial <= bound * read / dims * (1 + epsilon / np.sqrt(read)) ** 2 if read < dims else partial <= bound + 1e-4 * (1 + bound)
+        stay = partial <= limit(bound, read, dims, epsilon)
         alive, partial = alive[stay], partial[stay]
         if read >= dims or not len(alive):
             return alive
@@ -90,28 +86,32 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
 
     Queries: rows for which `is_query` holds; candidates: every row with another id. Nearest first, ties to the smaller id;
     all candidates, if fewer than k are found. Vectors that are null, of length zero, or hold a null, NaN or infinite
-    component take no part, nor do those of another dimension than the commonest (ties: the larger). Rows of one id: the
-    best counts as candidate, one is asked as query; places, bounds and floors count ids, not rows. A null id takes no part. Other columns are left out, whatever their
-    names; an empty table gives an empty result. `sample` bounds the rows the centres are fitted on; every row is indexed.
-    `lists`: default half the square root of the number of rows, 2048 at most; a query probes as many as hold the share
-    `recall` of the neighbours within the sample. Lists of over `cell` rows are split by id, lists asked by over `cell` queries by query, so that no task grows with a list.
+    component take no part. A shorter vector counts as filled up by zeros. Rows of one id: the best counts as candidate, the
+    least (component by component) is asked as query; places and bounds count ids, not rows. A null id takes no part. Other
+    columns are left out, whatever their names; an empty table gives an empty result.
+
+    `sample`: about how many rows the centres are fitted on, drawn by a hash; every row is indexed. `lists`: default half the
+    square root of the number of rows, 2048 at most; a query probes as many as hold the share `recall` of the neighbours within
+    the sample. A query first searches the lists nearest to it that hold k candidates; their k-th best score is the bound
+    that candidates of its other lists are tested against. Lists of over `cell` rows are split by id, lists asked by over
+    `cell` queries by query, so that no task grows with a list.
     """
     session = vectors.sparkSession
     finite = F.forall(F.col("v"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     able = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asked"))
     able = able.where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(finite, F.lit(False)) & F.exists(F.col("v"), lambda x: x != 0))
-    per_id = able.groupBy(F.size("v").alias("d"), "id").agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("longest"))
-    kinds = per_id.groupBy("d").agg(F.sum("n").alias("n"), F.max("n").alias("copies"), F.max("longest").alias("longest"))
-    top = kinds.orderBy(F.desc("n"), F.desc("d")).first()
-    if top is None:
+    per_id = able.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims"), F.min(F.size("v")).alias("fewest"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("longest"))
+    top = per_id.agg(F.sum("n").alias("n"), F.max("n").alias("copies"), F.max("dims").alias("dims"), F.min("fewest").alias("fewest"), F.max("longest").alias("longest")).first()
+    if top["n"] is None:
         return session.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    dims, rows = top["d"], top["n"]
-    able, repeated = able.where(F.size("v") == dims), top["copies"] > 1
+    dims, rows, repeated = top["dims"], top["n"], top["copies"] > 1
+    if top["fewest"] < dims:
+        able = able.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(dims) - F.size("v"))))
     if repeated:
         able = cut(able.groupBy("id", "v").agg(F.max("asked").alias("asked")))
         rows = able.count()
-    drawn = able.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(min(1.0, sample / rows) * (1 << 30)) + 1)).select("id", "v").limit(2 * sample)
-    table = drawn.toArrow()
+    share = F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) < F.lit(int(min(1.0, sample / rows) * (1 << 30)) + 1)
+    table = able.where(share).select("id", "v").toArrow()
     flat = table.column("v").combine_chunks()
     ids = table.column("id").to_numpy()
     order = np.argsort(ids, kind="stable")
@@ -132,29 +132,31 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
                 x = batch.column(1).flatten().to_numpy().reshape(-1, dims)
-                order, floors = index.nearest(index.rotated(x, True), n_lists), index.floors(x)
+                order = index.nearest(index.rotated(x, True), n_lists).astype(np.int32)
                 before = np.cumsum(sizes[order], axis=1) - sizes[order]
-                few = before < k + 1  # lists without which a query might get fewer than k: there no floor holds
-                taken = few | (np.arange(n_lists) < index.probes)
-                lists_ = [o[t].tolist() for o, t in zip(order, taken, strict=True)]
-                least = [np.where(f[t], -np.inf, w).tolist() for f, t, w in zip(few, taken, floors, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(lists_, pa.list_(pa.int32())), pa.array(least, pa.list_(pa.float64()))], names=["id", "own", "list", "floor"])
+                first = before < k + 1  # lists without which a query might get fewer than k
+                taken = first | (np.arange(n_lists) < index.probes)
+                lists_, firsts = ([o[t].tolist() for o, t in zip(a, taken, strict=True)] for a in (order, first))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(lists_, pa.list_(pa.int32())), pa.array(firsts, pa.list_(pa.bool_()))], names=["id", "own", "list", "first"])
 
     placed = cut(able.select("id", "v").mapInArrow(assign, "id bigint, own binary, list int"))
     counts = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
     # an id in several lists counts in one of them, so that sums over lists never exceed the ids there
     homes = {r["list"]: r["n"] for r in placed.groupBy("id").agg(F.min("list").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()} if repeated else counts
     sizes = np.array([homes.get(i, 0) for i in range(n_lists)])
-    asked = able.where("asked").select("id", "v").dropDuplicates(["id"]).mapInArrow(probe, "id bigint, own binary, list array<int>, floor array<double>")
-    probed = cut(asked.select("id", "own", F.explode(F.arrays_zip("list", "floor")).alias("p")).select("id", "own", "p.floor", "p.list"))
-    asks = {r["list"]: r["n"] for r in probed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = session.createDataFrame([(i, max(1, -(-counts.get(i, 0) // cell)), -(-n // cell)) for i, n in asks.items()] or [(-1, 1, 1)], "list int, bases int, asks int")
+    asked = able.where("asked").groupBy("id").agg(F.min("v").alias("v")).mapInArrow(probe, "id bigint, own binary, list array<int>, first array<boolean>")
+    probed = cut(asked.select("id", "own", F.explode(F.arrays_zip("list", "first")).alias("p")).select("id", "own", "p.first", "p.list"))
     parts = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    left = placed.withColumn("floor", F.lit(0.0)).join(F.broadcast(plan), "list").withColumn("b", mine("bases")).withColumn("a", parts("asks")).withColumn("role", F.lit(0))
-    right = probed.join(F.broadcast(plan), "list").withColumn("a", mine("asks")).withColumn("b", parts("bases")).withColumn("role", F.lit(1))
-    columns = ["list", "b", "a", "role", "id", "own", "floor"]
-    cells = left.select(columns).union(right.select(columns)).repartition("list", "b", "a").sortWithinPartitions("list", "b", "a", "role")
+
+    def cells(wanted: DataFrame) -> DataFrame:
+        """Candidates (role 0) and queries (role 1: id, own, list, floor) by cell: a part of a list with a part of its queries."""
+        asks = {r["list"]: r["n"] for r in wanted.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+        plan = F.broadcast(session.createDataFrame([(i, max(1, -(-counts.get(i, 0) // cell)), -(-n // cell)) for i, n in asks.items()] or [(-1, 1, 1)], "list int, bases int, asks int"))
+        left = placed.withColumn("floor", F.lit(0.0)).join(plan, "list").withColumn("b", mine("bases")).withColumn("a", parts("asks")).withColumn("role", F.lit(0))
+        right = wanted.join(plan, "list").withColumn("a", mine("asks")).withColumn("b", parts("bases")).withColumn("role", F.lit(1))
+        columns = ["list", "b", "a", "role", "id", "own", "floor"]
+        return left.select(columns).union(right.select(columns)).repartition("list", "b", "a").sortWithinPartitions("list", "b", "a", "role")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = lambda rows, kind=np.float64: np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1)
@@ -173,9 +175,12 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
                 queries = matrix([a[1] for a in part])
                 turned = index.rotated(queries, True)
                 partial = (turned[:, :step] ** 2).sum(axis=1)[:, None] + (head**2).sum(axis=0) - 2 * (turned[:, :step] @ head)
-                for i, (name, _, floor) in enumerate(part):
-                    bound = float(queries[i] @ queries[i]) + index.longest**2 - 2 * floor
-                    alive = scan(turned[i], columns_, partial[i], k + 1, step, epsilon, bound, single)
+                bounds = (queries**2).sum(axis=1) + index.longest**2 - 2 * np.array([floor for *_, floor in part])
+                # queries whose every candidate the first columns already abandon need no scan
+                open_ = (partial.min(axis=1) <= limit(bounds, min(step, columns_.shape[0]), columns_.shape[0], epsilon)).nonzero()[0]
+                for i in open_.tolist():
+                    name, _, floor = part[i]
+                    alive = scan(turned[i], columns_, partial[i], k + 1, step, epsilon, float(bounds[i]), single)
                     alive = alive[others[alive] != name]
                     if not len(alive):
                         continue
@@ -204,6 +209,11 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
         settle(*held, out := [[], [], []])
         yield packed(out)
 
-    found = cells.mapInArrow(search, "query_id bigint, vec_id bigint, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    scored = "query_id bigint, vec_id bigint, score double"
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best = lambda found: found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", place).where(F.col("rank") <= k)
+    near = cut(best(cells(probed.where("first").withColumn("floor", F.lit(float("-inf")))).mapInArrow(search, scored)))
+    floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    others = probed.where("not first").join(floors, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    far = cells(cut(others)).mapInArrow(search, scored)
+    return best(near.select("query_id", "vec_id", "score").union(far)).select("query_id", "rank", "vec_id", "score")
