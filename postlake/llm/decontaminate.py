@@ -1,25 +1,28 @@
-"""Benchmark decontamination: rare n-gram seeds find candidates, Smith-Waterman alignment scores them.
-
-Document frequencies of all n-grams of the test items are counted over the whole corpus; each item keeps its rare
-n-grams as seeds. A seed met in a document points to a stretch of it, which is aligned word by word with the item, so that
-edited and paraphrased copies score in proportion to what they share in order. Items are taken in blocks of bounded
-size, so what is sent to the workers doesn't grow with the number of items.
+"""Benchmark decontamination: rare n-gram seeds join documents to test items, Smith-Waterman alignment scores them.
+
+1. The n-grams of the items go into a Bloom filter of bounded size. One scan of the corpus hashes the n-grams of every
+   text and keeps those that pass; how many documents hold each is counted from these.
+2. Each item keeps its rare n-grams as seeds, and of every few in a row the rarest, so that no stretch of it is without.
+3. Seeds join the kept n-grams; each pair of a document and an item says where in the document to look. A second scan
+   picks the documents concerned, and the stretches are aligned word by word with the items, so that edited and
+   paraphrased copies score in proportion to what they share in order.
 """
 
 from __future__ import annotations
 
 import string
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import cut, light, slices, without
+from .common import cut, lookup, ngram_hashes, slices, without, word_hashes
 
 _BREAKS = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -27,53 +30,20 @@ def words(text: str | None) -> list[bytes]:
     return text.lower().encode().translate(_BREAKS).split() if text else []
 
 
-class Seeds:
-    """The n-grams of a block of items, and of these the ones in use."""
-
-    def __init__(self, items: list[tuple[int, str | None]], n: int):
-        self.n, self.ids, self.codes = n, [i for i, _ in items], {}
-        self.items = [np.array([self.codes.setdefault(w, len(self.codes)) for w in words(t)], np.int64) for _, t in items]
-        grams = [self._grams(x) for x in self.items]
-        self.of = np.repeat(np.arange(len(items)), [len(g) for g in grams])
-        self.at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
-        self.keys, self.which = np.unique(np.concatenate(grams) if grams else np.zeros(0, np.int64), return_inverse=True)
-        self.order = np.argsort(self.which, kind="stable")
-        self.first = np.searchsorted(self.which[self.order], np.arange(len(self.keys) + 1))
-
-    def _grams(self, x: np.ndarray) -> np.ndarray:
-        """A number for the n-gram at each place; n-grams with an unknown word get -1."""
-        if len(x) < self.n:
-            return np.zeros(0, np.int64)
-        parts = [x[i : len(x) - self.n + 1 + i].astype(np.uint64) for i in range(self.n)]
-        key = reduce(lambda a, b: (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b, parts)
-        key = (key >> np.uint64(1)).astype(np.int64)
-        key[np.min([p.astype(np.int64) for p in parts], axis=0) < 0] = -1
-        return key
-
-    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word codes of the text (-1: in no item), places of known n-grams, and their numbers."""
-        get = self.codes.get
-        codes = np.array([get(w, -1) for w in words(text)], np.int64)
-        grams = self._grams(codes)
-        at = np.flatnonzero(grams >= 0)
-        if not len(at) or not len(self.keys):
-            return codes, at[:0], at[:0]
-        number = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
-        hit = self.keys[number] == grams[at]
-        return codes, at[hit], number[hit]
-
-    def rare(self, frequency: np.ndarray, rows: int, part: float) -> np.ndarray:
-        """Whether each place (of, at) seeds its item: all n-grams but those that are common in the corpus and, too, for their item.
-
-        Common is what over 50 documents and over `part` of all hold, and over twice the median of the item's n-grams
-        that occur at all; so an item whose text itself is widespread keeps its seeds.
-        """
-        chosen = np.zeros(len(self.of), bool)
-        for start, end in zip(*(np.searchsorted(self.of, np.arange(len(self.items)) + k) for k in (0, 1)), strict=True):
-            met = frequency[self.which[start:end]]
-            usual = np.median(met[met > 0]) if (met > 0).any() else 0
-            chosen[start:end] = met <= max(50, part * rows, 2 * usual)
-        return chosen
+class Filter:
+    """Bloom filter of n-gram hashes: two bits each of 2**bits, in 64-bit words."""
+
+    def __init__(self, bits: int, held: np.ndarray | None = None):
+        self.shift, self.held = np.uint64(64 - bits), held
+
+    def places(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return grams >> self.shift, (grams * _SPREAD) >> self.shift
+
+    def passes(self, grams: np.ndarray) -> np.ndarray:
+        one = np.ones(len(grams), bool)
+        for at in self.places(grams):
+            one &= (self.held[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return one
 
 
 def align(item: np.ndarray, text: np.ndarray, match: int = 2, miss: int = -1, gap: int = -1) -> tuple[int, int, int]:
@@ -100,86 +70,144 @@ def align(item: np.ndarray, text: np.ndarray, match: int = 2, miss: int = -1, ga
     return best
 
 
-def _hits(seeds: Seeds, chosen: np.ndarray, text: str | None, pad: int, least: float) -> list[tuple[int, float, int, int]]:
-    """(item number, score, first word, end word) of the items found in a text."""
-    codes, at, number = seeds.read(text)
-    spans: dict[int, list[tuple[int, int]]] = {}
-    for place, k in zip(at.tolist(), number.tolist(), strict=True):
-        for p in seeds.order[seeds.first[k] : seeds.first[k + 1]].tolist():
-            if chosen[p]:
-                i = int(seeds.of[p])
-                start = place - int(seeds.at[p])
-                low, high = max(0, start - pad), min(len(codes), start + len(seeds.items[i]) + pad)
-                mine = spans.setdefault(i, [])
-                if mine and low <= mine[-1][1]:
-                    mine[-1] = (min(low, mine[-1][0]), max(high, mine[-1][1]))
-                else:
-                    mine.append((low, high))
-    found = []
-    for i, mine in spans.items():
-        item = seeds.items[i]
-        best = max(((s / (2 * len(item)), -(low + a), low + b) for low, high in mine for s, a, b in [align(item, codes[low:high])]))
-        if best[0] >= least:
-            found.append((i, best[0], -best[1], best[2]))
-    return found
-
-
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 3, common: float = 1e-4, least: float = 0.4, pad: int = 8, block_chars: int = 16 << 20) -> DataFrame:
+def _stretches(starts: list[int], length: int, end: int, pad: int) -> list[tuple[int, int]]:
+    """Disjoint stretches of a text of `end` words that hold an item which begins near any of the places."""
+    out: list[tuple[int, int]] = []
+    for start in sorted(starts):
+        low, high = max(0, start - pad), min(end, start + length + pad)
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        elif low < high:
+            out.append((low, high))
+    return out
+
+
+def best_alignment(text: list[bytes], item: list[bytes], starts: list[int], pad: int) -> tuple[float, int, int]:
+    """(score, first word, end word) of the item's best alignment near the places; equal ones: the earliest."""
+    codes: dict[bytes, int] = {}
+    wanted = np.array([codes.setdefault(w, len(codes)) for w in item], np.int64)
+    best = (0.0, 0, 0)
+    for low, high in _stretches(starts, len(item), len(text), pad):
+        score, first, end = align(wanted, np.array([codes.get(w, -1) for w in text[low:high]], np.int64))
+        if score / (2 * len(item)) > best[0]:
+            best = (score / (2 * len(item)), low + first, low + end)
+    return best
+
+
+def _seeds(grams: DataFrame, frequency: DataFrame, rows: int, part: float, span: int) -> DataFrame:
+    """(gram, number, at) of the n-grams that seed their items.
+
+    All but those common in the corpus and, too, for their item: what over 50 documents and over `part` of all hold, and over
+    twice the median of the item's n-grams that occur at all. Besides, of every `span` in a row the rarest that occurs.
+    """
+    item = Window.partitionBy("number")
+    met = grams.join(frequency, "gram").withColumn("usual", F.median("docs").over(item))  # what occurs nowhere finds nothing
+    ahead = item.orderBy("at").rangeBetween(0, span - 1)
+    ranked = cut(met.withColumn("rarest", F.min(F.struct("docs", "at")).over(ahead)))
+    rare = ranked.where(F.col("docs") <= F.greatest(F.lit(50.0), F.lit(part * rows), 2 * F.col("usual"))).select("number", "at")
+    chosen = rare.union(ranked.select("number", "rarest.at")).distinct()
+    return ranked.join(chosen, ["number", "at"]).select("gram", "number", "at")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 3, common: float = 1e-4, span: int = 16, least: float = 0.4, pad: int = 8, most_bits: int = 27) -> DataFrame:
     """One row per document row and item it holds: id, item id, score, first_word, end_word.
 
     The score is the best local alignment's (2 a shared word, -1 a changed, added or left out one) over that of the
     whole item; rows have `least` or more. Equal alignments: the earliest stretch. Words are lower-case, without ASCII
-    punctuation. Null and empty texts hold nothing; items of fewer than `n` words are no evidence and are found nowhere.
-    Repeated document rows, and repeated items, are reported each; other columns are left out, whatever their names.
-    Empty tables give an empty result. `common`: see `Seeds.rare`.
+    punctuation. Null and empty texts hold nothing; an item of fewer than `n` words is found where all of them stand in a
+    row, one without words nowhere. Repeated document rows, and repeated items, are reported each; other columns are left
+    out, whatever their names. Empty tables give an empty result. `common`, `span`: see `_seeds`; an item is found by any
+    `span` + n - 1 words of it in a row. 2**most_bits bits bound the filter that is broadcast; a fuller one lets more pass
+    to the join, but loses nothing.
     """
-    light(docs.sparkSession)
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64(F.col("id").cast("string"), "text"))
     wanted = items.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
-    # copies of one text are one item until their ids are joined back, so that blocks are bounded whatever repeats
-    texts = wanted.groupBy("text").agg(F.count(F.lit(1)).alias("copies")).select("text", F.monotonically_increasing_id().alias("number"))
-    texts = cut(texts)
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = int(chars // block_chars) + 1
+    # copies of one text are one item until their ids are joined back
+    texts = cut(wanted.groupBy("text").agg(F.count(F.lit(1)).alias("copies")).select(F.monotonically_increasing_id().alias("number"), "text"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            numbers, ats, grams, widths = [], [], [], []
+            for number, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                x = word_hashes(words(text))
+                if len(x):
+                    g = ngram_hashes(x, min(n, len(x)))
+                    numbers.append(np.full(len(g), number, np.int64))
+                    ats.append(np.arange(len(g), dtype=np.int32))
+                    grams.append(g.view(np.int64))
+                    widths.append(np.full(len(g), min(n, len(x)), np.int32))
+            if numbers:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (numbers, ats, grams, widths)], names=["number", "at", "gram", "width"])
+
+    grams = cut(texts.mapInArrow(split, "number bigint, at int, gram bigint, width int"))
+    known = grams.groupBy("width").agg(F.count_distinct("gram").alias("n")).collect()
+    widths, total = [r["width"] for r in known], sum(r["n"] for r in known)
+    bits = int(np.clip(np.ceil(np.log2(16 * total + 1)), 10, most_bits))
+    empty = Filter(bits)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(np.concatenate(empty.places(batch.column(0).to_numpy().view(np.uint64))))
+            slot, first = np.unique(at >> np.uint64(6), return_index=True)
+            if len(slot):
+                marks = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(marks.view(np.int64))], names=["slot", "marks"])
+
+    marked = grams.select("gram").mapInArrow(mark, "slot bigint, marks bigint").groupBy("slot").agg(F.bit_or("marks").alias("marks")).toArrow()
+    held = np.zeros(1 << (bits - 6), np.uint64)
+    held[marked.column("slot").to_numpy()] = marked.column("marks").to_numpy().view(np.uint64)
+    full = Filter(bits, held)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            keys, ats, kept, firsts = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+            for key, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                x = word_hashes(words(text))
+                for width in widths:
+                    g = ngram_hashes(x, width)
+                    at = np.flatnonzero(full.passes(g))
+                    if len(at):
+                        first = np.zeros(len(at), bool)
+                        first[np.unique(g[at], return_index=True)[1]] = True
+                        keys.append(np.full(len(at), key, np.int64))
+                        ats.append(at.astype(np.int32))
+                        kept.append(g[at].view(np.int64))
+                        firsts.append(first)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, ats, kept, firsts)], names=["key", "at", "gram", "first"])
+
+    hits = cut(picked.select("key", "text").where("text is not null").mapInArrow(read, "key bigint, at int, gram bigint, first boolean"))
+    frequency = hits.where("first").groupBy("gram").agg(F.count(F.lit(1)).alias("docs"))
+    seeds = cut(_seeds(grams.select("number", "at", "gram"), frequency, picked.count(), common, span).withColumnRenamed("at", "place"))
+    starts = lookup(hits.select("key", "gram", "at"), seeds, ["gram"]).groupBy("key", "number").agg(F.collect_set(F.col("at") - F.col("place")).alias("starts"))
+    pairs = lookup(starts, texts.withColumnRenamed("text", "item"), ["number"], most=50_000)
+    per_doc = cut(pairs.groupBy("key").agg(F.collect_list(F.struct("number", "item", "starts")).alias("wanted")))
+    concerned = lookup(picked, per_doc.select("key"), ["key"], "left_semi")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            found = []
+            for i, text, asked in zip(*(piece.column(c).to_pylist() for c in range(3)), strict=True):
+                own = words(text)
+                for a in asked:
+                    value, first, end = best_alignment(own, words(a["item"]), a["starts"], pad)
+                    if value >= least:
+                        found.append((i, a["number"], value, first, end))
+            columns = list(zip(*found, strict=True)) or [[]] * 5
+            kinds = [piece.schema.field(0).type, pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["id", "number", "score", "first_word", "end_word"])
+
     kind = picked.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, number bigint, score double, first_word bigint, end_word bigint"
-    parts = []
-    for block in range(blocks):
-        rows = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        seeds = Seeds(sorted((r["number"], r["text"]) for r in rows), n)
-
-        def count(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds) -> Iterator[pa.RecordBatch]:
-            total, n_docs = np.zeros(len(seeds.keys), np.int64), 0
-            for piece in slices(batches):
-                n_docs += piece.num_rows
-                for text in piece.column(1).to_pylist():
-                    total[np.unique(seeds.read(text)[2])] += 1
-            met = np.flatnonzero(total)
-            rows = pa.RecordBatch.from_arrays([pa.array([*met, -1], pa.int64()), pa.array([*total[met], n_docs], pa.int64())], names=["gram", "docs"])
-            yield rows  # gram -1: all documents
-
-        counted = picked.mapInArrow(count, "gram bigint, docs bigint").groupBy("gram").agg(F.sum("docs").alias("docs")).collect()
-        frequency = np.zeros(len(seeds.keys), np.int64)
-        total = sum(r["docs"] for r in counted if r["gram"] < 0)
-        for r in counted:
-            if r["gram"] >= 0:
-                frequency[r["gram"]] = r["docs"]
-        chosen = seeds.rare(frequency, total, common)
-
-        def find(batches: Iterator[pa.RecordBatch], seeds: Seeds = seeds, chosen: np.ndarray = chosen) -> Iterator[pa.RecordBatch]:
-            for piece in slices(batches):
-                found = [(d, seeds.ids[i], s, a, b) for d, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True) for i, s, a, b in _hits(seeds, chosen, text, pad, least)]
-                columns = list(zip(*found, strict=True)) or [[]] * 5
-                kinds = [piece.schema.field(0).type, pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["id", "number", "score", "first_word", "end_word"])
-
-        parts.append(picked.mapInArrow(find, schema))
+    both = lookup(cut(concerned), per_doc, ["key"], most=20_000).select("id", "text", "wanted")
+    found = both.mapInArrow(score, f"id {kind}, number bigint, score double, first_word bigint, end_word bigint")
     named = cut(wanted.join(texts, "text").select("number", "item"))
-    found = reduce(DataFrame.unionByName, parts).join(named, "number").select("id", "item", "score", "first_word", "end_word")
-    return found.withColumnsRenamed({"id": id_col, "item": item_col})
+    return lookup(found, named, ["number"]).select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first_word", "end_word")
+
 
+def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_text_col: str = "text", least_words: int = 3, **settings) -> DataFrame:
+    """The documents that hold no item; all columns, repeated rows and rows with a null id stay.
 
-def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """The documents that hold no item; all columns, repeated rows and rows with a null id stay."""
-    leaks = cut(contaminated(docs, items, id_col=id_col, **settings).select(id_col).distinct())
+    Items of fewer than `least_words` words are no evidence that a document was made from them, and remove none.
+    """
+    telling = items.where(F.size(F.regexp_extract_all(F.col(item_text_col), F.lit(r"[^\s\p{Punct}]+"), F.lit(0))) >= least_words)
+    leaks = cut(contaminated(docs, telling, id_col=id_col, item_text_col=item_text_col, **settings).select(id_col).where(F.col(id_col).isNotNull()).distinct())
     return without(docs, id_col, leaks)
