@@ -4,8 +4,9 @@
    equal sets form one class, so copies cost no pairs.
 2. Classes that share a band key meet in a bucket; each is confirmed against the bucket's least class on full sets, and
    components of these links are found by alternating large-star and small-star.
-3. Buckets of three or more classes that still hold several components are the exact rest: in blocks, signatures and
-   then full sets are compared for every pair not yet connected. No bucket is capped.
+3. Buckets of three or more classes that still hold several components are the exact rest: in blocks, signatures of every
+   pair not yet connected are compared, and then the full sets of the classes that have an alike partner in their block.
+   No bucket is capped.
 """
 
 from __future__ import annotations
@@ -18,35 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, held, light, slices, without
+from .common import cut, lookup, ngram_hashes, slices, spread, without, word_hashes
 from .components import components
 
-_KEEP = 150_000
-_P = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, 9)]
-
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles. Words: runs between ASCII white space, A-Z in lower case."""
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    seen: dict[bytes, int] = held("shingle words", dict)
-    if len(seen) > _KEEP:
-        seen.clear()
-    try:
-        known = [seen[w] for w in words]
-    except KeyError:
-        for w in set(words):
-            if w not in seen:
-                seen[w] = xxhash.xxh64_intdigest(w)
-        known = [seen[w] for w in words]
-    x = np.array(known, np.uint64)
-    k = min(width, len(x))
-    mixed = np.full(len(x) - k + 1, k, np.uint64)  # a shorter sequence never equals a full shingle
-    for i in range(k):
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * _P[1] + x[i : len(x) - k + 1 + i]
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * _P[2]
-    return np.unique(mixed ^ (mixed >> np.uint64(29)))
+    x = word_hashes(text.encode().lower().split() if text else [])
+    return np.unique(ngram_hashes(x, min(width, len(x)))) if len(x) else np.zeros(0, np.uint64)
 
 
 class MinHash:
@@ -87,11 +67,9 @@ def _described(docs: DataFrame, width: int, hashes: MinHash) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, n_shingles bigint, set_key binary, keys array<bigint>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, width: int, hashes: MinHash, broadcast_rows: int) -> DataFrame:
-    """(class, items, signature) of the wanted classes (class, set_key), from the texts of their least members."""
-    wanted = wanted.withColumnRenamed("class", "id")
-    small = wanted.limit(broadcast_rows + 1).count() <= broadcast_rows
-    chosen = docs.join(F.broadcast(wanted) if small else wanted, "id").select("id", "text", "set_key")
+def _sets(docs: DataFrame, wanted: DataFrame, width: int, hashes: MinHash) -> DataFrame:
+    """(class, items, signature) of the wanted classes (class, id, set_key), each from a text of that id."""
+    chosen = lookup(docs, wanted, ["id"]).select("class", "text", "set_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -123,20 +101,24 @@ class Forest:
         self.up[max(x, y)] = min(x, y)
 
 
-def _joined(classes: np.ndarray, roots: np.ndarray, sides: np.ndarray, items: list[np.ndarray], signatures: np.ndarray, percent: int, slack: float) -> list[tuple[int, int]]:
-    """Confirmed links that join two components within one block, or between its two sides when it has both."""
-    forest, found = Forest(), []
-    sizes = np.array([len(x) for x in items])
+def _candidates(roots: np.ndarray, sides: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, percent: int, slack: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a block with the later rows of another component, and of the other side when it has both, that look alike."""
     two = len(np.unique(sides)) > 1
-    for i in range(len(classes)):
-        later = np.arange(i + 1, len(classes))
+    for i in range(len(roots)):
+        later = np.arange(i + 1, len(roots))
         if two:
             later = later[sides[later] != sides[i]]
         later = later[(100 * np.minimum(sizes[later], sizes[i]) >= percent * np.maximum(sizes[later], sizes[i])) & (roots[later] != roots[i])]
-        if not len(later):
-            continue
-        alike = (signatures[later] == signatures[i]).mean(axis=1)
-        for j in later[alike >= percent / 100 - slack]:
+        if len(later):
+            alike = (signatures[later] == signatures[i]).mean(axis=1)
+            yield i, later[alike >= percent / 100 - slack]
+
+
+def _joined(classes: np.ndarray, roots: np.ndarray, sides: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, items: list[np.ndarray], percent: int, slack: float) -> list[tuple[int, int]]:
+    """Confirmed links that join two components within a block."""
+    forest, found = Forest(), []
+    for i, later in _candidates(roots, sides, sizes, signatures, percent, slack):
+        for j in later:
             if forest.find(int(roots[i])) == forest.find(int(roots[j])):
                 continue
             common = len(np.intersect1d(items[i], items[j], assume_unique=True))
@@ -146,44 +128,62 @@ def _joined(classes: np.ndarray, roots: np.ndarray, sides: np.ndarray, items: li
     return found
 
 
+_BLOCK = ["key", "lo", "hi"]
+
+
+def _by_block(rows: DataFrame, settle, schema: str) -> DataFrame:
+    """settle(rows of a block, as columns after the block's name, by class) -> columns of the result, block by block."""
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def packed(results: list[list[list]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x for r in results for x in r[k]], pa.int64()) for k in range(len(names))], names=names)
+
+        for batch in batches:
+            out = []
+            for *block, row in zip(*(batch.column(k).to_pylist() for k in range(3)), range(batch.num_rows), strict=True):
+                if block != now:
+                    out += [settle(now, held)] if len(held) > 1 else []
+                    held, now = [], block
+                held.append(tuple(c[row].values.to_numpy() if pa.types.is_list(c.type) else c[row].as_py() for c in batch.columns[3:]))
+            yield packed(out)
+        yield packed([settle(now, held)] if len(held) > 1 else [])
+
+    return rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, "class").mapInArrow(run, schema)
+
+
 def _rest(members: DataFrame, first: DataFrame, sets: DataFrame, percent: int, slack: float, block: int) -> DataFrame:
     """Links (a, b) of buckets that hold more than one component after the first pass."""
-    rows = members.where("n > 2").join(first, F.col("class") == F.col("node"), "left").select("key", "class", F.coalesce("root", "class").alias("root"), "n")
+    rows = members.where("n > 2").join(first, F.col("class") == F.col("node"), "left").select("key", "class", "size", F.coalesce("root", "class").alias("root"), "n")
     open_keys = rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    rows = cut(rows.join(open_keys, "key", "left_semi"))
+    rows = cut(lookup(rows, cut(open_keys), ["key"], "left_semi"))
     n_blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("class"), n_blocks).cast("int")
-    dealt = rows.join(sets, "class").withColumn("blocks", n_blocks).withColumn("own", own)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "root", "signature", "items")
+    dealt = rows.join(sets.select("class", "signature"), "class").withColumn("own", F.pmod(F.xxhash64("class"), n_blocks).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "root", "size", "signature")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+    def columns(held: list[tuple]) -> list[np.ndarray]:
+        own, classes, roots, sizes = (np.array([h[k] for h in held]) for k in range(4))
+        return [classes, roots, own, sizes, np.stack([np.frombuffer(h[4], np.uint32) for h in held])]
 
-        def settle() -> list[tuple[int, int]]:
-            held.sort(key=lambda x: x[1])
-            classes, roots, sides = (np.array([h[k] for h in held]) for k in (1, 2, 0))
-            return _joined(classes, roots, sides, [h[4] for h in held], np.stack([np.frombuffer(h[3], np.uint32) for h in held]), percent, slack)
+    def alike(at: list, held: list[tuple]) -> list[list]:
+        classes, roots, own, sizes, signatures = columns(held)
+        picked = np.unique(np.concatenate([np.zeros(0, np.int64)] + [np.append(later, i) for i, later in _candidates(roots, own, sizes, signatures, percent, slack) if len(later)]))
+        return [*([x] * len(picked) for x in at), *(c[picked].tolist() for c in (own, classes, roots, sizes))]
 
-        now = None
-        for batch in batches:
-            out: list[tuple[int, int]] = []
-            at = list(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
-            owns, classes, roots, signatures = (batch.column(k).to_pylist() for k in range(3, 7))
-            items = batch.column(7)
-            for i, key in enumerate(at):
-                if key != now:
-                    out += settle() if len(held) > 1 else []
-                    held, now = [], key
-                held.append((owns[i], classes[i], roots[i], signatures[i], items[i].values.to_numpy()))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
-        out = settle() if len(held) > 1 else []
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
-
-    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "a bigint, b bigint")
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256, broadcast_rows: int = 1_000_000) -> DataFrame:
+    def confirm(at: list, held: list[tuple]) -> list[list]:
+        found = _joined(*columns(held), [h[5] for h in held], percent, slack)
+        return [[a for a, _ in found], [b for _, b in found]]
+
+    near = cut(_by_block(dealt, alike, "key bigint, lo bigint, hi bigint, own bigint, class bigint, root bigint, size bigint"))
+    if near.isEmpty():
+        return near.select(F.col("class").alias("a"), F.col("class").alias("b"))
+    return cut(_by_block(near.join(sets, "class").select(*_BLOCK, "own", "class", "root", "size", "signature", "items"), confirm, "a bigint, b bigint"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256) -> DataFrame:
     """Per row: id (long), n_shingles, component_id (the least id reachable over links, itself included), kept (id = component_id).
 
     Linked are texts whose sets of distinct `width`-word shingles have 100 * intersection >= percent * union. A text with
@@ -192,41 +192,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are left out, whatever their names; an empty table gives an empty result.
 
     With the defaults a link at exactly 80 % misses all bands with probability 5e-5, one at 85 % with 4e-7; a linked
-    pair's signature falls short by `slack` with less. `broadcast_rows` bounds the list of classes that is broadcast; a
-    longer one is joined by shuffle.
+    pair's signature falls short by `slack` with less. `block`: classes of a bucket that are compared at once; the partners
+    of a representative are dealt into parts of about as many.
     """
     hashes = MinHash(bands, rows)
-    light(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     described = cut(_described(docs, width, hashes))
     filled = described.where("id is not null and set_key is not null")
-    classes = cut(filled.groupBy("set_key").agg(F.min("id").alias("class")))
-    least = filled.select("id", "set_key", "keys").join(classes.withColumnRenamed("class", "id"), ["set_key", "id"])
-    banded = least.select("set_key", F.col("id").alias("class"), F.explode("keys").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("class").alias("rep"), F.max("class").alias("top"), F.count(F.lit(1)).alias("n")).where("rep < top").drop("top")
-    members = cut(banded.join(buckets, "key"))
-    sets = cut(_sets(docs, members.select("class", "set_key").distinct(), width, hashes, broadcast_rows))
-    pairs = members.where("class <> rep").select("class", "rep").distinct()
+    classes = filled.groupBy("set_key").agg(F.min("id").alias("least"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys"))
+    classes = cut(classes.withColumn("class", F.monotonically_increasing_id()))
+    banded = classes.select("class", "size", F.explode("keys").alias("key"))
+    buckets = cut(banded.groupBy("key").agg(F.min(F.struct("class", "size")).alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    total = buckets.agg(F.sum("n")).first()[0] or 0
+    members = cut(spread(banded, buckets, ["key"], F.col("n") * 4096 > total))
+    # a pair knows the size of its bucket, and so into how many parts the representative's partners are dealt
+    pairs = members.where("class <> rep.class").where(100 * F.least("size", "rep.size") >= percent * F.greatest("size", "rep.size"))
+    pairs = cut(pairs.groupBy("class", F.col("rep.class").alias("rep")).agg(F.ceil(F.max("n") / F.lit(block)).cast("int").alias("parts")))
+    wanted = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", F.col("least").alias("id"), "set_key")
+    sets = cut(_sets(docs, cut(wanted), width, hashes))
     a, b = sets.select("class", F.col("items").alias("x")), sets.select(F.col("class").alias("rep"), F.col("items").alias("y"))
-    smaller, larger = F.least(F.size("x"), F.size("y")), F.greatest(F.size("x"), F.size("y"))
-    met = pairs.join(a, "class").join(b, "rep").where(100 * smaller >= percent * larger)
+    b = b.join(pairs.groupBy("rep").agg(F.max("parts").alias("parts")), "rep").select("rep", "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    met = pairs.withColumn("part", F.pmod(F.xxhash64("class"), "parts").cast("int")).join(a, "class").join(b, ["rep", "part"])
     common = F.size(F.array_intersect("x", "y"))
     links = met.select(F.col("class").alias("a"), F.col("rep").alias("b"), common.alias("c"), (F.size("x") + F.size("y")).alias("s")).where(100 * F.col("c") >= percent * (F.col("s") - F.col("c")))
-    # rows of one id are one document: their classes are linked through the id
-    same = filled.join(classes, "set_key").where("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b")).join(classes.select(F.col("class").alias("a")), "a", "left_semi")
-    links = cut(links.select("a", "b").union(same.select("a", "b")))
+    # an id with several texts is one document: their classes are linked
+    several = cut(filled.groupBy("id").agg(F.min("set_key").alias("k0"), F.max("set_key").alias("k1")).where("k0 <> k1").select("id"))
+    links = links.select("a", "b")
+    if not several.isEmpty():
+        ids = lookup(filled.select("id", "set_key"), several, ["id"], "left_semi").distinct().join(classes.select("set_key", "class"), "set_key")
+        links = links.union(ids.join(ids.groupBy("id").agg(F.min("class").alias("b")), "id").select(F.col("class").alias("a"), "b"))
+    links = cut(links)
     first = components(links)
-    rest = cut(_rest(members, first, sets, percent, slack, block))
+    rest = _rest(members, first, sets, percent, slack, block)
     roots = first if rest.isEmpty() else components(links.union(rest))
-    labelled = cut(classes.join(roots, F.col("class") == F.col("node"), "left").select("set_key", F.coalesce("root", "class").alias("root")))
-    out = described.drop("keys").join(labelled, "set_key", "left").withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("root", "id")))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    # a component is named by its least id; classes without links are components of their own
+    owned = cut(roots.withColumnRenamed("node", "class").join(classes.select("class", "least"), "class"))
+    named = cut(owned.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    owned = spread(owned.select("class", "root"), named, ["root"], F.col("n") * 4096 > owned.count()).select("class", "component_id")
+    labelled = cut(classes.join(owned, "class", "left").select("set_key", F.coalesce("component_id", "least").alias("component_id")))
+    linked = lookup(filled.select("id", "n_shingles", "set_key"), labelled, ["set_key"]).select("id", "n_shingles", "component_id")
+    alone = described.where("id is null or set_key is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+    return linked.union(alone).select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """The kept document of each group, with all columns; of rows that share an id one stays, rows with a null id all stay."""
-    found = near_duplicates(docs, id_col=id_col, **settings)
+    found = cut(near_duplicates(docs, id_col=id_col, **settings).select(id_col, "kept"))
     left = without(docs, id_col, cut(found.where("not kept").select(id_col).distinct()))
-    if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+    if found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
         return left
     return left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(left.where(F.col(id_col).isNull()))
