@@ -7,18 +7,18 @@ positions. The network is trained in numpy by backpropagation through time.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import light, remainder, slices
+from .common import remainder, slices
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 class ByteBiGRU:
@@ -148,8 +148,8 @@ def pooled(net: ByteBiGRU, texts: list[bytes], languages: int, width: int, at_on
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = 4096, width: int = 64, each: int = 8) -> tuple[list[str], ByteBiGRU | None]:
     """Languages and network, from about `sample` documents with a known language that aren't held out.
 
-    Of each language the same number is drawn by a hash of the id (fewer, if it has fewer), and of each drawn text at
-    most `each` windows, evenly spaced, reach the driver.
+    Of each language about the same number of distinct rows is drawn by a hash of id and text (fewer, if it has fewer), and
+    of each drawn text at most `each` windows of `width` bytes, evenly spaced over the whole text, reach the driver.
     """
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     known = known.where("lang is not null and text is not null").where(remainder("id", 3) != 1)
@@ -158,8 +158,8 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: in
         return [], None
     languages, want = sorted(sizes), max(1, sample // len(sizes))
     rates = docs.sparkSession.createDataFrame([(k, min(1.0, want / n)) for k, n in sizes.items()], "lang string, rate double")
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = known.join(F.broadcast(rates), "lang").where(draw < F.col("rate")).select("id", "text", "lang").limit(2 * sample + len(sizes))
+    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = known.join(F.broadcast(rates), "lang").where(draw < F.col("rate")).select("id", "text", "lang").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -182,11 +182,10 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Per row: id, held_out, lang_pred (a learned language, or `und`), score (the pooled probability; 0 for `und`).
 
     Learns from rows with a language that aren't held out (see `train`); predictions see the bytes of the whole text
-    alone. A null text, and one without any letter, is `und`, and so is every text where nothing could be learned.
+    alone. A null text, and one without any letter (Unicode category L), is `und`, and so is every text where nothing could be learned.
     Equal probabilities go to the first language in order. Repeated rows are predicted each; other columns are left
     out, whatever their names. An empty table gives an empty result.
     """
-    light(docs.sparkSession)
     languages, net = train(docs, id_col, text_col, lang_col, sample)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
