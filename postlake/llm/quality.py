@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, light, remainder, rewrite, slices
+from .common import held, remainder, rewrite, slices
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _KEEP = 150_000
@@ -78,14 +78,14 @@ class Follower:
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, bits: int = 18, sample: int = 8192, epochs: int = 3) -> np.ndarray:
     """Weights learned from at most `sample` labelled rows, the ones with the least hash of their id; held-out rows give none.
 
-    Only their feature numbers reach the driver. Without labelled rows all weights are 0 (every score 0.5).
+    Only their feature numbers reach the driver. Of documents that share an id one teaches, the least by its features.
+    Without labelled rows all weights are 0 (every score 0.5).
     """
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
         .where("id is not null and label in (0, 1)").where(remainder("id", 5) != 0).distinct()
         .orderBy(F.xxhash64("id"), "id", "label").limit(sample)
     )
-    light(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
 
@@ -95,7 +95,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
             at, x = (pa.array([f[i].astype(kind).tobytes() for f in found], pa.binary()) for i, kind in enumerate(("<i4", "<f4")))
             yield pa.RecordBatch.from_arrays([piece.column(0), at, x, piece.column(2)], names=["id", "at", "x", "label"])
 
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "text", "label").limit(sample).mapInArrow(run, f"id {kind}, at binary, x binary, label int").toArrow()
+    taught = texts.join(F.broadcast(chosen), "id").select("id", "text", "label").mapInArrow(run, f"id {kind}, at binary, x binary, label int")
+    rows = taught.groupBy("id", "label").agg(F.min(F.struct("at", "x")).alias("f")).select("id", "f.at", "f.x", "label").toArrow()
     ids, labelled, at, x = (rows.column(c).combine_chunks() for c in ("id", "label", "at", "x"))
     names = [str(i) for i in ids.to_pylist()]
     order = sorted(range(len(names)), key=lambda i: (zlib.crc32(names[i].encode()), names[i], labelled[i].as_py(), at[i].as_py()))
