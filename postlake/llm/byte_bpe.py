@@ -2,13 +2,14 @@
 
 Texts are cut by the tokenizer's pattern; distinct cuts of a step are put into padded matrices, one per length
 class. In each round every row joins its leftmost pair of least rank. Ranks of pairs come from an open-addressing
-hash table held in numpy arrays; joined rows close up, finished rows leave the matrix.
+hash table held in numpy arrays; joined rows close up, finished rows leave the matrix. A very long cut comes apart where
+no token holds both bytes; what stays long is a matrix of one row, whose round joins all pairs of the least rank, left
+to right, unless a pair that arises in between has a lesser one.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, light, slices
+from .common import held, slices
 
 _NONE = np.int32(2**31 - 1)
 
@@ -72,6 +73,10 @@ class ByteBPE:
             self.vocabulary[rank] = token
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+        self.beside = np.zeros((256, 256), bool)
+        for token in self.ranks:
+            x = np.frombuffer(token, np.uint8)
+            self.beside[x[:-1], x[1:]] = True
         self.pairs = PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
         self.cut = regex.compile(pattern)
         self.keep, self.cells, self.longest_row = keep, cells, longest_row
@@ -114,26 +119,38 @@ class ByteBPE:
                 rank[ok, k[ok]] = self.pairs.get(ids[ok, k[ok]], ids[ok, k[ok] + 1])
         return out
 
-    def _long(self, row: bytes) -> bytes:
-        """One very long cut, by a heap over a linked list; the same order of joins in O(n log n)."""
-        ids = self.single[np.frombuffer(row, np.uint8)].tolist()
-        n = len(ids)
-        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        words = self.vocabulary
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.ranks.get(words[ids[i]] + words[ids[i + 1]])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, a, b = heapq.heappop(heap)
-            j = after[i] if alive[i] else n
-            if j >= n or ids[i] != a or ids[j] != b:
-                continue
-            ids[i], alive[j], after[i] = rank, False, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            for k in (before[i], i):
-                if k >= 0 and after[k] < n and (r := self.ranks.get(words[ids[k]] + words[ids[after[k]]])) is not None:
-                    heapq.heappush(heap, (r, k, ids[k], ids[after[k]]))
-        return np.array([x for x, y in zip(ids, alive, strict=True) if y], "<u4").tobytes()
+    def _row(self, row: bytes) -> bytes:
+        """Ids of one very long row; a round costs its length, and there are at most as many rounds as distinct ranks it joins by, but for undercut ones."""
+        ids = self.single[np.frombuffer(row, np.uint8)]
+        rank = self.pairs.get(ids[:-1], ids[1:])
+        while len(ids) > 1 and (best := rank.min()) != _NONE:
+            at = np.flatnonzero(rank == best)
+            start = np.flatnonzero(np.diff(at, prepend=-2) > 1)  # of neighbours that overlap, the first, third and so on join
+            at = at[(np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))) % 2 == 0]
+            joined = np.full(len(at), best, np.int32)
+            follows = at + 2 < len(ids)
+            if self.pairs.get(joined[follows], ids[at[follows] + 2]).min(initial=_NONE) < best:
+                at, joined = at[:1], joined[:1]
+            now, kept = ids.copy(), np.ones(len(ids), bool)
+            now[at], kept[at + 1] = best, False
+            now, place = now[kept], at - np.arange(len(at))
+            left = place[place > 0]
+            if len(at) > 1 and self.pairs.get(now[left - 1], now[left]).min(initial=_NONE) < best:
+                at = at[:1]
+                now, place = np.delete(ids, at + 1), at.copy()
+                now[at] = best
+            rank = np.delete(rank, at)
+            beside = np.unique(np.concatenate([place - 1, place]))
+            beside = beside[(beside >= 0) & (beside < len(now) - 1)]
+            rank[beside] = self.pairs.get(now[beside], now[beside + 1])
+            ids = now
+        return ids.astype("<u4").tobytes()
+
+    def _parts(self, row: bytes) -> list[bytes]:
+        """The row in pieces that no join crosses: cut between bytes that stand side by side in no token."""
+        x = np.frombuffer(row, np.uint8)
+        at = np.flatnonzero(~self.beside[x[:-1], x[1:]]) + 1
+        return [row[a:b] for a, b in zip([0, *at.tolist()], [*at.tolist(), len(row)], strict=True)]
 
     def encode_cuts(self, cuts: list[bytes]) -> list[bytes]:
         """Packed ids of distinct cuts."""
@@ -143,7 +160,8 @@ class ByteBPE:
             if (whole := self.ranks.get(cut)) is not None:
                 out[i] = whole.to_bytes(4, "little")
             elif len(cut) > self.longest_row:
-                out[i] = self._long(cut)
+                parts = self._parts(cut)
+                out[i] = b"".join(self.encode_cuts(parts)) if len(parts) > 1 else self._row(cut)
             elif cut:
                 classes.setdefault(max(4, 1 << (len(cut) - 1).bit_length()), []).append(i)
         for width, members in classes.items():
@@ -198,7 +216,6 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     are encoded each; other columns are left out, whatever their names. An empty table gives an empty result.
     `path`: a rank file that every worker can read; `pattern`: the expression that cuts texts before joins.
     """
-    light(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
