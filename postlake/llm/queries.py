@@ -64,7 +64,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards(table(spark, sf_dir, "documents"))
+    return shards(table(spark, sf_dir, "documents"), model=public_tokenizers.path("piece_bpe_32k.model"))
 
 
 _VALUES = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(TEMPLATES))
