@@ -1,7 +1,7 @@
 """License scans with DataFrame functions only.
 
-Headers (lines that speak of licences, and stretches of words around a cue, fitted to each template's length) and licence
-files (by name) are compared to templates by TF-IDF cosine; files without a finding inherit from the licence file of their
+Headers (whole lines that speak of licences, and stretches of words around a cue, fitted to each template's length) and
+licence files (by name) are compared to templates by TF-IDF cosine; files without a finding inherit from the licence file of their
 nearest ancestor directory.
 """
 
@@ -10,11 +10,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, lookup
 
 #: Licence identifiers and statements that declare them.
 TEMPLATES = (
@@ -44,11 +45,10 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
-CUE = r"(?:[Ll][Ii][Cc][Ee][Nn][CcSs]|SPDX|[Cc]opyleft|[Pp]ublic domain|[Pp]ermission is hereby granted|[Rr]edistribution and use)"
-#: A cue with up to 16 words on either side of it in its line.
-UNIT = r"(?:[^ \t\n]{1,40}[ \t]+){0,16}[^ \t\n]{0,40}" + CUE + r"[^ \t\n]{0,40}(?:[ \t]+[^ \t\n]{1,40}){0,16}"
-#: The same cues, also across line breaks and comment marks.
-ANY_CUE = r"(?i:licen[cs]|spdx|copyleft|public[^a-z0-9]+domain|permission[^a-z0-9]+is[^a-z0-9]+hereby[^a-z0-9]+granted|redistribution[^a-z0-9]+and[^a-z0-9]+use)"
+#: What speaks of licences, also across line breaks and comment marks.
+CUE = r"(?i:licen[cs]|spdx|copyleft|public[^a-z0-9]+domain|permission[^a-z0-9]+is[^a-z0-9]+hereby[^a-z0-9]+granted|redistribution[^a-z0-9]+and[^a-z0-9]+use)"
+#: A cue holds one of these, which are found faster than the cue.
+_HINTS = ("licen", "spdx", "copyleft", "domain", "hereby", "redistribution")
 #: Cues of several words, as words.
 PHRASES = ("public domain", "permission is hereby granted", "redistribution and use")
 LICENSE_FILE = r"(?i)^(?:licen[cs]e|copying|unlicense)(?:[._-].*)?$"
@@ -59,23 +59,17 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
-def _best(units: DataFrame, templates: DataFrame) -> DataFrame:
-    """(unit, license, score): of each distinct unit text the most similar template; ties to the first identifier."""
-    words = templates.select("template", "license", F.explode(_words(F.col("text"))).alias("word"))
-    counts = words.groupBy("template", "license", "word").agg(F.count(F.lit(1)).alias("tf"))
-    total = templates.agg(F.count(F.lit(1)).alias("all"))
-    known = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(total), F.lit(True)).select("word", (F.log((F.col("all") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    weights = counts.join(F.broadcast(known), "word").select("template", "license", "word", (F.col("tf") * F.col("idf")).alias("weight"))
-    norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    weights = weights.join(F.broadcast(norms), "template").select("license", "template", "word", (F.col("weight") / F.col("norm")).alias("share"))
-    texts = units.select("unit").distinct()
-    terms = texts.select("unit", F.explode(_words(F.col("unit"))).alias("word")).groupBy("unit", "word").agg(F.count(F.lit(1)).alias("tf"))
+def _best(units: DataFrame, rows: list[tuple], idf: dict[str, float], new: float, least: float) -> DataFrame:
+    """(unit, license, score): of each distinct unit (unit, words) the most similar template of at least `least`; ties to the first identifier."""
+    session = units.sparkSession
+    weights = F.broadcast(session.createDataFrame([(i, row[0], w, x) for i, row in enumerate(rows) for w, x in row[4].items()], "template int, license string, word string, share double"))
+    known = F.broadcast(session.createDataFrame(list(idf.items()), "word string, idf double"))
+    terms = units.dropDuplicates(["unit"]).select("unit", F.explode("words").alias("word")).groupBy("unit", "word").agg(F.count(F.lit(1)).alias("tf"))
     # a word of no template still lengthens the vector: it is as rare as can be
-    new = F.log(F.col("all") + 1) + 1
-    terms = terms.join(F.broadcast(known), "word", "left").join(F.broadcast(total), F.lit(True)).select("unit", "word", (F.col("tf") * F.coalesce("idf", new)).alias("weight"))
+    terms = terms.join(known, "word", "left").select("unit", "word", (F.col("tf") * F.coalesce("idf", F.lit(new))).alias("weight"))
     lengths = terms.groupBy("unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
-    dots = terms.join(F.broadcast(weights), "word").groupBy("unit", "template", "license").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
-    scored = dots.join(lengths, "unit").select("unit", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score"))
+    dots = terms.join(weights, "word").groupBy("unit", "template", "license").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
+    scored = dots.join(lengths, "unit").select("unit", "license", F.round(F.col("dot") / F.col("length"), 6).alias("score")).where(F.col("score") >= least)
     top = scored.groupBy("unit").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("m"))
     return top.select("unit", F.col("m.license").alias("license"), (-F.col("m.col1")).alias("score"))
 
@@ -141,31 +135,31 @@ def _best_stretch(contexts: DataFrame, rows: list[tuple], idf: dict[str, float],
 def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = 0.6) -> DataFrame:
     """One row per distinct path: path, license, score (cosine, 6 digits), origin (`file`, `header`, `inherited` or `none`), directory.
 
-    A licence file is compared as a whole, any other by its headers, and both by the stretches of words around their cues,
+    A licence file is compared as a whole, and it and any other by whole lines with a cue and by the stretches of words around cues,
     so that a statement counts beside other words of its line or wrapped over lines; the best of at least `least` counts
     (ties to the first identifier). A stretch must also hold a template's keys (see `_fitted`). A file without one takes the licence of the licence file in the nearest directory above it, whose
     path is `directory`. Null and empty texts have no header. Rows of one path are one file. Rows with a null path
     are scanned together as one file without directory. Other columns are left out, whatever their names. An empty table
     gives an empty result. `templates` is broadcast: a fixed list, not data.
     """
-    session = files.sparkSession
-    known = session.createDataFrame([(i, k, t) for i, (k, t) in enumerate(templates)], "template int, license string, text string")
     picked = files.select(F.col(path_col).alias("path"), F.col(text_col).alias("text"))
-    name = F.regexp_extract("path", r"[^/]*$", 0)
-    is_file = F.coalesce(name.rlike(LICENSE_FILE), F.lit(False))
-    found = F.coalesce(F.when(F.col("text").rlike(CUE), F.regexp_extract_all("text", F.lit(UNIT), F.lit(0))), F.array().cast("array<string>"))
+    is_file = F.coalesce(F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENSE_FILE), F.lit(False))
     rows, idf, new = _fitted(templates)
     reach = max((n for _, n, *_ in rows), default=1) - 1
-    speaking = picked.where("text is not null").where(is_file | F.col("text").rlike(ANY_CUE)).select("path", is_file.alias("whole"), "text", F.explode(F.array(_words(F.col("text")))).alias("words"))
-    lines = F.transform(F.when(F.col("whole"), F.array("text")).otherwise(found), lambda u: F.struct(u.alias("unit"), F.lit(None).cast("array<string>").alias("words"), F.lit(None).cast("int").alias("at")))
+    low = F.lower("text")
+    hinted = reduce(Column.__or__, (low.contains(h) for h in _HINTS)) & F.col("text").rlike(CUE)
+    speaking = picked.where("text is not null").where(is_file | hinted).select("path", is_file.alias("whole"), "text", F.explode(F.array(_words(F.col("text")))).alias("words"))
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(CUE))
+    units = F.transform(F.concat(lines, F.when(F.col("whole"), F.array("text")).otherwise(F.array().cast("array<string>"))), lambda u: F.struct(F.md5(u.cast("binary")).alias("unit"), _words(u).alias("words"), F.lit(None).cast("int").alias("at")))
     around = F.transform(_contexts(F.col("words"), reach), lambda c: F.struct(F.lit(None).cast("string").alias("unit"), c["words"].alias("words"), c["at"].alias("at")))
     # few rows, read by several branches below: written once, so that texts are scanned once
-    pieces = cut(speaking.select("path", "whole", F.explode(F.concat(lines, around)).alias("p")).select("path", "whole", "p.*").distinct())
-    units = pieces.where("unit is not null").select("path", "whole", "unit")
-    by_line = units.join(_best(units, known), "unit").where(F.col("score") >= least).select("path", "whole", "license", "score")
-    by_stretch = _best_stretch(pieces.where("words is not null"), rows, idf, new, least)
+    pieces = cut(speaking.select("path", "whole", F.explode(F.concat(units, around)).alias("p")).select("path", "whole", "p.*").distinct())
+    by_line = pieces.where("unit is not null")
+    found = cut(_best(by_line, rows, idf, new, least))
+    by_line = lookup(by_line.select("path", "whole", "unit"), found, ["unit"]).select("path", "whole", "license", "score")
+    by_stretch = _best_stretch(pieces.where("unit is null"), rows, idf, new, least)
     own = by_line.unionByName(by_stretch).groupBy("path").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("m"), F.max("whole").alias("whole"))
-    own = own.select("path", F.col("m.license").alias("license"), (-F.col("m.col1")).alias("score"), "whole")
+    own = cut(own.select("path", F.col("m.license").alias("license"), (-F.col("m.col1")).alias("score"), "whole"))
     parent = lambda c: F.regexp_replace(c, r"/?[^/]*$", "")
     granted = own.where("whole").select(parent(F.col("path")).alias("above"), "license", "score").groupBy("above").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("g"))
     # nearest ancestors are found once per directory, not per file
@@ -173,9 +167,10 @@ def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "tex
     steps = F.split("folder", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))
     chain = folders.select("folder", F.posexplode(F.array_distinct(above)).alias("depth", "above"))
-    nearest = chain.join(granted, "above").groupBy("folder").agg(F.max(F.struct("depth", "above", "g")).alias("n")).select("folder", F.col("n.above").alias("from"), F.col("n.g.license").alias("lent"), (-F.col("n.g.col1")).alias("lent_score"))
+    nearest = lookup(chain, cut(granted), ["above"]).groupBy("folder").agg(F.max(F.struct("depth", "above", "g")).alias("n")).select("folder", F.col("n.above").alias("from"), F.col("n.g.license").alias("lent"), (-F.col("n.g.col1")).alias("lent_score"))
     every = picked.select("path").distinct().join(own.withColumnRenamed("path", "own_path"), F.col("path").eqNullSafe(F.col("own_path")), "left").select("path", "license", "score", "whole")
-    joined = every.withColumn("folder", parent(F.col("path"))).join(nearest, "folder", "left")
+    # one directory may hold a third of all files
+    joined = lookup(every.withColumn("folder", parent(F.col("path"))), cut(nearest), ["folder"], "left")
     origin = F.when(F.col("license").isNotNull(), F.when(F.col("whole"), "file").otherwise("header")).when(F.col("lent").isNotNull(), "inherited").otherwise("none")
     return joined.select(
         F.col("path").alias(path_col), F.coalesce("license", "lent").alias("license"), F.coalesce("score", "lent_score").alias("score"),

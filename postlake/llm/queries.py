@@ -12,7 +12,7 @@ from .byte_bpe import encode_decode
 from .common import table
 from .decontaminate import contaminated
 from .language import predict_languages
-from .licenses import CUE, TEMPLATES, UNIT, scan_licenses
+from .licenses import CUE, PHRASES, TEMPLATES, scan_licenses
 from .near_dedup import near_duplicates
 from .neighbours import nearest
 from .quality import quality_scores
@@ -39,11 +39,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files: the source is the top directory, the language the next, the id names the file."""
+    """Documents as files: source, language and thousand of the id are directories; every tenth id is a licence file there,
+    or, where it ends in 50, one directory up."""
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    i = F.col("doc_id")
+    name = F.when(i % 10 == 0, F.concat(F.lit("LICENSE-"), i.cast("string"))).otherwise(i.cast("string"))
+    thousand = F.when(i % 100 == 50, F.lit(None)).otherwise(F.floor(i / 1000).cast("string"))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), thousand, name)
     found = scan_licenses(docs.select(path.alias("path"), "text"))
-    return found.select(F.regexp_extract("path", r"[^/]*$", 0).cast("long").alias("doc_id"), "path", "license", "score", "origin")
+    return found.select(F.regexp_extract("path", r"[0-9]*$", 0).cast("long").alias("doc_id"), "path", "license", "score", "origin", "directory")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,31 +71,55 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(table(spark, sf_dir, "documents"), model=public_tokenizers.path("piece_bpe_32k.model"))
 
 
-_VALUES = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(TEMPLATES))
-OP5_SQL = rf"""
-WITH templates(template, license, text) AS (VALUES {_VALUES}),
+def _license_sql() -> str:
+    values = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(TEMPLATES))
+    phrases = " OR ".join(" AND ".join(f"w[i + {n}] = '{x}'" for n, x in enumerate(p.split())) for p in PHRASES)
+    return rf"""
+WITH templates(template, license, text) AS (VALUES {values}),
 words AS (SELECT template, license, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM templates),
 counts AS (SELECT template, license, word, count(*) AS tf FROM words GROUP BY ALL),
-known AS (SELECT word, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM counts GROUP BY word),
-weights AS (SELECT template, license, word, tf * idf AS weight FROM counts JOIN known USING (word)),
-norms AS (SELECT template, sqrt(sum(weight * weight)) AS norm FROM weights GROUP BY 1),
-files AS (SELECT doc_id, coalesce(source, '-') || '/' || coalesce(lang, '-') || '/' || doc_id AS path, text FROM documents),
-units AS (SELECT DISTINCT path, unnest(regexp_extract_all(text, '{UNIT}')) AS unit FROM files WHERE regexp_matches(text, '{CUE}')),
-terms AS (
+known AS (SELECT word, count(*) AS df, count(DISTINCT license) AS licenses, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM counts GROUP BY word),
+norms AS (SELECT template, sqrt(sum((tf * idf) ** 2)) AS norm FROM counts JOIN known USING (word) GROUP BY 1),
+weights AS (SELECT template, license, word, tf * idf / norm AS share FROM counts JOIN known USING (word) JOIN norms USING (template)),
+keyed AS (
+    SELECT template, license, (SELECT count(*) FROM words v WHERE v.template = c.template) AS n, list(word) FILTER (licenses = 1) AS own,
+        list(word) FILTER (df = least) AS rarest FROM (SELECT *, min(df) OVER (PARTITION BY template) AS least FROM counts JOIN known USING (word)) c GROUP BY ALL
+), fitted AS (SELECT template, license, n, coalesce(own, rarest) AS keys, CASE WHEN own IS NULL THEN len(rarest) ELSE 1 END AS need FROM keyed),
+files AS (
+    SELECT concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), CASE WHEN doc_id % 100 <> 50 THEN CAST(doc_id // 1000 AS VARCHAR) END,
+        CASE WHEN doc_id % 10 = 0 THEN 'LICENSE-' ELSE '' END || doc_id) AS path, doc_id, doc_id % 10 = 0 AS whole, text FROM documents
+), spoken AS (SELECT path, whole, text, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM files WHERE text IS NOT NULL AND (whole OR regexp_matches(text, '{CUE}'))),
+units AS (
+    SELECT path, unnest(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{CUE}'))) AS unit FROM spoken UNION SELECT path, text FROM spoken WHERE whole
+), terms AS (
     SELECT unit, word, count(*) AS tf FROM (SELECT unit, unnest(regexp_extract_all(lower(unit), '[a-z0-9]+')) AS word FROM (SELECT DISTINCT unit FROM units)) GROUP BY ALL
 ), weighed AS (SELECT unit, word, tf * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1) AS weight FROM terms LEFT JOIN known USING (word)),
 lengths AS (SELECT unit, sqrt(sum(weight * weight)) AS length FROM weighed GROUP BY 1),
-scored AS (
-    SELECT w.unit, t.license, round(sum(w.weight * t.weight / n.norm) / any_value(l.length), 6) AS score
-    FROM weighed w JOIN weights t USING (word) JOIN norms n USING (template) JOIN lengths l ON l.unit = w.unit GROUP BY w.unit, t.template, t.license
-), ranked AS (
-    SELECT u.path, s.license, s.score, row_number() OVER (PARTITION BY u.path ORDER BY s.score DESC, s.license) AS place
-    FROM units u JOIN scored s USING (unit) WHERE s.score >= 0.6
-)
-SELECT DISTINCT f.doc_id, f.path, r.license, r.score, CASE WHEN r.license IS NULL THEN 'none' ELSE 'header' END AS origin
-FROM files f LEFT JOIN ranked r ON r.path = f.path AND r.place = 1
+lines AS (SELECT w.unit, t.license, round(sum(w.weight * t.share) / any_value(l.length), 6) AS score FROM weighed w JOIN weights t USING (word) JOIN lengths l ON l.unit = w.unit GROUP BY w.unit, t.template, t.license),
+cues AS (SELECT * FROM (SELECT path, w, unnest(range(1, len(w) + 1)) AS i FROM spoken) WHERE regexp_matches(w[i], 'licen[cs]|spdx|copyleft') OR {phrases}),
+stretches AS (
+    SELECT DISTINCT path, template, x FROM (SELECT path, template, keys, need, w[s:s + n - 1] AS x FROM (SELECT *, unnest(range(greatest(i - n + 1, 1), i + 1)) AS s FROM cues, fitted)) WHERE len(list_intersect(x, keys)) >= need
+), parts AS (SELECT template, x, word, count(*) AS tf FROM (SELECT template, x, unnest(x) AS word FROM (SELECT DISTINCT template, x FROM stretches)) GROUP BY ALL),
+fits AS (
+    SELECT template, x, round(sum(p.tf * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1) * coalesce(share, 0)) / sqrt(sum((p.tf * coalesce(idf, ln(1 + (SELECT count(*) FROM templates)) + 1)) ** 2)), 6) AS score
+    FROM parts p LEFT JOIN known USING (word) LEFT JOIN weights USING (template, word) GROUP BY ALL
+), scored AS (
+    SELECT path, license, score FROM units JOIN lines USING (unit) UNION ALL SELECT path, license, score FROM stretches JOIN fits USING (template, x) JOIN fitted USING (template)
+), own AS (SELECT path, license, score FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, license) AS place FROM scored WHERE score >= 0.6) WHERE place = 1),
+granted AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS above, first(license ORDER BY score DESC, license) AS lent, max(score) AS lent_score FROM own JOIN (SELECT DISTINCT path FROM files WHERE whole) USING (path) GROUP BY 1),
+above AS (
+    SELECT path, depth, array_to_string(steps[1:depth], '/') AS above
+    FROM (SELECT path, steps, unnest(range(0, len(steps) + 1)) AS depth FROM (SELECT DISTINCT path, string_split(regexp_replace(path, '/?[^/]*$', ''), '/') AS steps FROM files))
+), inherited AS (SELECT path, arg_max(lent, depth) AS lent, arg_max(lent_score, depth) AS lent_score, arg_max(above, depth) AS directory FROM above JOIN granted USING (above) GROUP BY 1)
+SELECT DISTINCT doc_id, path, coalesce(o.license, i.lent) AS license, coalesce(o.score, i.lent_score) AS score,
+    CASE WHEN o.license IS NOT NULL THEN CASE WHEN whole THEN 'file' ELSE 'header' END WHEN i.lent IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+    CASE WHEN o.license IS NULL THEN i.directory END AS directory
+FROM files f LEFT JOIN own o USING (path) LEFT JOIN inherited i USING (path)
 """
 
+
+OP5_SQL = _license_sql()
+
 OP8_SQL = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
