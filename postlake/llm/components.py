@@ -9,21 +9,22 @@ from .common import cut, spread
 
 
 def _star(edges: DataFrame, large: bool, hot: int) -> DataFrame:
-    """One star step over edges (u, v) with u > v.
+    """One star step over edges (u, v) with u > v, written to the checkpoint folder.
 
     Large: every node's greater neighbours are linked to the least of the node and its neighbours. Small: every node's
     smaller neighbours are. Minima are aggregated before the shuffle; no neighbourhood is ever gathered as a list, and the
     minima of nodes with over `hot` neighbours are broadcast, so that none makes one task.
     """
+    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    least = cut(least.select("u", F.least("u", "m").alias("m"), "n") if large else least)
+    heavy = F.col("n") > hot
+    with_least = lambda rows: rows.join(least, "u") if least.where(heavy).isEmpty() else spread(rows, least, ["u"], heavy)
     if large:
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        linked = spread(both.where("v > u"), least, ["u"], F.col("n") > hot).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        linked = with_least(both.where("v > u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        near = spread(edges, least, ["u"], F.col("n") > hot)
-        linked = near.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return linked.where("u > v").distinct()
+        linked = with_least(edges).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+    return cut(linked.where("u > v").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,9 +35,9 @@ def components(edges: DataFrame) -> DataFrame:
     of a component's size.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen, hot = None, now.count() // 2048  # so at most 4096 nodes are hot
+    seen, hot = None, max(512, now.count() // 2048)  # so at most 4096 nodes are hot
     while True:
-        now = cut(_star(_star(now, True, hot), False, hot))
+        now = _star(_star(now, True, hot), False, hot)
         mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if mark == seen:
             break

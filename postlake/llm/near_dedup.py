@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a component is named by its least id; classes without links are components of their own
     owned = cut(roots.withColumnRenamed("node", "class").join(classes.select("class", "least"), "class"))
     named = cut(owned.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")))
-    owned = spread(owned.select("class", "root"), named, ["root"], F.col("n") * 4096 > owned.count()).select("class", "component_id")
+    owned = cut(spread(owned.select("class", "root"), named, ["root"], F.col("n") * 4096 > owned.count()).select("class", "component_id"))
     labelled = cut(classes.join(owned, "class", "left").select("set_key", F.coalesce("component_id", "least").alias("component_id")))
     linked = lookup(filled.select("id", "n_shingles", "set_key"), labelled, ["set_key"]).select("id", "n_shingles", "component_id")
     alone = described.where("id is null or set_key is null").select("id", "n_shingles", F.col("id").alias("component_id"))
