@@ -97,6 +97,11 @@ def site_verdict(company: Column | str, url: Column | str) -> Column:
     )
 
 
+def is_foreign(company: Column | str, url: Column | str) -> Column:
+    """Whether a site provably is another company's; a weak verdict proves nothing."""
+    return site_verdict(company, url) == "mismatch"
+
+
 def page_mentions(company: Column | str, page: Column | str) -> Column:
     """Whether a page names the company, in one piece or by all its telling words."""
     flat = F.regexp_replace(F.lower(F.regexp_replace(text(page), "<[^>]+>", " ")), "[^a-z0-9]", "")

@@ -256,3 +256,146 @@ AI_USAGE = (
 AI_TOOL_WORDS = r"(?i)ai[- ]tools?|chatgpt|copilot|claude|cursor|ai[- ]assisted|llm[- ]based"
 AI_MENTION = r"(?i)\bllms?\b|\bgen(?:erative)?\s?ai\b|\bgenai\b|\bai[- ]tools?\b|ai[- ]assisted|chatgpt|copilot|\bclaude(?: code)?\b|prompt[- ]?engineer\w*|context engineering|use of ai|leverag\w* (?:of )?ai\b|working with ai\b"
 AI_PRODUCT = r"(?i)\bour (?:\w+ ){0,3}ai\b|company'?s ai|\bai[- ](?:powered|driven|native|first)\b|\bai (?:platform|product|solution|company|startup)|\bai agents?\b(?=[^.]{0,70}(?:perform|platform|product|secur|protect|identit|endpoint))"
+
+# --- fixed values: sections of a description -------------------------------------------------------------------------
+LABEL_PREFIX = r"(?i)^\s*(experience level\s*:[^.]*\.\s*)?(description\s*:\s*)?"
+EXPERIENCE_LEVEL = r"(?i)experience level\s*:\s*([^.]+)"
+REQUIREMENTS = (
+    r"(?i)(requirements?|qualifications?|what (?:you.?ll|you will) (?:bring|need)|what are we looking for|what we.?re looking for|what we expect|"
+    r"(?:perfect|ideal) job for someone who (?:has|is)|to thrive in this role,? you.?ll need|what you need to succeed|דרישות(?: התפקיד)?|מה אנחנו מחפשים|"
+    r"כישורים נדרשים|what (?:will make|makes) you successful|who you are|about you|what we.?re looking for in you|must[- ]have|"
+    r"your (?:profile|experience|background)|minimum qualifications|desired (?:skills|qualifications)|skills (?:&|and) (?:experience|qualifications)|"
+    r"you(?:'?ll)? (?:have|bring))\s*:?"
+)
+SOFT_REQUIREMENTS = r"(?i)(ideal candidate|what you.?ll do|what you.?ll own)\s*:?"
+SECTION_END = (
+    r"(?i)(?:•\s*)?\b(responsibilit|benefits?|perks|about (?:us|the company)|why join|what we offer|we offer|our (?:stack|tech)|equal opportunit|"
+    r"why you.?ll love|what makes\b|please (?:ensure|note)|founded in \d{4}|היקף משרה|אנחנו על המפה|קו\"ח|שעות עבודה)\b\s*:?"
+)
+PLUS_SECTION = (
+    r"(?i)(?:•\s*)?\b(?:advantages?|nice[- ]to[- ]haves?|bonus(?: points)?(?: if you have)?|it would be (?:great|a plus)|preferred qualifications|"
+    r"יתרון(?: משמעותי)? אם)\b\s*:"
+)
+PLUS_ONLY = r"(?i)^(?:advantages?|nice[- ]to[- ]haves?|bonus(?: points)?(?: if you have)?|preferred qualifications|יתרונות)\s*:?$"
+LEADING_HEADER = r"(?i)^(responsibilities|requirements?|qualifications?|the role|about the role|role description|what you.?ll (?:need|bring|do|own))\s*:?\s*"
+HEADER_ONLY = (
+    r"(?i)^(experience|technical skills?|education|skills?|qualifications?|requirements?|nice to have|advantages?|bonus(?: points)?|about you|background|"
+    r"responsibilities|what we(?:'re| are)? ?(?:expect|need|want|require|value|look\w*)|what you.?ll (?:need|do|bring|own|be doing)|technical|professional)"
+    r"(?:\s*(?:&|and|/|,)\s*(?:experience|technical|skills?|education|qualifications?|requirements?|background))*\s*:?$"
+)
+SENTENCES = r"(?<=[a-z0-9%)א-ת])\.\s+(?=[A-Z0-9א-ת])|\s[–—]\s(?=[A-Z0-9])"
+RUN_ON = (
+    r"(?<=[a-zא-ת)%\.]) (?=(?:\d+\+? years?|Strong|Proven|Excellent|Experience|Experienced|Knowledge|Familiarity|Ability|Proficien\w*|Fluent|"
+    r"High(?: proficiency| level)|Advanced|Deep|Solid|Hands[- ]on|Degree|B\.?Sc|M\.?Sc|Bachelor|Master|Team player|Self[- ]|Willingness|Availability|English|"
+    r"Hebrew|Excellent|Very|Good|Great|At least|Minimum(?: of)?|Fluency|Fluent|ניסיון|תואר|ידע|יכולת|שליטה|אנגלית|היכרות|נכונות)\b)"
+)
+DASHES = r"\s+-\s+(?=[A-Z])(?!(?:Must|Mandatory|Requir|Advantage|Plus|Big|Nice|An?\b))"
+LEADING_MUST = r"(?i)^\s*(?:must(?:[- ]haves?)?|mandatory|חובה)(?:\s*[-–—:]+\s*|\s+(?=[A-Zא-ת]))"
+LEADING_PLUS = r"(?i)^\s*(?:advantage|nice to have|bonus|יתרון)\s*[-–—:]+\s*"
+TRAILING_MUST = r"(?i)\s*[-–—(:]*\s*(?:a\s+)?(?:must(?:\s+have)?|mandatory|requir\w*|חובה)[.!)]?\s*$"
+TRAILING_PLUS = (
+    r"(?i)\s*[-–—(:]*\s*(?:an?\s+)?(?:(?:big|strong|significant|major|huge|added|great|definite)\s+)?"
+    r"(?:advantage|plus|nice to have|preferred|bonus|יתרון(?: משמעותי)?)[.!)]?\s*$"
+)
+BULLET_JUNK = (
+    r"(?i)^#|https?://|www\.|#li-|\brésumé\b|resume(?:/cv)? you attach|why you.?ll love|equal opportunit|privacy policy|apply now|click here|"
+    r"meet 100% of|not about checklists|encourage you to apply|describes you perfectly"
+)
+REQUIREMENT_SIGNAL = (
+    r"(?i)\b(experience|years?|degree|proficien|knowledge|ability|familiar|proven|strong|expert|hands[- ]on|sql|python|excel|tableau|looker|power ?bi|"
+    r"bachelor|master|fluent|understanding|background|skilled|passion|track record|mindset)\b"
+)
+DUTY_VERB = (
+    r"(?i)^(develop|create|perform|build|design|lead|manage|work|partner|collaborate|own|drive|support|monitor|analy[sz]e|define|deliver|maintain|conduct|"
+    r"translate|identify|provide|present|research|optimi[sz]e|execute|prepare|implement|serve|gather|track|run)\b"
+)
+DUTIES = (
+    r"(?i)(responsibilit(?:ies|y)|what (?:you|you'?ll) (?:do|be doing|own|work on)|your (?:role|impact|day[- ]to[- ]day)|in this role,? you|role overview|"
+    r"day[- ]to[- ]day|you will be|as part of (?:the|this) role|תחומי אחריות|מה תעשו|היומיום של)\s*:?"
+)
+RUN_ON_DUTIES = (
+    r"(?<=[a-zא-ת)%.]) (?=(?:Develop|Create|Perform|Build|Design|Lead|Manage|Work|Partner|Collaborate|Own|Drive|Support|Monitor|Analy[sz]e|Define|Deliver|"
+    r"Maintain|Conduct|Translate|Identify|Provide|Present|Research|Optimi[sz]e|Execute|Prepare|Implement|Serve|Gather|Track|Run|Ensure|ניתוח|בניית|עבודה|אחריות)\b)"
+)
+ROLE_MARKER = (
+    r"(?i)(responsibilities|requirements|what you.?ll (?:do|be doing|bring)|qualifications|about the role|about the position|in this role|role overview|"
+    r"your role|we.?re looking for|we are looking for|as an?\s|you will|what you bring)"
+)
+COMPANY_IS = r"(?i)\b(?:is|are)\s+(?:a|an|the)\s+(.{5,90}?)[\.\n;]"
+#: What stands after a company's name in a sentence about it.
+COMPANY_DOES = (
+    r"[^.•]{0,40}?\b(?:is|are|builds?|provides?|offers?|powers?|helps?|enables?|delivers?|develops?|creates?|makes?)\s+"
+    r"(?!seeking|looking|hiring|searching|recruiting|excited|thrilled|proud|now\b)(?:(?:a|an|the)\s+)?(.{6,110}?)[.•\n;]"
+)
+BLURB_STRAYS = ("of", "to", "for", "and", "or", "with", "that", "which", "by", "from", "as", "but", "nor")
+BLURB_JUNK = (
+    r"(?i)not logged in|please run|/login|usage:|command not found|invalid api|api key|traceback|rate limit|quota|unauthor|permission denied|"
+    r"\bI['’]?m\b|\bI\s+(?:don['’]?t|do not|can['’]?t|cannot|couldn['’]?t|am|have|would|need|recommend)\b|\bI['’]d\b|"
+    r"unable to (?:confirm|verify)|no (?:job post )?context was provided|web[- ]search access"
+)
+MANGLED_TITLE = r"(?i)[⋅•·|►▸]|,\s*israel\b|tel[\s-]?aviv,|(?<=[a-z])(?:Tel Aviv|Israel|Apply|Remote|Full[\s-]?time)|israel(?=[A-Za-z])"
+SECTION_MARKERS = (
+    r"(requirements?|responsibilit|qualifications?|experience|what you.?ll|we.?re looking|about the (?:role|job|position)|skills|full[- ]time|"
+    r"דרישות|אחריות|ניסיון|תיאור (?:ה)?משרה|כישורים)"
+)
+EMPLOYMENT = (("maternity", "Maternity cover"), ("temporary", "Temp"), ("contract", "Contract"), ("internship", "Intern"), ("part-time", "Part-time"))
+SENIOR_WORDS = r"(?i)\b(senior|sr\.?|principal|staff|head of|lead|director|vp|chief|expert|manager)\b"
+LEAD_WORDS = r"(?i)\b(team ?lead|tech ?lead|group lead|manager|head of|principal|staff|director|vp|vice president|chief)\b"
+
+# --- fixed values: pages ---------------------------------------------------------------------------------------------
+TITLE_KEYS = ("title", "jobtitle", "positiontitle", "position_title", "name", "role", "rolename", "postingtitle", "posting_title", "displayname", "display_name", "jobname")
+LOCATION_KEYS = (
+    "location", "locations", "office", "offices", "city", "joblocation", "job_location", "location_display_name", "locationname", "primarylocation",
+    "locationstext", "addresslocality", "location_name", "officelocation", "cities",
+)
+URL_KEYS = (
+    "url", "absolute_url", "joburl", "job_url", "apply_url", "applyurl", "link", "href", "canonicalurl", "externalpath", "positionurl", "detailurl",
+    "landing_page", "hitlink",
+)
+ID_KEYS = ("id", "jobid", "job_id", "reqid", "req_id", "requisitionid", "shortcode", "displayjobid", "ffid", "slug", "pid", "gh_id")
+DATE_KEYS = (
+    "dateposted", "date_posted", "postedon", "posted_on", "publisheddate", "created_at", "postedts", "creationts", "updated_at", "firstpublished", "posting_date",
+)
+TEXT_KEYS = ("name", "text", "label", "value", "location_display_name", "display_name", "addressLocality", "title")
+BAD_TITLE = r"(?i)^(home|careers?|jobs?|about|search|apply|menu|cookie|privacy|all|view|open positions|see all|load more|next|previous)$"
+TITLE_JUNK = (
+    r"(?i)[⋅•·|►▸]|,\s*israel\b|tel[\s-]?aviv,|\bis looking for\b|\bwe(?:'re| are) looking\b|\bwe are seeking\b|posted\s+\d|"
+    r"(?<=[a-z])(?:Tel Aviv|Israel|Herzliya|Haifa|Ra'?anana|Petah|Apply|Remote|Hybrid|Full[\s-]?time|View job|Learn more)|israel(?=[A-Za-z])"
+)
+ROLE_WORDS = (
+    r"(?i)engineer|developer|manager|analyst|scientist|designer|\blead\b|architect|specialist|director|\bhead\b|officer|consultant|researcher|marketing|"
+    r"sales|product|\bdata\b|devops|\bqa\b|account|recruit|finance|legal|operations|support|success|counsel|controller|analytics|intern|associate|"
+    r"representative|coordinator|administrator|strategist|writer|editor|producer|planner|buyer|technician|expert|advisor|\bpartner\b|evangelist|advocate|"
+    r"programmer|\bsre\b|\bux\b|\bui\b|scrum|agile|automation|solution|business|operation|team\s+lead|full[\s-]?stack|back[\s-]?end|front[\s-]?end|"
+    r"principal|staff|vp\b|chief|president|counsel|paralegal|accountant|bookkeeper|generalist"
+)
+POSTING_PATH = r"(?i)/(job|jobs|position|opening|vacancy|role)s?[/\-_=?]|gh_jid=|/apply\b"
+HEBREW_PLACES = (r"ישראל", r"תל[\s-]?אביב", r"חיפה", r"באר[\s-]?שבע", r"רעננה", r"הרצליה", r"ירושלים", r"פתח[\s-]?תקווה")
+#: Platform, a pattern whose first group is the board's token, and the address of its list.
+BOARD_SIGNATURES = (
+    ("greenhouse", r"(?i)greenhouse\.io/embed/job_board/js\?for=([a-z0-9_-]+)", "https://boards-api.greenhouse.io/v1/boards/{}/jobs"),
+    ("greenhouse", r"(?i)boards\.greenhouse\.io/(?:embed/job_board\?for=)?([a-z0-9_-]+)", "https://boards-api.greenhouse.io/v1/boards/{}/jobs"),
+    ("lever", r"(?i)jobs\.lever\.co/([A-Za-z0-9_-]+)", "https://api.lever.co/v0/postings/{}?mode=json"),
+    ("ashby", r"(?i)jobs\.ashbyhq\.com/([A-Za-z0-9_-]+)", "https://api.ashbyhq.com/posting-api/job-board/{}"),
+    ("recruitee", r"(?i)([a-z0-9-]+)\.recruitee\.com", "https://{}.recruitee.com/api/offers/"),
+    ("workable", r"(?i)apply\.workable\.com/(?:api/v1/widget/accounts/)?([a-z0-9-]+)", "https://apply.workable.com/api/v1/widget/accounts/{}?details=true"),
+    ("smartrecruiters", r"(?i)careers\.smartrecruiters\.com/([A-Za-z0-9]+)", "https://api.smartrecruiters.com/v1/companies/{}/postings"),
+    ("breezy", r"(?i)([a-z0-9-]+)\.breezy\.hr", "https://{}.breezy.hr/json"),
+    ("bamboohr", r"(?i)([a-z0-9]+)\.bamboohr\.com", "https://{}.bamboohr.com/careers/list"),
+)
+WORKDAY_SITE = r"https?://([a-z0-9]+)\.(wd\d+)\.myworkdayjobs\.com/(?:[a-z]{2}-[A-Z]{2}/)?([A-Za-z0-9_]+)"
+SCRIPT_BLOBS = (
+    r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>""", r"""(?is)<script[^>]*type=["']application/json["'][^>]*>(.*?)</script>""",
+    r"""(?is)<script[^>]*id=["']__NEXT_DATA__["'][^>]*>(.*?)</script>""",
+)
+PAGE_LINK = r"""(?is)<a[^>]+href=["']([^"']+)["'][^>]*>(.{5,140}?)</a>"""
+CARD_HEADING = r"(?i)<(h[1-4])([^>]*)>([^<]{5,90})</\1>"
+CARD_CLASS = r"""(?i)<(p|div|span|a)([^>]*class=["'][^"']*(?:job|position|role|opening)[^"']*(?:title|name|copy)[^"']*["'][^>]*)>([^<]{5,90})</\1>"""
+SENTENCE_START = r"(?i)^(we|our|join|about|why|what|how|let)\b"
+JOBS_LANGUAGE = r"(?i)open position|current opening|job opening|apply now|we'?re hiring|view (all )?jobs|join our team|משרות|דרושים|הצטרפו"
+ROLE_PHRASE = r"[A-Z][A-Za-z/&+.\- ]{3,44}\b(?:Engineer|Analyst|Manager|Developer|Scientist|Designer|Architect|Specialist|Lead|Director|Researcher|Consultant|Associate)\b"
+ACQUIRED = r"(?i)(is |has been |was )?(now )?(part of|acquired by|joins?|joining) ([A-Z][A-Za-z0-9.\- ]{2,30})|acquisition of|we(?:'| a)re now ([A-Z][A-Za-z0-9.\- ]{2,30})"
+JOB_REQUEST = r"""(?i)(api|graphql)[^"']*(job|position|opening|career|search)|(job|position|opening)[^"']*(api|json)"""
+JOB_SIGNS = r"(?i)apply now|open position|current opening|we'?re hiring|job opening|משרות|דרושים|careers-position|/job/|jobs/search"
+PLACE_SIGNS = r"(?i)israel|tel[\s-]?aviv|herzliya|haifa|petah|ramat[\s-]?gan|beer[\s-]?sheva"
+JUNIOR_POSTS = ("ללא ניסיון", "סטודנט", "משרת סטודנט", "junior")

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import lexicons as L
-from .text import insensitive, ladder, let, matches, squeeze
+from .text import insensitive, ladder, let, matches, occurs, squeeze, text
 
 
-def tagged(c: Column, rules, make) -> Column:
-    """array of make(rule) for the rules whose last entry, a pattern, occurs in c."""
-    return F.array_compact(F.array(*(F.when(c.rlike(insensitive(r[-1])), make(r)) for r in rules)))
+def tagged(c: Column, rules, make, low: Column | None = None) -> Column:
+    """array of make(rule) for the rules whose last entry, a pattern, occurs in c (`low`: c in lower case)."""
+    return F.array_compact(F.array(*(F.when(occurs(c, r[-1], low), make(r)) for r in rules)))
 
 
-def skills(c: Column) -> Column:
+def skills(c: Column, low: Column | None = None) -> Column:
     """array<struct<name, category>> in the order of the lists; one expression per category keeps generated code small."""
     named = lambda category: lambda r: F.struct(F.lit(r[0]).alias("name"), F.lit(category).alias("category"))
-    return F.concat(*(tagged(c, rules, named(category)) for category, rules in L.SKILLS.items()))
+    return F.concat(*(tagged(c, rules, named(category), low) for category, rules in L.SKILLS.items()))
 
 
 def cluster(name: Column, category: Column) -> Column:
@@ -116,12 +116,16 @@ def _emphasized(won: Column) -> Column:
     return F.transform(F.array_sort(kept), lambda t: t["group"])
 
 
-def profile(title: Column | str = "title", description: Column | str = "description") -> Column:
-    """struct<skills, family, track, years, degree, ai> of a posting."""
+def profile(title: Column, description: Column, both: Column, low: Column) -> Column:
+    """struct<skills, family, track, years, degree, ai> of squeezed texts; `both`: the two joined by a space, `low`: in lower case."""
+    return F.struct(skills(both, low).alias("skills"), family(title, description).alias("family"), track(title).alias("track"), years(both).alias("years"), degree(both).alias("degree"), ai_usage(both).alias("ai"))
 
-    def made(x: Column) -> Column:
-        both = x["both"]
-        return F.struct(skills(both).alias("skills"), family(x["t"], x["d"]).alias("family"), track(x["t"]).alias("track"), years(both).alias("years"), degree(both).alias("degree"), ai_usage(both).alias("ai"))
 
-    whole = lambda x: F.struct(x["t"].alias("t"), x["d"].alias("d"), F.concat_ws(" ", x["t"], x["d"]).alias("both"))
-    return let(let(F.struct(squeeze(title).alias("t"), squeeze(description).alias("d")), whole), made)
+def profiled(jobs: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
+    """jobs with their `profile`. A posting's texts often repeat over places and days: each distinct pair is profiled once."""
+    key = F.md5(F.concat_ws(":", F.length(text(title)), text(title), text(description)).cast("binary"))
+    keyed = jobs.withColumn("_texts", key)
+    texts = keyed.groupBy("_texts").agg(F.first(text(title)).alias("t"), F.first(text(description)).alias("d")).select("_texts", squeeze("t").alias("t"), squeeze("d").alias("d"))
+    whole = texts.withColumn("both", F.concat_ws(" ", "t", "d")).withColumn("low", F.lower("both"))
+    found = whole.select("_texts", profile(*map(F.col, ("t", "d", "both", "low"))).alias("profile"))
+    return keyed.join(found, "_texts").drop("_texts")

@@ -51,6 +51,11 @@ def html_lines(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(unescape(lines), r"[ \t ]+", " "), r"\s*\n\s*", "\n"))
 
 
+def clean_description(c: Column | str) -> Column:
+    """One line without invisible signs and without what expands a folded text."""
+    return F.regexp_replace(squeeze(F.regexp_replace(text(c), "[\uFEFF\u200B\u200E\u200F\u00AD]", "")), r"\s*\bShow (?:more|less)\b", "")
+
+
 def shorten(c: Column | str, n: int) -> Column:
     """At most n characters, cut at a word with an ellipsis."""
     plain = squeeze(c)
@@ -63,7 +68,11 @@ def safe_url(c: Column | str) -> Column:
 
 
 def markdown_escape(c: Column | str) -> Column:
-    return F.regexp_replace(text(c), r"([\\`*_{}\[\]()#+!|<>-])", r"\\$1")
+    return F.regexp_replace(text(c), r"([`*_{}\[\]()#+\-!@~|>])", r"\\$1")
+
+
+def html_escape(c: Column | str) -> Column:
+    return reduce(lambda s, e: F.replace(s, F.lit(e[0]), F.lit(e[1])), (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")), text(c))
 
 
 def first_filled(*columns: Column) -> Column:
@@ -79,6 +88,23 @@ def insensitive(pattern: str) -> str:
     return pattern if pattern.startswith("(?i)") else f"(?i){pattern}"
 
 
+def hints(pattern: str) -> tuple[str, ...]:
+    """Lower-case texts of which any match of the pattern holds one, or none where an alternative has no plain stretch of two characters."""
+    plain = pattern.removeprefix("(?i)")
+    while (inner := re.sub(r"\((?:[^()\\]|\\.)*\)[?*+]?", "\0", plain)) != plain:
+        plain = inner
+    plain = re.sub(r"\[[^\]]*\](?:[?*+]|\{[^}]*\})?|\\.(?:[?*+]|\{[^}]*\})?|.(?:[?*]|\{[^}]*\})|[.^$+]", "\0", plain)
+    longest = [max(branch.split("\0"), key=len).lower() for branch in plain.split("|")]
+    return tuple(dict.fromkeys(longest)) if all(len(x) > 1 for x in longest) else ()
+
+
+def occurs(c: Column, pattern: str, low: Column | None = None) -> Column:
+    """Whether the pattern occurs, ignoring case. `low`, the lower-case text, lets plain searches spare most of the work."""
+    found = c.rlike(insensitive(pattern))
+    known = hints(pattern) if low is not None else ()
+    return reduce(Column.__or__, (low.contains(h) for h in known)) & found if known else found
+
+
 def any_of(words: tuple[str, ...]) -> str:
     """Alternation of literal words."""
     return "|".join(re.escape(w) for w in words)
@@ -106,6 +132,12 @@ def matches(c: Column, pattern: str) -> Column:
     return let(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), lambda hits: F.when(F.size(hits) > 0, located(hits)).otherwise(empty))
 
 
+def first_match(c: Column, pattern: str) -> Column:
+    """struct<start, end> of the first match, offsets from 0 in characters, end exclusive; null without one."""
+    start = F.length(F.split(c, pattern, 2)[0])
+    return F.when(c.rlike(pattern), F.struct(start.alias("start"), (start + F.length(F.regexp_extract(c, pattern, 0))).alias("end")))
+
+
 def ladder(c: Column, rules, otherwise: Column) -> Column:
     """The value of the first rule (value, pattern) whose pattern occurs, ignoring case."""
-    return F.coalesce(*(F.when(c.rlike(insensitive(p)), F.lit(v)) for v, p in rules), otherwise)
+    return F.coalesce(*(F.when(occurs(c, p), F.lit(v)) for v, p in rules), otherwise)

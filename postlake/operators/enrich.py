@@ -41,7 +41,9 @@ def with_companies(jobs: DataFrame, companies: DataFrame, order: str = "updated"
     fields = [c for c in companies.columns if c != "company"]
     exact = companies.groupBy("company").agg(F.max_by(F.struct(*fields), order).alias("_exact"))
     alike = companies.groupBy(identity_key("company").alias("_id")).agg(F.max_by(F.struct(*fields), F.struct(order, "company")).alias("_alike"))
-    keyed = jobs.withColumn("_id", identity_key("company")).join(exact, "company", "left").join(alike, "_id", "left")
+    # names without an identity match by name alone; each gets a key of its own, so that they make no hot one
+    blank = F.concat(F.lit("\u0000"), F.xxhash64(*jobs.columns).cast("string"))
+    keyed = jobs.withColumn("_id", F.coalesce(F.nullif(identity_key("company"), F.lit("")), blank)).join(exact, "company", "left").join(alike, "_id", "left")
     return keyed.withColumn("firm", F.coalesce("_exact", "_alike")).drop("_id", "_exact", "_alike")
 
 
@@ -61,6 +63,23 @@ def research_targets(names: DataFrame, known: DataFrame, failed: DataFrame, run_
     return due.orderBy(F.col("why") != "new", F.desc(age), "company").limit(n).select("company", "why")
 
 
+def missing_firms(board: DataFrame, known: DataFrame, failed: DataFrame, run_date: str, n: int = 5, wait_days: int = 7) -> DataFrame:
+    """company: the board's companies without a record by name or identity, no junk names, none whose identity failed within
+    `wait_days`; of spellings of one identity the first; the first n by name."""
+    since = F.date_format(F.date_sub(F.to_date(F.lit(run_date)), wait_days), "yyyy-MM-dd")
+    key = identity_key("company").alias("_id")
+    gated = known.select(key).unionByName(failed.where(F.col("last") > since).select(key)).distinct()
+    names = board.select("company").distinct().where(~looks_like_junk("company")).join(known.select("company").distinct(), "company", "left_anti")
+    return names.withColumn("_id", key).join(gated, "_id", "left_anti").groupBy("_id").agg(F.min("company").alias("company")).orderBy("company").limit(n).select("company")
+
+
+def company_texts(static: DataFrame, cached: DataFrame, generated: DataFrame) -> DataFrame:
+    """company, summary: the curated text if it says anything, else the cached, else the generated one."""
+    rows = [df.select("company", F.lit(i).alias("rank"), "summary") for i, df in enumerate((static, cached, generated))]
+    both = reduce(DataFrame.unionByName, rows).where(text("summary") != "")
+    return both.groupBy("company").agg(F.min_by("summary", F.struct("rank", "summary")).alias("summary"))
+
+
 def refreshed(fresh: DataFrame, old: DataFrame, fields: list[str]) -> DataFrame:
     """Records field by field: what is newly found wins, the rest is kept; the band follows the count."""
     joined = fresh.alias("f").join(old.alias("o"), "company", "left")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.lexicons import HIRING_HOSTS, NOTE_FINAL, NOTE_TOKENS
 from ..functions.text import any_of, text
+from .pages import is_misattributed
 
 SEPARATOR = " | "
 _STAMP = r"^([A-Za-z][A-Za-z0-9 _-]*?) (\d{4}-\d{2}-\d{2})(?::|$)"
@@ -135,25 +137,98 @@ def replace_changed(rows: DataFrame, changed: DataFrame) -> DataFrame:
     return rows.join(changed.select("company_name"), "company_name", "left_anti").select(*COLUMNS).unionByName(changed.select(*COLUMNS))
 
 
+def selected(rows: DataFrame, only: list[str] | None = None, n: int | None = None, order: str = "_row") -> DataFrame:
+    """Rows of the named companies (without case and outer spaces), the first n in the registry's order."""
+    if only:
+        rows = rows.where(F.lower(F.trim("company_name")).isin([name.strip().lower() for name in only]))
+    return rows.orderBy(order).limit(n) if n else rows
+
+
+def shard(rows: DataFrame, i: int, n: int, order: str = "_row") -> DataFrame:
+    """Every n-th row from the i-th on, in the registry's order. Places come from counts by range, so no task sorts all rows."""
+    ranged = rows.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id())
+    local = ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1)
+    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return local.join(F.broadcast(before), "_part").where((F.col("_place") + F.col("_before")) % n == i).drop("_part", "_place", "_before")
+
+
+def unresolved(stale: DataFrame, resolved: DataFrame, n: int = 20) -> DataFrame:
+    """Stale companies that no resolved configuration covers, the first n by name."""
+    return stale.join(resolved.select("company").distinct(), "company", "left_anti").orderBy("company").limit(n)
+
+
+def to_resolve(stale: DataFrame, rows: DataFrame) -> DataFrame:
+    """company, careers_url of boards to resolve again: stale ones with an address; if none is stale, scraped rows on a platform's host.
+
+    An interface address becomes the public page it belongs to.
+    """
+    public = F.regexp_replace("careers_url", r"^(https://[^/]+\.myworkdayjobs\.com)/wday/cxs/[^/]+/([^/]+)/.*$", "$1/$2")
+    listed = stale.where(text("careers_url") != "").select("company", "careers_url", F.lit(True).alias("_stale"))
+    hosted = rows.where((F.trim("ats_platform") == "scrape") & text("api_url").rlike(HIRING_HOSTS)).select(F.col("company_name").alias("company"), F.col("api_url").alias("careers_url"), F.lit(False).alias("_stale"))
+    both = listed.unionByName(hosted)
+    any_ = F.broadcast(stale.agg((F.count(F.lit(1)) > 0).alias("_any")))
+    return both.join(any_, F.col("_stale") == F.col("_any")).select("company", public.alias("careers_url"))
+
+
+def apply_resolved(rows: DataFrame, resolved: DataFrame, mark: str = "[self-heal: re-resolved]") -> DataFrame:
+    """Rows with newly found configurations (company, platform, token, api_url); notes of those that differ get the mark."""
+    r = resolved.select(F.col("company").alias("company_name"), *(F.col(c).alias(f"_{c}") for c in ("platform", "token", "api_url")))
+    j = rows.join(r, "company_name", "left")
+    same = (text("ats_platform") == text("_platform")) & (text("token") == text("_token")) & (text("api_url") == text("_api_url"))
+    new = F.col("_platform").isNotNull() & ~same
+    pick = lambda c, n: F.when(new, F.col(n)).otherwise(F.col(c)).alias(c)
+    notes = F.when(new, F.concat_ws(" ", F.nullif("notes", F.lit("")), F.lit(mark))).otherwise(F.col("notes"))
+    return j.select("company_name", pick("ats_platform", "_platform"), pick("token", "_token"), pick("api_url", "_api_url"), "active", notes.alias("notes"), *(c for c in rows.columns if c not in COLUMNS))
+
+
+def outcome_tally(outcomes: DataFrame, by: str = "mode") -> DataFrame:
+    """by, n: how often each outcome came up, the commonest first."""
+    return outcomes.groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), by)
+
+
+def pool_of(rows: DataFrame, tool: str, run_date: str) -> DataFrame:
+    """Rows a tool should look at now, by its own tokens, its own waiting time and what triage said of them."""
+    tokens, days, modes = POOLS[tool]
+    n = text("notes")
+    wanted = n.rlike(rf"(?i){any_of(tokens)}") & ~is_final("notes") & is_due("notes", tool, run_date, days)
+    return rows.where(wanted & (triage_mode("notes").isin("", *modes) if modes else F.lit(True)))
+
+
+#: By tool, the tokens of its pool, days between looks, and the triage modes it acts on (none: all).
+POOLS = {
+    "listing-hunt": (("no listing found", "no IL listing", "monitored candidate", "host documented", "probe-woken", "dark-triage"), 14, ("extract-gap", "js-shell", "wrong-page")),
+    "dark-triage": (("no listing found", "no IL listing", "no ATS detected", "dark-triage"), 10, ()),
+    "audit": (("scanned; no open", "no ATS detected", "empty-but-suspect"), 30, ()),
+    "deep-validate": (("roles-text present", "empty-but-suspect", "no listing found"), 30, ()),
+    "crack-walled": (("unreachable", "scanned via brightdata"), 30, ()),
+}
+
+
 def violations(rows: DataFrame, allowed_orphans: tuple[str, ...] = (), least_pool: int = 50, cap: int = 220) -> DataFrame:
-    """(rule, key, detail) for each broken rule of the registry; empty if it is sound."""
+    """(rule, key, detail) for each broken rule of the registry; empty if it is sound.
+
+    One pass over the rows for the rules of single rows; repeated names and the size of the pool are counted beside it.
+    """
     active = F.lower(F.trim(text("active"))) == "true"
-    named = lambda rule, df, key, detail: df.select(F.lit(rule).alias("rule"), key.alias("key"), detail.alias("detail"))
     name = F.coalesce("company_name", F.lit(""))
-    repeated = rows.groupBy(F.lower(F.trim(name)).alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     idle = ~active & ~in_pool("notes") & ~is_final("notes")
     idle = idle & ~name.isin(*allowed_orphans) if allowed_orphans else idle
-    pool = rows.where(~active & in_pool("notes")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < least_pool)
-    parts = [
-        named("shape", rows.where((F.trim(name) == "") | ~F.coalesce(F.lower(F.trim("active")).isin("true", "false"), F.lit(False))), name, F.coalesce("active", F.lit(""))),
-        named("duplicate", repeated, F.col("k"), F.col("n").cast("string")),
-        named("unscannable", rows.where(active & ((F.trim(text("api_url")) == "") | (F.trim(text("ats_platform")) == ""))), name, text("ats_platform")),
-        named("orphan", rows.where(idle), name, text("notes")),
-        named("pool", pool, F.lit("pool"), F.col("n").cast("string")),
-        named("truncated", rows.where(F.length("notes") > cap), name, F.length("notes").cast("string")),
-        named("misconfigured", rows.where(active & (F.lower(F.trim("ats_platform")) == "scrape") & text("api_url").rlike(HIRING_HOSTS)), name, F.col("api_url")),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    broken = lambda rule, where, detail: F.when(where, F.struct(F.lit(rule).alias("rule"), name.alias("key"), detail.cast("string").alias("detail")))
+    single = F.array_compact(
+        F.array(
+            broken("shape", (F.trim(name) == "") | ~F.coalesce(F.lower(F.trim("active")).isin("true", "false"), F.lit(False)), F.coalesce("active", F.lit(""))),
+            broken("unscannable", active & ((F.trim(text("api_url")) == "") | (F.trim(text("ats_platform")) == "")), text("ats_platform")),
+            broken("orphan", idle, text("notes")),
+            broken("truncated", F.length("notes") > cap, F.length("notes")),
+            broken("misconfigured", active & (F.lower(F.trim("ats_platform")) == "scrape") & text("api_url").rlike(HIRING_HOSTS), F.col("api_url")),
+        )
+    )
+    repeated = rows.groupBy(F.lower(F.trim(name)).alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit("duplicate").alias("rule"), "key", F.col("n").cast("string").alias("detail"))
+    pool = rows.agg(F.count_if(~active & in_pool("notes")).alias("n")).where(F.col("n") < least_pool).select(F.lit("pool").alias("rule"), F.lit("pool").alias("key"), F.col("n").cast("string").alias("detail"))
+    return rows.select(F.explode(single).alias("v")).select("v.*").unionByName(repeated).unionByName(pool)
+
+
+def misattributed(matched: DataFrame) -> DataFrame:
+    """(rule, key, detail) of openings whose address names another company."""
+    return matched.where(is_misattributed("company", "url")).select(F.lit("attribution").alias("rule"), F.col("company").alias("key"), F.col("url").alias("detail"))

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dates import is_iso
+from ..functions.identity import is_division, size_band
 from ..functions.lexicons import HIRING_HOSTS
 from ..functions.text import text
+from .enrich import is_suspect
 
 
 def gap_days(now: Column | str, before: Column | str) -> Column:
@@ -131,10 +133,75 @@ def carry_forward(fresh: DataFrame, previous: DataFrame) -> DataFrame:
     return joined.withColumn("description", F.coalesce(F.nullif("description", F.lit("")), "_old.d", F.lit(""))).withColumn("_jd_attempted", F.col("_old.a")).drop("_old", "_key")
 
 
-def refresh_is_sound(new: DataFrame, old: DataFrame, least: float = 0.8) -> Column:
-    """A one-value column for the guard before a cache is replaced: enough companies are left."""
-    count = lambda df: df.select("company").distinct().count()
-    return F.lit(count(new) >= least * count(old))
+def refresh_is_sound(new: DataFrame, old: DataFrame, least: float = 0.8) -> DataFrame:
+    """One row (sound): whether enough companies are left, the guard before a cache is replaced."""
+    both = new.select("company", F.lit(True).alias("n"), F.lit(False).alias("o")).unionByName(old.select("company", F.lit(False).alias("n"), F.lit(True).alias("o")))
+    per = both.groupBy("company").agg(F.bool_or("n").alias("n"), F.bool_or("o").alias("o"))
+    return per.agg((F.count_if("n") >= least * F.count_if("o")).alias("sound"))
+
+
+def outcomes_count(outcomes: DataFrame) -> DataFrame:
+    """One row: ok, failed, and whether the run may count against names: not if it was aborted by three errors of the
+    service in a row, nor if at least five failed and none succeeded.
+
+    outcomes: company, _ord (order of the attempts), result (`ok`, `failed` or `error`).
+    """
+    before = F.coalesce(F.max(F.when(F.col("result") != "error", F.col("_ord"))).over(Window.orderBy("_ord")), F.lit(-1))
+    runs = outcomes.withColumn("_run", F.when(F.col("result") == "error", before))
+    worst = runs.where("_run is not null").groupBy("_run").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("streak"))
+    totals = outcomes.agg(F.count_if(F.col("result") == "ok").alias("ok"), F.count_if(F.col("result") == "failed").alias("failed"))
+    counts = ~((F.col("streak") >= 3) | ((F.col("failed") >= 5) & (F.col("ok") == 0)))
+    return totals.join(F.broadcast(worst)).select("ok", "failed", counts.alias("counts"))
+
+
+def record_research_failures(failures: DataFrame, outcomes: DataFrame, run_date: str) -> DataFrame:
+    """`failures` after a run (see `outcomes_count`): nothing is recorded of a run that was broken itself."""
+    failed = outcomes.where("result = 'failed'").join(F.broadcast(outcomes_count(outcomes).where("counts").select(F.lit(1).alias("_c"))))
+    return record_failures(failures, failed.select("company"), run_date)
+
+
+def fill_employees(records: DataFrame, found: DataFrame, run_date: str) -> DataFrame:
+    """Records after looking up head counts on profile pages.
+
+    records: company, employees_global, size_band, employees_source, employees_as_of, employees_range, band_before (the band
+    a weak count may have replaced), employees_miss. found: company, count, bucket, strong; null count and bucket: a miss.
+    A weak match keeps the old band aside, a count sets the band, a bucket alone only fills an empty one.
+    """
+    f = found.select("company", F.col("count").cast("int").alias("_n"), F.col("bucket").alias("_b"), (F.coalesce("strong", F.lit(False)) & ~is_division("company")).alias("_s"), F.lit(True).alias("_f"))
+    j = records.join(f, "company", "left")
+    hit, miss = F.col("_n").isNotNull() | F.col("_b").isNotNull(), F.col("_f") & F.col("_n").isNull() & F.col("_b").isNull()
+    hit = F.coalesce(hit, F.lit(False))
+    floor = F.regexp_extract(text("_b"), r"^(\d+)", 1).try_cast("int")
+    band = F.when(F.col("_n").isNotNull(), size_band(F.col("_n"))).when(hit & (text("size_band") == ""), size_band(F.greatest(floor, F.lit(1)))).otherwise(F.col("size_band"))
+    return j.select(
+        "company", F.coalesce("_n", "employees_global").alias("employees_global"), band.alias("size_band"),
+        F.when(hit, F.when(F.col("_s"), "linkedin").otherwise("linkedin-weakmatch")).otherwise(F.col("employees_source")).alias("employees_source"), F.when(hit, F.lit(run_date)).otherwise(F.col("employees_as_of")).alias("employees_as_of"),
+        F.coalesce("_b", "employees_range").alias("employees_range"), F.when(hit & ~F.col("_s") & F.col("band_before").isNull(), text("size_band")).otherwise(F.col("band_before")).alias("band_before"),
+        F.when(F.coalesce(miss, F.lit(False)), F.lit(run_date)).otherwise(F.col("employees_miss")).alias("employees_miss"),
+    )
+
+
+def verify_employees(records: DataFrame, outcomes: DataFrame, run_date: str) -> DataFrame:
+    """Records (see `fill_employees`) after a second look: confirmed counts replace, suspect ones that stay unconfirmed are
+    emptied and the band before them returns; a run in which all of five or more missed, or that was aborted, changes no miss.
+
+    outcomes: company, _ord, result (`ok`, `failed`, `error`), employees, source.
+    """
+    sound = F.broadcast(outcomes_count(outcomes).select(F.col("counts").alias("_sound")))
+    o = outcomes.where("result <> 'error'").select("company", "result", F.col("employees").cast("int").alias("_n"), F.col("source").alias("_src"))
+    j = records.join(o, "company", "left").join(sound)
+    ok, miss = F.coalesce(F.col("result") == "ok", F.lit(False)), F.coalesce((F.col("result") == "failed") & F.col("_sound"), F.lit(False))
+    weak = F.col("employees_source") == "linkedin-weakmatch"
+    suspect = F.coalesce(weak | is_suspect(F.col("employees_global"), F.col("employees_source"), F.col("employees_range"), weak), F.lit(False))
+    out = miss & suspect
+    gone = lambda c, kind="string": F.when(ok | out, F.lit(None).cast(kind)).otherwise(F.col(c)).alias(c)
+    return j.select(
+        "company", F.when(ok, F.col("_n")).when(out, F.lit(None)).otherwise(F.col("employees_global")).cast("int").alias("employees_global"),
+        F.when(ok, size_band(F.col("_n"))).when(out, text("band_before")).otherwise(F.col("size_band")).alias("size_band"),
+        F.when(ok, F.concat(F.lit("web: "), "_src")).when(out, F.concat("employees_source", F.lit("-quarantined"))).otherwise(F.col("employees_source")).alias("employees_source"),
+        F.when(ok, F.lit(run_date)).otherwise(F.col("employees_as_of")).alias("employees_as_of"), gone("employees_range"), gone("band_before"),
+        F.when(ok, F.lit(None)).when(miss, F.lit(run_date)).otherwise(F.col("employees_miss")).alias("employees_miss"),
+    )
 
 
 def probe(observed: DataFrame, previous: DataFrame) -> DataFrame:

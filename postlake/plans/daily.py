@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import is_iso
 from ..functions.identity import is_agency, is_listing_site
 from ..functions.places import city, is_israel
-from ..functions.profile import profile, soft_skills
+from ..functions.profile import profiled, soft_skills
 from ..functions.relevance import classify
 from ..functions.text import shorten, text
 from ..operators.dedup import freshest, merge_duplicates
@@ -78,6 +78,6 @@ def board_view(board: DataFrame, run_date: str) -> DataFrame:
     age = F.datediff(F.to_date(F.lit(run_date)), F.coalesce(posted, F.col("first_seen").try_cast("date")))
     reposted = F.coalesce(F.datediff(posted, F.col("first_seen").try_cast("date")) >= 3, F.lit(False))
     flag = F.when(reposted, "reposted").when(age <= 1, "new").when(age >= 60, "60+ days").when(age >= 45, "45+ days").otherwise("")
-    rows = board.withColumn("city", city("location")).withColumn("profile", profile()).withColumn("soft", soft_skills(F.col("description")))
+    rows = profiled(board).withColumn("city", city("location")).withColumn("soft", soft_skills(F.col("description")))
     blob = F.lower(F.concat_ws(" ", "company", "title", "city", "profile.family", F.array_join("profile.skills.name", " ")))
     return rows.select("mkey", "company", "title", "city", "url", "posted_date", "first_seen", flag.alias("flag"), "profile", "soft", shorten("description", 280).alias("summary"), blob.alias("blob"))

@@ -12,13 +12,12 @@ from .functions import lexicons as L
 from .functions.dates import iso_date, relative_date
 from .functions.identity import display_company, host, identity_key, is_agency, is_listing_site, merge_key, norm_company, primary_sector, registrable, seen_id, size_band
 from .functions.places import city, is_israel
-from .functions.profile import profile
+from .functions.profile import profiled
 from .functions.relevance import classify
 from .functions.text import any_of, shorten, strip_html
 from .operators import dedup, enrich, registry, state, stats
 from .plans import daily
 from .samples import JOBS_SQL, jobs
-from .sources.payloads import postings
 from .streaming.incremental import sessions, windowed_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,12 +219,12 @@ def upsert_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events WHERE event_id % 40 = 0),
+    """WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events),
     s AS (SELECT user_id, d, CASE WHEN coalesce(d - lag(d) OVER w > 3, true) THEN d END AS start FROM d WINDOW w AS (PARTITION BY user_id ORDER BY d))
     SELECT user_id, max(start) AS first_seen, max(d) AS last_seen FROM s GROUP BY 1"""
 )
 def first_seen_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.first_seen_from_history(read(spark, sf_dir, "events").where("event_id % 40 = 0"), "user_id", "ts")
+    return state.first_seen_from_history(read(spark, sf_dir, "events"), "user_id", "ts")
 
 
 @query(
@@ -416,7 +415,7 @@ def three_way_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- profiles ---
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs(spark, sf_dir).withColumn("profile", profile())
+    return profiled(jobs(spark, sf_dir))
 
 
 #: The oracle's engine knows no look-around; over the sample texts these say the same.
@@ -476,28 +475,6 @@ def company_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- sources and the whole run ---
-_ORDERED = "FROM orders WHERE o_custkey % 3 <> 0"
-
-
-def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses of three kinds of boards, one page per customer; jazzhr's hold no postings."""
-    o = read(spark, sf_dir, "orders")
-    day, i = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.col("o_orderkey").cast("string")
-    green = F.to_json(F.struct(F.collect_list(F.struct(F.concat(F.lit(" Role  "), i).alias("title"), F.col("o_orderkey").alias("id"), F.concat(F.lit("https://x/"), i).alias("absolute_url"), day.alias("updated_at"), F.lit("&lt;p&gt;Hello&lt;/p&gt;").alias("content"), F.struct(F.lit("Haifa").alias("name")).alias("location"))).alias("jobs")))
-    lever = F.to_json(F.collect_list(F.struct(F.concat(F.lit("Role "), i).alias("text"), i.alias("id"), F.concat(F.lit("https://x/"), i).alias("applyUrl"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("createdAt"), F.lit("il").alias("country"), F.struct(F.array(F.lit("Haifa"), F.lit("Lod")).alias("allLocations")).alias("categories"))))
-    pages = o.groupBy("o_custkey").agg(green.alias("green"), lever.alias("lever"))
-    kind = F.element_at(F.array(F.lit("jazzhr"), F.lit("Greenhouse "), F.lit("lever")), (F.col("o_custkey") % 3 + 1).cast("int"))
-    return pages.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("company_name"), kind.alias("ats_platform"), F.lit("t").alias("token"), F.lit("https://x").alias("api_url"), F.lit(0).alias("page_no"), F.when(F.col("o_custkey") % 3 == 1, F.col("green")).otherwise(F.col("lever")).alias("body"), F.col("o_custkey").alias("_row"))
-
-
-@query(
-    f"""SELECT 'c' || o_custkey AS company, 'Role ' || o_orderkey AS title, CASE WHEN o_custkey % 3 = 1 THEN 'Haifa' ELSE 'Haifa, Lod' END AS location, CASE WHEN o_custkey % 3 = 1 THEN '' ELSE 'IL' END AS country_code, 'https://x/' || o_orderkey AS url,
-    strftime(o_orderdate, '%Y-%m-%d') AS posted_date, CASE WHEN o_custkey % 3 = 1 THEN 'greenhouse' ELSE 'lever' END AS ats_platform, CAST(o_orderkey AS VARCHAR) AS job_id, CASE WHEN o_custkey % 3 = 1 THEN 'Hello •' ELSE '' END AS description {_ORDERED}"""
-)
-def board_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings(_bronze(spark, sf_dir), "2026-08-22").drop("_ord")
-
-
 @query()
 def daily_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: postings to board, with yesterday's state."""
@@ -542,6 +519,9 @@ def orders_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.cube("n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+from . import query_sources  # noqa: E402, F401  (registers more)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

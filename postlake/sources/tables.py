@@ -39,14 +39,42 @@ def load_state(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(STATE[name]).parquet(f"{root}/{name}/v={versions[-1]}") if versions else empty(spark, STATE[name])
 
 
-def save_state(df: DataFrame, root: str, name: str) -> int:
-    """Writes the next version beside those that may still be read; readers see it when it is complete."""
-    versions = _versions(df.sparkSession, f"{root}/{name}")
-    version = (versions[-1] if versions else 0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/{name}/v={version}")
+def save_state(df: DataFrame, root: str, name: str, batch: int | None = None) -> int:
+    """Writes the next version beside those that may still be read; readers see it when it is complete.
+
+    A writer claims its version by making a folder that no other could make; so two never write one. With `batch`, the
+    number of a streaming batch, a batch written before is not written again.
+    """
+    spark = df.sparkSession
+    folder = f"{root}/{name}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    done = path(f"{folder}/batch={batch}")
+    versions = _versions(spark, folder)
+    if batch is not None and fs.exists(done):
+        return versions[-1]
+    fs.mkdirs(path(folder))
+    version = max([0, *versions, *_claims(spark, folder)]) + 1
+    while True:
+        try:
+            fs.create(path(f"{folder}/claim={version}"), False).close()  # fails if it exists
+            break
+        except Exception:
+            if not fs.exists(path(f"{folder}/claim={version}")):
+                raise
+            version += 1
+    df.write.parquet(f"{folder}/v={version}")
+    if batch is not None:
+        fs.create(done, True).close()
     return version
 
 
+def _claims(spark: SparkSession, folder: str) -> list[int]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    return [int(n[6:]) for n in names if n.startswith("claim=")]
+
+
 def _versions(spark: SparkSession, folder: str) -> list[int]:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())

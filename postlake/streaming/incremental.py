@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.dedup import merge_duplicates
@@ -17,14 +18,14 @@ from ..sources.tables import load_state, save_state
 def matched_sink(root: str, run_date: Callable[[DataFrame], str] | str) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: each batch of accepted postings (with `_ord`) becomes a new version of the matched table.
 
-    A batch that was replayed after a failure changes nothing but the last day, so at-least-once delivery is enough.
+    A batch that is replayed after a failure is known by its number and not written again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         day = run_date if isinstance(run_date, str) else run_date(batch)
-        save_state(upsert_matched(load_state(batch.sparkSession, root, "matched"), merge_duplicates(batch), day), root, "matched")
+        save_state(upsert_matched(load_state(batch.sparkSession, root, "matched"), merge_duplicates(batch), day), root, "matched", batch_id)
 
     return write
 
@@ -66,6 +67,12 @@ def first_seen_stream(stream: DataFrame, key: str, day: str, days: int = 3) -> D
     return stream.select(F.col(key).cast("string").alias(key), F.col(day).cast("date").alias(day)).groupBy(key).applyInPandasWithState(update, out, "first_seen date, last_seen date", "update", GroupStateTimeout.NoTimeout)
 
 
+def start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Runs a sink over a stream: all that is there now, or with `every` (say `1 minute`) for ever, batch by batch."""
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 def read_folder(spark: SparkSession, path: str, schema: str, files_per_batch: int = 100) -> DataFrame:
     """A stream over the Parquet files of a folder."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from postlake.functions.dates import iso_date, relative_date
 from postlake.functions.identity import is_listing_site, merge_key, page_mentions, seen_id, site_verdict
 from postlake.functions.places import is_israel
-from postlake.functions.profile import profile
+from postlake.functions.profile import profiled
 from postlake.functions.relevance import classify
 from postlake.functions.text import shorten, strip_html
 
@@ -88,8 +88,8 @@ def test_texts(spark):
 
 def test_profiles(spark):
     text = "Requirements: 5+ years of experience with SQL, Python and Tableau. BSc in Computer Science required."
-    (p,) = one(job(spark, {"title": "Senior Data Analyst", "description": text}), profile())
+    (p,) = one(profiled(job(spark, {"title": "Senior Data Analyst", "description": text})), F.col("profile"))
     assert {s["name"] for s in p["skills"]} >= {"SQL", "Python", "Tableau"} and p["years"] == 5 and p["family"] == "Data Analyst" and p["track"] == "IC"
     assert (p["degree"]["level"], p["degree"]["status"], p["degree"]["fields"]) == ("BSc", "required", ["CS"])
-    (empty,) = one(job(spark, {}), profile())
+    (empty,) = one(profiled(job(spark, {})), F.col("profile"))
     assert empty["skills"] == [] and empty["years"] is None and empty["degree"] is None and empty["family"] == "Other"
