@@ -121,7 +121,13 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain.select("page_id", F.md5(F.col("t").cast("binary")).alias("digest"), F.length("t").cast("long").alias("n"))
 
 
-@query()
+_SQUEEZED = "trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))"
+
+
+@query(
+    rf"""SELECT doc_id, CASE WHEN length(t) <= 210 THEN t ELSE CASE WHEN contains(left(t, 210), ' ') THEN regexp_extract(left(t, 210), '^(.*) ', 1) ELSE left(t, 210) END || '…' END AS summary, source
+    FROM (SELECT doc_id, {_SQUEEZED.replace(chr(92) * 2, chr(92))} AS t, coalesce(source, '') AS source FROM documents)"""
+)
 def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", shorten("text", 210).alias("summary"), display_company("source").alias("source"))
 
@@ -469,13 +475,38 @@ def demand_by_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.by_axes(rows, ["platform", "country"]).select("axis", "value", "companies", "jobs", "degree_required_rate", "lead_share", "ai_mention_rate", F.col("median_years").cast("long").alias("median_years"))
 
 
-@query()
+_FOLD = "array_to_string(list_transform({}, lambda x: x.k || '=' || x.n), ',')"
+_BY = "(SELECT company, list({{'k': k, 'n': n}} ORDER BY k) AS l FROM (SELECT company, {0} AS k, count(*) AS n FROM {1} GROUP BY ALL) GROUP BY 1)"
+_TOP_SKILLS = "(SELECT company, string_agg(skill, '|' ORDER BY n DESC, skill) AS skills FROM (" + _TOP.format(g="company", k=15, rows=f"(SELECT company, _ord, unnest(skills) AS skill FROM {_PROFILES})") + ") GROUP BY 1)"
+_FIRST_TITLES = f"(SELECT company, string_agg(title, '|' ORDER BY _ord) AS titles FROM (SELECT *, row_number() OVER (PARTITION BY company ORDER BY _ord) AS p FROM {JOBS_SQL}) WHERE p <= 10 GROUP BY 1)"
+
+
+@query(
+    f"""SELECT j.company, j.jobs, j.asked, {_FOLD.format('f.l')} AS families, {_FOLD.format('t.l')} AS tracks, coalesce(s.skills, '') AS skills, i.titles
+    FROM (SELECT company, count(*) AS jobs, count({_YEARS}) AS asked FROM {JOBS_SQL} GROUP BY 1) j JOIN {_BY.format('family', _PROFILES)} f USING (company) JOIN {_BY.format('track', _PROFILES)} t USING (company)
+    LEFT JOIN {_TOP_SKILLS} s USING (company) JOIN {_FIRST_TITLES} i USING (company)"""
+)
 def company_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.fingerprints(_profiles(spark, sf_dir))
+    flat = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias(c)
+    found = stats.fingerprints(_profiles(spark, sf_dir))
+    return found.select("company", "jobs", "asked", flat("families"), flat("tracks"), F.coalesce(F.array_join("skills", "|"), F.lit("")).alias("skills"), F.array_join("titles", "|").alias("titles"))
 
 
 # --- sources and the whole run ---
-@query()
+_ACCEPTED = f"_ord IN (SELECT _ord FROM {_CLASSES} WHERE decision = 'accept')"
+_BOARD_FAMILY = _FAMILY.replace("description", "squeezed")
+
+
+@query(
+    rf"""WITH o AS {_merged_sql(_DAY1)}, n AS {_merged_sql(_ACCEPTED)}, failed AS (SELECT DISTINCT company FROM {JOBS_SQL} WHERE _ord % 70 = 0),
+    after_ AS (SELECT coalesce(o.mkey, n.mkey) AS mkey, coalesce(o.company, n.company) AS company, coalesce(o.title, n.title) AS title, CASE WHEN n.mkey IS NULL THEN o.location ELSE n.location END AS location, CASE WHEN n.mkey IS NULL THEN o.description ELSE n.description END AS description,
+        CASE WHEN n.mkey IS NULL OR (o.posted_date <> '' AND n.posted_date = '') THEN o.posted_date ELSE n.posted_date END AS posted_date, CASE WHEN o.mkey IS NULL THEN '1998-08-01' ELSE '1998-07-30' END AS first_seen, CASE WHEN n.mkey IS NULL THEN '1998-07-30' ELSE '1998-08-01' END AS last_seen
+        FROM o FULL JOIN n ON o.mkey = n.mkey),
+    alive AS (SELECT *, CASE WHEN posted_date <> '' THEN posted_date ELSE first_seen END AS fresh FROM after_ WHERE CASE WHEN posted_date <> '' THEN posted_date ELSE first_seen END >= '1998-07-18' AND (last_seen >= '1998-07-31' OR company IN (SELECT company FROM failed))),
+    board AS (SELECT *, trim(regexp_replace(description, '\s+', ' ', 'g')) AS squeezed, date_diff('day', CAST(nullif(posted_date, '') AS DATE), CAST(first_seen AS DATE)) AS lag FROM (SELECT *, row_number() OVER (PARTITION BY company ORDER BY fresh DESC, mkey) AS p FROM alive) WHERE p <= 8)
+    SELECT mkey, company, title, {_CITY} AS city, CASE WHEN lag <= -3 THEN 'reposted' WHEN age <= 1 THEN 'new' WHEN age >= 60 THEN '60+ days' WHEN age >= 45 THEN '45+ days' ELSE '' END AS flag, posted_date, first_seen, {_BOARD_FAMILY} AS family,
+    squeezed AS summary FROM (SELECT *, date_diff('day', CAST(fresh AS DATE), DATE '1998-08-01') AS age FROM board)"""
+)
 def daily_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: postings to board, with yesterday's state."""
     from .sources.tables import STATE, empty
