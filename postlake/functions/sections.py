@@ -124,7 +124,7 @@ def requirements_header(plain: Column) -> Column:
 
 def _until(section: Column, most: int, *ends: str) -> Column:
     """The section up to the first of the patterns that begins beyond its 20th character."""
-    found = F.array_min(F.array(*(F.filter(F.array(first_match(section, p)["start"]), lambda x: x > 20)[0] for p in ends)))
+    found = F.array_min(F.array(*(F.get(F.filter(F.array(first_match(section, p)["start"]), lambda x: x > 20), F.lit(0)) for p in ends)))
     return F.substring(section, F.lit(1), F.least(F.coalesce(found, F.lit(most)), F.lit(most)))
 
 
@@ -197,7 +197,7 @@ def company_blurb(description: Column | str, company: Column | str = "") -> Colu
     def found(d: Column) -> Column:
         named = words(F.call_function("regexp_extract", F.substring(d, 1, 400), F.concat(F.lit("(?i)\\Q"), name, F.lit("\\E" + L.COMPANY_DOES)), F.lit(1)))
         plain = words(F.regexp_extract(F.substring(d, 1, 220), L.COMPANY_IS, 1))
-        fits = (name != "") & (F.size(named) >= 3) & ~F.lower(named[0]).isin(*L.BLURB_STRAYS)
+        fits = (name != "") & (F.size(named) >= 3) & ~F.lower(F.get(named, F.lit(0))).isin(*L.BLURB_STRAYS)
         return F.when(fits, F.array_join(F.slice(named, 1, 16), " ")).otherwise(F.array_join(F.slice(plain, 1, 12), " "))
 
     return let(_strip(unlabelled(description), " •", right=False), found)

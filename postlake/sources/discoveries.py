@@ -66,7 +66,7 @@ def channel_postings(messages: DataFrame) -> DataFrame:
     lines = post_lines("body")
     end = F.array_position(lines, "--")
     rows = messages.withColumn("l", F.when(end > 0, F.slice(lines, F.lit(1), end.cast("int") - 1)).otherwise(lines)).where(F.size("l") >= 4)
-    rest = F.slice("l", F.when(F.col("l")[3].rlike(r"^\d{1,2}/\d{1,2}/\d{2}"), 5).otherwise(4), F.size("l"))
+    rest = F.slice("l", F.when(F.get("l", F.lit(3)).rlike(r"^\d{1,2}/\d{1,2}/\d{2}"), 5).otherwise(4), F.size("l"))
     first = lambda a: F.coalesce(F.try_element_at(a, F.lit(1)), F.lit(""))
     rows = rows.withColumn("rest", rest).withColumn("url", first(F.filter(F.transform("rest", lambda x: F.regexp_extract(x, _LINK, 0)), lambda x: x != "")))
     # the line that gave the link is neither skills nor level
@@ -74,7 +74,7 @@ def channel_postings(messages: DataFrame) -> DataFrame:
     others = F.filter(F.transform("rest", lambda x, i: F.when(i + 1 != linked, x)), lambda x: x.isNotNull())
     rows = rows.withColumn("others", others).withColumn("skills", first(F.filter("others", lambda x: x.contains(","))))
     short = F.filter("others", lambda x: (~x.contains(",") | (x != F.col("skills")) & x.contains(",")) & (F.size(F.split(x, r"\s+")) <= 3) & ~x.rlike(_LINK))
-    title, company, city = F.col("l")[0], F.trim(F.replace(F.col("l")[1], F.lit("(.)"), F.lit("."))), F.col("l")[2]
+    title, company, city = F.get("l", F.lit(0)), F.trim(F.replace(F.get("l", F.lit(1)), F.lit("(.)"), F.lit("."))), F.get("l", F.lit(2))
     own = F.rtrim(title).endswith(":") | title.rlike("(?i)jobs posted|weekly digest")
     kept = rows.where((F.col("url") != "") & (F.length(title) <= 120) & (F.length(company) <= 60) & ~own)
     link = F.substring_index("url", "?", 1)
