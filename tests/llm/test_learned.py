@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postlake.llm.language import ByteBiGRU, predict_languages, windows
+from postlake.llm.language import ByteBiGRU, pooled, predict_languages, windows
+from postlake.llm.language import train as train_network
 from postlake.llm.quality import Follower, features, good_quality, quality_scores
+from postlake.llm.quality import train as train_weights
 
 SF = "/root/testdata/sf0.1"
 
@@ -88,3 +90,44 @@ def test_follower_matches_the_update_by_hand():
 def test_features():
     at, x = features("a b a b", 18)
     assert len(at) == len(set(at.tolist())) and x[at == 0] == 1 and len(features(None, 18)[0]) == 1
+
+
+def test_signs_that_are_no_letters(spark, make):
+    docs = make([(0, "the cat"), (2, "el gato"), (4, "½ ² Ⅷ ① 12"), (5, "ª"), (6, "ж")])
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") == 0, "en").when(F.col("doc_id") == 2, "es"))
+    got = {r["doc_id"]: r["lang_pred"] for r in predict_languages(docs).collect()}
+    assert got[4] == "und" and got[5] != "und" and got[6] != "und"
+
+
+def test_language_query_equals_one_text_at_a_time(spark):
+    """The network over each whole text alone; ties go to the first language."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    languages, net = train_network(docs, "doc_id", "text", "lang")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in predict_languages(docs).collect()}
+    for r in docs.collect():
+        if r["text"] and any(c.isalpha() for c in r["text"]):
+            p = pooled(net, [r["text"].encode()], len(languages), 128)[0]
+            assert got[r["doc_id"]][0] == languages[int(p.argmax())] and got[r["doc_id"]][1] == pytest.approx(p.max(), abs=1e-5)
+
+
+def test_quality_query_equals_plain_python(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    taught = [(str(i), t, y) for i, t, y in ((r["doc_id"], texts.get(r["doc_id"], ""), r["quality"]) for r in labels.collect()) if i in texts and y in (0, 1) and zlib.crc32(str(i).encode()) % 5]
+    taught.sort(key=lambda x: (zlib.crc32(x[0].encode()), x[0], x[2]))
+    model = Follower(18)
+    for epoch in range(3):
+        for k in np.random.default_rng(epoch).permutation(len(taught)):
+            at, x = features(taught[k][1], 18)
+            model.learn(at, x.astype("<f4").astype(float), taught[k][2])
+    weights = model.weights()
+    for r in quality_scores(docs, labels).collect():
+        at, x = features(texts[r["doc_id"]], 18)
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-(weights[at] @ x))), abs=1e-6)
+
+
+def test_a_repeated_id_teaches_once(spark, make):
+    docs = make([(1, "good words here"), *[(2, f"BAD!! BAD!! {i}") for i in range(50)], (6, "fine text")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (6, 1)], "doc_id long, quality int")
+    once = make([(1, "good words here"), (2, min(("BAD!! BAD!! %d" % i for i in range(50)), key=lambda t: tuple(a.astype(k).tobytes() for a, k in zip(features(t, 18), ("<i4", "<f4"), strict=True)))), (6, "fine text")])
+    assert (train_weights(docs, labels, "doc_id", "text", "quality") == train_weights(once, labels, "doc_id", "text", "quality")).all()

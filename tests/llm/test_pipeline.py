@@ -31,3 +31,19 @@ def test_an_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
     assert docs.count() == 0
+
+
+def test_stages_with_nulls_repeats_long_texts_and_other_columns(spark, sf):
+    """Every stage keeps columns and clean rows whatever their names and values are."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    text = docs.orderBy("doc_id").first()["text"]
+    odd = spark.createDataFrame([(None, None, None, None, None), (900_001, None, "en", "s", None), (900_002, "", "en", "s", 0), (900_003, text + " tail " + " ".join(f"q{i} of" for i in range(60_000)), "en", "s", 1), (900_004, text, None, None, 2), (900_004, text, None, None, 2)], docs.schema)
+    docs = docs.unionByName(odd).selectExpr("*", "1 as key", "2 as id", "'x' as label", "3.0 as score")
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, sf)
+        if name != "encode":
+            assert after.columns == docs.columns, name
+        docs = after.cache()
+        assert docs.count() > 0, name
+    ids = [r["doc_id"] for r in docs.collect()]
+    assert ids.count(900_004) <= 1 and len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})

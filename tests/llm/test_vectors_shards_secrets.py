@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 
 from postlake.llm import queries
@@ -44,6 +46,20 @@ def test_recall_against_brute_force(spark):
         assert recall(queries.op1_neighbours(spark, f"/root/testdata/{sf}").collect(), want) >= 0.9
 
 
+def test_recall_on_a_table_ten_times_the_sample(spark):
+    for clustered in (False, True):
+        rng = np.random.default_rng(9)
+        x = rng.normal(size=(8000, 24)) + (3 * rng.normal(size=(25, 24))[rng.integers(0, 25, 8000)] if clustered else 0)
+        frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        assert recall(nearest(frame, F.col("vec_id") % 20 == 0, sample=800).collect(), exact(np.arange(8000), x, 20)) >= 0.9
+
+
+def test_an_id_with_several_vectors_is_asked_by_the_least(spark):
+    frame = spark.createDataFrame([(0, [2.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    got = nearest(frame, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(2, 1.0), (1, 0.0)]
+
+
 def test_neighbours_of_unequal_lengths_with_a_hot_vector(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(900, 12)) * rng.gamma(2, size=(900, 1))
@@ -57,7 +73,8 @@ def test_neighbours_edges(spark):
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [float("inf"), 1.0]), (6, [0.5, 0.5]), (6, [0.5, 0.5]), (7, [-1.0, 0.0]), (8, [1.0]), (20, [0.5, 0.5]), (None, [1.0, 1.0])]
     frame = spark.createDataFrame([(i, v, 1, 2.0) for i, v in rows], "vec_id long, embedding array<double>, list int, score double")
     got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in nearest(frame, F.col("vec_id") % 20 == 0).collect()}
-    assert got == {(0, 1): (6, 0.5), (0, 2): (20, 0.5), (0, 3): (7, -1.0), (20, 1): (0, 0.5), (20, 2): (6, 0.5), (20, 3): (7, -0.5)}
+    # the shorter vector of 8 counts as [1, 0]
+    assert got == {(0, 1): (8, 1.0), (0, 2): (6, 0.5), (0, 3): (20, 0.5), (0, 4): (7, -1.0), (20, 1): (0, 0.5), (20, 2): (6, 0.5), (20, 3): (8, 0.5), (20, 4): (7, -0.5)}
     assert nearest(frame.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
@@ -113,6 +130,22 @@ def test_shards(spark, make):
     assert sorted((r["doc_id"] or -1, r["shard"], r["slot"]) for r in shards(make(rows).repartition(7)).collect() if r["doc_id"] != 5007) == sorted((r["doc_id"] or -1, r["shard"], r["slot"]) for r in got if r["doc_id"] != 5007)
 
 
+def test_shards_place_each_group_by_the_dot_product(spark, make):
+    rng = random.Random(4)
+    rows = [(i, f"text {i % 150} " * rng.randrange(1, 30) if i % 150 > 5 else f"same {i % 150}") for i in range(400)]
+    groups = {}
+    for _, t in rows:
+        g = xxhash.xxh64_intdigest(t, seed=7)
+        groups.setdefault(g - (1 << 64) if g >> 63 else g, []).append(t)
+    order = sorted(groups)
+    units = np.array([[sum(len(t) + 1 for t in groups[g]), sum(len(t.split()) for t in groups[g]), len(groups[g])] for g in order], float)
+    want = {groups[g][0]: int(s) for g, s in zip(order, pack(units, 16), strict=True)}
+    texts = dict(rows)
+    assert all(r["shard"] == want[texts[r["doc_id"]]] for r in shards(make(rows)).collect())
+    counted = shards(make(rows), model=P.path("piece_bpe_32k.model")).agg(F.sum("n_tokens")).first()[0]
+    assert counted == sum(len(x) for x in sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model")).encode([t for _, t in rows]))
+
+
 def brute_base(text):
     out = []
     for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
@@ -154,3 +187,24 @@ def test_keys_of_letters_only_beside_long_words(spark, make):
     got = {r["doc_id"]: r["spans"] for r in secret_spans(docs, RANKS, P.PATTERN).collect()}
     assert all(got[i] == "random:4:28" for i in range(len(keys))) and got[100] == ""
     assert without_secrets(docs, RANKS, P.PATTERN).where("text = 'see [SECRET] here'").count() == len(keys)
+
+
+def test_what_named_spans_leave_of_a_key_is_judged(spark, make):
+    key, path = "xK9vQ2mZ7pL4tR8wN1sB-0a1b2c3d4e5f60718293-G6yJ3hF5dG0cA", "/home/user/build-of-day/0a1b2c3d4e5f60718293/output-folder"
+    docs = make([(1, f"see {key} here"), (2, path), (3, "password=abcdefghijklmnopq")])
+    got = {r["doc_id"]: (r["spans"], r["redacted"]) for r in secret_spans(docs, RANKS, P.PATTERN, mark="[S]").collect()}
+    assert got[1] == (f"random:4:{4 + len(key)},hex:25:45", "see [S] here")
+    assert got[2] == ("hex:24:44", path.replace("0a1b2c3d4e5f60718293", "[S]")) and got[3] == ("assign:0:26", "[S]")
+
+
+def test_precision_and_recall_of_random_spans(spark, make):
+    rng = random.Random(12)
+    kinds = ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    keys = ["".join(rng.choices(kinds[i % 4], k=rng.randrange(20, 64))) for i in range(400)]
+    vocabulary = "the quick brown fox jumps over lazy dogs while seven wizards make toxic brew for the evil queen and jack customer order line item price discount tax part supplier nation region".split()
+    plain = [rng.choice("-_/").join(rng.choices(vocabulary, k=rng.randrange(4, 9))) + rng.choice(["", "-2024", "_v2", "/index"]) for _ in range(400)]
+    plain += ["".join(w.title() for w in rng.choices(vocabulary, k=6)) for _ in range(200)] + [f"2024-0{rng.randrange(1, 9)}-1{rng.randrange(9)}T10-0{rng.randrange(9)}-00Z" for _ in range(50)]
+    docs = make([*enumerate(f"see {k} here" for k in keys), *((1000 + i, f"see {t} here") for i, t in enumerate(plain))])
+    found = {r["doc_id"] for r in secret_spans(docs, RANKS, P.PATTERN).where("spans like '%random%'").collect()}
+    caught, wrong = sum(i < 1000 for i in found), sum(i >= 1000 for i in found)
+    assert caught >= 0.95 * len(keys) and wrong <= 0.1 * len(plain)
