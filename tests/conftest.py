@@ -17,6 +17,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "3g")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
