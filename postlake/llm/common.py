@@ -107,7 +107,7 @@ def spread(left: DataFrame, right: DataFrame, on: list[str], hot: Column) -> Dat
     return left.join(few, on).unionByName(rest.join(right.where(~hot), on))
 
 
-def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", most: int = 1_000_000, parts: int = 4096) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", most: int = 200_000, parts: int = 4096) -> DataFrame:
     """left joined with right (cut, without null keys), whatever one key holds of left.
 
     Up to `most` rows of right are broadcast. Beyond, keys that hold over 1/parts of left's rows, `parts` at most, are joined
@@ -125,7 +125,7 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
     return out
 
 
-def without(docs: DataFrame, id_col: str, dropped: DataFrame, most: int = 1_000_000) -> DataFrame:
+def without(docs: DataFrame, id_col: str, dropped: DataFrame, most: int = 200_000) -> DataFrame:
     """docs without the rows whose id is in `dropped` (one column, cut). Up to `most` ids are broadcast, more are joined by shuffle."""
     return lookup(docs, dropped.toDF(id_col), [id_col], "left_anti", most).select(docs.columns)
 
