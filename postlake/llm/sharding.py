@@ -20,14 +20,18 @@ from .common import cut, slices
 from .token_counts import counter
 
 
-def pack(units: np.ndarray, n_shards: int) -> np.ndarray:
-    """Shard of each row of `units` (weights by dimension, all of which matter alike). Larger units first, ties in the order given."""
+def pack(units: np.ndarray, n_shards: int, matters: tuple[float, ...] = (20, 1, 1)) -> np.ndarray:
+    """Shard of each row of `units` (weights by dimension). Larger units first, ties in the order given.
+
+    `matters` scales the dimensions in the dot product: the first, bytes, is the law and comes before the others. With even
+    weights one text of a third of a shard, beside many small ones, leaves its shard a tenth over the mean in bytes.
+    """
     total = units.sum(axis=0)
     share = units / np.where(total > 0, total / n_shards, 1)
     residual = np.ones((n_shards, units.shape[1]))
     out = np.zeros(len(units), np.int64)
     for i in np.argsort(-share.max(axis=1), kind="stable"):
-        at = out[i] = int(np.argmax(residual @ share[i]))
+        at = out[i] = int(np.argmax(residual @ (share[i] * matters)))
         residual[at] -= share[i]
     return out
 

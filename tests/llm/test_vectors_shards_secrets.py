@@ -5,7 +5,6 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import sentencepiece
-import xxhash
 from pyspark.sql import functions as F
 
 from postlake.llm import queries
@@ -134,9 +133,8 @@ def test_shards_place_each_group_by_the_dot_product(spark, make):
     rng = random.Random(4)
     rows = [(i, f"text {i % 150} " * rng.randrange(1, 30) if i % 150 > 5 else f"same {i % 150}") for i in range(400)]
     groups = {}
-    for _, t in rows:
-        g = xxhash.xxh64_intdigest(t, seed=7)
-        groups.setdefault(g - (1 << 64) if g >> 63 else g, []).append(t)
+    for g, t in make(rows).select(F.xxhash64("text", F.lit(7)), "text").collect():
+        groups.setdefault(g, []).append(t)
     order = sorted(groups)
     units = np.array([[sum(len(t) + 1 for t in groups[g]), sum(len(t.split()) for t in groups[g]), len(groups[g])] for g in order], float)
     want = {groups[g][0]: int(s) for g, s in zip(order, pack(units, 16), strict=True)}
