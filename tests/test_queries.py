@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from postlake import queries
+from postlake import queries, query_sources
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -37,16 +37,16 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted(str([plain(r[c]) for c in columns]) for r in got.collect()) == right
 
 
-def test_board_responses_read_every_order(spark):
-    """Pages of all customers reach the operator; those of jazzhr give no postings."""
-    pages = queries._bronze(spark, SF)
+def test_platform_responses_read_every_order(spark):
+    """Pages of all customers and platforms reach the operator; those of jazzhr give no postings."""
+    pages = query_sources.bronze(spark, SF)
     assert pages.count() == spark.read.parquet(f"{SF}/orders.parquet").select("o_custkey").distinct().count()
-    kinds = {r["ats_platform"] for r in queries.QUERIES["board_responses"](spark, SF).select("ats_platform").distinct().collect()}
-    assert pages.where("ats_platform = 'jazzhr'").count() > 0 and kinds == {"greenhouse", "lever"}
+    kinds = {r["ats_platform"] for r in queries.queries()["platform_responses"](spark, SF).select("ats_platform").distinct().collect()}
+    assert kinds == set(query_sources.EXPECTED) - {"jazzhr", "phenom"}
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() >= 0
+    assert entry.entry(spark).count() == 149
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
