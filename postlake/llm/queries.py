@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import encode_decode
 from .common import table
 from .decontaminate import contaminated
+from .divergence import source_divergence
 from .language import predict_languages
 from .licenses import CUE, PHRASES, TEMPLATES, scan_licenses
 from .near_dedup import near_duplicates
@@ -71,6 +72,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(table(spark, sf_dir, "documents"), model=public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def _license_sql() -> str:
     values = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(TEMPLATES))
     phrases = " OR ".join(" AND ".join(f"w[i + {n}] = '{x}'" for n, x in enumerate(p.split())) for p in PHRASES)
@@ -146,6 +151,29 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN least USING (doc_id)
 """
 
+OP11_SQL = r"""
+WITH docs AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS i,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), words AS (SELECT lang, source, i, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT i) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (SELECT lang, count(term) AS v FROM (SELECT DISTINCT lang FROM groups) LEFT JOIN kept USING (lang) GROUP BY 1),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+full_counts AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+shares AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM full_counts JOIN sizes USING (lang)),
+totals AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL),
+whole AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM totals JOIN sizes USING (lang)),
+gaps AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 50
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -159,6 +187,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": op8_near_dedup,
         "op9_secrets": op9_secrets,
         "op10_shards": op10_shards,
+        "op11_divergence": op11_divergence,
     }
 
 
@@ -166,4 +195,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_licenses": OP5_SQL,
         "op8_near_dedup": OP8_SQL,
+        "op11_divergence": OP11_SQL,
     }
