@@ -12,6 +12,7 @@ from .byte_bpe import encode_decode
 from .common import table
 from .decontaminate import contaminated
 from .divergence import source_divergence
+from .hard_negatives import hard_negatives
 from .language import predict_languages
 from .licenses import CUE, PHRASES, TEMPLATES, scan_licenses
 from .near_dedup import near_duplicates
@@ -76,6 +77,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def _license_sql() -> str:
     values = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(TEMPLATES))
     phrases = " OR ".join(" AND ".join(f"w[i + {n}] = '{x}'" for n, x in enumerate(p.split())) for p in PHRASES)
@@ -174,6 +180,21 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number
 FROM found QUALIFY part = 'pair' OR rank <= 50
 """
 
+OP12_SQL = """
+WITH able AS (
+    SELECT vec_id AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.id AS anchor_id, b.id AS id, a.label = b.label AS same, list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS score
+    FROM able a JOIN able b ON a.id <> b.id WHERE a.id % 100 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id,
+    CAST(positive_score AS BIGINT) AS positive_score, CAST(score AS BIGINT) AS negative_score
+FROM positives JOIN scores USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score QUALIFY rank <= 5
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -188,6 +209,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": op9_secrets,
         "op10_shards": op10_shards,
         "op11_divergence": op11_divergence,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
@@ -196,4 +218,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_licenses": OP5_SQL,
         "op8_near_dedup": OP8_SQL,
         "op11_divergence": OP11_SQL,
+        "op12_hard_negatives": OP12_SQL,
     }
