@@ -43,3 +43,11 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = mark
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def labelled(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(set_key, component_id): components of classes (class, set_key, least id) are named by their least id; those without links stand alone."""
+    owned = cut(roots.withColumnRenamed("node", "class").join(classes.select("class", "least"), "class"))
+    named = cut(owned.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    owned = cut(spread(owned.select("class", "root"), named, ["root"], F.col("n") * 4096 > owned.count()).select("class", "component_id"))
+    return cut(classes.join(owned, "class", "left").select("set_key", F.coalesce("component_id", "least").alias("component_id")))

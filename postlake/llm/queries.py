@@ -17,6 +17,7 @@ from .language import predict_languages
 from .licenses import CUE, PHRASES, TEMPLATES, scan_licenses
 from .near_dedup import near_duplicates
 from .neighbours import nearest
+from .ngram_join import ngram_join
 from .quality import quality_scores
 from .secrets import secret_spans
 from .sharding import shards
@@ -82,6 +83,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def _license_sql() -> str:
     values = ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(TEMPLATES))
     phrases = " OR ".join(" AND ".join(f"w[i + {n}] = '{x}'" for n, x in enumerate(p.split())) for p in PHRASES)
@@ -157,6 +162,8 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN least USING (doc_id)
 """
 
+OP13_SQL = OP8_SQL.replace("w[i:i + 4]", "w[i:i + 3]").replace("len(w) < 5", "len(w) < 4").replace("len(w) - 3", "len(w) - 2").replace(", doc_id = component_id AS kept", "")
+
 OP11_SQL = r"""
 WITH docs AS (
     SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS i,
@@ -210,6 +217,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_shards": op10_shards,
         "op11_divergence": op11_divergence,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_ngram_join": op13_ngram_join,
     }
 
 
@@ -219,4 +227,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_near_dedup": OP8_SQL,
         "op11_divergence": OP11_SQL,
         "op12_hard_negatives": OP12_SQL,
+        "op13_ngram_join": OP13_SQL,
     }
