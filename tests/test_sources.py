@@ -46,14 +46,48 @@ def test_discovered_posts(spark):
     assert [r[0] for r in dates.select(discoveries.discovery_date("d", "2026-08-22")).collect()] == ["2026-08-17", None, None, "2026-08-19", "2026-01-02", "", ""]
 
 
-def test_job_lists_in_json():
-    jobs = [{"title": "Data Analyst", "office": {"name": "Haifa"}}, {"title": "QA Engineer", "id": "7"}, {"x": 1}]
-    assert [pages._title(o) for o in pages.job_objects({"a": [{"b": jobs}]})] == ["Data Analyst", "QA Engineer"]
-    assert list(pages.job_objects(jobs[:1])) == [] and list(pages.job_objects([*jobs, *[{"x": 1}] * 3])) == []
-    deep = jobs
-    for _ in range(20):
-        deep = {"n": deep}
-    assert list(pages.job_objects(deep)) == []
+JOBS = [{"title": "Data Analyst", "office": {"name": "Haifa"}}, {"title": "QA Engineer", "id": "7"}, {"x": 1}]
+
+
+def nested(value, levels):
+    for k in range(levels):
+        value = {"n": value} if k % 2 else [value]
+    return value
+
+
+@pytest.mark.parametrize(
+    ("tree", "want"),
+    [
+        ({"a": [{"b": JOBS}]}, ["Data Analyst", "QA Engineer"]),
+        (JOBS[:1], []),
+        ([*JOBS, *[{"x": 1}] * 3], []),
+        (nested(JOBS, 14), ["Data Analyst", "QA Engineer"]),
+        (nested(JOBS, 15), []),
+        # a list comes before what is in it; a text that looks like JSON is a text; names that can't be titles don't count
+        ([{**JOBS[0], "more": [{"name": "Product Lead"}, {"name": "Sales Lead", "url": "u"}], "z": json.dumps(JOBS)}, JOBS[1], {"title": "Home"}], ["Data Analyst", "QA Engineer", "Product Lead", "Sales Lead"]),
+        ("Data Analyst", []), (None, []), ([1, None, "x", [[]]], []),
+    ],
+)
+def test_job_lists_in_json(spark, tree, want):
+    rows = spark.createDataFrame([(1, json.dumps(tree))], "k int, blob string")
+    assert [r["title"] for r in pages.listed_postings(rows, "blob").orderBy("_at").collect()] == want
+
+
+def test_texts_of_embedded_postings(spark):
+    """Names of places in objects and arrays of arrays; the first member in the text's order decides; broken JSON holds nothing."""
+    jobs = [{"jobTitle": " Data Analyst ", "name": "QA Engineer", "offices": [{"label": "Haifa"}, ["Lod", [{"text": "Yafo"}]], 3, "far"], "href": "/1", "url": "/2", "datePosted": "2026-08-01"}, {"title": "Data Engineer", "ID": "7", "city": {"x": 1}, "location": "Holon"}, {"title": "Data Lead"}]
+    html = f'<script type="application/json">{json.dumps(jobs)}</script><script type="application/json">[{{broken</script>'
+    rows = spark.createDataFrame([(1, "https://a.com", html, "A"), (2, "https://a.com", None, "B")], "page_id bigint, url string, html string, company string")
+    got = pages.embedded_postings(rows).orderBy("_at").collect()
+    assert [(r["title"], r["location"], r["url"], r["date"], r["job_id"], r["_at"]) for r in got] == [("Data Analyst", "Haifa, Lod, Yafo", "/1", "2026-08-01", "", 0), ("Data Engineer", "Holon", "", "", "7", 1)]
+
+
+def test_a_page_is_read_without_shuffling_it(spark):
+    html = "".join(f'<h3 class="t">Team Engineer {k}</h3><i>Lod, Israel</i>' for k in "abc")
+    rows = spark.createDataFrame([(1, "https://a.com", html, "A"), (2, "https://a.com", html + '<a href="/jobs/1">Data Analyst</a> Haifa', "A")], "page_id bigint, url string, html string, company string")
+    got = pages.scraped_postings(rows, "2026-08-22")
+    assert sorted((r["page_id"], r["title"]) for r in got.collect()) == [(1, "Team Engineer a"), (1, "Team Engineer b"), (1, "Team Engineer c"), (2, "Data Analyst")]
+    assert "Python" not in (plan := got._jdf.queryExecution().executedPlan().toString()) and "MapInArrow" not in plan
 
 
 def test_pages_without_anything(spark):
