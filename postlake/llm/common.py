@@ -10,8 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 #: UTF-8 bytes of text that one step of a Python worker holds at once; a longer text makes a step of its own.
 SLICE_BYTES = 2 << 20
@@ -58,6 +60,57 @@ def ngram_hashes(x: np.ndarray, k: int) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_SIGNS = np.random.default_rng(17).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SIGNS[ord("A") : ord("Z") + 1] = _SIGNS[ord("a") : ord("z") + 1]
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_STEP = 4 << 20
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2**64, kept for the next call."""
+    if len(_POWERS[0]) < n:
+        size = max(n, _STEP)
+        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)])) for b in (_BASE, _UNDO)]
+    return _POWERS
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit number for each word of all texts in turn, and for each text the place of its first word (one more at the end).
+
+    Words: runs of bytes between ASCII white space, A-Z in lower case. A word's number is a polynomial of its bytes, read off
+    running sums over many words at once, at the same cost for new words and known ones.
+    """
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    held = texts.buffers()[2] if len(texts) else None
+    data = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]] if held is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    word = ~_BLANK[data]
+    fresh = np.zeros(len(data) + 1, bool)
+    fresh[offsets] = True
+    fresh[1:] |= ~word
+    starts = np.flatnonzero(word & fresh[:-1])
+    fresh[:-1], fresh[-1] = ~word, True
+    fresh[offsets] = True
+    ends = np.flatnonzero(word & fresh[1:]) + 1
+    out, at = np.zeros(len(starts), np.uint64), 0
+    while at < len(starts):
+        low = starts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, low + _STEP, "right")))
+        power, undo = _powers(int(ends[stop - 1] - low) + 1)
+        part = _SIGNS[data[low : ends[stop - 1]]]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * power[: len(part)])])
+        out[at:stop] = (sums[ends[at:stop] - low] - sums[starts[at:stop] - low]) * undo[starts[at:stop] - low]
+        at = stop
+    out = (out ^ (out >> np.uint64(32))) * _ODD[1]
+    return out ^ (out >> np.uint64(29)), np.searchsorted(starts, offsets)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -78,6 +131,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def measured(df: DataFrame) -> DataFrame:
+    """As `cut`, for tables that a loop joins again and again. The optimiser takes a join to be as large as the product of its
+    sides, and a checkpoint hands this number on, with twice the digits each time; a cached table knows its real size."""
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    kept.count()
+    done = cut(kept)
+    kept.unpersist()
+    return done
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo: the published split of held-out rows."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
@@ -107,13 +170,20 @@ def spread(left: DataFrame, right: DataFrame, on: list[str], hot: Column) -> Dat
     return left.join(few, on).unionByName(rest.join(right.where(~hot), on))
 
 
-def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", most: int = 200_000, parts: int = 4096) -> DataFrame:
+def width(df: DataFrame) -> Column:
+    """About how many bytes a row holds."""
+    of = lambda f: F.octet_length(f.name) if isinstance(f.dataType, (StringType, BinaryType)) else F.octet_length(F.to_json(f.name)) if isinstance(f.dataType, (ArrayType, MapType, StructType)) else F.lit(8)
+    return reduce(Column.__add__, (F.coalesce(of(f), F.lit(0)).cast("long") for f in df.schema))
+
+
+def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", most: int = 200_000, parts: int = 4096, most_bytes: int = 32 << 20) -> DataFrame:
     """left joined with right (cut, without null keys), whatever one key holds of left.
 
-    Up to `most` rows of right are broadcast. Beyond, keys that hold over 1/parts of left's rows, `parts` at most, are joined
+    Up to `most` rows of right of `most_bytes` together are broadcast. Beyond, keys that hold over 1/parts of left's rows, `parts` at most, are joined
     by broadcast, the others by shuffle. `how`: inner, left, left_semi or left_anti. Rows of left with a null key match nothing.
     """
-    if right.limit(most + 1).count() <= most:
+    held = right.limit(most + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width(right)).alias("bytes")).first()
+    if held["n"] <= most and (held["bytes"] or 0) <= most_bytes:
         return left.join(F.broadcast(right), on, how)
     whole = left.dropna(subset=on)
     heavy = cut(whole.groupBy(*on).count().where(F.col("count") * parts > whole.count()).select(*on))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, spread
+from .common import cut, measured, spread
 
 
 def _star(edges: DataFrame, large: bool, hot: int) -> DataFrame:
@@ -24,7 +24,7 @@ def _star(edges: DataFrame, large: bool, hot: int) -> DataFrame:
         linked = with_least(both.where("v > u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         linked = with_least(edges).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return cut(linked.where("u > v").distinct())
+    return measured(linked.where("u > v").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
     the shared checkpoint folder and compared with the one before by count and checksum; rounds grow with the logarithm
     of a component's size.
     """
-    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    now = measured(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen, hot = None, max(512, now.count() // 2048)  # so at most 4096 nodes are hot
     while True:
         now = _star(_star(now, True, hot), False, hot)

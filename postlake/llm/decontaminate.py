@@ -82,16 +82,12 @@ def _stretches(starts: list[int], length: int, end: int, pad: int) -> list[tuple
     return out
 
 
-def best_alignment(text: list[bytes], item: list[bytes], starts: list[int], pad: int) -> tuple[float, int, int]:
-    """(score, first word, end word) of the item's best alignment near the places; equal ones: the earliest."""
+def aligned(text: list[bytes], item: list[bytes]) -> tuple[float, int, int]:
+    """(score, first word, end word) of the item's best alignment in a stretch of text."""
     codes: dict[bytes, int] = {}
     wanted = np.array([codes.setdefault(w, len(codes)) for w in item], np.int64)
-    best = (0.0, 0, 0)
-    for low, high in _stretches(starts, len(item), len(text), pad):
-        score, first, end = align(wanted, np.array([codes.get(w, -1) for w in text[low:high]], np.int64))
-        if score / (2 * len(item)) > best[0]:
-            best = (score / (2 * len(item)), low + first, low + end)
-    return best
+    score, first, end = align(wanted, np.array([codes.get(w, -1) for w in text], np.int64))
+    return score / (2 * len(item)), first, end
 
 
 def _seeds(grams: DataFrame, frequency: DataFrame, rows: int, part: float, span: int) -> DataFrame:
@@ -109,7 +105,7 @@ def _seeds(grams: DataFrame, frequency: DataFrame, rows: int, part: float, span:
     return ranked.join(chosen, ["number", "at"]).select("gram", "number", "at")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 3, common: float = 1e-4, span: int = 16, least: float = 0.4, pad: int = 8, most_bits: int = 27) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 3, common: float = 1e-4, span: int = 4, least: float = 0.4, pad: int = 16, most_bits: int = 27) -> DataFrame:
     """One row per document row and item it holds: id, item id, score, first_word, end_word.
 
     The score is the best local alignment's (2 a shared word, -1 a changed, added or left out one) over that of the
@@ -179,28 +175,38 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     frequency = hits.where("first").groupBy("gram").agg(F.count(F.lit(1)).alias("docs"))
     seeds = cut(_seeds(grams.select("number", "at", "gram"), frequency, picked.count(), common, span).withColumnRenamed("at", "place"))
     starts = lookup(hits.select("key", "gram", "at"), seeds, ["gram"]).groupBy("key", "number").agg(F.collect_set(F.col("at") - F.col("place")).alias("starts"))
-    pairs = lookup(starts, texts.withColumnRenamed("text", "item"), ["number"], most=50_000)
-    per_doc = cut(pairs.groupBy("key").agg(F.collect_list(F.struct("number", "item", "starts")).alias("wanted")))
-    concerned = lookup(picked, per_doc.select("key"), ["key"], "left_semi")
+    lengths = cut(grams.groupBy("number").agg((F.max("at") + F.first("width")).cast("int").alias("length")))
+    asked = lookup(starts, lengths, ["number"])
+    per_doc = cut(asked.groupBy("key").agg(F.collect_list(F.struct("number", "length", "starts")).alias("wanted")))
+    concerned = cut(lookup(picked, per_doc.select("key"), ["key"], "left_semi").withColumn("row", F.monotonically_increasing_id()))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def carve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            found = []
-            for i, text, asked in zip(*(piece.column(c).to_pylist() for c in range(3)), strict=True):
+            found: list[tuple] = []
+            for row, text, places in zip(*(piece.column(c).to_pylist() for c in range(3)), strict=True):
                 own = words(text)
-                for a in asked:
-                    value, first, end = best_alignment(own, words(a["item"]), a["starts"], pad)
-                    if value >= least:
-                        found.append((i, a["number"], value, first, end))
+                found += ((row, a["number"], low, b" ".join(own[low:high])) for a in places for low, high in _stretches(a["starts"], a["length"], len(own), pad))
+            columns = list(zip(*found, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["row", "number", "low", "words"])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row, number, low, stretch, item in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+                value, first, end = aligned(stretch.split(b" "), words(item))
+                if value >= least:
+                    found.append((row, number, value, low + first, low + end))
             columns = list(zip(*found, strict=True)) or [[]] * 5
-            kinds = [piece.schema.field(0).type, pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["id", "number", "score", "first_word", "end_word"])
-
-    kind = picked.schema["id"].dataType.simpleString()
-    both = lookup(cut(concerned), per_doc, ["key"], most=20_000).select("id", "text", "wanted")
-    found = both.mapInArrow(score, f"id {kind}, number bigint, score double, first_word bigint, end_word bigint")
-    named = cut(wanted.join(texts, "text").select("number", "item"))
-    return lookup(found, named, ["number"]).select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first_word", "end_word")
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["row", "number", "score", "first_word", "end_word"])
+
+    # texts of documents and of items meet as stretches alone
+    stretches = cut(lookup(concerned.select("key", "row", "text"), per_doc, ["key"]).select("row", "text", "wanted").mapInArrow(carve, "row bigint, number bigint, low int, words binary"))
+    both = lookup(stretches, texts.withColumnRenamed("text", "item"), ["number"]).select("row", "number", "low", "words", "item")
+    found = both.mapInArrow(score, "row bigint, number bigint, score double, first_word bigint, end_word bigint")
+    best = cut(found.groupBy("row", "number").agg(F.min(F.struct((-F.col("score")).alias("less"), "first_word", "end_word")).alias("b")).select("row", "number", (-F.col("b.less")).alias("score"), "b.first_word", "b.end_word"))
+    held = lookup(best, cut(wanted.join(texts, "text").select("number", "item")), ["number"]).join(concerned.select("row", "id"), "row")
+    return held.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first_word", "end_word")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_text_col: str = "text", least_words: int = 3, **settings) -> DataFrame:

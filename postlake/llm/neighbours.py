@@ -114,9 +114,9 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     table = able.where(share).select("id", "v").toArrow()
     flat = table.column("v").combine_chunks()
     ids = table.column("id").to_numpy()
-    order = np.argsort(ids, kind="stable")
-    data = (flat.values if hasattr(flat, "values") else flat.combine_chunks().values).to_numpy().reshape(-1, dims)[order] if len(order) else np.ones((1, dims))
-    index = Index(data, ids[order] if len(order) else np.zeros(1, np.int64), float(top["longest"]), lists or max(1, min(2048, round(rows**0.5 / 2))), k, recall)
+    data = (flat.values if hasattr(flat, "values") else flat.combine_chunks().values).to_numpy().reshape(-1, dims) if len(ids) else np.ones((1, dims))
+    order = np.lexsort((*data.T[::-1], ids)) if len(ids) else np.zeros(1, np.int64)  # one table gives one index, however it is dealt
+    index = Index(data[order], ids[order] if len(ids) else order, float(top["longest"]), lists or max(1, min(2048, round(rows**0.5 / 2))), k, recall)
     n_lists = len(index.centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
