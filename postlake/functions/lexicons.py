@@ -290,6 +290,8 @@ RUN_ON = (
     r"Hebrew|Excellent|Very|Good|Great|At least|Minimum(?: of)?|Fluency|Fluent|ניסיון|תואר|ידע|יכולת|שליטה|אנגלית|היכרות|נכונות)\b)"
 )
 DASHES = r"\s+-\s+(?=[A-Z])(?!(?:Must|Mandatory|Requir|Advantage|Plus|Big|Nice|An?\b))"
+#: One of these is in every text that LEADING_ or TRAILING_ patterns match.
+BADGE_WORDS = r"(?i)must|mandatory|requir|חובה|advantage|nice to have|bonus|יתרון|plus|preferred"
 LEADING_MUST = r"(?i)^\s*(?:must(?:[- ]haves?)?|mandatory|חובה)(?:\s*[-–—:]+\s*|\s+(?=[A-Zא-ת]))"
 LEADING_PLUS = r"(?i)^\s*(?:advantage|nice to have|bonus|יתרון)\s*[-–—:]+\s*"
 TRAILING_MUST = r"(?i)\s*[-–—(:]*\s*(?:a\s+)?(?:must(?:\s+have)?|mandatory|requir\w*|חובה)[.!)]?\s*$"

@@ -37,11 +37,16 @@ def unlabelled(description: Column | str) -> Column:
 def badge(piece: Column) -> Column:
     """struct<text, badge>: a must or plus marker at either end of a piece becomes its badge."""
     made = lambda c, b: F.struct(c.alias("text"), F.lit(b).cast("string").alias("badge"))
-    peeled = lambda p: _strip(F.regexp_replace(piece, p, ""), " \\-–—(:", left=False)
-    return (
-        F.when(piece.rlike(L.LEADING_PLUS), made(F.regexp_replace(piece, L.LEADING_PLUS, ""), "plus")).when(piece.rlike(L.LEADING_MUST), made(F.regexp_replace(piece, L.LEADING_MUST, ""), "must"))
-        .when(piece.rlike(L.TRAILING_PLUS), made(peeled(L.TRAILING_PLUS), "plus")).when(piece.rlike(L.TRAILING_MUST), made(peeled(L.TRAILING_MUST), "must")).otherwise(made(piece, None))
-    )
+
+    def read(p: Column) -> Column:
+        peeled = lambda pattern: _strip(F.regexp_replace(p, pattern, ""), " \\-–—(:", left=False)
+        return (
+            F.when(~p.rlike(L.BADGE_WORDS), made(p, None))
+            .when(p.rlike(L.LEADING_PLUS), made(F.regexp_replace(p, L.LEADING_PLUS, ""), "plus")).when(p.rlike(L.LEADING_MUST), made(F.regexp_replace(p, L.LEADING_MUST, ""), "must"))
+            .when(p.rlike(L.TRAILING_PLUS), made(peeled(L.TRAILING_PLUS), "plus")).when(p.rlike(L.TRAILING_MUST), made(peeled(L.TRAILING_MUST), "must")).otherwise(made(p, None))
+        )
+
+    return let(piece, read)
 
 
 def clean_bullet(piece: Column, most: int = 210) -> Column:
@@ -72,9 +77,8 @@ def clean_bullet(piece: Column, most: int = 210) -> Column:
 
 def looks_like_header(c: Column) -> Column:
     """Two to five words, all but one at most with a capital, without digits and requirement words."""
-    words = F.split(c, " ")
-    capitals = F.size(F.filter(words, lambda w: w.rlike(r"^\p{Lu}")))
-    return (F.size(words).between(2, 5)) & ~c.rlike(r"\d") & ~c.rlike(L.REQUIREMENT_SIGNAL) & (capitals >= F.size(words) - 1)
+    named = lambda words: (F.size(words).between(2, 5)) & (F.size(F.filter(words, lambda w: w.rlike(r"^\p{Lu}"))) >= F.size(words) - 1)
+    return let(F.split(c, " "), named) & ~c.rlike(r"\d") & ~c.rlike(L.REQUIREMENT_SIGNAL)
 
 
 def _is_bullet(c: Column) -> Column:
@@ -83,7 +87,7 @@ def _is_bullet(c: Column) -> Column:
 
 def _pieces(section: Column, run_on: str, longest: int, *more: str) -> Column:
     """A section's fragments: at its markers, else at sentences; long ones also where a list has lost its markers."""
-    parts = F.split(section, F.when(section.contains("•"), "•").otherwise(L.SENTENCES))
+    parts = F.when(section.contains("•"), F.split(section, "•")).otherwise(F.split(section, L.SENTENCES))
     for pattern in (run_on, *more):
         parts = F.flatten(F.transform(parts, lambda p, pattern=pattern: F.when(F.length(p) > longest, F.split(p, pattern)).otherwise(F.array(p))))
     return parts
@@ -110,56 +114,79 @@ def _once(parts: Column, kind: str, name) -> Column:
     return F.aggregate(parts, _none(kind), lambda kept, x: F.when(F.exists(kept, lambda k: F.lower(name(k)) == F.lower(name(x))), kept).otherwise(F.array_append(kept, x)))
 
 
-def requirements_header(plain: Column) -> Column:
-    """struct<start, end> of the header that opens the requirements: of the first five the first that no duty follows, else the first, else a softer one."""
+def _opening(plain: Column, found: Column, soft: Column) -> Column:
+    """Of the first five headers the first that no duty follows, else the first, else a softer one."""
 
     def opens(m: Column) -> Column:
         head = clean_bullet(F.split(_strip(F.substring(plain, m["end"] + 1, F.lit(160)), " ?:\\-–—•"), "•")[0])
         return let(head, lambda h: (h != "") & ~h.rlike(L.DUTY_VERB))
 
-    place = lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))
-    chosen = lambda found: F.coalesce(F.try_element_at(F.filter(found, opens), F.lit(1)), F.try_element_at(found, F.lit(1)))
-    return F.coalesce(let(F.slice(matches(plain, L.REQUIREMENTS), 1, 5), lambda found: let(chosen(found), lambda m: F.when(m.isNotNull(), place(m)))), first_match(plain, L.SOFT_REQUIREMENTS))
+    chosen = lambda five: F.coalesce(F.try_element_at(F.filter(five, opens), F.lit(1)), F.try_element_at(five, F.lit(1)))
+    return F.coalesce(let(chosen(F.slice(found, 1, 5)), lambda m: F.when(m.isNotNull(), F.struct(m["start"].alias("start"), m["end"].alias("end")))), soft)
+
+
+def requirements_header(plain: Column) -> Column:
+    """struct<start, end> of the header that opens the requirements: of the first five the first that no duty follows, else the first, else a softer one."""
+    return _opening(plain, matches(plain, L.REQUIREMENTS), first_match(plain, L.SOFT_REQUIREMENTS))
+
+
+def boundaries(plain: Column) -> Column:
+    """What cuts a description: struct of the places of requirement headers, section ends and headers of advantages, each kind found
+    in one run over the text, and of the one header each that opens the requirements and the duties."""
+    found = F.struct(
+        plain.alias("plain"), matches(plain, L.REQUIREMENTS).alias("asks"), matches(plain, L.SECTION_END).alias("ends"), matches(plain, L.PLUS_SECTION).alias("pluses"), first_match(plain, L.DUTIES).alias("duties")
+    )
+    soft = lambda f: F.when(F.size(f["asks"]) == 0, first_match(f["plain"], L.SOFT_REQUIREMENTS))
+    return let(found, lambda f: F.struct(*(f[k].alias(k) for k in ("plain", "asks", "ends", "pluses", "duties")), _opening(f["plain"], f["asks"], soft(f)).alias("header")))
+
+
+def _section(b: Column, header: Column, most: int, *ends: str) -> Column:
+    """struct<start, end> of what follows a header: `most` characters at most, to the first of each kind of end unless that begins within the first 20."""
+    edge = " ?:\\-–—•"
+    body = let(_from(b["plain"], header["end"]), lambda t: F.struct(F.length(t).alias("n"), F.length(_strip(t, edge, right=False)).alias("left"), F.length(_strip(t, edge)).alias("kept")))
+    start, least = lambda t: header["end"] + t["n"] - t["left"], lambda t: F.least(t["kept"], F.lit(most))
+
+    def cut(t: Column) -> Column:
+        place = lambda kind: let(F.get(F.filter(b[kind], lambda m: m["end"] > start(t)), F.lit(0))["start"] - start(t), lambda at: F.when(at > 20, at))
+        return F.struct(start(t).alias("start"), (start(t) + F.least(least(t), *(F.coalesce(place(k), F.lit(most)) for k in ends))).alias("end"))
 
+    return F.when(header.isNotNull(), let(body, cut))
 
-def _until(section: Column, most: int, *ends: str) -> Column:
-    """The section up to the first of the patterns that begins beyond its 20th character."""
-    found = F.array_min(F.array(*(F.get(F.filter(F.array(first_match(section, p)["start"]), lambda x: x > 20), F.lit(0)) for p in ends)))
-    return F.substring(section, F.lit(1), F.least(F.coalesce(found, F.lit(most)), F.lit(most)))
 
+def _slice(plain: Column, start: Column, end: Column) -> Column:
+    return F.substring(plain, start + 1, F.greatest(end - start, F.lit(0)))
 
-def _requirements(plain: Column) -> Column:
-    section = let(requirements_header(plain), lambda m: F.when(m.isNotNull(), _strip(_from(plain, m["end"]), " ?:\\-–—•")))
 
+def _requirements(b: Column) -> Column:
     def split(s: Column) -> Column:
-        both = lambda m: F.when(m["start"] > 20, F.concat(bullets(F.substring(s, F.lit(1), m["start"])), bullets(_from(s, m["end"]), "plus"))).otherwise(bullets(s))
-        return let(first_match(s, L.PLUS_SECTION), both)
+        text_ = lambda start, end: _slice(b["plain"], start, end)
+        first = F.get(F.filter(b["pluses"], lambda m: (m["end"] > s["start"]) & (m["end"] <= s["end"])), F.lit(0))
+        return let(first, lambda m: F.when(m["start"] - s["start"] > 20, F.concat(bullets(text_(s["start"], m["start"])), bullets(text_(m["end"], s["end"]), "plus"))).otherwise(bullets(text_(s["start"], s["end"]))))
 
-    found = let(let(section, lambda s: _until(s, 2600, L.SECTION_END)), split)
+    found = let(_section(b, b["header"], 2600, "ends"), lambda s: F.when(s.isNotNull(), split(s)))
     return F.coalesce(F.slice(_once(found, _PARTS, lambda x: x["text"]), 1, 12), _none(_PARTS))
 
 
-def _duties(plain: Column) -> Column:
-    section = let(first_match(plain, L.DUTIES), lambda m: F.when(m.isNotNull(), _strip(_from(plain, m["end"]), " ?:\\-–—•")))
-    cut = let(section, lambda s: _until(s, 2200, L.REQUIREMENTS, L.SECTION_END))
+def _duties(b: Column) -> Column:
+    cut = let(_section(b, b["duties"], 2200, "asks", "ends"), lambda s: F.when(s.isNotNull(), _slice(b["plain"], s["start"], s["end"])))
     found = F.filter(F.transform(let(cut, lambda s: _pieces(s, L.RUN_ON_DUTIES, 90)), lambda p: clean_bullet(p)), _is_bullet)
     return F.coalesce(F.slice(_once(found, "array<string>", lambda x: x), 1, 8), _none("array<string>"))
 
 
-def _prose(plain: Column) -> Column:
+def _prose(b: Column) -> Column:
     """Sentences before the requirements, for descriptions that list no duties."""
-    intro = let(requirements_header(plain), lambda m: F.substring(plain, F.lit(1), F.least(F.coalesce(m["start"], F.length(plain)), F.lit(2200))))
+    intro = F.substring(b["plain"], F.lit(1), F.least(F.coalesce(b["header"]["start"], F.length(b["plain"])), F.lit(2200)))
     return let(intro, lambda i: let(F.filter(F.split(i, L.SENTENCES), lambda s: F.length(s) > 15), lambda s: F.when(F.size(s) > 0, s).when(i != "", F.array(i)).otherwise(_none("array<string>"))))
 
 
 def requirements(description: Column | str) -> Column:
     """array<struct<text, badge>>: up to 12 things asked for, badge must, plus or null."""
-    return let(unlabelled(description), _requirements)
+    return let(let(unlabelled(description), boundaries), _requirements)
 
 
 def duties(description: Column | str) -> Column:
     """array<string>: up to 8 things the role does."""
-    return let(unlabelled(description), _duties)
+    return let(let(unlabelled(description), boundaries), _duties)
 
 
 def sections(description: Column | str) -> Column:
@@ -171,11 +198,11 @@ def sections(description: Column | str) -> Column:
     def made(x: Column) -> Column:
         asked = F.array_join(x["requirements"]["text"], " • ")
         ai_asked, ai_daily = ai_usage(asked), ai_usage(F.array_join(x["duties"], " • "))
-        done = F.when((F.size(ai_asked) == 0) & (F.size(ai_daily) == 0), ai_usage(x["plain"])).otherwise(ai_daily)
-        found = tasks(F.when(F.size(x["duties"]) > 0, x["duties"]).otherwise(_prose(x["plain"])))
+        done = F.when((F.size(ai_asked) == 0) & (F.size(ai_daily) == 0), ai_usage(x["b"]["plain"])).otherwise(ai_daily)
+        found = tasks(F.when(F.size(x["duties"]) > 0, x["duties"]).otherwise(_prose(x["b"])))
         return F.struct(x["requirements"].alias("requirements"), x["duties"].alias("duties"), found.alias("tasks"), soft_skills(asked).alias("soft"), ai_asked.alias("ai_asked"), done.alias("ai_daily"))
 
-    parts = let(unlabelled(description), lambda p: F.struct(p.alias("plain"), _requirements(p).alias("requirements"), _duties(p).alias("duties")))
+    parts = let(let(unlabelled(description), boundaries), lambda b: F.struct(b.alias("b"), _requirements(b).alias("requirements"), _duties(b).alias("duties")))
     return let(parts, made)
 
 

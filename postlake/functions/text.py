@@ -115,27 +115,27 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+#: Stands for a match's ends while a text is cut; a private character, which a space replaces where a text has it.
+_MARK = "\uE000"
+
+
 def matches(c: Column, pattern: str) -> Column:
-    """array<struct<start, end, value>> of the matches, offsets from 0, end exclusive; native, from splits and extracts."""
+    """array<struct<start, end, value>> of the matches, offsets from 0, end exclusive; the pattern runs over the text once."""
     empty = F.expr("array()").cast("array<struct<start:int,end:int,value:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-
-    def step(found: Column, pair: Column) -> Column:
-        begin = found["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["hit"])
-        return F.struct(end.alias("at"), F.array_append(found["found"], F.struct(begin.alias("start"), end.alias("end"), pair["hit"].alias("value"))).alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), empty.alias("found"))
 
-    def located(hits: Column) -> Column:
-        pairs = F.zip_with(F.slice(F.split(c, pattern, -1), F.lit(1), F.size(hits)), hits, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
-        return F.aggregate(pairs, start, step, lambda s: s["found"])
+    def step(seen: Column, part: Column) -> Column:
+        end = seen["at"] + F.length(part)
+        one = F.struct(seen["at"].alias("start"), end.alias("end"), part.alias("value"))
+        return F.struct(end.alias("at"), (~seen["hit"]).alias("hit"), F.when(seen["hit"], F.array_append(seen["found"], one)).otherwise(seen["found"]).alias("found"))
 
-    return let(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), lambda hits: F.when(F.size(hits) > 0, located(hits)).otherwise(empty))
+    located = lambda parts: F.when(F.size(parts) > 1, F.aggregate(parts, start, step, lambda s: s["found"])).otherwise(empty)
+    return let(F.split(F.regexp_replace(F.replace(c, F.lit(_MARK), F.lit(" ")), pattern, f"{_MARK}$0{_MARK}"), _MARK, -1), located)
 
 
 def first_match(c: Column, pattern: str) -> Column:
     """struct<start, end> of the first match, offsets from 0 in characters, end exclusive; null without one."""
-    start = F.length(F.split(c, pattern, 2)[0])
-    return F.when(c.rlike(pattern), F.struct(start.alias("start"), (start + F.length(F.regexp_extract(c, pattern, 0))).alias("end")))
+    return let(F.get(matches(c, pattern), F.lit(0)), lambda m: F.when(m.isNotNull(), F.struct(m["start"].alias("start"), m["end"].alias("end"))))
 
 
 def ladder(c: Column, rules, otherwise: Column) -> Column:

@@ -13,7 +13,7 @@ from .functions.profile import soft_skills, task_of
 from .functions.text import html_escape, markdown_escape, safe_url
 from .operators import enrich, outputs, pages, registry, state
 from .queries import _MKEY, _SEEN, _merged, _merged_sql, q, query, read
-from .samples import JOBS_SQL, jobs
+from .samples import JOBS_SQL, dealt, jobs
 from .sources import discoveries
 from .sources.payloads import cached_postings, discovered_postings, postings, unknown_platforms
 
@@ -159,24 +159,48 @@ def channel_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- sections of descriptions ---
-#: A description written from an order: what is asked for, badges and duties are known by construction.
-_YEARS = "CAST(1 + o_custkey % 9 AS VARCHAR)"
+#: Descriptions of six shapes, written from an order; what they ask for is known by construction, as SQL over k and c (texts of the two keys).
+_DESCRIBED = (
+    (  # markers and badges at either end; a part of advantages; an end
+        "'Acme is a maker of things. Responsibilities: • Build dashboards for customer ' || c || ' • Analyze the order ' || k || ' Requirements: • ' || o_custkey % 9 || ' + years of experience in order ' || k || ' – a must • Knowledge of clerk ' || c || ' • Degree in Statistics or order ' || k || ' (big advantage) Nice to have: • Tableau for customer ' || c || ' Benefits: lunch'",
+        "o_custkey % 9 || '+ years of experience in order ' || k || '/must|Knowledge of clerk ' || c || '/|Degree in Statistics or order ' || k || '/plus|Tableau for customer ' || c || '/plus'",
+        "'Build dashboards for customer ' || c || '|Analyze the order ' || k", "'reporting+analysis'", "''", "''", "''",
+    ),
+    (  # sentences in place of markers; a repeat but for case; no duties, so tasks come from the prose before
+        "'Analyze the funnel of customer ' || c || '. Qualifications: Experience with the warehouse of order ' || k || '. Knowledge of clerk ' || c || '. KNOWLEDGE of clerk ' || c || '. We offer lunch'",
+        "'Experience with the warehouse of order ' || k || '/|Knowledge of clerk ' || c || '/'", "''", "'analysis'", "''", "''", "''",
+    ),
+    (  # badges that lead, a bare header of advantages, a header and a link that are no bullets
+        "'Requirements: • Must: Python for order ' || k || ' • Advantage: dbt for customer ' || c || ' • Technical skills • see https://x.com/' || k || ' • Bonus points: • Fluent English with clerk ' || c || ' • SQL'",
+        "'Python for order ' || k || '/must|dbt for customer ' || c || '/plus|Fluent English with clerk ' || c || '/plus'", "''", "''", "''", "''", "''",
+    ),
+    (  # AI is asked for, and used in another way on the job; its own AI product doesn't count
+        "'Responsibilities: • Use of AI to build reports for customer ' || c || ' • Present our AI platform to order ' || k || ' Requirements: • Experience with ChatGPT to automate order ' || k || ' • Proven work with clerk ' || c",
+        "'Experience with ChatGPT to automate order ' || k || '/|Proven work with clerk ' || c || '/'", "'Use of AI to build reports for customer ' || c || '|Present our AI platform to order ' || k", "'reporting+partnering'", "''", "'ai-automation'", "'ai-building'",
+    ),
+    (  # a header that a duty follows opens nothing if another does; AI outside both parts counts as done; soft skills; dangling words
+        "'Daily work with AI tools. About you: lead the work on order ' || k || '. Requirements: • Attention to detail and strong communication with clerk ' || c || ' and • Curiosity about customer ' || c || ' ( • Team player for order ' || k",
+        "'Attention to detail and strong communication with clerk ' || c || '/|Curiosity about customer ' || c || '/|Team player for order ' || k || '/'", "''", "'partnering'", "'communication+teamwork+detail+curiosity'", "''", "'ai-efficiency'",
+    ),
+    ("'We make tea for customer ' || c || ' since order ' || k", "''", "''", "''", "''", "''", "''"),  # nothing to find
+)
 
 
-@query(
-    f"""SELECT o_orderkey AS _ord, {_YEARS} || '+ years of experience in order ' || o_orderkey || '/must|Knowledge of clerk ' || o_custkey || '/' || CASE WHEN o_orderkey % 2 = 0 THEN '|Degree in Statistics or order ' || o_orderkey || '/plus' ELSE '' END || CASE WHEN o_orderkey % 3 = 0 THEN '|Tableau for customer ' || o_custkey || '/plus' ELSE '' END AS requirements,
-    'Build dashboards for customer ' || o_custkey || '|Analyze the order ' || o_orderkey AS duties, 'reporting+analysis' AS tasks FROM orders"""
-)
+def _described(column: int) -> str:
+    return "CASE o_orderkey % 6 " + " ".join(f"WHEN {i} THEN {shape[column]}" for i, shape in enumerate(_DESCRIBED)) + " END"
+
+
+_NAMES = ("requirements", "duties", "tasks", "soft", "ai_asked", "ai_daily")
+
+
+@query(f"SELECT _ord, {', '.join(_NAMES)} FROM (SELECT *, o_orderkey AS _ord, {', '.join(f'{_described(i + 1)} AS {n}' for i, n in enumerate(_NAMES))} FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c FROM orders))")
 def description_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    line = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
-    text = F.concat_ws(
-        " ", line("Acme is a maker of things. Responsibilities: • Build dashboards for customer ", c, " • Analyze the order ", k), F.lit("Requirements:"), line("• ", 1 + c % 9, " + years of experience in order ", k, " – a must"),
-        line("• Knowledge of clerk ", c), F.when(k % 2 == 0, line("• Degree in Statistics or order ", k, " (big advantage)")), F.when(k % 3 == 0, line("Nice to have: • Tableau for customer ", c)), F.lit("Benefits: lunch"),
-    )
-    found = read(spark, sf_dir, "orders").select(k.alias("_ord"), S.sections(text).alias("s"))
+    orders = dealt(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    rows = orders.select("*", F.col("o_orderkey").cast("string").alias("k"), F.col("o_custkey").cast("string").alias("c"))
+    found = rows.select(F.col("o_orderkey").alias("_ord"), S.sections(F.expr(_described(0))).alias("s"))
+    tokens = lambda name: F.array_join(F.transform(F.col(f"s.{name}"), lambda t: t["token"]), "+").alias(name)
     flat = F.array_join(F.transform("s.requirements", lambda x: F.concat_ws("/", x["text"], F.coalesce(x["badge"], F.lit("")))), "|")
-    return found.select("_ord", flat.alias("requirements"), F.array_join("s.duties", "|").alias("duties"), F.array_join(F.transform("s.tasks", lambda t: t["token"]), "+").alias("tasks"))
+    return found.select("_ord", flat.alias("requirements"), F.array_join("s.duties", "|").alias("duties"), *map(tokens, _NAMES[2:]))
 
 
 @query(
