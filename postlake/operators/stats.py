@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.lexicons import CLUSTERS
@@ -86,6 +86,22 @@ def coverage(researched: DataFrame, registry: DataFrame) -> DataFrame:
     return both.agg(F.count(F.lit(1)).alias("total"), F.count_if("c").alias("registered"), F.count_if("on").alias("active"), F.count_if(F.col("r") & F.col("c").isNull()).alias("missing"))
 
 
+class Counters:
+    """Counts that an execution takes on its way: steps of a plan name them, and its first action fills them, without one of its own."""
+
+    def __init__(self) -> None:
+        self._seen: list[Observation] = []
+
+    def on(self, df: DataFrame, **counts: Column) -> DataFrame:
+        """df, which counts itself when it runs."""
+        self._seen.append(Observation())
+        return df.observe(self._seen[-1], *(c.alias(n) for n, c in counts.items()))
+
+    def read(self) -> dict[str, int]:
+        """All counts; waits for an action on what the steps lead to."""
+        return {n: v for seen in self._seen for n, v in seen.get.items()}
+
+
 def run_counters(classified: DataFrame) -> DataFrame:
     """path, decision, n of a run's classified postings."""
     return classified.groupBy("class.path", "class.decision").agg(F.count(F.lit(1)).alias("n"))

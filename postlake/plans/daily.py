@@ -15,6 +15,8 @@ from ..functions.relevance import classify
 from ..functions.text import shorten, text
 from ..operators.dedup import freshest, merge_duplicates
 from ..operators.state import unsent, upsert_matched
+from ..operators.stats import Counters
+from ..sources.payloads import lost
 
 
 @dataclass(frozen=True)
@@ -64,12 +66,32 @@ def board_rows(matched: DataFrame, failed: DataFrame, run_date: str, days: int =
     return freshest(rows, cap)
 
 
-def run(jobs: DataFrame, matched: DataFrame, sent: DataFrame, failed: DataFrame, run_date: str, verdicts: DataFrame | None = None) -> Run:
-    accepted = classified(jobs, verdicts).where("class.decision = 'accept'").withColumn("seniority", F.col("class.seniority"))
-    merged = merge_duplicates(accepted.drop("class"))
+#: How a decision can have come about.
+PATHS = ("keyword", "keyword_nollm", "llm_cache", "llm", "llm_failed_fallback")
+
+
+def run(jobs: DataFrame, matched: DataFrame, sent: DataFrame, failed: DataFrame, run_date: str, verdicts: DataFrame | None = None, counters: Counters | None = None) -> Run:
+    """The day's results. With `counters`, an action on `outputs` counts fetched, matched, paths, accepted, merged, new and board."""
+    count = (counters.on if counters is not None else lambda df, **_: df)
+    every = F.count(F.lit(1))
+    here = count(classified(count(jobs, fetched=every), verdicts), matched=every, **{f"path_{p}": F.count_if(F.col("class.path") == p) for p in PATHS})
+    accepted = count(here.where("class.decision = 'accept'").withColumn("seniority", F.col("class.seniority")), accepted=every)
+    merged = count(merge_duplicates(accepted.drop("class")), merged=every)
     after = upsert_matched(matched, merged, run_date)
     today = after.where((F.col("last_seen") == run_date) & posted_since(days_before(run_date, 1)))
-    return Run(accepted, merged, after, freshest(unsent(today, sent), 3), board_rows(after, failed, run_date))
+    email, board = count(freshest(unsent(today, sent), 3), new=every), count(board_rows(after, failed, run_date), board=every)
+    return Run(accepted, merged, after, email, board)
+
+
+def outputs(day: Run) -> DataFrame:
+    """Email and board in one table (`kind`), so that one execution writes both."""
+    return day.email.withColumn("kind", F.lit("email")).unionByName(day.board.withColumn("kind", F.lit("board")))
+
+
+def counted_responses(found: DataFrame, counters: Counters) -> DataFrame:
+    """`responses` that count companies scanned and failed on their first pages."""
+    first = F.col("page_no") == 0
+    return counters.on(found, scanned=F.count_if(first), failed=F.count_if(first & lost()))
 
 
 def board_view(board: DataFrame, run_date: str) -> DataFrame:

@@ -509,15 +509,45 @@ _BOARD_FAMILY = _FAMILY.replace("description", "squeezed")
 )
 def daily_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: postings to board, with yesterday's state."""
+    done = _daily(spark, sf_dir)
+    board = daily.board_view(done.board, "1998-08-01")
+    return board.select("mkey", "company", "title", "city", "flag", "posted_date", "first_seen", F.col("profile.family").alias("family"), "summary")
+
+
+def _daily(spark: SparkSession, sf_dir: str, counters: stats.Counters | None = None) -> daily.Run:
     from .sources.tables import STATE, empty
 
     rows = jobs(spark, sf_dir)
     before = state.upsert_matched(empty(spark, STATE["matched"]), _merged(spark, sf_dir, _DAY1), "1998-07-30")
     sent = rows.where("_ord % 50 = 0").select(seen_id().alias("seen_id"))
     failed = rows.where("_ord % 70 = 0").select("company")
-    done = daily.run(rows, before, sent, failed, "1998-08-01")
-    board = daily.board_view(done.board, "1998-08-01")
-    return board.select("mkey", "company", "title", "city", "flag", "posted_date", "first_seen", F.col("profile.family").alias("family"), "summary")
+    return daily.run(rows, before, sent, failed, "1998-08-01", counters=counters)
+
+
+@query(
+    f"""WITH o AS {_merged_sql(_DAY1)}, n AS {_merged_sql(_ACCEPTED)}, jobs AS {JOBS_SQL}, classes AS {_CLASSES}, failed AS (SELECT DISTINCT company FROM jobs WHERE _ord % 70 = 0), sent AS (SELECT DISTINCT {_SEEN} AS s FROM jobs WHERE _ord % 50 = 0),
+    after_ AS (SELECT *, CASE WHEN posted_date <> '' THEN posted_date ELSE first_seen END AS fresh FROM (SELECT coalesce(o.mkey, n.mkey) AS mkey, coalesce(o.company, n.company) AS company, list_concat(coalesce(o.ids, []), coalesce(n.ids, [])) AS ids,
+        CASE WHEN n.mkey IS NULL OR (o.posted_date <> '' AND n.posted_date = '') THEN o.posted_date ELSE n.posted_date END AS posted_date, CASE WHEN o.mkey IS NULL THEN '1998-08-01' ELSE '1998-07-30' END AS first_seen, CASE WHEN n.mkey IS NULL THEN '1998-07-30' ELSE '1998-08-01' END AS last_seen
+        FROM o FULL JOIN n ON o.mkey = n.mkey)),
+    known AS (SELECT DISTINCT mkey FROM (SELECT mkey, unnest(ids) AS s FROM after_) JOIN sent USING (s)),
+    email AS (SELECT row_number() OVER (PARTITION BY company ORDER BY fresh DESC, mkey) AS p FROM after_ ANTI JOIN known USING (mkey) WHERE last_seen = '1998-08-01' AND fresh >= '1998-07-31'),
+    board AS (SELECT row_number() OVER (PARTITION BY company ORDER BY fresh DESC, mkey) AS p FROM after_ WHERE fresh >= '1998-07-18' AND (last_seen >= '1998-07-31' OR company IN (SELECT company FROM failed)))
+    SELECT name, CAST(n AS BIGINT) AS n FROM (
+    SELECT 'scanned' AS name, count(DISTINCT o_custkey) AS n FROM orders UNION ALL SELECT 'failed', count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 7 = 0
+    UNION ALL SELECT 'fetched', count(*) FROM jobs UNION ALL SELECT 'matched', count(*) FROM classes UNION ALL SELECT 'accepted', count(*) FROM classes WHERE decision = 'accept' UNION ALL SELECT 'merged', count(*) FROM n
+    UNION ALL SELECT 'new', count(*) FROM email WHERE p <= 3 UNION ALL SELECT 'board', count(*) FROM board WHERE p <= 8
+    UNION ALL SELECT 'path_' || p, (SELECT count(*) FROM classes WHERE path = p) FROM (VALUES ('keyword'), ('keyword_nollm'), ('llm_cache'), ('llm'), ('llm_failed_fallback')) v(p))"""
+)
+def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run's counters, taken while its outputs are written once; and of the responses, while their outcomes are."""
+    from .query_sources import broken_bronze
+    from .sources.payloads import listed, responses
+
+    counters = stats.Counters()
+    done = _daily(spark, sf_dir, counters)
+    daily.outputs(done).write.format("noop").mode("overwrite").save()
+    listed(daily.counted_responses(responses(broken_bronze(spark, sf_dir), "2026-08-22"), counters), "2026-08-22").write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(counters.read().items()), "name string, n bigint")
 
 
 _EVENTS = "FROM events WHERE value IS NOT NULL"

@@ -15,7 +15,8 @@ from .operators import enrich, outputs, pages, registry, state
 from .queries import _MKEY, _SEEN, _merged, _merged_sql, q, query, read
 from .samples import JOBS_SQL, dealt, jobs
 from .sources import discoveries
-from .sources.payloads import cached_postings, discovered_postings, postings, unknown_platforms
+from .sources.payloads import cached_postings, discovered_postings, outcomes, postings, responses, unknown_platforms
+from .sources.union import united
 
 DAY = "2026-08-22"
 
@@ -100,6 +101,22 @@ def platform_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings(bronze(spark, sf_dir), DAY).drop("_ord")
 
 
+#: Every seventh company's response is cut off, every eleventh holds an empty list.
+_BROKEN = F.when(F.col("_row") % 7 == 0, F.substring("body", 1, 20)).when(F.col("_row") % 11 == 0, "[]").otherwise(F.col("body"))
+_OUTCOME = "CASE WHEN o_custkey % 7 = 0 THEN 'error' WHEN o_custkey % 11 = 0 OR kind = 'jazzhr' THEN 'empty' ELSE 'ok' END"
+_KIND = f"([{', '.join(map(q, _NAMES))}])[1 + o_custkey % {len(_NAMES)}]"
+
+
+@query(f"SELECT 'c' || o_custkey AS company_name, kind AS platform, CASE WHEN {_OUTCOME} = 'ok' THEN n ELSE 0 END AS n, {_OUTCOME} AS status FROM (SELECT o_custkey, {_KIND} AS kind, count(*) AS n FROM orders GROUP BY 1, 2)")
+def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each company's responses gave: a broken body is its company's failure alone."""
+    return outcomes(responses(broken_bronze(spark, sf_dir), DAY))
+
+
+def broken_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze(spark, sf_dir).withColumn("body", _BROKEN)
+
+
 @query("SELECT 'c' || c_custkey AS company_name, ' Odd' || c_custkey % 7 AS ats_platform, 'unknown platform  Odd' || c_custkey % 7 AS error FROM customer WHERE c_custkey % 5 = 0")
 def unknown_platform_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer")
@@ -132,13 +149,16 @@ _SEARCHED = f"""(SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE company END
     FROM {_SEARCHED} WHERE c <> '' AND o_orderkey % 4 <> 1 AND NOT (o_orderkey % 4 = 0 AND o_orderkey % 40 > 21) AND NOT contains(lower(title), 'junior')"""
 )
 def searched_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _searched(spark, sf_dir).select("company", "title", "location", "url", "posted_date", "job_id", "ats_platform", F.col("_ord.row").alias("_ord"))
+
+
+def _searched(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("_ord"), "o_orderdate")
     k = F.col("_ord")
     said = F.when(k % 4 == 0, F.concat(F.lit("Posted "), (k % 40).cast("string"), F.lit(" days ago"))).when(k % 4 == 1, "30+ days ago").when(k % 4 == 2, F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00")).otherwise("soon")
     record = F.to_json(F.struct(F.col("title").alias("job_title"), F.when(k % 3 == 0, "").otherwise(F.col("company")).alias("company_name"), F.col("location").alias("job_location"), F.col("url").alias("job_url"), said.alias("date_posted")))
     rows = jobs(spark, sf_dir).join(o, "_ord").select("_ord", record.alias("record"))
-    found = discoveries.searched_postings(rows.unionByName(spark.createDataFrame([(-1, "{broken")], "_ord bigint, record string")), "x", DAY)
-    return found.select("company", "title", "location", "url", "posted_date", "job_id", "ats_platform", "_ord")
+    return discoveries.searched_postings(rows.unionByName(spark.createDataFrame([(-1, "{broken")], "_ord bigint, record string")), "x", DAY)
 
 
 @query(
@@ -146,6 +166,10 @@ def searched_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     'Skills: SQL, Python. Seniority: ' || CASE WHEN o_orderkey % 2 = 0 THEN 'Senior level' ELSE '' END || '.' AS description FROM orders WHERE o_orderkey % 5 <> 0"""
 )
 def channel_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _channels(spark, sf_dir).select("channel", "id", "company", "title", "location", "url", "posted_date", "description")
+
+
+def _channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channel pages with one message each; a fifth of the messages has no link."""
     k = F.col("o_orderkey")
     line = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
@@ -154,8 +178,7 @@ def channel_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, F.lit("Senior level")), F.when(k % 5 != 0, line("Apply: https://x.com/", k, "?utm=1")), F.lit("--"), F.lit("more at https://t.me/x"),
     )
     html = line('<div data-post="ch', F.col("o_custkey") % 3, "/", k, '"><div class="tgme_widget_message_text js">', body, '</div><time datetime="', F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm"), '"></time></div>')
-    found = discoveries.channel_postings(discoveries.channel_messages(read(spark, sf_dir, "orders").select(html.alias("html"))))
-    return found.select("channel", "id", "company", "title", "location", "url", "posted_date", "description")
+    return discoveries.channel_postings(discoveries.channel_messages(read(spark, sf_dir, "orders").select(html.alias("html"))))
 
 
 # --- sections of descriptions ---
@@ -190,17 +213,17 @@ def _described(column: int) -> str:
     return "CASE o_orderkey % 6 " + " ".join(f"WHEN {i} THEN {shape[column]}" for i, shape in enumerate(_DESCRIBED)) + " END"
 
 
-_NAMES = ("requirements", "duties", "tasks", "soft", "ai_asked", "ai_daily")
+_SAID = ("requirements", "duties", "tasks", "soft", "ai_asked", "ai_daily")
 
 
-@query(f"SELECT _ord, {', '.join(_NAMES)} FROM (SELECT *, o_orderkey AS _ord, {', '.join(f'{_described(i + 1)} AS {n}' for i, n in enumerate(_NAMES))} FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c FROM orders))")
+@query(f"SELECT _ord, {', '.join(_SAID)} FROM (SELECT *, o_orderkey AS _ord, {', '.join(f'{_described(i + 1)} AS {n}' for i, n in enumerate(_SAID))} FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c FROM orders))")
 def description_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = dealt(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     rows = orders.select("*", F.col("o_orderkey").cast("string").alias("k"), F.col("o_custkey").cast("string").alias("c"))
     found = rows.select(F.col("o_orderkey").alias("_ord"), S.sections(F.expr(_described(0))).alias("s"))
     tokens = lambda name: F.array_join(F.transform(F.col(f"s.{name}"), lambda t: t["token"]), "+").alias(name)
     flat = F.array_join(F.transform("s.requirements", lambda x: F.concat_ws("/", x["text"], F.coalesce(x["badge"], F.lit("")))), "|")
-    return found.select("_ord", flat.alias("requirements"), F.array_join("s.duties", "|").alias("duties"), *map(tokens, _NAMES[2:]))
+    return found.select("_ord", flat.alias("requirements"), F.array_join("s.duties", "|").alias("duties"), *map(tokens, _SAID[2:]))
 
 
 @query(
@@ -396,3 +419,28 @@ def sent_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n in (1, 2):
         sent = state.mark_sent(sent, _merged(spark, sf_dir, f"_ord % {n + 1} = 0"), f"1998-01-0{n}")
     return sent.select(F.col("seen_id").alias("mkey"), "last_seen", "first_sent")
+
+
+# --- all sources ---
+@query(
+    f"""WITH boards AS ({_platforms_sql()})
+    SELECT layer, ats_platform, count(*) AS n, min(k) AS first_row, max(k) AS last_row FROM (
+    SELECT 0 AS layer, ats_platform, CAST(substr(company, 2) AS BIGINT) AS k FROM boards WHERE ats_platform <> 'google_jobs' UNION ALL SELECT 0, 'google_jobs', o_custkey FROM orders WHERE {_KIND} = 'google_jobs'
+    UNION ALL SELECT 1, 'scrape', o_custkey FROM orders WHERE o_custkey % 3 <> 2
+    UNION ALL SELECT 2, ats_platform, _ord FROM {JOBS_SQL} WHERE (posted_date = '' OR posted_date >= '1998-07-01') AND NOT (trim(lower(company)) IN ({', '.join(map(q, L.AGENCIES))}) OR regexp_matches(lower(company), {q(L.AGENCY_WORDS)}))
+    UNION ALL SELECT 3, 'discovery-x', o_orderkey FROM {_SEARCHED} WHERE c <> '' AND o_orderkey % 4 <> 1 AND NOT (o_orderkey % 4 = 0 AND o_orderkey % 40 > 21) AND NOT contains(lower(title), 'junior')
+    UNION ALL SELECT 4, 'discovery-telegram', o_orderkey FROM orders WHERE o_orderkey % 5 <> 0
+    UNION ALL SELECT 5, 'scrape', c_custkey FROM customer, (VALUES (1), (2), (3)) v(i) WHERE i <= CASE c_custkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 3 END) GROUP BY ALL"""
+)
+def united_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources in one table: boards, caches of scraped and found postings, searches, channels and pages."""
+    o = read(spark, sf_dir, "orders").where("o_custkey % 3 <> 2")
+    name = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    job = F.struct(name.alias("company"), F.lit("Analyst").alias("title"), F.lit("scrape").alias("ats_platform"), F.col("o_orderkey").cast("string").alias("job_id"))
+    cache = o.groupBy(name.alias("company")).agg(F.collect_list(job).alias("jobs"))
+    cached = cached_postings(o.select(name.alias("company_name"), F.lit("t").alias("token"), F.col("o_custkey").alias("_row")).distinct(), cache)
+    rows = united(
+        boards=postings(bronze(spark, sf_dir), DAY), cached=cached, discovered=discovered_postings(jobs(spark, sf_dir), "1998-07-22"), searched=_searched(spark, sf_dir), channels=_channels(spark, sf_dir),
+        pages=pages.scraped_postings(_pages(spark, sf_dir), DAY),
+    )
+    return rows.groupBy("_ord.layer", "ats_platform").agg(F.count(F.lit(1)).alias("n"), F.min("_ord.row").alias("first_row"), F.max("_ord.row").alias("last_row"))

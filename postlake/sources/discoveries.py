@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as L
 from ..functions.dates import day, iso
 from ..functions.text import first_filled, text, unescape
+from .tables import order
 
 _LINK = r"""https?://[^\s"'<>]+"""
 _MESSAGE = r'(?s)data-post="([^"/]+)/(\d+)".*?tgme_widget_message_text[^>]*>(.*?)</div>.*?<time datetime="([^"]+)"'
@@ -39,7 +40,7 @@ def searched_postings(records: DataFrame, source: str, run_date: Column | str) -
     return rows.where((title != "") & (company != "") & posted.isNotNull() & ~junior).select(
         F.substring(company, 1, 80).alias("company"), F.substring(title, 1, 140).alias("title"), F.substring(location, 1, 80).alias("location"), F.lit("IL").alias("country_code"), url.alias("url"),
         posted.alias("posted_date"), F.lit(f"discovery-{source}").alias("ats_platform"), F.when(url != "", url).otherwise(F.concat_ws("|", company, title)).alias("job_id"),
-        F.regexp_replace(F.substring(body, 1, 6000), "<[^>]+>", " ").alias("description"), "_ord",
+        F.regexp_replace(F.substring(body, 1, 6000), "<[^>]+>", " ").alias("description"), order("_ord").alias("_ord"),
     )
 
 
@@ -81,5 +82,5 @@ def channel_postings(messages: DataFrame) -> DataFrame:
     return kept.select(
         "channel", "id", F.substring(company, 1, 80).alias("company"), F.substring(title, 1, 140).alias("title"), F.substring(F.concat(city, F.lit(", Israel")), 1, 80).alias("location"),
         F.lit("IL").alias("country_code"), link.alias("url"), F.substring("posted", 1, 10).alias("posted_date"), F.lit("discovery-telegram").alias("ats_platform"), link.alias("job_id"),
-        F.concat(F.lit("Skills: "), F.col("skills"), F.lit(". Seniority: "), first(short), F.lit(".")).alias("description"),
+        F.concat(F.lit("Skills: "), F.col("skills"), F.lit(". Seniority: "), first(short), F.lit(".")).alias("description"), order("id", F.crc32("channel")).alias("_ord"),
     )

@@ -11,12 +11,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.dates import epoch_date, guessed_epoch_date, iso_date, relative_date
 from ..functions.identity import host, is_agency
 from ..functions.places import country_code
 from ..functions.text import first_filled, join_filled, snippet, squeeze, strip_html
-from .tables import JOB
+from .tables import JOB, order
 
 FIELDS = ("title", "location", "country_code", "url", "posted_date", "job_id", "description")
 
@@ -163,17 +164,18 @@ def platforms(run_date: Column | str) -> dict[str, Platform]:
     }
 
 
+_COLUMNS = tuple(c.split(" ")[0] for c in JOB.split(", "))
+
+
 def normalised(bronze: DataFrame) -> DataFrame:
     """Bronze with its platform's name as the readers spell it; write it partitioned by `platform`, and each reader prunes to its own rows."""
     return bronze.withColumn("platform", F.lower(F.trim("ats_platform")))
 
 
-def postings(bronze: DataFrame, run_date: Column | str) -> DataFrame:
-    """Postings of all known platforms, unfiltered, in the order of registry row, page and place (`_ord`, a struct of these).
+def responses(bronze: DataFrame, run_date: Column | str) -> DataFrame:
+    """Bronze rows of known platforms with what they hold under `_jobs`: an array of raw postings, null where a body can't be read.
 
-    One scan: a row is parsed by its own platform's schema alone, each into the same fields. Bodies that don't parse, or
-    hold no list, give no postings. Google results without any id are dropped, and repeated ids of one company are kept
-    once where a platform repeats them over pages.
+    A row is parsed by its own platform's schema alone, each into the same fields.
     """
     known = platforms(run_date)
     one = ", ".join(f"{f}:string" for f in ("company", *FIELDS))
@@ -181,19 +183,47 @@ def postings(bronze: DataFrame, run_date: Column | str) -> DataFrame:
     found = F.lit(None).cast(f"array<struct<{one}>>")
     for name, platform in known.items():
         found = F.when(F.col("platform") == name, _listing(platform)).otherwise(found)
-    kind = F.col("platform")
-    placed = rows.where(kind.isin(*known)).select("platform", "_row", F.coalesce("page_no", F.lit(0)).alias("page_no"), F.posexplode(found).alias("_at", "job"))
-    raw = placed.select("job.*", "platform", F.when(kind == "phenom", "eightfold").otherwise(kind).alias("ats_platform"), F.struct("_row", "page_no", F.col("_at").alias("place")).alias("_ord"))
+    return rows.where(F.col("platform").isin(*known)).withColumn("page_no", F.coalesce("page_no", F.lit(0))).withColumn("_jobs", found)
+
+
+def lost() -> Column:
+    """Whether a response's body is missing or no JSON; a body without a list is merely empty."""
+    return F.when(F.col("_jobs").isNotNull(), False).otherwise(F.try_parse_json("body").isNull())
+
+
+def outcomes(found: DataFrame) -> DataFrame:
+    """company_name, platform, n, status of each company among `responses`: ok, empty, or error where nothing could be read."""
+    n = F.sum(F.when(F.col("_jobs").isNotNull(), F.size("_jobs")).otherwise(0).cast("bigint"))
+    counted = found.groupBy("company_name", "platform").agg(n.alias("n"), F.bool_and(lost()).alias("lost"))
+    return counted.select("company_name", "platform", "n", F.when(F.col("lost"), "error").when(F.col("n") > 0, "ok").otherwise("empty").alias("status"))
+
+
+def postings(bronze: DataFrame, run_date: Column | str) -> DataFrame:
+    """Postings of all known platforms, unfiltered, in the order of registry row, page and place (`_ord`).
+
+    One scan. Bodies that don't parse, or hold no list, give no postings. Google results without any id are dropped, and
+    repeated ids of one company are kept once where a platform repeats them over pages.
+    """
+    return listed(responses(bronze, run_date), run_date)
+
+
+def listed(found: DataFrame, run_date: Column | str) -> DataFrame:
+    """The postings in `responses`."""
+    known, kind = platforms(run_date), F.col("platform")
+    placed = found.select("platform", "_row", "page_no", F.posexplode("_jobs").alias("_at", "job"))
+    raw = placed.select("job.*", "platform", F.when(kind == "phenom", "eightfold").otherwise(kind).alias("ats_platform"), order("_row", F.col("page_no"), F.col("_at")).alias("_ord"))
     # texts and dates that many platforms share are read here, once for all of them
     jobs = raw.withColumns({
         "description": F.when(kind.isin(*_SNIPPETS), snippet("description")).when(kind.isin(*_HTML), strip_html("description")).otherwise(F.col("description")),
         "posted_date": F.when(kind.isin(*_DATED), iso_date("posted_date")).otherwise(F.col("posted_date")),
-    }).select(*(c.split(" ")[0] for c in JOB.split(", ")))
+    }).select(*_COLUMNS)
     google = F.col("ats_platform") == "google_jobs"
     jobs = jobs.where(~google | (F.col("job_id") != ""))
-    once = google | F.col("ats_platform").isin(*(n for n, p in known.items() if p.once_per_id))
-    within = F.when(google, F.lit("")).otherwise(F.col("company"))
-    return jobs.where(~once).unionByName(keep_first_id(jobs.where(once).withColumn("_in", within), ["ats_platform", "_in"]).drop("_in"))
+    once = (google | F.col("ats_platform").isin(*(n for n, p in known.items() if p.once_per_id))) & (F.col("job_id") != "")
+    # where ids don't repeat, a posting's own place is its key
+    within = F.struct(F.when(once & ~google, F.col("company")).alias("in"), F.when(once, F.col("job_id")).alias("id"), F.when(~once, F.col("_ord")).alias("place"))
+    first = F.row_number().over(Window.partitionBy("ats_platform", within).orderBy("_ord"))
+    return jobs.withColumn("_first", first).where("_first = 1").drop("_first")
 
 
 def _listing(platform: Platform) -> Column:
@@ -214,14 +244,6 @@ def _listing(platform: Platform) -> Column:
     return F.transform(items, filled)
 
 
-def keep_first_id(jobs: DataFrame, within: list[str]) -> DataFrame:
-    """The first posting of each id; postings without an id all stay."""
-    blank, known = jobs.where("job_id = ''"), jobs.where("job_id <> ''")
-    columns = jobs.columns
-    first = known.groupBy(*within, "job_id").agg(F.min_by(F.struct(*columns), "_ord").alias("_first")).select("_first.*")
-    return first.unionByName(blank)
-
-
 def unknown_platforms(bronze: DataFrame, run_date: Column | str) -> DataFrame:
     """Companies whose platform nothing reads: their failure is theirs, not the run's."""
     return bronze.where(~F.lower(F.trim("ats_platform")).isin(*platforms(run_date), "scrape", "discovery")).select("company_name", "ats_platform").distinct().withColumn("error", F.concat(F.lit("unknown platform "), "ats_platform"))
@@ -232,7 +254,8 @@ def cached_postings(rows: DataFrame, cache: DataFrame) -> DataFrame:
     by_name = cache.select(F.col("company").alias("company_name"), F.col("jobs").alias("_own"))
     by_token = cache.select(F.col("company").alias("token"), F.col("jobs").alias("_other"))
     found = rows.join(by_name, "company_name", "left").join(by_token, "token", "left")
-    return found.select("company_name", F.explode(F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.col("_other"))).alias("job")).select("job.*")
+    jobs = found.select(*(["_row"] if "_row" in rows.columns else []), F.posexplode(F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.col("_other"))).alias("_at", "job"))
+    return jobs.select("job.*", *([order("_row", 0, F.col("_at")).alias("_ord")] if "_row" in rows.columns else []))
 
 
 def discovered_postings(cache: DataFrame, run_date: Column | str, days: int = 21) -> DataFrame:

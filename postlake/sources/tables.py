@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-JOB = "company string, title string, location string, country_code string, url string, posted_date string, ats_platform string, job_id string, description string, _ord bigint"
+JOB = "company string, title string, location string, country_code string, url string, posted_date string, ats_platform string, job_id string, description string, _ord struct<row:bigint,page:bigint,place:bigint>"
 REGISTRY = "company_name string, ats_platform string, token string, api_url string, active string, notes string"
 BRONZE = "company_name string, ats_platform string, token string, api_url string, page_no int, body string, _row bigint"
 STATE = {
@@ -23,6 +23,12 @@ STATE = {
 FIRMOGRAPHICS = "sector string, sub_sector string, stage string, stage_note string, size_band string, employees_global string, founded string, business_model string, customer_type string, il_center string, as_of string"
 
 
+def order(row: Column | str, page: Column | int = 0, place: Column | int = 0) -> Column:
+    """A posting's place in its source, of the one type that all sources share."""
+    whole = lambda c: (c if isinstance(c, Column) else F.col(c) if isinstance(c, str) else F.lit(c)).cast("bigint")
+    return F.struct(whole(row).alias("row"), whole(page).alias("page"), whole(place).alias("place"))
+
+
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
