@@ -4,9 +4,8 @@
    equal sets form one class, so copies cost no pairs.
 2. Classes that share a band key meet in a bucket; each is confirmed against the bucket's least class on full sets, and
    components of these links are found by alternating large-star and small-star.
-3. Buckets of three or more classes that still hold several components are the exact rest: in blocks, signatures of every
-   pair not yet connected are compared, and then the full sets of the classes that have an alike partner in their block.
-   No bucket is capped.
+3. Buckets of three or more classes that still hold several components are the exact rest: pairs not yet connected that
+   share one of their rarest shingles are compared by signature and then on full sets. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -19,14 +18,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lookup, ngram_hashes, slices, spread, without, word_hashes
-from .components import components
+from .common import cut, hashed_words, lookup, ngram_hashes, slices, spread, without
+from .components import components, labelled
+from .prefixes import confirmed, crossing, exact_rest, prefix, shared_tokens, shingle_counts
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word shingles. Words: runs between ASCII white space, A-Z in lower case."""
-    x = word_hashes(text.encode().lower().split() if text else [])
-    return np.unique(ngram_hashes(x, min(width, len(x)))) if len(x) else np.zeros(0, np.uint64)
+def shingles(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's word shingles. Words: runs between ASCII white space, A-Z in lower case."""
+    x, first = hashed_words(texts)
+    grams = ngram_hashes(x, width)
+    made = lambda a, b: np.unique(grams[a : b - width + 1]) if b - a >= width else ngram_hashes(x[a:b], b - a) if b > a else np.zeros(0, np.uint64)
+    return [made(a, b) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
 class MinHash:
@@ -57,8 +59,7 @@ def _described(docs: DataFrame, width: int, hashes: MinHash) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             n, set_keys, keys = [], [], []
-            for text in piece.column(1).to_pylist():
-                items = shingles(text, width)
+            for items in shingles(piece.column(1), width):
                 n.append(len(items))
                 set_keys.append(xxhash.xxh128_digest(items.tobytes()) if len(items) else None)
                 keys.append(hashes.keys(hashes.signature(items)) if len(items) else None)
@@ -74,8 +75,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, hashes: MinHash) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             ids, sets, signatures = [], [], []
-            for i, text, key in zip(*(piece.column(k).to_pylist() for k in range(3)), strict=True):
-                items = shingles(text, width)
+            for i, items, key in zip(piece.column(0).to_pylist(), shingles(piece.column(1), width), piece.column(2).to_pylist(), strict=True):
                 if len(items) and xxhash.xxh128_digest(items.tobytes()) == key:
                     ids.append(i)
                     sets.append(items.view(np.int64))
@@ -85,105 +85,42 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, hashes: MinHash) -> Da
     return chosen.mapInArrow(run, "class bigint, items array<bigint>, signature binary").dropDuplicates(["class"])
 
 
-class Forest:
-    """Union-find over a block's rows."""
+def _rest(members: DataFrame, first: DataFrame, sets: DataFrame, percent: int, slack: float, block: int, counters: int) -> DataFrame:
+    """Links (a, b) of classes in buckets that hold more than one component after the first pass.
 
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        while (y := self.up.get(x, x)) != x:
-            self.up[x] = x = self.up.get(y, y)
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.find(x), self.find(y)
-        self.up[max(x, y)] = min(x, y)
-
-
-def _candidates(roots: np.ndarray, sides: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, percent: int, slack: float) -> Iterator[tuple[int, np.ndarray]]:
-    """Each row of a block with the later rows of another component, and of the other side when it has both, that look alike."""
-    two = len(np.unique(sides)) > 1
-    for i in range(len(roots)):
-        later = np.arange(i + 1, len(roots))
-        if two:
-            later = later[sides[later] != sides[i]]
-        later = later[(100 * np.minimum(sizes[later], sizes[i]) >= percent * np.maximum(sizes[later], sizes[i])) & (roots[later] != roots[i])]
-        if len(later):
-            alike = (signatures[later] == signatures[i]).mean(axis=1)
-            yield i, later[alike >= percent / 100 - slack]
-
-
-def _joined(classes: np.ndarray, roots: np.ndarray, sides: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, items: list[np.ndarray], percent: int, slack: float) -> list[tuple[int, int]]:
-    """Confirmed links that join two components within a block."""
-    forest, found = Forest(), []
-    for i, later in _candidates(roots, sides, sizes, signatures, percent, slack):
-        for j in later:
-            if forest.find(int(roots[i])) == forest.find(int(roots[j])):
-                continue
-            common = len(np.intersect1d(items[i], items[j], assume_unique=True))
-            if 100 * common >= percent * (sizes[i] + sizes[j] - common):
-                forest.join(int(roots[i]), int(roots[j]))
-                found.append((int(classes[i]), int(classes[j])))
-    return found
-
-
-_BLOCK = ["key", "lo", "hi"]
-
-
-def _by_block(rows: DataFrame, settle, schema: str) -> DataFrame:
-    """settle(rows of a block, as columns after the block's name, by class) -> columns of the result, block by block."""
-    names = [f.split(" ")[0] for f in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
-
-        def packed(results: list[list[list]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x for r in results for x in r[k]], pa.int64()) for k in range(len(names))], names=names)
-
-        for batch in batches:
-            out = []
-            for *block, row in zip(*(batch.column(k).to_pylist() for k in range(3)), range(batch.num_rows), strict=True):
-                if block != now:
-                    out += [settle(now, held)] if len(held) > 1 else []
-                    held, now = [], block
-                held.append(tuple(c[row].values.to_numpy() if pa.types.is_list(c.type) else c[row].as_py() for c in batch.columns[3:]))
-            yield packed(out)
-        yield packed([settle(now, held)] if len(held) > 1 else [])
-
-    return rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, "class").mapInArrow(run, schema)
-
-
-def _rest(members: DataFrame, first: DataFrame, sets: DataFrame, percent: int, slack: float, block: int) -> DataFrame:
-    """Links (a, b) of buckets that hold more than one component after the first pass."""
-    rows = members.where("n > 2").join(first, F.col("class") == F.col("node"), "left").select("key", "class", "size", F.coalesce("root", "class").alias("root"), "n")
+    Two of them can be linked only if they share one of their rarest shingles, which texts that merely share common passages
+    don't; pairs of different components that do are compared by their signatures, then on their full sets.
+    """
+    rows = members.where("n > 2").join(first, F.col("class") == F.col("node"), "left").select("key", "class", F.coalesce("root", "class").alias("root"))
     open_keys = rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    rows = cut(lookup(rows, cut(open_keys), ["key"], "left_semi"))
-    n_blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = rows.join(sets.select("class", "signature"), "class").withColumn("own", F.pmod(F.xxhash64("class"), n_blocks).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "class", "root", "size", "signature")
-
-    def columns(held: list[tuple]) -> list[np.ndarray]:
-        own, classes, roots, sizes = (np.array([h[k] for h in held]) for k in range(4))
-        return [classes, roots, own, sizes, np.stack([np.frombuffer(h[4], np.uint32) for h in held])]
+    rest = cut(lookup(rows, cut(open_keys), ["key"], "left_semi").select("class").distinct())
+    if rest.isEmpty():
+        return rest.select(F.col("class").alias("a"), F.col("class").alias("b"))
+    own = cut(lookup(sets, rest, ["class"], "left_semi"))
+    counts = shingle_counts(own.select("items"), lambda batch: [[x.values.to_numpy().view(np.uint64) for x in batch.column(0)]], counters)
+    shift, noise = np.uint64(64 - counters.bit_length() + 1), float(counts.mean())
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [prefix(items, counts[(items >> shift).astype(np.int64)], noise, percent, 1)[0] for items in (x.values.to_numpy().view(np.uint64) for x in batch.column(1))]
+            sizes = pa.array([len(x) for x in batch.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["class", "size", "prefix"])
 
-    def alike(at: list, held: list[tuple]) -> list[list]:
-        classes, roots, own, sizes, signatures = columns(held)
-        picked = np.unique(np.concatenate([np.zeros(0, np.int64)] + [np.append(later, i) for i, later in _candidates(roots, own, sizes, signatures, percent, slack) if len(later)]))
-        return [*([x] * len(picked) for x in at), *(c[picked].tolist() for c in (own, classes, roots, sizes))]
+    posted = cut(own.select("class", "items").mapInArrow(prefixes, "class bigint, size bigint, prefix array<bigint>"))
+    shared = shared_tokens(posted.select("class", "size", F.lit(1).alias("depth"), F.posexplode("prefix").alias("pos", "token")))
+    pairs = exact_rest(*crossing(shared, first, percent), percent)
+    signed = lambda side: own.select(F.col("class").alias(side), F.col("signature").alias(f"sign_{side}"))
 
-    def confirm(at: list, held: list[tuple]) -> list[list]:
-        found = _joined(*columns(held), [h[5] for h in held], percent, slack)
-        return [[a for a, _ in found], [b for _, b in found]]
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for k in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array((a == b).mean(axis=1) >= percent / 100 - slack))
 
-    near = cut(_by_block(dealt, alike, "key bigint, lo bigint, hi bigint, own bigint, class bigint, root bigint, size bigint"))
-    if near.isEmpty():
-        return near.select(F.col("class").alias("a"), F.col("class").alias("b"))
-    return cut(_by_block(near.join(sets, "class").select(*_BLOCK, "own", "class", "root", "size", "signature", "items"), confirm, "a bigint, b bigint"))
+    pairs = cut(pairs.join(signed("a"), "a").join(signed("b"), "b").select("a", "b", "sign_a", "sign_b").mapInArrow(alike, "a bigint, b bigint"))
+    return cut(confirmed(pairs, lambda sends: sends.join(own.select("class", "items"), "class"), percent, block))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256, counters: int = 1 << 18) -> DataFrame:
     """Per row: id (long), n_shingles, component_id (the least id reachable over links, itself included), kept (id = component_id).
 
     Linked are texts whose sets of distinct `width`-word shingles have 100 * intersection >= percent * union. A text with
@@ -192,8 +129,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are left out, whatever their names; an empty table gives an empty result.
 
     With the defaults a link at exactly 80 % misses all bands with probability 5e-5, one at 85 % with 4e-7; a linked
-    pair's signature falls short by `slack` with less. `block`: classes of a bucket that are compared at once; the partners
-    of a representative are dealt into parts of about as many.
+    pair's signature falls short by `slack` with less. `block`: the partners of one class are dealt into parts of about as
+    many. `counters` (a power of two): places by which shingles of the exact rest are counted for their order.
     """
     hashes = MinHash(bands, rows)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -223,14 +160,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = links.union(ids.join(ids.groupBy("id").agg(F.min("class").alias("b")), "id").select(F.col("class").alias("a"), "b"))
     links = cut(links)
     first = components(links)
-    rest = _rest(members, first, sets, percent, slack, block)
+    rest = _rest(members, first, sets, percent, slack, block, counters)
     roots = first if rest.isEmpty() else components(links.union(rest))
-    # a component is named by its least id; classes without links are components of their own
-    owned = cut(roots.withColumnRenamed("node", "class").join(classes.select("class", "least"), "class"))
-    named = cut(owned.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")))
-    owned = cut(spread(owned.select("class", "root"), named, ["root"], F.col("n") * 4096 > owned.count()).select("class", "component_id"))
-    labelled = cut(classes.join(owned, "class", "left").select("set_key", F.coalesce("component_id", "least").alias("component_id")))
-    linked = lookup(filled.select("id", "n_shingles", "set_key"), labelled, ["set_key"]).select("id", "n_shingles", "component_id")
+    linked = lookup(filled.select("id", "n_shingles", "set_key"), labelled(classes, roots), ["set_key"]).select("id", "n_shingles", "component_id")
     alone = described.where("id is null or set_key is null").select("id", "n_shingles", F.col("id").alias("component_id"))
     return linked.union(alone).select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 

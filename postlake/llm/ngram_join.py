@@ -17,59 +17,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lookup, slices, spread
+from .common import cut, lookup, slices
 from .components import components, labelled
 from .near_dedup import shingles
-
-_CHUNK = 1 << 16
-
-
-def _counts(docs: DataFrame, width: int, counters: int) -> np.ndarray:
-    """How many (document, shingle) pairs of the whole table fall to each counter, by the upper bits of a shingle's hash."""
-    shift = np.uint64(64 - counters.bit_length() + 1)
-    step = min(_CHUNK, counters)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(counters, np.int64)
-        for piece in slices(batches, 0):
-            found = [shingles(t, width) for t in piece.column(0).to_pylist()]
-            held += np.bincount((np.concatenate([*found, np.zeros(0, np.uint64)]) >> shift).astype(np.int64), minlength=counters)
-        yield from packed({i: held[i * step : (i + 1) * step] for i in range(counters // step) if held[i * step : (i + 1) * step].any()})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, part in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
-                held[i] = held.get(i, 0) + np.frombuffer(part, np.uint32)
-        yield from packed(held)
-
-    def packed(parts: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for i, part in parts.items():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([np.minimum(part, (1 << 32) - 1).astype(np.uint32).tobytes()], pa.binary())], names=["chunk", "counts"])
-
-    schema = "chunk int, counts binary"
-    total = np.zeros(counters, np.uint32)
-    for row in docs.select("text").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema).collect():  # counters * 4 bytes in all
-        total[row["chunk"] * step : (row["chunk"] + 1) * step] = np.frombuffer(row["counts"], np.uint32)
-    return total
-
-
-def prefix(items: np.ndarray, held: np.ndarray, noise: float, percent: int, deepest: int) -> tuple[np.ndarray, int, float]:
-    """The set's first shingles, rarest first, the number of matches to ask for, and how typical it is (mean log count).
-
-    held: the count of each shingle's counter; noise: what a counter holds of unrelated shingles.
-    """
-    order = np.argsort((held.astype(np.uint64) << np.uint64(32)) | (items >> np.uint64(32)), kind="stable")
-    n, least = len(items), -(-percent * len(items) // 100)
-    reads = np.cumsum(np.maximum(held[order[: n - least + deepest]] - noise, 0.0) + 1)  # rows that share a shingle of the prefix
-    depths = np.arange(1, min(deepest, least) + 1)
-    # a candidate with l matches takes l of the rows read; it costs the reading of its set
-    cost = reads[n - least + depths - 1] * (1 + n / depths)
-    depth = int(depths[cost.argmin()])
-    return items[order[: n - least + depth]], depth, float(np.log2(np.maximum(held - noise, 0) + 1).mean())
+from .prefixes import confirmed, crossing, exact_rest, prefix, shared_tokens, shingle_counts, typical_pairs
 
 
 def _described(docs: DataFrame, width: int, percent: int, counts: np.ndarray, deepest: int) -> DataFrame:
@@ -79,8 +33,7 @@ def _described(docs: DataFrame, width: int, percent: int, counts: np.ndarray, de
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             out: list[list] = [[], [], [], [], []]
-            for text in piece.column(1).to_pylist():
-                items = shingles(text, width)
+            for items in shingles(piece.column(1), width):
                 first, depth, typical = prefix(items, counts[(items >> shift).astype(np.int64)], noise, percent, deepest) if len(items) else (None, None, None)
                 for column, value in zip(out, (len(items), xxhash.xxh128_digest(items.tobytes()) if len(items) else None, depth, typical, None if first is None else first.view(np.int64)), strict=True):
                     column.append(value)
@@ -90,44 +43,29 @@ def _described(docs: DataFrame, width: int, percent: int, counts: np.ndarray, de
     return docs.mapInArrow(run, "id bigint, n_shingles bigint, set_key binary, depth int, typical double, prefix array<bigint>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(class, items) of the wanted classes (class, id, set_key), each from a text of that id."""
-    chosen = lookup(docs, wanted, ["id"]).select("class", "text", "set_key")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
-            found = [(i, s) for i, t, key in zip(*(piece.column(k).to_pylist() for k in range(3)), strict=True) if len(s := shingles(t, width)) and xxhash.xxh128_digest(s.tobytes()) == key]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["class", "items"])
-
-    return chosen.mapInArrow(run, "class bigint, items array<bigint>").dropDuplicates(["class"])
-
+def _shipped(docs: DataFrame, classes: DataFrame, sends: DataFrame, width: int) -> DataFrame:
+    """(class, home, part, lead, items) of the classes that are sent somewhere, each read from a text of its least id."""
+    bound = sends.groupBy("class").agg(F.collect_list(F.struct("home", "part", "lead")).alias("sends"))
+    wanted = cut(bound.join(classes.select("class", F.col("least").alias("id"), "set_key"), "class"))
+    chosen = lookup(docs, wanted, ["id"]).select("text", "class", "set_key", "sends")
 
-def _alike(common: Column, sizes: Column, percent: int) -> Column:
-    """Whether two sets, of so many shingles together, with so many in common are as alike as asked."""
-    return (100 + percent) * common >= percent * sizes
-
-
-def _candidates(rows: DataFrame, others: DataFrame, on: list[str], heavy: Column, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components with enough common prefix shingles, that can still reach the similarity after the last."""
-    names = ("class", "root", "size", "depth", "pos")
-    a, b = (side.select(*on, *(F.col(c).alias(f"{c}_{s}") for c in names), *(c for c in ("n", "major") if c in side.columns)) for side, s in ((rows, "a"), (others, "b")))
-    met = (spread(a, b, on, heavy) if heavy is not None else a.join(b, on).where("major or class_a < class_b")).where("root_a <> root_b")
-    met = met.where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
-    after = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b")) - 1
-    pairs = met.groupBy(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("shared"), F.min(after).alias("after"), F.min(F.col("size_a") + F.col("size_b")).alias("sizes"), F.min(F.least("depth_a", "depth_b")).alias("depth")
-    )
-    return pairs.where("shared >= depth").where(_alike(F.col("shared") + F.col("after"), F.col("sizes"), percent)).select("a", "b")
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["class", "home", "part", "lead", "items"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, 0):
+            columns, rows, held = (piece.column(k).to_pylist() for k in range(1, 4)), [], 0
+            for items, name, key, to in zip(shingles(piece.column(0), width), *columns, strict=True):
+                for t in to if len(items) and xxhash.xxh128_digest(items.tobytes()) == key else ():
+                    rows.append((name, t["home"], t["part"], t["lead"], items.view(np.int64)))
+                    held += len(items)
+                    if held > 1 << 20:
+                        yield packed(rows)
+                        rows, held = [], 0
+            yield packed(rows)
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """The pairs whose full sets are alike; a class with many partners is dealt into parts of about `block` of them."""
-    for side, other in (("a", "b"), ("b", "a")):
-        crowded = cut(pairs.groupBy(side).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("parts")).where("parts > 1"))
-        pairs = lookup(pairs, crowded, [side], "left").withColumn(f"at_{side}", F.pmod(F.xxhash64(other), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
-        own = lookup(sets.withColumnRenamed("class", side), crowded, [side], "left").select(side, F.col("items").alias(f"items_{side}"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias(f"at_{side}"))
-        pairs = pairs.join(own, [side, f"at_{side}"])
-    return pairs.where(_alike(F.size(F.array_intersect("items_a", "items_b")), F.size("items_a") + F.size("items_b"), percent)).select("a", "b")
+    return chosen.mapInArrow(run, "class bigint, home bigint, part int, lead boolean, items array<bigint>")
 
 
 def _same_id(filled: DataFrame, classes: DataFrame) -> DataFrame:
@@ -137,7 +75,7 @@ def _same_id(filled: DataFrame, classes: DataFrame) -> DataFrame:
     return cut(ids.join(ids.groupBy("id").agg(F.min("class").alias("b")), "id").select(F.col("class").alias("a"), "b"))
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 4, deepest: int = 8, counters: int = 1 << 21, rounds: int = 2, block: int = 256) -> DataFrame:
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 4, deepest: int = 8, counters: int = 1 << 21, rounds: int = 2, crowd: int = 32, block: int = 256) -> DataFrame:
     """Per row: id (long), n_shingles, component_id (the least id reachable by links, itself included).
 
     Linked are texts whose sets of distinct `width`-word shingles have 100 * intersection >= percent * union. Words: runs
@@ -148,54 +86,33 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     `counters` (a power of two): places of the table by which shingles are counted for the order and the cost, 4 bytes each
     on the driver and in tasks; shingles that share a place are counted together. `deepest`: the most matches a prefix asks
-    for. `rounds`: how often rows meet the typical one of a shingle before the exact rest. None changes the result.
+    for. `rounds`: how often rows of shingles that `crowd` classes or more have meet the typical one before the exact rest.
+    None changes the result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    described = cut(_described(docs, width, percent, _counts(docs, width, counters), deepest))
+    counts = shingle_counts(docs.select("text"), lambda batch: (shingles(piece.column(0), width) for piece in slices([batch], 0)), counters)
+    described = cut(_described(docs, width, percent, counts, deepest))
     filled = described.where("id is not null and set_key is not null")
     classes = filled.groupBy("set_key").agg(F.min("id").alias("least"), *(F.first(c).alias(c) for c in ("n_shingles", "depth", "typical", "prefix")))
     classes = cut(classes.withColumn("class", F.monotonically_increasing_id()).withColumnRenamed("n_shingles", "size"))
     posted = classes.select("class", "size", "depth", "typical", F.posexplode("prefix").alias("pos", "token"))
-    tokens = cut(posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    total = tokens.agg(F.sum("n")).first()[0] or 0
-    members = cut(spread(posted, tokens, ["token"], F.col("n") * 4096 > total).drop("n"))
+    members = shared_tokens(posted)
     links = _same_id(filled, classes)
-    sets = tested = None
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        """All links so far and those of the pairs; full sets of classes are read from texts once."""
-        nonlocal sets, tested
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        if pairs.isEmpty():
-            return links
-        tested = pairs if tested is None else tested.union(pairs)
-        wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        wanted = wanted if sets is None else wanted.join(sets.select("class"), "class", "left_anti")
-        read = cut(_sets(docs, cut(classes.join(wanted, "class", "left_semi").select("class", F.col("least").alias("id"), "set_key")), width))
-        sets = read if sets is None else sets.union(read)
-        return cut(links.union(_confirmed(pairs, sets, percent, block)))
-
+    tested = links.limit(0)
     for i in range(rounds + 1):
-        roots = components(links).withColumnRenamed("node", "class")
-        rows = lookup(members, cut(roots), ["class"], "left").withColumn("root", F.coalesce("root", "class"))
-        mixed = rows.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("token")
-        rows = cut(lookup(rows, cut(mixed), ["token"], "left_semi"))
-        heavy = max(256, rows.count() // 4096)
         if i < rounds:
             # sizes within one band can be linked; the bands of the next round lie across
+            rows, heavy = crossing(members.where(F.col("n") >= crowd), components(links), percent)
             band = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / percent))) + F.lit(i / rounds)).cast("int")
             rows = rows.withColumn("band", band)
-            hubs = cut(rows.groupBy("token", "band").agg(F.max(F.struct("typical", "class", "size", "depth", "pos", "root")).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "band", "n", "hub.*"))
-            found = _candidates(rows, hubs, ["token", "band"], F.col("n") > heavy, percent)
+            first = F.max(F.struct("typical", "class", "size", "depth", "pos", "before", "root")).alias("hub")
+            hubs = cut(rows.groupBy("token", "band").agg(first, F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token", "band", "rows", "hub.*"))
+            pairs = typical_pairs(rows, hubs, ["token", "band"], F.col("rows") > heavy, percent)
         else:
-            # one side of a pair is outside its shingle's largest component
-            by_root = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
-            major = cut(by_root.groupBy("token").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("all")).select("token", F.col("m.root").alias("major"), "all"))
-            rows = cut(spread(rows, major, ["token"], F.col("all") > heavy).withColumn("major", F.col("root") == F.col("major")))
-            found = _candidates(rows.where("not major").drop("major"), rows, ["token"], None, percent)
-        links = linked(found)
+            pairs = exact_rest(*crossing(members, components(links), percent), percent)
+        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = tested.union(pairs)
+        links = cut(links.union(confirmed(pairs, lambda sends: _shipped(docs, classes, sends, width), percent, block)))
     named = labelled(classes, components(links))
     out = lookup(filled.select("id", "n_shingles", "set_key"), named, ["set_key"]).select("id", "n_shingles", "component_id")
     alone = described.where("id is null or set_key is null").select("id", "n_shingles", F.col("id").alias("component_id"))
