@@ -42,12 +42,15 @@ def guessed_epoch_date(c: Column) -> Column:
 def relative_date(c: Column | str, run_date: Column | str, most_days: int | None = None) -> Column:
     """Today, yesterday, N days or N months (of 30 days) ago as ISO text, ISO prefixes as they are; else the empty string.
 
+    "Just posted" and "just now" are today; "posted N", cut off before its unit, counts days up to 365.
+
     With `most_days`, null for text with a plus sign or for more days ago: such rows are to be dropped.
     """
     s, today = F.lower(F.trim(text(c))), day(run_date)
     n = F.regexp_extract(s, r"(\d+)\s*\+?\s*(?:day|month|ימים|יום|חודש)", 1).try_cast("int")
     ago = F.when(s.rlike(r"\d+\s*\+?\s*(?:month|חודש)"), n * 30).otherwise(n)
-    plain = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(s, 1, 10)).when(s.rlike("today|היום"), iso(today)).when(s.rlike("yesterday|אתמול"), iso(F.date_sub(today, 1))).when(ago.isNotNull(), iso(F.date_sub(today, ago))).otherwise("")
+    bare = F.regexp_extract(s, r"^posted\s+(\d+)", 1).try_cast("int")
+    plain = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(s, 1, 10)).when(s.rlike("today|just posted|just now|היום"), iso(today)).when(s.rlike("yesterday|אתמול"), iso(F.date_sub(today, 1))).when(ago.isNotNull(), iso(F.date_sub(today, ago))).when(bare <= 365, iso(F.date_sub(today, bare))).otherwise("")
     if most_days is None:
         return plain
     return F.when(s.contains("+") | F.coalesce(ago > most_days, F.lit(False)), F.lit(None)).otherwise(plain)

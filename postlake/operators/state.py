@@ -140,18 +140,33 @@ def refresh_is_sound(new: DataFrame, old: DataFrame, least: float = 0.8) -> Data
     return per.agg((F.count_if("n") >= least * F.count_if("o")).alias("sound"))
 
 
+def longest_run(log: DataFrame, order: str, bad: Column, *more: Column) -> DataFrame:
+    """One row: `streak`, the most bad rows in a row in the order of a column, and the sums `more` (named) of all rows.
+
+    Ranges of the order are counted apart, each with the bad rows it begins and ends with; one row a range is put together.
+    """
+    ranged = log.repartitionByRange(order).select(order, F.coalesce(bad, F.lit(False)).alias("_bad"), *more, F.spark_partition_id().alias("_range"))
+    names = [c for c in ranged.columns if c not in (order, "_bad", "_range")]
+    before = F.sum((~F.col("_bad")).cast("bigint")).over(Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    runs = ranged.withColumn("_run", before).groupBy("_range", "_run").agg(F.count_if("_bad").alias("n"), F.min(order).alias("at"), *(F.sum(n).alias(n) for n in names))
+    ranges = runs.groupBy("_range").agg(
+        F.min("at").alias("at"), F.max("_run").alias("good"), F.sum(F.when(F.col("_run") == 0, F.col("n")).otherwise(0)).alias("first"), F.max_by("n", "_run").alias("last"), F.max("n").alias("best"), *(F.sum(n).alias(n) for n in names)
+    )
+    start = F.struct(F.lit(0).cast("bigint").alias("open"), F.lit(0).cast("bigint").alias("best"))
+    joined = lambda a, r: F.struct(F.when(r["good"] == 0, a["open"] + r["first"]).otherwise(r["last"]).alias("open"), F.greatest(a["best"], r["best"], a["open"] + r["first"]).alias("best"))
+    listed = F.array_sort(F.collect_list(F.struct("at", "good", "first", "last", "best")))
+    return ranges.agg(F.aggregate(listed, start, joined, lambda a: a["best"]).alias("streak"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names))
+
+
 def outcomes_count(outcomes: DataFrame) -> DataFrame:
     """One row: ok, failed, and whether the run may count against names: not if it was aborted by three errors of the
     service in a row, nor if at least five failed and none succeeded.
 
     outcomes: company, _ord (order of the attempts), result (`ok`, `failed` or `error`).
     """
-    before = F.coalesce(F.max(F.when(F.col("result") != "error", F.col("_ord"))).over(Window.orderBy("_ord")), F.lit(-1))
-    runs = outcomes.withColumn("_run", F.when(F.col("result") == "error", before))
-    worst = runs.where("_run is not null").groupBy("_run").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("streak"))
-    totals = outcomes.agg(F.count_if(F.col("result") == "ok").alias("ok"), F.count_if(F.col("result") == "failed").alias("failed"))
+    said = lambda result: (F.col("result") == result).cast("bigint").alias(result)
     counts = ~((F.col("streak") >= 3) | ((F.col("failed") >= 5) & (F.col("ok") == 0)))
-    return totals.join(F.broadcast(worst)).select("ok", "failed", counts.alias("counts"))
+    return longest_run(outcomes, "_ord", F.col("result") == "error", said("ok"), said("failed")).select("ok", "failed", counts.alias("counts"))
 
 
 def record_research_failures(failures: DataFrame, outcomes: DataFrame, run_date: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.lexicons import CLUSTERS
 from ..functions.profile import cluster
-from .dedup import cap_per, most_common
+from .dedup import most_common
 
 #: Fixed value: skills every description names; noise in the lists by family.
 EVERYWHERE = ("Dashboards", "Statistics")
@@ -67,15 +68,43 @@ def by_axes(profiles: DataFrame, axes: list[str], k: int = 10) -> DataFrame:
     return main.join(median, ["axis", "value"], "left").join(best, ["axis", "value"], "left")
 
 
-def fingerprints(profiles: DataFrame, k_skills: int = 15, k_titles: int = 10) -> DataFrame:
-    """Per company: jobs, families (map), tracks (map), years asked, upper-median years, top skills and first titles."""
-    counted = lambda c: profiles.groupBy("company", c.alias("k")).agg(F.count(F.lit(1)).alias("n")).groupBy("company").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "n")))).alias("m"))
-    jobs = profiles.groupBy("company").agg(F.count(F.lit(1)).alias("jobs"), F.count_if(F.col("profile.years") > 0).alias("asked"))
-    top = most_common(skill_rows(profiles, "company"), ["company"], "skill", k_skills, "_ord").groupBy("company").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "skill"))), lambda s: s["skill"]).alias("skills"))
-    titles = cap_per(profiles, ["company"], [F.col("_ord")], k_titles).groupBy("company").agg(F.transform(F.sort_array(F.collect_list(F.struct("_ord", "title"))), lambda s: s["title"]).alias("titles"))
-    families = counted(F.col("profile.family")).withColumnRenamed("m", "families")
-    tracks = counted(F.col("profile.track")).withColumnRenamed("m", "tracks")
-    return jobs.join(families, "company").join(tracks, "company").join(top, "company", "left").join(titles, "company")
+#: More values of one kind than a posting's family, track, years or degree can have; of others only the first few are kept.
+_VALUES = 100
+
+
+def fingerprints(profiles: DataFrame, k_skills: int = 15, k_titles: int = 10, k_asks: int = 5) -> DataFrame:
+    """Per company: jobs, asked (postings that ask for years), median_years, families, tracks (maps), skills, titles, degree_asks, ai_asks.
+
+    One scan: a posting becomes one row for each thing it says (kind, value), counted per company before the first values of
+    each kind are kept, so that no row grows with a company. The median is the upper one; of equal counts the value said first
+    comes before the others when lists are cut, and in lists the lesser text does. Asks are array<struct<value, n>>.
+    """
+    said = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+    p = lambda name: F.col(f"profile.{name}")
+    none = F.array().cast("array<struct<kind:string,value:string>>")
+    degree = F.concat(p("degree.level"), F.lit(" ("), p("degree.status"), F.lit(")"))
+    things = F.concat(
+        F.array(said("family", p("family")), said("track", p("track")), said("title", F.col("title"))), F.when(p("years") > 0, F.array(said("years", p("years")))).otherwise(none),
+        F.when(degree.isNotNull(), F.array(said("degree", degree))).otherwise(none), F.transform(p("skills"), lambda x: said("skill", x["name"])), F.transform(p("ai"), lambda x: said("ai", x["label"])),
+    )
+    rows = profiles.select("company", "_ord", F.explode(things).alias("t")).select("company", "_ord", "t.*")
+    # every posting's title is one of its own
+    counted = rows.groupBy("company", "kind", F.when(F.col("kind") == "title", F.col("_ord")).alias("_at"), "value").agg(F.count(F.lit(1)).alias("n"), F.min("_ord").alias("_first"))
+    rank = F.row_number().over(Window.partitionBy("company", "kind").orderBy(F.desc("n"), "_first", "value"))
+    kept = counted.withColumn("rank", rank).where(F.col("rank") <= max(_VALUES, k_skills, k_titles, k_asks))
+    one = F.struct("rank", "value", "n")
+    lists = kept.groupBy("company").agg(*(F.array_sort(F.collect_list(F.when(F.col("kind") == k, one))).alias(k) for k in ("family", "track", "title", "years", "degree", "skill", "ai")))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    by_name = lambda c: F.map_from_entries(F.array_sort(F.transform(c, lambda x: F.struct(x["value"], x["n"]))))
+    first = lambda c, k: F.transform(F.array_sort(F.transform(F.slice(c, 1, k), lambda x: F.struct((-x["n"]).alias("less"), x["value"].alias("value")))), lambda x: F.struct(x["value"].alias("value"), (-x["less"]).alias("n")))
+    years = F.array_sort(F.transform("years", lambda x: F.struct(x["value"].cast("int").alias("y"), x["n"].alias("n"))))
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("int").alias("y"))
+    upper = lambda a, x: F.struct((a["seen"] + x["n"]).alias("seen"), F.when(a["y"].isNull() & (a["seen"] + x["n"] > F.floor(total(F.col("years")) / 2)), x["y"]).otherwise(a["y"]).alias("y"))
+    return lists.select(
+        "company", total(F.col("track")).alias("jobs"), total(F.col("years")).alias("asked"), F.aggregate(years, start, upper, lambda a: a["y"]).alias("median_years"), by_name(F.col("family")).alias("families"),
+        by_name(F.col("track")).alias("tracks"), F.transform(first(F.col("skill"), k_skills), lambda x: x["value"]).alias("skills"), F.transform(F.slice("title", 1, k_titles), lambda x: x["value"]).alias("titles"),
+        first(F.col("degree"), k_asks).alias("degree_asks"), first(F.col("ai"), k_asks).alias("ai_asks"),
+    )
 
 
 def coverage(researched: DataFrame, registry: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from .functions.relevance import classify
 from .functions.text import any_of, shorten, strip_html
 from .operators import dedup, enrich, registry, state, stats
 from .plans import daily
-from .samples import JOBS_SQL, jobs
+from .samples import JOBS_SQL, dealt, jobs
 from .streaming.incremental import sessions, windowed_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,12 +101,16 @@ def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").groupBy("p_type", primary_sector(named).alias("sector")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%Y-%m-%d') AS long_form, strftime(DATE '2026-08-22' - CAST(o_orderkey % 30 AS INTEGER), '%Y-%m-%d') AS relative FROM orders")
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%Y-%m-%d') AS long_form, strftime(DATE '2026-08-22' - CAST(o_orderkey % 30 AS INTEGER), '%Y-%m-%d') AS relative, CASE o_orderkey % 4 WHEN 0 THEN '2026-08-22' WHEN 1 THEN '2026-08-22' WHEN 2 THEN CASE WHEN o_orderkey % 700 <= 365 THEN strftime(DATE '2026-08-22' - CAST(o_orderkey % 700 AS INTEGER), '%Y-%m-%d') ELSE '' END ELSE strftime(DATE '2026-08-22' - CAST(30 * (o_orderkey % 5) AS INTEGER), '%Y-%m-%d') END AS loose FROM orders")
 def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     return o.select(
         "o_orderkey", iso_date(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("iso"), iso_date(F.date_format("o_orderdate", "MMMM d, yyyy")).alias("long_form"),
         relative_date(F.concat(F.lit("Posted "), (F.col("o_orderkey") % 30).cast("string"), F.lit(" Days Ago")), "2026-08-22").alias("relative"),
+        relative_date(
+            F.when(F.col("o_orderkey") % 4 == 0, "Just posted").when(F.col("o_orderkey") % 4 == 1, " just now").when(F.col("o_orderkey") % 4 == 2, F.concat(F.lit("Posted "), (F.col("o_orderkey") % 700).cast("string")))
+            .otherwise(F.concat((F.col("o_orderkey") % 5).cast("string"), F.lit("+ months ago"))), "2026-08-22",
+        ).alias("loose"),
     )
 
 
@@ -481,15 +485,48 @@ _TOP_SKILLS = "(SELECT company, string_agg(skill, '|' ORDER BY n DESC, skill) AS
 _FIRST_TITLES = f"(SELECT company, string_agg(title, '|' ORDER BY _ord) AS titles FROM (SELECT *, row_number() OVER (PARTITION BY company ORDER BY _ord) AS p FROM {JOBS_SQL}) WHERE p <= 10 GROUP BY 1)"
 
 
+_ASKED_DEGREE = "CASE _ord % 12 " + " ".join(f"WHEN {k} THEN '{v[0]} ({v[1]})'" for k, v in _DEGREES.items()) + " END"
+_ASKED_AI = "CASE WHEN _ord % 12 <> 5 THEN [] WHEN contains(lower(title), 'develop') THEN ['AI for efficiency', 'AI for automation', 'Building with AI'] ELSE ['AI for efficiency', 'AI for automation'] END"
+_ASKS = "(SELECT company, string_agg(v || '=' || n, '|' ORDER BY n DESC, v) AS l FROM (SELECT company, v, count(*) AS n FROM (SELECT company, _ord, {0} AS v FROM {1}) WHERE v IS NOT NULL GROUP BY company, v QUALIFY row_number() OVER (PARTITION BY company ORDER BY n DESC, min(_ord), v) <= 5) GROUP BY 1)"
+
+
 @query(
-    f"""SELECT j.company, j.jobs, j.asked, {_FOLD.format('f.l')} AS families, {_FOLD.format('t.l')} AS tracks, coalesce(s.skills, '') AS skills, i.titles
-    FROM (SELECT company, count(*) AS jobs, count({_YEARS}) AS asked FROM {JOBS_SQL} GROUP BY 1) j JOIN {_BY.format('family', _PROFILES)} f USING (company) JOIN {_BY.format('track', _PROFILES)} t USING (company)
-    LEFT JOIN {_TOP_SKILLS} s USING (company) JOIN {_FIRST_TITLES} i USING (company)"""
+    f"""SELECT j.company, j.jobs, j.asked, j.years[len(j.years) // 2 + 1] AS median_years, {_FOLD.format('f.l')} AS families, {_FOLD.format('t.l')} AS tracks, coalesce(s.skills, '') AS skills, i.titles, coalesce(d.l, '') AS degrees, coalesce(a.l, '') AS ai
+    FROM (SELECT company, count(*) AS jobs, count({_YEARS}) AS asked, list_sort(list({_YEARS}) FILTER ({_YEARS} IS NOT NULL)) AS years FROM {JOBS_SQL} GROUP BY 1) j
+    JOIN {_BY.format('family', _PROFILES)} f USING (company) JOIN {_BY.format('track', _PROFILES)} t USING (company)
+    LEFT JOIN {_TOP_SKILLS} s USING (company) JOIN {_FIRST_TITLES} i USING (company) LEFT JOIN {_ASKS.format(_ASKED_DEGREE, JOBS_SQL)} d USING (company) LEFT JOIN {_ASKS.format(f'unnest({_ASKED_AI})', JOBS_SQL)} a USING (company)"""
 )
 def company_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias(c)
+    asks = lambda c: F.array_join(F.transform(c, lambda e: F.concat_ws("=", e["value"], e["n"].cast("string"))), "|")
     found = stats.fingerprints(_profiles(spark, sf_dir))
-    return found.select("company", "jobs", "asked", flat("families"), flat("tracks"), F.coalesce(F.array_join("skills", "|"), F.lit("")).alias("skills"), F.array_join("titles", "|").alias("titles"))
+    return found.select(
+        "company", "jobs", "asked", "median_years", flat("families"), flat("tracks"), F.array_join("skills", "|").alias("skills"), F.array_join("titles", "|").alias("titles"), asks("degree_asks").alias("degrees"), asks("ai_asks").alias("ai"),
+    )
+
+
+@query(
+    f"""SELECT 'total' AS label, 'postings' AS token, count(*) AS n FROM {JOBS_SQL} UNION ALL SELECT 'total', 'with_skills', count(*) FILTER (len(skills) > 0) FROM {_PROFILES}
+    UNION ALL SELECT v, CASE v WHEN 'AI for efficiency' THEN 'ai-efficiency' WHEN 'AI for automation' THEN 'ai-automation' ELSE 'ai-building' END, count(*) FROM (SELECT unnest({_ASKED_AI}) AS v FROM {JOBS_SQL}) GROUP BY ALL"""
+)
+def tag_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _profiles(spark, sf_dir)
+    t = stats.totals(rows)
+    total = t.select(F.explode(F.array(*(F.struct(F.lit("total").alias("label"), F.lit(k).alias("token"), F.col(c).alias("n")) for k, c in (("postings", "total"), ("with_skills", "with_skills"))))).alias("t")).select("t.*")
+    return total.unionByName(stats.tag_counts(rows, F.col("profile.ai")))
+
+
+@query(
+    """WITH log AS (SELECT o_orderkey AS i, CASE WHEN o_custkey % 5 < 2 THEN 'error' WHEN o_custkey % 5 = 2 THEN 'failed' ELSE 'ok' END AS result FROM orders),
+    runs AS (SELECT i - row_number() OVER (PARTITION BY result = 'error' ORDER BY i) AS g, * FROM (SELECT row_number() OVER (ORDER BY i) AS i, result FROM log))
+    SELECT (SELECT max(n) FROM (SELECT count(*) AS n FROM runs WHERE result = 'error' GROUP BY g)) AS streak, count(*) FILTER (result = 'ok') AS ok, count(*) FILTER (result = 'failed') AS failed FROM log"""
+)
+def attempt_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest row of errors in a log of attempts, beside its tallies."""
+    k = F.col("o_custkey") % 5
+    log = dealt(read(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("_ord"), F.when(k < 2, "error").when(k == 2, "failed").otherwise("ok").alias("result"))
+    said = lambda result: (F.col("result") == result).cast("bigint").alias(result)
+    return state.longest_run(log, "_ord", F.col("result") == "error", said("ok"), said("failed"))
 
 
 # --- sources and the whole run ---
