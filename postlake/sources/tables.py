@@ -40,27 +40,43 @@ def load_registry(spark: SparkSession, path: str, active_only: bool = True) -> D
 
 
 def load_state(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The latest version of a state table, `root/name/v=<n>`; an empty table where none was written."""
-    versions = _versions(spark, f"{root}/{name}")
-    return spark.read.schema(STATE[name]).parquet(f"{root}/{name}/v={versions[-1]}") if versions else empty(spark, STATE[name])
+    """The latest version of a state table; an empty table where none was written."""
+    return latest(spark, f"{root}/{name}", STATE[name])
 
 
-def save_state(df: DataFrame, root: str, name: str, batch: int | None = None) -> int:
-    """Writes the next version beside those that may still be read; readers see it when it is complete.
+def save_state(df: DataFrame, root: str, name: str, batch: int | None = None, keep: int = 3) -> int:
+    """Publishes the next version of a state table, see `publish`."""
+    return publish(df, f"{root}/{name}", batch=batch, keep=keep)
 
-    A writer claims its version by making a folder that no other could make; so two never write one. With `batch`, the
-    number of a streaming batch, a batch written before is not written again.
+
+def latest(spark: SparkSession, folder: str, schema: str, kind: str = "parquet", **options) -> DataFrame:
+    """The version of a published table that its pointer names; an empty table where there is none."""
+    versions = _numbers(spark, folder, "current=")
+    if not versions:
+        return empty(spark, schema)
+    return spark.read.schema(schema).options(**_READ[kind], **options).format(kind).load(f"{folder}/v={versions[-1]}")
+
+
+_READ = {"parquet": {}, "json": {}, "csv": {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "nullValue": "\\N"}}
+
+
+def publish(df: DataFrame, folder: str, kind: str = "parquet", batch: int | None = None, keep: int = 3, **options) -> int:
+    """Writes a table's next version (`kind`: parquet, csv or json), then points readers to it and removes older ones.
+
+    A writer claims its version by making a file that no other could make, so two never write one. The pointer is the highest
+    `current=<n>`, an empty file made in one step when the data are whole: a writer that dies before leaves what nobody reads,
+    and of two writers the later version counts. The last `keep` versions stay for those that still read them; what
+    lies before goes, with the leavings of dead writers. With `batch`, the number of a streaming batch, a batch published
+    before isn't written again.
     """
     spark = df.sparkSession
-    folder = f"{root}/{name}"
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     done = path(f"{folder}/batch={batch}")
-    versions = _versions(spark, folder)
     if batch is not None and fs.exists(done):
-        return versions[-1]
+        return _numbers(spark, folder, "current=")[-1]
     fs.mkdirs(path(folder))
-    version = max([0, *versions, *_claims(spark, folder)]) + 1
+    version = max([0, *(n for kind_ in ("v=", "claim=", "current=") for n in _numbers(spark, folder, kind_))]) + 1
     while True:
         try:
             fs.create(path(f"{folder}/claim={version}"), False).close()  # fails if it exists
@@ -69,23 +85,21 @@ def save_state(df: DataFrame, root: str, name: str, batch: int | None = None) ->
             if not fs.exists(path(f"{folder}/claim={version}")):
                 raise
             version += 1
-    df.write.parquet(f"{folder}/v={version}")
+    df.write.options(**_READ[kind], **options).format(kind).save(f"{folder}/v={version}")
+    fs.create(path(f"{folder}/current={version}"), True).close()
     if batch is not None:
         fs.create(done, True).close()
+    oldest = ([0] * keep + _numbers(spark, folder, "current="))[-keep]
+    for name in ("current=", "v=", "claim="):  # the pointer first: nobody is led to what is half removed
+        for n in _numbers(spark, folder, name):
+            if n < oldest:
+                fs.delete(path(f"{folder}/{name}{n}"), True)
     return version
 
 
-def _claims(spark: SparkSession, folder: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
-    return [int(n[6:]) for n in names if n.startswith("claim=")]
-
-
-def _versions(spark: SparkSession, folder: str) -> list[int]:
+def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers n of a folder's entries `name`n, least first."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")]
-    done = [p for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(int(p.getName()[2:]) for p in done)
+    found = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(int(n.removeprefix(name)) for n in found if n.startswith(name))

@@ -4,7 +4,7 @@ import pytest
 from postlake.operators import pages
 from postlake.sources import discoveries
 from postlake.sources.payloads import cached_postings, normalised, postings, unknown_platforms
-from postlake.sources.tables import STATE, empty, load_registry, load_state, save_state
+from postlake.sources.tables import STATE, empty, latest, load_registry, load_state, publish, save_state
 from pyspark.sql import functions as F
 
 BRONZE = "company_name string, ats_platform string, token string, api_url string, page_no int, body string, _row bigint"
@@ -123,6 +123,35 @@ def test_states_are_versions(spark, tmp_path):
     assert save_state(one, root, "baseline", batch=5) == 5 == save_state(one, root, "baseline", batch=5)
 
 
+@pytest.mark.parametrize("kind", ["parquet", "csv", "json"])
+def test_published_tables(spark, tmp_path, kind):
+    """A writer that dies between data and pointer is not read; old versions go, with what dead writers left; odd texts come back."""
+    folder, schema = str(tmp_path / kind), "company string, n bigint"
+    rows = [("a \"quoted\", text", 1), ("two\nlines", 2), ("", 3), (None, None)]
+    assert latest(spark, folder, schema, kind).collect() == []
+    assert publish(spark.createDataFrame(rows, schema), folder, kind) == 1
+    assert sorted(map(tuple, latest(spark, folder, schema, kind).collect()), key=str) == sorted(rows, key=str)
+    one = spark.createDataFrame([("later", 1)], schema)
+    (tmp_path / kind / "claim=2").touch()
+    one.write.format(kind).save(f"{folder}/v=2")  # whole data without a pointer
+    assert latest(spark, folder, schema, kind).count() == 4
+    assert [publish(one, folder, kind, keep=2) for _ in range(3)] == [3, 4, 5]
+    assert sorted(f.name for f in (tmp_path / kind).iterdir() if not f.name.startswith(".")) == ["claim=4", "claim=5", "current=4", "current=5", "v=4", "v=5"]
+    assert [tuple(r) for r in latest(spark, folder, schema, kind).collect()] == [("later", 1)]
+    # a slower writer of an earlier version doesn't take the pointer back
+    (tmp_path / kind / "current=3").touch()
+    assert latest(spark, folder, schema, kind).count() == 1
+
+
+def test_two_writers_publish_two_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder, one = str(tmp_path / "t"), spark.createDataFrame([("a", 1)], "company string, n bigint")
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(pool.map(lambda _: publish(one, folder, keep=9), range(4))) == [1, 2, 3, 4]
+    assert latest(spark, folder, "company string, n bigint").count() == 1
+
+
 def test_registry_from_csv(spark, tmp_path):
     (tmp_path / "r.csv").write_text('company_name,ats_platform,token,api_url,active,notes\nA,lever,t,u,True,"two\nlines"\nB,lever,t,u,false,""\n')
     assert [r["notes"] for r in load_registry(spark, str(tmp_path / "r.csv")).collect()] == ["two\nlines"]
