@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pytest
 from postlake.functions.sections import clean_bullet, duties, is_mangled, looks_like_header, requirements
@@ -170,3 +171,34 @@ def test_first_rows_on_a_stream(spark, tmp_path):
 def test_first_seen_on_a_stream(spark, tmp_path):
     got = _streamed(spark, tmp_path, _events(spark), lambda s: incremental.first_seen_stream(s.withColumn("d", F.to_date("ts")), "k", "d"), "update")
     assert {(r["k"], str(r["first_seen"])) for r in got.collect()} == {("a", "2026-08-01"), ("b", "2026-08-01"), ("z", "2026-08-09")}
+
+
+def _batches(spark, folder, *days):
+    """A stream of one batch for each list of (key, day)."""
+    for i, rows in enumerate(days):
+        spark.createDataFrame([(k, f"2026-08-{d:02d} 00:00:00") for k, d in rows], "k string, t string").select("k", F.to_timestamp("t").alias("ts")).coalesce(1).write.mode("append").parquet(f"{folder}/{i}")
+        for f in (folder / str(i)).glob("part-*"):
+            f.rename(folder / f"{i}-{f.name}")
+        time.sleep(1.1)  # files are read by age
+    return incremental.read_folder(spark, str(folder), "k string, ts timestamp", files_per_batch=1)
+
+
+def test_state_of_idle_keys_expires(spark, tmp_path):
+    """A key not seen for longer than the gap leaves the state; its next sighting is a new one."""
+    (tmp_path / "in").mkdir()
+    stream = _batches(spark, tmp_path / "in", [("a", 1)], [("b", 20), ("a", 2)], [("c", 21)], [("c", 22)], [("a", 22)])
+    seen, out = [], incremental.first_seen_stream(stream.withColumn("d", F.to_date("ts")), "k", "d")
+    run = out.writeStream.foreachBatch(lambda df, i: seen.extend(map(tuple, df.collect()))).outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert [(k, f.day, d.day) for k, f, d in seen if k == "a"] == [("a", 1, 1), ("a", 1, 2), ("a", 22, 22)]
+    assert sum(p["stateOperators"][0]["numRowsRemoved"] for p in run.recentProgress if p["stateOperators"]) >= 1
+    assert run.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 3
+
+
+def test_late_rows_go_to_their_own_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = _batches(spark, tmp_path / "in", [("a", 1), ("x", 9)], [("b", 8), ("late", 6), (None, 12)], [("late", 1), ("c", 11)])
+    kept, late = [], []
+    write = incremental.with_late(lambda df, i: kept.extend(r["k"] for r in df.collect()), lambda df, i: late.extend((i, r["k"]) for r in df.collect()), str(tmp_path), "ts", "2 days")
+    incremental.start(stream, write, str(tmp_path / "c")).awaitTermination()
+    assert sorted(map(str, kept)) == ["None", "a", "b", "c", "x"] and late == [(1, "late"), (2, "late")]
