@@ -135,6 +135,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def good_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bits: int = 18, sample: int = 8192, least: float = 0.3) -> DataFrame:
-    """The rows that `quality_scores` predicts 1 for, with all columns, in one pass without a shuffle."""
+    """The rows that `quality_scores` predicts 1 for, with all columns, in one pass without a shuffle.
+
+    Null and empty texts have the score of the bias; ids and labels may be null and teach nothing then. Repeated rows go or
+    stay together; a score of exactly `least` stays.
+    """
     weights = train(docs, labels, id_col, text_col, label_col, bits, sample)
     return rewrite(docs, text_col, lambda batch, texts: batch.filter(pa.array(scores(texts, weights, bits) >= least)))

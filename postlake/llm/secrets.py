@@ -136,7 +136,11 @@ def secret_spans(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
 
 
 def without_secrets(docs: DataFrame, path: str, pattern: str, text_col: str = "text", chars_col: str = "n_chars", most: float = 1.9, mark: str = "[SECRET]") -> DataFrame:
-    """All rows and columns, with every secret in a text replaced by the mark, and `chars_col`, where it exists, by the new length of such a text."""
+    """All rows and columns, with every secret in a text replaced by the mark, and `chars_col`, where it exists, by the new length of such a text.
+
+    Spans that overlap or touch get one mark; a null or empty text stays as it is. Repeated rows are changed alike, each by
+    itself; no order among rows or spans matters. Random runs of under 20 characters are not judged, see `random_spans`.
+    """
     names = docs.columns
 
     def change(batch: pa.RecordBatch, texts: list[str | None]) -> pa.RecordBatch:

@@ -111,6 +111,29 @@ def test_pack_balances_jointly():
     assert (loads.max(axis=0) / loads.mean(axis=0)).max() < 1.01
 
 
+def greedy(units, shards, matters):
+    """Vector bin packing in plain Python: largest first, to the first shard of the highest dot product with what is left."""
+    dims = range(len(units[0]))
+    total = [sum(u[d] for u in units) for d in dims]
+    share = [[u[d] * shards / total[d] if total[d] else u[d] for d in dims] for u in units]
+    left, out = [[1.0] * len(total) for _ in range(shards)], [0] * len(units)
+    for i in sorted(range(len(units)), key=lambda i: (-max(share[i]), i)):
+        scores = [sum(left[s][d] * share[i][d] * matters[d] for d in dims) for s in range(shards)]
+        out[i] = scores.index(max(scores))
+        for d in dims:
+            left[out[i]][d] -= share[i][d]
+    return out
+
+
+def test_pack_equals_a_plain_greedy():
+    """Ties too: equal units in a row, a dimension that is zero throughout. Totals are powers of two, so that nothing is rounded."""
+    rng = np.random.default_rng(9)
+    whole = lambda u: np.vstack([u, 1024 - u.sum(axis=0)]).astype(float)
+    several = [whole(rng.integers(1, 9, (120, 3))), np.ones((64, 3)), whole(np.repeat(rng.integers(1, 5, (20, 3)), 4, axis=0))]
+    for units in [*several, several[0] * [1, 0, 1]]:
+        assert pack(units, 4).tolist() == greedy(units.tolist(), 4, (20, 1, 1))
+
+
 def test_shards(spark, make):
     rng = random.Random(3)
     rows = [(i, "hot text" if i % 3 == 0 else " ".join("w" * rng.randrange(1, 9) for _ in range(rng.randrange(0, 80)))) for i in range(3000)]
