@@ -206,7 +206,8 @@ POOLS = {
 
 
 def violations(rows: DataFrame, allowed_orphans: tuple[str, ...] = (), least_pool: int = 50, cap: int = 220) -> DataFrame:
-    """(rule, key, detail) for each broken rule of the registry; empty if it is sound.
+    """(rule, key, detail) for each broken rule of the registry; empty if it is sound. Rows with `_broken`, see
+    `tables.registry_lines`, are also tested for their number of fields.
 
     One pass over the rows for the rules of single rows; repeated names and the size of the pool are counted beside it.
     """
@@ -215,8 +216,10 @@ def violations(rows: DataFrame, allowed_orphans: tuple[str, ...] = (), least_poo
     idle = ~active & ~in_pool("notes") & ~is_final("notes")
     idle = idle & ~name.isin(*allowed_orphans) if allowed_orphans else idle
     broken = lambda rule, where, detail: F.when(where, F.struct(F.lit(rule).alias("rule"), name.alias("key"), detail.cast("string").alias("detail")))
+    width = [broken("width", F.col("_broken").isNotNull(), F.col("_broken"))] if "_broken" in rows.columns else []
     single = F.array_compact(
         F.array(
+            *width,
             broken("shape", (F.trim(name) == "") | ~F.coalesce(F.lower(F.trim("active")).isin("true", "false"), F.lit(False)), F.coalesce("active", F.lit(""))),
             broken("unscannable", active & ((F.trim(text("api_url")) == "") | (F.trim(text("ats_platform")) == "")), text("ats_platform")),
             broken("orphan", idle, text("notes")),

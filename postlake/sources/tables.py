@@ -39,6 +39,11 @@ def load_registry(spark: SparkSession, path: str, active_only: bool = True) -> D
     return rows.where(F.lower(F.trim("active")) == "true") if active_only else rows
 
 
+def registry_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All registry rows from CSV with `_broken`: the raw line of a row that has more or fewer fields than the header, else null."""
+    return spark.read.csv(path, schema=f"{REGISTRY}, _broken string", columnNameOfCorruptRecord="_broken", header=True, multiLine=True, escape='"')
+
+
 def load_state(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The latest version of a state table; an empty table where none was written."""
     return latest(spark, f"{root}/{name}", STATE[name])

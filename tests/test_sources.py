@@ -1,10 +1,10 @@
 import json
 
 import pytest
-from postlake.operators import pages
+from postlake.operators import pages, registry
 from postlake.sources import discoveries
 from postlake.sources.payloads import cached_postings, normalised, postings, unknown_platforms
-from postlake.sources.tables import STATE, empty, latest, load_registry, load_state, publish, save_state
+from postlake.sources.tables import STATE, empty, latest, load_registry, load_state, publish, registry_lines, save_state
 from pyspark.sql import functions as F
 
 BRONZE = "company_name string, ats_platform string, token string, api_url string, page_no int, body string, _row bigint"
@@ -159,6 +159,15 @@ def test_registry_from_csv(spark, tmp_path):
     assert empty(spark, STATE["sent"]).count() == 0
 
 
+def test_rows_of_the_wrong_width_are_found(spark, tmp_path):
+    """Too few and too many fields; a line break within quotes is none."""
+    (tmp_path / "r.csv").write_text('company_name,ats_platform,token,api_url,active,notes\nA,lever,t,u,True,"two\nlines"\nB,lever,t,u,True\nC,lever,t,u,True,n,more\nD,lever,t,u,True,\n')
+    rows = registry_lines(spark, str(tmp_path / "r.csv"))
+    found = registry.violations(rows.cache(), least_pool=0).where("rule = 'width'").collect()
+    assert sorted((r["key"], r["detail"]) for r in found) == [("B", "B,lever,t,u,True"), ("C", "C,lever,t,u,True,n,more")]
+    assert registry.violations(rows.drop("_broken"), least_pool=0).count() == 0
+
+
 @pytest.mark.parametrize(("link", "want"), [("/j/1", "https://a.com/j/1"), ("j/1", "https://a.com/b/j/1"), ("//c.com/x", "https://c.com/x"), ("https://d.com", "https://d.com"), ("mailto:x", "mailto:x")])
 def test_links_seen_from_their_page(spark, link, want):
     assert spark.range(1).select(pages.absolute(F.lit("https://a.com/b/c?d"), F.lit(link))).first()[0] == want
