@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import lexicons as L
 from ..functions.dates import is_iso
 from ..functions.identity import is_agency, is_listing_site
 from ..functions.places import city, is_israel
 from ..functions.profile import profiled, soft_skills
 from ..functions.relevance import classify
+from ..functions.sections import age_note, employment, experience_chip, level, level_rank, sections
 from ..functions.text import shorten, text
 from ..operators.dedup import freshest, merge_duplicates
 from ..operators.state import unsent, upsert_matched
@@ -95,11 +97,21 @@ def counted_responses(found: DataFrame, counters: Counters) -> DataFrame:
 
 
 def board_view(board: DataFrame, run_date: str) -> DataFrame:
-    """The data behind a board: place, profile, soft skills, flags and search text of each opening."""
+    """The data behind a board, a row for each opening: place, profile, level, flags, parts of the description, search text.
+
+    `level_rank` and `degree_rank` sort by level and degree, unknown ones last and first. The search text `blob` holds, in
+    lower case, names and place, family, skills, and the tokens of tasks, soft skills, AI and degree.
+    """
     posted = F.col("posted_date").try_cast("date")
     age = F.datediff(F.to_date(F.lit(run_date)), F.coalesce(posted, F.col("first_seen").try_cast("date")))
     reposted = F.coalesce(F.datediff(posted, F.col("first_seen").try_cast("date")) >= 3, F.lit(False))
     flag = F.when(reposted, "reposted").when(age <= 1, "new").when(age >= 60, "60+ days").when(age >= 45, "45+ days").otherwise("")
-    rows = profiled(board).withColumn("city", city("location")).withColumn("soft", soft_skills(F.col("description")))
-    blob = F.lower(F.concat_ws(" ", "company", "title", "city", "profile.family", F.array_join("profile.skills.name", " ")))
-    return rows.select("mkey", "company", "title", "city", "url", "posted_date", "first_seen", flag.alias("flag"), "profile", "soft", shorten("description", 280).alias("summary"), blob.alias("blob"))
+    rows = profiled(board).withColumn("city", city("location")).withColumn("soft", soft_skills(F.col("description"))).withColumn("_s", sections("description")).withColumn("chip", experience_chip("description"))
+    degrees = F.array(*(F.lit(name) for name, _ in reversed(L.DEGREE_LEVELS)))
+    tokens = lambda c: F.array_join(F.transform(c, lambda t: t["token"]), " ")
+    words = ("company", "title", "city", "profile.family", F.array_join("profile.skills.name", " "), tokens("_s.tasks"), tokens("soft"), tokens("_s.ai_asked"), tokens("_s.ai_daily"), "profile.degree.level")
+    return rows.select(
+        "mkey", "company", "title", "city", "url", "posted_date", "first_seen", flag.alias("flag"), "profile", "soft", shorten("description", 280).alias("summary"), F.lower(F.concat_ws(" ", *words)).alias("blob"),
+        "chip", level(F.col("chip"), "title").alias("level"), level_rank(F.col("chip")).alias("level_rank"), employment("title").alias("employment"), age_note("posted_date", run_date).alias("age_note"),
+        F.coalesce(F.array_position(degrees, F.col("profile.degree.level")), F.lit(0).cast("bigint")).alias("degree_rank"), *(F.col(f"_s.{c}").alias(c) for c in ("requirements", "duties", "tasks", "ai_asked", "ai_daily")),
+    )

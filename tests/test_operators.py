@@ -1,6 +1,8 @@
 from postlake.operators.dedup import cap_per, merge_duplicates, most_common
 from postlake.operators.registry import append_absent, merge_notes, three_way_merge, work_queue
 from postlake.operators.state import first_seen_from_history, record_failures, revoke_failures, save_latest, streaks, unsent
+from postlake.plans import daily
+from postlake.sources.tables import STATE
 from pyspark.sql import functions as F
 
 from test_functions import job
@@ -76,3 +78,17 @@ def test_caps_and_counts(spark):
     df = spark.createDataFrame([("g", "a", 1), ("g", "a", 2), ("g", "b", 3), ("h", "c", 4)], "k string, x string, n int")
     assert sorted(tuple(r) for r in cap_per(df, ["k"], [F.desc("n")], 1).collect()) == [("g", "b", 3), ("h", "c", 4)]
     assert [tuple(r) for r in most_common(df, ["k"], "x", 1).orderBy("k").collect()] == [("g", "a", 2), ("h", "c", 1)]
+
+
+def test_a_board_row(spark):
+    """All that a board shows of an opening, and what it is found by."""
+    text = "Experience level: Mid-Senior. Responsibilities: • Build dashboards for the team • Use AI tools to automate reports Requirements: • 4 years of SQL experience – a must • MSc degree of statistics required • Team player with curiosity"
+    row = ("m", "Acme Ltd", "Senior Data Analyst, contract", "Haifa, Israel", "https://x", "2026-06-01", "senior", ["lever"], ["lever:1"], text, "2026-06-01", "2026-08-22")
+    bare = ("n", "B", "Analyst", "", "", "", "", [], [], None, "2026-08-22", "2026-08-22")
+    a, b = daily.board_view(spark.createDataFrame([row, bare], STATE["matched"]), "2026-08-22").orderBy("mkey").collect()
+    assert (a["level"], a["level_rank"], a["employment"], a["age_note"], a["flag"], a["degree_rank"], a["city"]) == ("Senior", 4, "Contract", "posted ~2mo ago", "60+ days", 2, "Haifa")
+    assert [(r["text"], r["badge"]) for r in a["requirements"]] == [("4 years of SQL experience", "must"), ("MSc degree of statistics", "must"), ("Team player with curiosity", None)]
+    assert a["duties"] == ["Build dashboards for the team", "Use AI tools to automate reports"] and [t["token"] for t in a["ai_daily"]] == ["ai-automation"]
+    for word in ("acme", "haifa", "sql", "reporting", "teamwork", "curiosity", "ai-automation", "msc"):
+        assert word in a["blob"].split() or word in a["blob"], word
+    assert (b["level"], b["degree_rank"], b["requirements"], b["flag"], b["age_note"]) == ("—", 0, [], "new", "")
