@@ -102,7 +102,6 @@ def platform_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Every seventh company's response is cut off, every eleventh holds an empty list.
-_BROKEN = F.when(F.col("_row") % 7 == 0, F.substring("body", 1, 20)).when(F.col("_row") % 11 == 0, "[]").otherwise(F.col("body"))
 _OUTCOME = "CASE WHEN o_custkey % 7 = 0 THEN 'error' WHEN o_custkey % 11 = 0 OR kind = 'jazzhr' THEN 'empty' ELSE 'ok' END"
 _KIND = f"([{', '.join(map(q, _NAMES))}])[1 + o_custkey % {len(_NAMES)}]"
 
@@ -114,7 +113,8 @@ def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def broken_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze(spark, sf_dir).withColumn("body", _BROKEN)
+    broken = F.when(F.col("_row") % 7 == 0, F.substring("body", 1, 20)).when(F.col("_row") % 11 == 0, "[]").otherwise(F.col("body"))
+    return bronze(spark, sf_dir).withColumn("body", broken)
 
 
 @query("SELECT 'c' || c_custkey AS company_name, ' Odd' || c_custkey % 7 AS ats_platform, 'unknown platform  Odd' || c_custkey % 7 AS error FROM customer WHERE c_custkey % 5 = 0")

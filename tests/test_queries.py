@@ -1,4 +1,5 @@
 import ast
+import subprocess
 import sys
 from pathlib import Path
 
@@ -50,6 +51,12 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_queries_import_without_a_session():
+    root = Path(entry.__file__).parent
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 def test_nothing_else_imports_the_training_data_operators():
     root = Path(entry.__file__).parent
     for path in root.glob("postlake/**/*.py"):
