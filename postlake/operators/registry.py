@@ -144,18 +144,26 @@ def selected(rows: DataFrame, only: list[str] | None = None, n: int | None = Non
     return rows.orderBy(order).limit(n) if n else rows
 
 
-def shard(rows: DataFrame, i: int, n: int, order: str = "_row") -> DataFrame:
-    """Every n-th row from the i-th on, in the registry's order. Places come from counts by range, so no task sorts all rows."""
-    ranged = rows.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1)
-    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return local.join(F.broadcast(before), "_part").where((F.col("_place") + F.col("_before")) % n == i).drop("_part", "_place", "_before")
-
-
-def unresolved(stale: DataFrame, resolved: DataFrame, n: int = 20) -> DataFrame:
-    """Stale companies that no resolved configuration covers, the first n by name."""
-    return stale.join(resolved.select("company").distinct(), "company", "left_anti").orderBy("company").limit(n)
+def shard(rows: DataFrame, i: int, n: int, order: str = "_row", ranges: int = 64) -> DataFrame:
+    """Every n-th row from the i-th on, in the registry's order. Places come from counts by range, so no task sorts all rows.
+
+    The ranges' bounds are read first: a repartitioning by range samples anew wherever the plan repeats it, and rows and
+    counts would disagree about which range a row is in.
+    """
+    cuts = F.percentile_approx(order, F.array(*(F.lit(k / ranges) for k in range(1, ranges))))
+    bounds = sorted(set(rows.agg(cuts).first()[0] or ()))
+    below = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(order))) if bounds else F.lit(0)
+    local = rows.withColumn("_part", below)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    placed = local.withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1).join(F.broadcast(sizes), "_part")
+    return placed.where((F.col("_place") + F.col("_before")) % n == i).drop("_part", "_place", "_before")
+
+
+def unresolved(stale: DataFrame, resolved: DataFrame, n: int | None = 20) -> DataFrame:
+    """Stale companies that no resolved configuration covers, the first n by name, or all of them."""
+    left = stale.join(resolved.select("company").distinct(), "company", "left_anti")
+    return left if n is None else left.orderBy("company").limit(n)
 
 
 def to_resolve(stale: DataFrame, rows: DataFrame) -> DataFrame:

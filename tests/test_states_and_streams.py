@@ -202,3 +202,24 @@ def test_late_rows_go_to_their_own_table(spark, tmp_path):
     write = incremental.with_late(lambda df, i: kept.extend(r["k"] for r in df.collect()), lambda df, i: late.extend((i, r["k"]) for r in df.collect()), str(tmp_path), "ts", "2 days")
     incremental.start(stream, write, str(tmp_path / "c")).awaitTermination()
     assert sorted(map(str, kept)) == ["None", "a", "b", "c", "x"] and late == [(1, "late"), (2, "late")]
+
+
+def test_shards_and_unresolved_of_many_rows(spark):
+    """Over 100,000 rows in many partitions, so that ranges are sampled and tasks coalesced; keys have gaps and names repeat."""
+    rows = spark.range(0, 900_000, 3, 24).select(F.col("id").alias("_row"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int")).alias("notes"))
+    for i in range(3):
+        assert registry.shard(rows, i, 3).agg(F.count(F.lit(1)), F.min("_row"), F.max("_row"), F.count_if(F.col("_row") % 9 != 3 * i)).first()[:] == (100_000, 3 * i, 899_991 + 3 * i, 0)
+    companies = rows.select(F.col("_row").cast("string").alias("company"))
+    assert registry.unresolved(companies, companies.limit(0), None).count() == 300_000
+
+
+def test_resolved_rows_with_gaps_and_repeated_names(spark, tmp_path):
+    import duckdb
+
+    from postlake import queries
+
+    names = spark.range(5, 3000, 7).select(F.col("id").alias("c_custkey"), F.concat(F.lit("n"), F.col("id") % 50).alias("c_name"))
+    names.write.parquet(f"{tmp_path}/customer.parquet")
+    got = queries.queries()["resolved_rows"](spark, str(tmp_path))
+    sql = queries.oracle_sql()["resolved_rows"].replace("FROM customer", f"FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert sorted(map(tuple, got.collect())) == sorted(duckdb.sql(sql).fetchall())
