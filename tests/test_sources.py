@@ -171,3 +171,14 @@ def test_rows_of_the_wrong_width_are_found(spark, tmp_path):
 @pytest.mark.parametrize(("link", "want"), [("/j/1", "https://a.com/j/1"), ("j/1", "https://a.com/b/j/1"), ("//c.com/x", "https://c.com/x"), ("https://d.com", "https://d.com"), ("mailto:x", "mailto:x")])
 def test_links_seen_from_their_page(spark, link, want):
     assert spark.range(1).select(pages.absolute(F.lit("https://a.com/b/c?d"), F.lit(link))).first()[0] == want
+
+
+def test_tasks_grow_in_number_not_in_rows(spark):
+    """Rows are dealt by their number, and a page's rows meet where the page is, without another shuffle of its texts."""
+    from postlake.samples import dealt
+
+    rows = dealt(spark.range(100_000).withColumnRenamed("id", "page_id"), "page_id", 5_000)
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 6_000
+    few = dealt(spark.range(10).withColumnRenamed("id", "page_id"), "page_id")
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
