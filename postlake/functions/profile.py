@@ -129,3 +129,10 @@ def profiled(jobs: DataFrame, title: str = "title", description: str = "descript
     whole = texts.withColumn("both", F.concat_ws(" ", "t", "d")).withColumn("low", F.lower("both"))
     found = whole.select("_texts", profile(*map(F.col, ("t", "d", "both", "low"))).alias("profile"))
     return keyed.join(found, "_texts").drop("_texts")
+
+
+def once_per_text(rows: DataFrame, column: str, made: dict[str, Column]) -> DataFrame:
+    """rows without the text column but with what is made of it (by name): each distinct text is read once, however often it repeats."""
+    keyed = rows.withColumn("_text", F.md5(text(column).cast("binary")))
+    texts = keyed.groupBy("_text").agg(F.first(text(column)).alias(column)).select("_text", *(c.alias(n) for n, c in made.items()))
+    return keyed.drop(column).join(texts, "_text").drop("_text")

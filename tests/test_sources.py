@@ -182,3 +182,18 @@ def test_tasks_grow_in_number_not_in_rows(spark):
     assert len(sizes) == 20 and max(sizes) < 6_000
     few = dealt(spark.range(10).withColumnRenamed("id", "page_id"), "page_id")
     assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_repeated_texts_are_read_once(spark):
+    """Of 1,000 rows with two texts and none, what is made of a text is made three times."""
+    from postlake.functions.profile import once_per_text
+
+    read = spark.sparkContext.accumulator(0)
+
+    def length(t):
+        read.add(1)
+        return len(t)
+
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "bb").alias("d"))
+    got = once_per_text(rows, "d", {"n": F.udf(length, "int")(F.col("d"))}).collect()
+    assert len(got) == 1000 and all(r["n"] == (1, 2, 0)[r["id"] % 3] for r in got) and read.value == 3
