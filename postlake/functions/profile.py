@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import lexicons as L
-from .text import insensitive, ladder, let, matches, occurs, squeeze, text
+from .text import insensitive, ladder, let, matches, may_occur, occurs, squeeze, text
 
 
 def tagged(c: Column, rules, make, low: Column | None = None) -> Column:
@@ -91,18 +91,24 @@ def ai_usage(c: Column) -> Column:
         found = F.array_compact(F.array(*(F.when(wanted(pattern), named(label, token)) for label, token, pattern in L.AI_USAGE)))
         return let(found, lambda f: F.when((F.size(real) > 0) & (F.size(f) == 0), F.array(named("AI (unspecified)", "ai-unspecified"))).otherwise(f))
 
-    return let(F.filter(F.transform(matches(c, L.AI_MENTION), context), lambda w: ~(w.rlike(L.AI_PRODUCT) & ~w.rlike(L.AI_TOOL_WORDS))), used)
+    real = F.filter(F.transform(matches(c, L.AI_MENTION), context), lambda w: ~(w.rlike(L.AI_PRODUCT) & ~w.rlike(L.AI_TOOL_WORDS)))
+    return F.when(let(F.lower(c), lambda low: may_occur(low, L.AI_MENTION)), let(real, used)).otherwise(F.array().cast("array<struct<label:string,token:string>>"))
 
 
 def soft_skills(c: Column) -> Column:
-    return tagged(squeeze(c), L.SOFT_SKILLS, lambda r: F.struct(F.lit(r[0]).alias("label"), F.lit(r[1]).alias("token")))
+    made = lambda r: F.struct(F.lit(r[0]).alias("label"), F.lit(r[1]).alias("token"))
+    return let(squeeze(c), lambda s: let(F.lower(s), lambda low: tagged(s, L.SOFT_SKILLS, made, low)))
 
 
 def task_of(bullet: Column) -> Column:
     """struct<label, token> of the task group with most hits in a bullet, the earlier on ties; null without any."""
-    counts = F.array(*(F.struct(F.regexp_count(bullet, F.lit(insensitive(p))).alias("n"), F.lit(-i).alias("order"), F.lit(label).alias("label"), F.lit(token).alias("token")) for i, (label, token, p) in enumerate(L.TASK_GROUPS)))
-    top = F.array_max(counts)
-    return F.when(top["n"] > 0, F.struct(top["label"].alias("label"), top["token"].alias("token")))
+
+    def counted(b: Column, low: Column) -> Column:
+        hits = lambda p: F.when(may_occur(low, p), F.regexp_count(b, F.lit(insensitive(p)))).otherwise(0)
+        return F.array(*(F.struct(hits(p).alias("n"), F.lit(-i).alias("order"), F.lit(label).alias("label"), F.lit(token).alias("token")) for i, (label, token, p) in enumerate(L.TASK_GROUPS)))
+
+    top = let(bullet, lambda b: let(F.lower(b), lambda low: F.array_max(counted(b, low))))
+    return let(top, lambda t: F.when(t["n"] > 0, F.struct(t["label"].alias("label"), t["token"].alias("token"))))
 
 
 def tasks(bullets: Column) -> Column:

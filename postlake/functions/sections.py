@@ -13,8 +13,9 @@ _PARTS = "array<struct<text:string,badge:string>>"
 
 
 def _strip(c: Column, signs: str, left: bool = True, right: bool = True) -> Column:
-    sides = ([f"^[{signs}]+"] if left else []) + ([f"[{signs}]+$"] if right else [])
-    return F.regexp_replace(c, "|".join(sides), "")
+    """Without the signs (as in a pattern's brackets) at the ends of a text of one line."""
+    cut = F.btrim if left and right else F.ltrim if left else F.rtrim
+    return cut(c, F.lit(signs.replace("\\t", "\t").replace("\\", "")))
 
 
 def _none(kind: str) -> Column:
@@ -65,14 +66,18 @@ def clean_bullet(piece: Column, most: int = 210) -> Column:
 
     p = _strip(squeeze(piece), " \\t•·–—\\-:;.")
     p = _strip(F.regexp_replace(p, L.LEADING_HEADER, ""), " :–—\\-")
-    for pattern, new in ((r"\s+([,.;:%)])", "$1"), (r"(\d)\s+\+", "$1+"), (r"\(\s+", "(")):
-        p = F.regexp_replace(p, pattern, new)
+
+    def joined(p: Column) -> Column:
+        done = p
+        for pattern, new in ((r"\s+([,.;:%)])", "$1"), (r"(\d)\s+\+", "$1+"), (r"\(\s+", "(")):
+            done = F.regexp_replace(done, pattern, new)
+        return F.when(p.rlike(r"\s[,.;:%)+]|\(\s"), done).otherwise(p)
 
     def ended(p: Column) -> Column:
         p = F.regexp_replace(p, r"(?i)[\s,]+(?:is an?|are|with|and|or|to|of|the|for|in|on|an?|is)$", "")
         return _strip(F.regexp_replace(p, r"(?i)^(?:is|are|has|have|will be)\s+", ""), " \\-–—,;:", left=False)
 
-    return let(let(let(p, capped), closed), ended)
+    return let(let(let(let(p, joined), capped), closed), ended)
 
 
 def looks_like_header(c: Column) -> Column:
@@ -109,9 +114,10 @@ def bullets(section: Column, default: str | None = None) -> Column:
     return F.aggregate(F.transform(_pieces(section, L.RUN_ON, 80, L.DASHES), cleaned), start, step, lambda a: a["found"])
 
 
-def _once(parts: Column, kind: str, name) -> Column:
-    """The first of the parts that are equal but for case."""
-    return F.aggregate(parts, _none(kind), lambda kept, x: F.when(F.exists(kept, lambda k: F.lower(name(k)) == F.lower(name(x))), kept).otherwise(F.array_append(kept, x)))
+def _once(parts: Column, name=lambda x: x) -> Column:
+    """The first of the parts that are equal but for case; each is put in lower case once, not for each pair."""
+    first = lambda names: lambda _, i: F.array_position(names, F.get(names, i)) == i + 1
+    return let(parts, lambda all_: let(F.transform(all_, lambda x: F.lower(name(x))), lambda names: F.filter(all_, first(names))))
 
 
 def _opening(plain: Column, found: Column, soft: Column) -> Column:
@@ -133,10 +139,10 @@ def requirements_header(plain: Column) -> Column:
 def boundaries(plain: Column) -> Column:
     """What cuts a description: struct of the places of requirement headers, section ends and headers of advantages, each kind found
     in one run over the text, and of the one header each that opens the requirements and the duties."""
-    found = F.struct(
-        plain.alias("plain"), matches(plain, L.REQUIREMENTS).alias("asks"), matches(plain, L.SECTION_END).alias("ends"), matches(plain, L.PLUS_SECTION).alias("pluses"), first_match(plain, L.DUTIES).alias("duties")
-    )
-    soft = lambda f: F.when(F.size(f["asks"]) == 0, first_match(f["plain"], L.SOFT_REQUIREMENTS))
+    kinds = {"asks": L.REQUIREMENTS, "ends": L.SECTION_END, "pluses": L.PLUS_SECTION}
+    said = lambda t: F.struct(*(t[k].alias(k) for k in ("plain", "low")), *(matches(t["plain"], p, t["low"]).alias(k) for k, p in kinds.items()), first_match(t["plain"], L.DUTIES, t["low"]).alias("duties"))
+    found = let(let(plain, lambda p: F.struct(p.alias("plain"), F.lower(p).alias("low"))), said)
+    soft = lambda f: F.when(F.size(f["asks"]) == 0, first_match(f["plain"], L.SOFT_REQUIREMENTS, f["low"]))
     return let(found, lambda f: F.struct(*(f[k].alias(k) for k in ("plain", "asks", "ends", "pluses", "duties")), _opening(f["plain"], f["asks"], soft(f)).alias("header")))
 
 
@@ -164,13 +170,13 @@ def _requirements(b: Column) -> Column:
         return let(first, lambda m: F.when(m["start"] - s["start"] > 20, F.concat(bullets(text_(s["start"], m["start"])), bullets(text_(m["end"], s["end"]), "plus"))).otherwise(bullets(text_(s["start"], s["end"]))))
 
     found = let(_section(b, b["header"], 2600, "ends"), lambda s: F.when(s.isNotNull(), split(s)))
-    return F.coalesce(F.slice(_once(found, _PARTS, lambda x: x["text"]), 1, 12), _none(_PARTS))
+    return F.coalesce(F.slice(_once(found, lambda x: x["text"]), 1, 12), _none(_PARTS))
 
 
 def _duties(b: Column) -> Column:
     cut = let(_section(b, b["duties"], 2200, "asks", "ends"), lambda s: F.when(s.isNotNull(), _slice(b["plain"], s["start"], s["end"])))
     found = F.filter(F.transform(let(cut, lambda s: _pieces(s, L.RUN_ON_DUTIES, 90)), lambda p: clean_bullet(p)), _is_bullet)
-    return F.coalesce(F.slice(_once(found, "array<string>", lambda x: x), 1, 8), _none("array<string>"))
+    return F.coalesce(F.slice(_once(found), 1, 8), _none("array<string>"))
 
 
 def _prose(b: Column) -> Column:

@@ -93,3 +93,20 @@ def test_profiles(spark):
     assert (p["degree"]["level"], p["degree"]["status"], p["degree"]["fields"]) == ("BSc", "required", ["CS"])
     (empty,) = one(profiled(job(spark, {})), F.col("profile"))
     assert empty["skills"] == [] and empty["years"] is None and empty["degree"] is None and empty["family"] == "Other"
+
+
+def test_patterns_run_once_a_text_and_only_where_they_can_match(spark):
+    """Plain searches look into groups; of a bullet each task group is counted once; parts equal but for case stay once, the first."""
+    from postlake.functions import lexicons as L
+    from postlake.functions import sections as S
+    from postlake.functions.profile import task_of
+    from postlake.functions.text import hints, matches
+
+    assert hints(r"(?i)(?:defin|own)\w*x?(?:kpis?)|(z)?(ab|cd+)\s*:?") == ("defin", "own", "ab", "cd")
+    assert hints(r"(?:ab)?(c|d)") == hints(r"(?=ab)c") == ()
+    assert str(task_of(F.col("b"))).count("regexp_count") == len(L.TASK_GROUPS)
+    rows = spark.createDataFrame([("What we offer: REQUIREMENTS",), ("nothing",), ("",), (None,)], "d string")
+    for pattern in (L.REQUIREMENTS, L.SECTION_END, L.PLUS_SECTION, L.DUTIES, L.AI_MENTION):
+        assert all(a == b for a, b in rows.select(matches(F.col("d"), pattern), matches(F.col("d"), pattern, F.lower("d"))).collect() if b is not None)
+    parts = F.array(*map(F.lit, ("Ab", "c", "aB", "C", "é", "É")))
+    assert spark.range(1).select(S._once(parts)).first()[0] == ["Ab", "c", "é"]
