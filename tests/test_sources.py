@@ -197,3 +197,16 @@ def test_repeated_texts_are_read_once(spark):
     rows = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "bb").alias("d"))
     got = once_per_text(rows, "d", {"n": F.udf(length, "int")(F.col("d"))}).collect()
     assert len(got) == 1000 and all(r["n"] == (1, 2, 0)[r["id"] % 3] for r in got) and read.value == 3
+
+
+def test_a_column_is_computed_once_though_filters_use_it(spark):
+    """The filter on a computed column isn't pushed below it, where its expression would run a second time; one of the same name is replaced."""
+    from postlake.functions.text import computed
+    from postlake.sources.discoveries import channel_messages, channel_postings
+
+    rows = spark.createDataFrame([("a b",), ("c",)], "t string")
+    made = computed(rows, t=F.regexp_replace("t", " ", "-"), n=F.length("t")).where("t <> 'c' and n > 1")
+    assert made.columns == ["t", "n"] and [tuple(r) for r in made.collect()] == [("a-b", 3)]
+    pages = spark.createDataFrame([("<p/>",)], "html string")
+    plan = channel_postings(channel_messages(pages))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<[^>]+>") == 1, "a message's markup is taken out once"
