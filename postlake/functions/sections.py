@@ -230,8 +230,8 @@ def company_blurb(description: Column | str, company: Column | str = "") -> Colu
     def found(d: Column) -> Column:
         named = words(F.call_function("regexp_extract", F.substring(d, 1, 400), F.concat(F.lit("(?i)\\Q"), name, F.lit("\\E" + L.COMPANY_DOES)), F.lit(1)))
         plain = words(F.regexp_extract(F.substring(d, 1, 220), L.COMPANY_IS, 1))
-        fits = (name != "") & (F.size(named) >= 3) & ~F.lower(F.get(named, F.lit(0))).isin(*L.BLURB_STRAYS)
-        return F.when(fits, F.array_join(F.slice(named, 1, 16), " ")).otherwise(F.array_join(F.slice(plain, 1, 12), " "))
+        fits = lambda w: (name != "") & (F.size(w) >= 3) & ~F.lower(F.get(w, F.lit(0))).isin(*L.BLURB_STRAYS)
+        return let(named, lambda w: F.when(fits(w), F.array_join(F.slice(w, 1, 16), " ")).otherwise(F.array_join(F.slice(plain, 1, 12), " ")))
 
     return let(_strip(unlabelled(description), " •", right=False), found)
 
@@ -260,22 +260,31 @@ def experience_chip(description: Column | str) -> Column:
 
 def level(chip: Column, title: Column | str) -> Column:
     """Junior, Mid, Senior, Lead+ or —."""
-    c, t = F.lower(text(chip)), F.lower(text(title))
-    n = F.regexp_extract(c, r"(\d+)", 1).try_cast("int")
-    return (
-        F.when(c.rlike("junior|entry|intern"), "Junior").when(c.rlike(L.LEAD_WORDS) | t.rlike(L.LEAD_WORDS), "Lead+").when(c.rlike("senior|advanced|expert") | t.rlike(L.SENIOR_WORDS), "Senior")
-        .when(n >= 8, "Lead+").when(n >= 5, "Senior").when(n.isNotNull() | c.contains("mid"), "Mid").otherwise("—")
-    )
+
+    def named(c: Column, t: Column, n: Column) -> Column:
+        return (
+            F.when(c.rlike("junior|entry|intern"), "Junior").when(c.rlike(L.LEAD_WORDS) | t.rlike(L.LEAD_WORDS), "Lead+").when(c.rlike("senior|advanced|expert") | t.rlike(L.SENIOR_WORDS), "Senior")
+            .when(n >= 8, "Lead+").when(n >= 5, "Senior").when(n.isNotNull() | c.contains("mid"), "Mid").otherwise("—")
+        )
+
+    return let(_number(chip), lambda x: let(F.lower(text(title)), lambda t: named(x["c"], t, x["n"])))
+
+
+def _number(chip: Column) -> Column:
+    """struct<c, n>: a level in lower case, and the first number in it."""
+    return let(F.lower(text(chip)), lambda c: F.struct(c.alias("c"), F.regexp_extract(c, r"(\d+)", 1).try_cast("int").alias("n")))
 
 
 def level_rank(chip: Column) -> Column:
     """A number to sort levels by; unknown ones last."""
-    c = F.lower(text(chip))
-    n = F.regexp_extract(c, r"(\d+)", 1).try_cast("int")
-    return (
-        F.when(c.isin("", "—"), 99).when(c.rlike("junior|entry"), 1).when(c.rlike("lead|manager|head|principal|staff|director|vp|chief"), 6).when(c.contains("mid-senior"), 4).when(c.contains("senior"), 5)
-        .when(c.contains("mid"), 3).when(n >= 5, 6).when(n >= 3, 5).when(n.isNotNull(), 3).when(c.rlike("advanced|expert"), 6).otherwise(4)
-    )
+
+    def ranked(c: Column, n: Column) -> Column:
+        return (
+            F.when(c.isin("", "—"), 99).when(c.rlike("junior|entry"), 1).when(c.rlike("lead|manager|head|principal|staff|director|vp|chief"), 6).when(c.contains("mid-senior"), 4).when(c.contains("senior"), 5)
+            .when(c.contains("mid"), 3).when(n >= 5, 6).when(n >= 3, 5).when(n.isNotNull(), 3).when(c.rlike("advanced|expert"), 6).otherwise(4)
+        )
+
+    return let(_number(chip), lambda x: ranked(x["c"], x["n"]))
 
 
 def age_note(posted: Column | str, run_date: str) -> Column:

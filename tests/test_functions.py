@@ -110,3 +110,14 @@ def test_patterns_run_once_a_text_and_only_where_they_can_match(spark):
         assert all(a == b for a, b in rows.select(matches(F.col("d"), pattern), matches(F.col("d"), pattern, F.lower("d"))).collect() if b is not None)
     parts = F.array(*map(F.lit, ("Ab", "c", "aB", "C", "é", "É")))
     assert spark.range(1).select(S._once(parts)).first()[0] == ["Ab", "c", "é"]
+
+
+def test_a_level_is_read_once(spark):
+    """A chip's number and a company's words are found once, however many rules look at them."""
+    from postlake.functions import sections as S
+
+    for made in (S.level(F.col("c"), "t"), S.level_rank(F.col("c"))):
+        assert str(made).count("regexp_extract") == 1
+    assert str(S.company_blurb("d", F.col("n"))).count("regexp_extract") == 2
+    rows = spark.createDataFrame([("8+ yrs", ""), ("3+ yrs", "Senior"), ("Senior", ""), ("", "x"), (None, None)], "c string, t string")
+    assert [tuple(r) for r in rows.select(S.level(F.col("c"), "t"), S.level_rank(F.col("c"))).collect()] == [("Lead+", 6), ("Senior", 5), ("Senior", 5), ("—", 99), ("—", 99)]
