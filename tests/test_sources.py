@@ -210,3 +210,15 @@ def test_a_column_is_computed_once_though_filters_use_it(spark):
     pages = spark.createDataFrame([("<p/>",)], "html string")
     plan = channel_postings(channel_messages(pages))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("<[^>]+>") == 1, "a message's markup is taken out once"
+
+
+def test_repeats_meet_in_as_many_tasks_as_asked_for(spark):
+    """Postings of one key meet in one of `parts` tasks, which Spark doesn't join to fewer because their texts compress well."""
+    from postlake.sources.payloads import postings
+
+    body = '{"positions":[{"name":"A","ats_job_id":"%s","positionUrl":"u","description":"d"}]}'
+    rows = [(f"c{k % 40}", "eightfold", "t", "u", 0, body % (k % 10), k) for k in range(200)]
+    bronze = spark.createDataFrame(rows, "company_name string, ats_platform string, token string, api_url string, page_no int, body string, _row bigint")
+    plain, dealt = postings(bronze, "2026-08-22"), postings(bronze, "2026-08-22", 24)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect())) and plain.count() == 40
+    assert dealt.rdd.getNumPartitions() == 24
