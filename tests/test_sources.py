@@ -222,3 +222,11 @@ def test_repeats_meet_in_as_many_tasks_as_asked_for(spark):
     plain, dealt = postings(bronze, "2026-08-22"), postings(bronze, "2026-08-22", 24)
     assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect())) and plain.count() == 40
     assert dealt.rdd.getNumPartitions() == 24
+
+
+def test_postings_of_pages_meet_in_as_many_tasks_as_asked_for(spark):
+    html = "".join(f'<h3 class="t">Team Engineer {n}</h3><a href="/p/{n}">go</a><i>| Lod, Israel</i>' for n in "abc")
+    rows = spark.createDataFrame([(k, "https://a.com/x", html, "Acme") for k in range(30)], "page_id bigint, url string, html string, company string")
+    plain, dealt = pages.scraped_postings(rows, "2026-08-22"), pages.scraped_postings(rows, "2026-08-22", 12)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect())) and plain.count() == 90
+    assert dealt.rdd.getNumPartitions() == 12
