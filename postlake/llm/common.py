@@ -66,7 +66,8 @@ _SIGNS = np.random.default_rng(17).integers(1, 1 << 63, 256, dtype=np.uint64) *
 _SIGNS[ord("A") : ord("Z") + 1] = _SIGNS[ord("a") : ord("z") + 1]
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-_STEP = 4 << 20
+#: Bytes whose running sums are held at once; each worker keeps as many powers, of 16 bytes each, to its end.
+_STEP = 1 << 20
 
 
 def _powers(n: int) -> list[np.ndarray]:

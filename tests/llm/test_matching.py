@@ -221,3 +221,17 @@ def test_license_query_equals_sql(spark):
     assert {r[4] for r in got} == {"file", "header", "inherited", "none"}
     duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
     assert got == duckdb.sql(queries.OP5_SQL + " ORDER BY doc_id").df().fillna("-").to_numpy().tolist()
+
+
+def test_words_are_hashed_alike_in_steps_and_workers_keep_little(monkeypatch):
+    """A word's number doesn't depend on the step it falls in; what a worker keeps to its end is under 20 MB."""
+    import pyarrow as pa
+
+    from postlake.llm import common
+
+    texts = pa.array(["one two  three", None, "x" * 300, "four\tfive " * 40, ""])
+    monkeypatch.setattr(common, "_POWERS", [p[:1] for p in common._POWERS])
+    whole = [a.tolist() for a in common.hashed_words(texts)]
+    assert sum(p.nbytes for p in common._POWERS) < 20_000_000
+    monkeypatch.setattr(common, "_STEP", 16)
+    assert [a.tolist() for a in common.hashed_words(texts)] == whole
