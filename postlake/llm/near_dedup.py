@@ -4,8 +4,10 @@
    equal sets form one class, so copies cost no pairs.
 2. Classes that share a band key meet in a bucket; each is confirmed against the bucket's least class on full sets, and
    components of these links are found by alternating large-star and small-star.
-3. Buckets of three or more classes that still hold several components are the exact rest: pairs not yet connected that
-   share one of their rarest shingles are compared by signature and then on full sets. No bucket is capped.
+3. Buckets of three or more classes that still hold several components are the rest. Rounds come first in which the classes
+   of a rare shingle meet only the most typical of about their size, so that a large group of near copies becomes one
+   component at a cost that grows with its size. Then pairs still not connected that share one of their rarest shingles are
+   compared by signature and on full sets. No bucket is capped; rounds change the work, never the result.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, hashed_words, lookup, ngram_hashes, slices, spread, without
 from .components import components, labelled
-from .prefixes import confirmed, crossing, exact_rest, prefix, shared_tokens, shingle_counts
+from .prefixes import confirmed, crossing, exact_rest, prefix, shared_tokens, shingle_counts, typical_round
 
 
 def shingles(texts: pa.Array, width: int) -> list[np.ndarray]:
@@ -85,30 +87,30 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, hashes: MinHash) -> Da
     return chosen.mapInArrow(run, "class bigint, items array<bigint>, signature binary").dropDuplicates(["class"])
 
 
-def _rest(members: DataFrame, first: DataFrame, sets: DataFrame, percent: int, slack: float, block: int, counters: int) -> DataFrame:
-    """Links (a, b) of classes in buckets that hold more than one component after the first pass.
+def _rest(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int, slack: float, block: int, counters: int, rounds: int, crowd: int) -> DataFrame:
+    """Components of all links: those of the first pass and those of classes in buckets that hold more than one component after it.
 
     Two of them can be linked only if they share one of their rarest shingles, which texts that merely share common passages
     don't; pairs of different components that do are compared by their signatures, then on their full sets.
     """
-    rows = members.where("n > 2").join(first, F.col("class") == F.col("node"), "left").select("key", "class", F.coalesce("root", "class").alias("root"))
+    roots = components(links)
+    rows = members.where("n > 2").join(roots, F.col("class") == F.col("node"), "left").select("key", "class", F.coalesce("root", "class").alias("root"))
     open_keys = rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
     rest = cut(lookup(rows, cut(open_keys), ["key"], "left_semi").select("class").distinct())
     if rest.isEmpty():
-        return rest.select(F.col("class").alias("a"), F.col("class").alias("b"))
+        return roots
     own = cut(lookup(sets, rest, ["class"], "left_semi"))
     counts = shingle_counts(own.select("items"), lambda batch: [[x.values.to_numpy().view(np.uint64) for x in batch.column(0)]], counters)
     shift, noise = np.uint64(64 - counters.bit_length() + 1), float(counts.mean())
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [prefix(items, counts[(items >> shift).astype(np.int64)], noise, percent, 1)[0] for items in (x.values.to_numpy().view(np.uint64) for x in batch.column(1))]
-            sizes = pa.array([len(x) for x in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["class", "size", "prefix"])
+            found = [prefix(items, counts[(items >> shift).astype(np.int64)], noise, percent, 1) for items in (x.values.to_numpy().view(np.uint64) for x in batch.column(1))]
+            sizes, typical = pa.array([len(x) for x in batch.column(1)], pa.int64()), pa.array([f[2] for f in found], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, typical, pa.array([f[0].view(np.int64) for f in found], pa.list_(pa.int64()))], names=["class", "size", "typical", "prefix"])
 
-    posted = cut(own.select("class", "items").mapInArrow(prefixes, "class bigint, size bigint, prefix array<bigint>"))
-    shared = shared_tokens(posted.select("class", "size", F.lit(1).alias("depth"), F.posexplode("prefix").alias("pos", "token")))
-    pairs = exact_rest(*crossing(shared, first, percent), percent)
+    posted = cut(own.select("class", "items").mapInArrow(prefixes, "class bigint, size bigint, typical double, prefix array<bigint>"))
+    shared = shared_tokens(posted.select("class", "size", F.lit(1).alias("depth"), "typical", F.posexplode("prefix").alias("pos", "token")))
     signed = lambda side: own.select(F.col("class").alias(side), F.col("signature").alias(f"sign_{side}"))
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,11 +118,22 @@ def _rest(members: DataFrame, first: DataFrame, sets: DataFrame, percent: int, s
             a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for k in (2, 3))
             yield batch.select([0, 1]).filter(pa.array((a == b).mean(axis=1) >= percent / 100 - slack))
 
-    pairs = cut(pairs.join(signed("a"), "a").join(signed("b"), "b").select("a", "b", "sign_a", "sign_b").mapInArrow(alike, "a bigint, b bigint"))
-    return cut(confirmed(pairs, lambda sends: sends.join(own.select("class", "items"), "class"), percent, block))
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256, counters: int = 1 << 18) -> DataFrame:
+    tested = links.limit(0)
+    for i in range(rounds + 1):
+        pairs = typical_round(shared, roots, percent, crowd, i / rounds) if i < rounds else exact_rest(*crossing(shared, roots, percent), percent)
+        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        tested = tested.union(pairs)
+        pairs = cut(pairs.join(signed("a"), "a").join(signed("b"), "b").select("a", "b", "sign_a", "sign_b").mapInArrow(alike, "a bigint, b bigint"))
+        found = cut(confirmed(pairs, lambda sends: sends.join(own.select("class", "items"), "class"), percent, block))
+        if not found.isEmpty():
+            links = cut(links.union(found))
+            roots = components(links)
+    return roots
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256, counters: int = 1 << 18, rounds: int = 2, crowd: int = 32) -> DataFrame:
     """Per row: id (long), n_shingles, component_id (the least id reachable over links, itself included), kept (id = component_id).
 
     Linked are texts whose sets of distinct `width`-word shingles have 100 * intersection >= percent * union. A text with
@@ -130,7 +143,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     With the defaults a link at exactly 80 % misses all bands with probability 5e-5, one at 85 % with 4e-7; a linked
     pair's signature falls short by `slack` with less. `block`: the partners of one class are dealt into parts of about as
-    many. `counters` (a power of two): places by which shingles of the exact rest are counted for their order.
+    many. `counters` (a power of two): places by which shingles of the rest are counted for their order. `rounds`: how often
+    classes of shingles that `crowd` of them or more have meet the typical one before the exact rest. These change no result.
     """
     hashes = MinHash(bands, rows)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -158,10 +172,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not several.isEmpty():
         ids = lookup(filled.select("id", "set_key"), several, ["id"], "left_semi").distinct().join(classes.select("set_key", "class"), "set_key")
         links = links.union(ids.join(ids.groupBy("id").agg(F.min("class").alias("b")), "id").select(F.col("class").alias("a"), "b"))
-    links = cut(links)
-    first = components(links)
-    rest = _rest(members, first, sets, percent, slack, block, counters)
-    roots = first if rest.isEmpty() else components(links.union(rest))
+    roots = _rest(members, cut(links), sets, percent, slack, block, counters, rounds, crowd)
     linked = lookup(filled.select("id", "n_shingles", "set_key"), labelled(classes, roots), ["set_key"]).select("id", "n_shingles", "component_id")
     alone = described.where("id is null or set_key is null").select("id", "n_shingles", F.col("id").alias("component_id"))
     return linked.union(alone).select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))

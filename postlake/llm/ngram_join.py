@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import cut, lookup, slices
 from .components import components, labelled
 from .near_dedup import shingles
-from .prefixes import confirmed, crossing, exact_rest, prefix, shared_tokens, shingle_counts, typical_pairs
+from .prefixes import confirmed, crossing, exact_rest, prefix, shared_tokens, shingle_counts, typical_round
 
 
 def _described(docs: DataFrame, width: int, percent: int, counts: np.ndarray, deepest: int) -> DataFrame:
@@ -101,13 +101,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tested = links.limit(0)
     for i in range(rounds + 1):
         if i < rounds:
-            # sizes within one band can be linked; the bands of the next round lie across
-            rows, heavy = crossing(members.where(F.col("n") >= crowd), components(links), percent)
-            band = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / percent))) + F.lit(i / rounds)).cast("int")
-            rows = rows.withColumn("band", band)
-            first = F.max(F.struct("typical", "class", "size", "depth", "pos", "before", "root")).alias("hub")
-            hubs = cut(rows.groupBy("token", "band").agg(first, F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token", "band", "rows", "hub.*"))
-            pairs = typical_pairs(rows, hubs, ["token", "band"], F.col("rows") > heavy, percent)
+            pairs = typical_round(members, components(links), percent, crowd, i / rounds)
         else:
             pairs = exact_rest(*crossing(members, components(links), percent), percent)
         pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))

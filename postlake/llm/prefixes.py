@@ -90,6 +90,19 @@ def typical_pairs(rows: DataFrame, hubs: DataFrame, on: list[str], heavy: Column
     return met.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")).distinct()
 
 
+def typical_round(members: DataFrame, roots: DataFrame, percent: int, crowd: int, shift: float) -> DataFrame:
+    """Pairs (a, b) of the rows of shingles that `crowd` classes or more have and the most typical row of about their size, where they are in different components.
+
+    Sizes within one band can be linked; `shift` (0 to 1) moves the bands, so that those of the next round lie across.
+    """
+    rows, heavy = crossing(members.where(F.col("n") >= crowd), roots, percent)
+    band = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(100 / percent))) + F.lit(shift)).cast("int")
+    rows = rows.withColumn("band", band)
+    first = F.max(F.struct("typical", "class", "size", "depth", "pos", "before", "root")).alias("hub")
+    hubs = cut(rows.groupBy("token", "band").agg(first, F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token", "band", "rows", "hub.*"))
+    return typical_pairs(rows, hubs, ["token", "band"], F.col("rows") > heavy, percent)
+
+
 def candidates(rows: DataFrame, others: DataFrame, on: list[str], percent: int) -> DataFrame:
     """Pairs (a, b) with enough common prefix shingles, that can still reach the similarity after the last of them."""
     after = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b")) - 1

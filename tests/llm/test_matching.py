@@ -164,6 +164,18 @@ def test_common_passages_make_no_pairs(make, monkeypatch):
     assert compared and max(compared) <= 304
 
 
+def test_many_near_copies_meet_their_typical_one(make, monkeypatch):
+    """Of 400 near copies with up to six edits each, most are no links: what is compared grows with their number, not its square."""
+    compared = []
+    monkeypatch.setattr(near_dedup, "confirmed", lambda pairs, *a: compared.append(pairs.count()) or confirmed(pairs, *a))
+    rng = random.Random(3)
+    base = [f"t{i}" for i in range(150)]
+    rows = [(i, edited(rng, base, rng.randrange(1, 7))) for i in range(400)]
+    got = near_duplicates(make(rows), percent=85).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(brute_groups(rows, 85))
+    assert compared and sum(compared) <= 800
+
+
 def test_an_id_with_two_texts_is_one_document(spark, make):
     a, b = (" ".join(f"{k}{i}" for i in range(60)) for k in "ab")
     got = near_duplicates(make([(5, a), (5, b), (7, a + " x"), (8, b + " y"), (9, "else " * 9)])).collect()
