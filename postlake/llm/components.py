@@ -8,23 +8,27 @@ from pyspark.sql import functions as F
 from .common import cut, measured, spread
 
 
-def _star(edges: DataFrame, large: bool, hot: int) -> DataFrame:
+#: Edges that one task of a star step holds, about; a step of few edges runs in few tasks, whatever the session's shuffle partitions.
+_EDGES = 50_000
+
+
+def _star(edges: DataFrame, large: bool, hot: int, parts: int) -> DataFrame:
     """One star step over edges (u, v) with u > v, written to the checkpoint folder.
 
     Large: every node's greater neighbours are linked to the least of the node and its neighbours. Small: every node's
     smaller neighbours are. Minima are aggregated before the shuffle; no neighbourhood is ever gathered as a list, and the
-    minima of nodes with over `hot` neighbours are broadcast, so that none makes one task.
+    minima of nodes with over `hot` neighbours are broadcast, so that none makes one task. `parts`: the most tasks that write.
     """
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    least = cut(least.select("u", F.least("u", "m").alias("m"), "n") if large else least)
+    least = cut((least.select("u", F.least("u", "m").alias("m"), "n") if large else least).coalesce(parts))
     heavy = F.col("n") > hot
     with_least = lambda rows: rows.join(least, "u") if least.where(heavy).isEmpty() else spread(rows, least, ["u"], heavy)
     if large:
         linked = with_least(both.where("v > u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         linked = with_least(edges).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return measured(linked.where("u > v").distinct())
+    return measured(linked.where("u > v").distinct().coalesce(parts))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,9 +39,11 @@ def components(edges: DataFrame) -> DataFrame:
     of a component's size.
     """
     now = measured(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen, hot = None, max(512, now.count() // 2048)  # so at most 4096 nodes are hot
+    n = now.count()
+    seen, hot, parts = None, max(512, n // 2048), n // _EDGES + 1  # so at most 4096 nodes are hot
+    now = now.coalesce(parts)
     while True:
-        now = _star(_star(now, True, hot), False, hot)
+        now = _star(_star(now, True, hot, parts), False, hot, parts)
         mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if mark == seen:
             break

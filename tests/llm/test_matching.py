@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from postlake.llm import queries
-from postlake.llm.common import cut, lookup, spread
+from postlake.llm import components as component_steps
+from postlake.llm.common import cut, lookup, measured, spread
 from postlake.llm.components import components
 from postlake.llm.decontaminate import align, aligned, contaminated, without_contaminated, words
 from postlake.llm.licenses import scan_licenses
@@ -76,6 +77,29 @@ def test_components_of_a_long_chain(spark):
     assert components(edges.where("false")).count() == 0
 
 
+def test_few_edges_make_few_tasks(spark, monkeypatch):
+    """A star step over few edges is written by one task, also where the session shuffles to many."""
+    parts = []
+
+    def counted(df):
+        done = measured(df)
+        parts.append(done.rdd.getNumPartitions())
+        return done
+
+    monkeypatch.setattr(component_steps, "measured", counted)
+    changed = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        got = components(spark.range(60).selectExpr("id as a", "id - id % 20 as b")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r["node"], r["root"]) for r in got} == {(i, i - i % 20) for i in range(60)}
+    assert set(parts[1:]) == {1}
+
+
 def brute_score(item, text):
     h, best = np.zeros((len(item) + 1, len(text) + 1), int), 0
     for i in range(1, len(item) + 1):
