@@ -63,7 +63,7 @@ class PairTable:
 class ByteBPE:
     """Encoder and decoder. Remembers the ids of at most `keep` cuts; `cells` bounds a matrix."""
 
-    def __init__(self, path: str, pattern: str, keep: int = 150_000, cells: int = 1 << 20, longest_row: int = 256):
+    def __init__(self, path: str, pattern: str, keep: int = 150_000, cells: int = 1 << 17, longest_row: int = 256):
         import regex
 
         with open(path, "rb") as lines:

@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-#: UTF-8 bytes of text that one step of a Python worker holds at once; a longer text makes a step of its own.
-SLICE_BYTES = 2 << 20
+#: UTF-8 bytes of text that one step of a Python worker holds at once; a longer text makes a step of its own. What a step
+#: makes of its text is many times as large, and a worker keeps that memory for the next one.
+SLICE_BYTES = 1 << 19
+#: The same where a step's matrices or packing gain from more rows and what it makes of them is small.
+LONG_SLICE_BYTES = 2 << 20
 
 
 _HELD: dict[str, object] = {}
@@ -67,7 +70,7 @@ _SIGNS[ord("A") : ord("Z") + 1] = _SIGNS[ord("a") : ord("z") + 1]
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 #: Bytes whose running sums are held at once; each worker keeps as many powers, of 16 bytes each, to its end.
-_STEP = 1 << 20
+_STEP = 1 << 17
 
 
 def _powers(n: int) -> list[np.ndarray]:

@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, slices
+from .common import LONG_SLICE_BYTES, remainder, slices
 
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -162,7 +162,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: in
     drawn = known.join(F.broadcast(rates), "lang").where(draw < F.col("rate")).select("id", "text", "lang").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
+        for piece in slices(batches, most=LONG_SLICE_BYTES):
             cuts, langs = [], []
             for text, lang in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist(), strict=True):
                 x, _ = windows([text.encode()], width)
@@ -190,7 +190,7 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
+        for piece in slices(batches, most=LONG_SLICE_BYTES):
             texts = piece.column(1).to_pylist()
             able = [net is not None and t is not None and _LETTER.search(t) is not None for t in texts]
             names, scores = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))

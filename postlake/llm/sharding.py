@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, slices
+from .common import LONG_SLICE_BYTES, cut, slices
 from .token_counts import counter
 
 
@@ -46,7 +46,7 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, model: str | None) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = counter(model)
-        for piece in slices(batches, 4):
+        for piece in slices(batches, 4, LONG_SLICE_BYTES):
             tokens = pa.array(pieces.counts(piece.column(4).to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([*piece.columns[:4], tokens], names=["id", "size", "text_crc32", "group", "n_tokens"])
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, slices
+from .common import LONG_SLICE_BYTES, held, slices
 
 _MARK = "▁"
 _SEGMENT = re.compile(r" +[^ ]*")
@@ -96,7 +96,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
-        for piece in slices(batches):
+        for piece in slices(batches, most=LONG_SLICE_BYTES):
             texts = piece.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [piece.column(0), pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()), pa.array(count.counts(texts), pa.int64())],

@@ -271,3 +271,32 @@ def test_words_are_hashed_alike_in_steps_and_workers_keep_little(monkeypatch):
     assert sum(p.nbytes for p in common._POWERS) < 20_000_000
     monkeypatch.setattr(common, "_STEP", 16)
     assert [a.tolist() for a in common.hashed_words(texts)] == whole
+
+
+def test_a_step_of_a_worker_holds_little(monkeypatch):
+    """Hashing and encoding 4 MB of short texts takes little beside the texts: what a step makes is bounded."""
+    import random
+    import tracemalloc
+
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    from postlake.llm import common
+    from postlake.llm.byte_bpe import ByteBPE
+
+    pick = random.Random(5)
+    words = ["".join(pick.choices("abcdefghij", k=pick.randrange(2, 200))) for _ in range(4000)]
+    batch = pa.record_batch({"id": range(800), "text": [" ".join(pick.choices(words, k=50)) for _ in range(800)]})
+    bpe = ByteBPE(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    monkeypatch.setattr(common, "_POWERS", [p[:1] for p in common._POWERS])
+
+    def peak(step) -> int:
+        tracemalloc.start()
+        for piece in common.slices([batch]):
+            step(piece)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    assert peak(lambda piece: common.hashed_words(piece.column(1))) < 16_000_000
+    assert peak(lambda piece: bpe.encode(piece.column(1).to_pylist())) < 24_000_000
