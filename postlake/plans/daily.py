@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,13 +74,18 @@ PATHS = ("keyword", "keyword_nollm", "llm_cache", "llm", "llm_failed_fallback")
 
 
 def run(jobs: DataFrame, matched: DataFrame, sent: DataFrame, failed: DataFrame, run_date: str, verdicts: DataFrame | None = None, counters: Counters | None = None) -> Run:
-    """The day's results. With `counters`, an action on `outputs` counts fetched, matched, paths, accepted, merged, new and board."""
+    """The day's results. With `counters`, an action on `outputs` counts fetched, matched, paths, accepted, merged, new and board.
+
+    Email and board read different columns of `matched`, so Spark would compute all before them twice. With `counters` it is
+    kept on the executors' disks from that action on; unpersist it afterwards.
+    """
     count = (counters.on if counters is not None else lambda df, **_: df)
     every = F.count(F.lit(1))
     here = count(classified(count(jobs, fetched=every), verdicts), matched=every, **{f"path_{p}": F.count_if(F.col("class.path") == p) for p in PATHS})
     accepted = count(here.where("class.decision = 'accept'").withColumn("seniority", F.col("class.seniority")), accepted=every)
     merged = count(merge_duplicates(accepted.drop("class")), merged=every)
     after = upsert_matched(matched, merged, run_date)
+    after = after.persist(StorageLevel.DISK_ONLY) if counters is not None else after
     today = after.where((F.col("last_seen") == run_date) & posted_since(days_before(run_date, 1)))
     email, board = count(freshest(unsent(today, sent), 3), new=every), count(board_rows(after, failed, run_date), board=every)
     return Run(accepted, merged, after, email, board)

@@ -92,3 +92,25 @@ def test_a_board_row(spark):
     for word in ("acme", "haifa", "sql", "reporting", "teamwork", "curiosity", "ai-automation", "msc"):
         assert word in a["blob"].split() or word in a["blob"], word
     assert (b["level"], b["degree_rank"], b["requirements"], b["flag"], b["age_note"]) == ("—", 0, [], "new", "")
+
+
+def test_a_counted_run_computes_its_postings_once(spark):
+    """Email and board come from one computation of what leads to them, and the counters count it once."""
+    from postlake.operators.stats import Counters
+    from postlake.samples import jobs
+    from postlake.sources.tables import empty
+
+    rows, read = jobs(spark, "/root/testdata/sf0.001").limit(400), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    sent, failed = (spark.createDataFrame([("x",)], f"{c} string") for c in ("seen_id", "company"))
+    counters = Counters()
+    day = daily.run(rows.mapInArrow(seen, rows.schema), empty(spark, STATE["matched"]), sent, failed, "1998-08-01", counters=counters)
+    kinds = {r["kind"]: r["count"] for r in daily.outputs(day).groupBy("kind").count().collect()}
+    day.matched.unpersist()
+    assert read.value == 400 == counters.read()["fetched"]
+    assert kinds.get("board", 0) == counters.read()["board"] > 0 and kinds.get("email", 0) == counters.read()["new"]
