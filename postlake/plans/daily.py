@@ -77,7 +77,8 @@ def run(jobs: DataFrame, matched: DataFrame, sent: DataFrame, failed: DataFrame,
     """The day's results. With `counters`, an action on `outputs` counts fetched, matched, paths, accepted, merged, new and board.
 
     Email and board read different columns of `matched`, so Spark would compute all before them twice. With `counters` it is
-    kept on the executors' disks from that action on; unpersist it afterwards.
+    computed here and kept on the executors' disks; unpersist it afterwards. One job of its own fills that store: the readers
+    of an empty one start together, and executors that each compute the same part would count it each.
     """
     count = (counters.on if counters is not None else lambda df, **_: df)
     every = F.count(F.lit(1))
@@ -85,7 +86,9 @@ def run(jobs: DataFrame, matched: DataFrame, sent: DataFrame, failed: DataFrame,
     accepted = count(here.where("class.decision = 'accept'").withColumn("seniority", F.col("class.seniority")), accepted=every)
     merged = count(merge_duplicates(accepted.drop("class")), merged=every)
     after = upsert_matched(matched, merged, run_date)
-    after = after.persist(StorageLevel.DISK_ONLY) if counters is not None else after
+    if counters is not None:
+        after = after.persist(StorageLevel.DISK_ONLY)
+        after.count()
     today = after.where((F.col("last_seen") == run_date) & posted_since(days_before(run_date, 1)))
     email, board = count(freshest(unsent(today, sent), 3), new=every), count(board_rows(after, failed, run_date), board=every)
     return Run(accepted, merged, after, email, board)

@@ -114,3 +114,21 @@ def test_a_counted_run_computes_its_postings_once(spark):
     day.matched.unpersist()
     assert read.value == 400 == counters.read()["fetched"]
     assert kinds.get("board", 0) == counters.read()["board"] > 0 and kinds.get("email", 0) == counters.read()["new"]
+
+
+def test_a_counted_run_is_stored_before_it_is_read(spark):
+    """Readers of an unfilled store start together, and on a cluster two executors then compute and count the same part."""
+    from postlake.operators.stats import Counters
+    from postlake.samples import jobs
+    from postlake.sources.tables import empty
+
+    sent, failed = (spark.createDataFrame([("x",)], f"{c} string") for c in ("seen_id", "company"))
+    stored = lambda: {i.id(): (i.numCachedPartitions(), i.numPartitions()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    before, counters = stored(), Counters()
+    day = daily.run(jobs(spark, "/root/testdata/sf0.001"), empty(spark, STATE["matched"]), sent, failed, "1998-08-01", counters=counters)
+    kept = [whole for i, whole in stored().items() if i not in before]
+    merged = day.merged.count()
+    daily.outputs(day).write.format("noop").mode("overwrite").save()
+    day.matched.unpersist()
+    assert len(kept) == 1 and kept[0][0] == kept[0][1] > 0
+    assert counters.read()["merged"] == merged > 0
