@@ -75,8 +75,8 @@ def degree(c: Column) -> Column:
     return let(F.array_compact(F.array(*(asked(*rule) for rule in L.DEGREE_LEVELS))), primary)
 
 
-def ai_usage(c: Column) -> Column:
-    """array<struct<label, token>>: what a posting wants done with AI; mentions of its own AI product don't count."""
+def ai_usage(c: Column, low: Column | None = None) -> Column:
+    """array<struct<label, token>>: what a posting wants done with AI; mentions of its own AI product don't count. `low`: c in lower case."""
 
     def context(m: Column) -> Column:
         start = F.greatest(m["start"] - 70, F.lit(0))
@@ -92,12 +92,15 @@ def ai_usage(c: Column) -> Column:
         return let(found, lambda f: F.when((F.size(real) > 0) & (F.size(f) == 0), F.array(named("AI (unspecified)", "ai-unspecified"))).otherwise(f))
 
     real = F.filter(F.transform(matches(c, L.AI_MENTION), context), lambda w: ~(w.rlike(L.AI_PRODUCT) & ~w.rlike(L.AI_TOOL_WORDS)))
-    return F.when(let(F.lower(c), lambda low: may_occur(low, L.AI_MENTION)), let(real, used)).otherwise(F.array().cast("array<struct<label:string,token:string>>"))
+    said = let(F.lower(c), lambda low: may_occur(low, L.AI_MENTION)) if low is None else may_occur(low, L.AI_MENTION)
+    return F.when(said, let(real, used)).otherwise(F.array().cast("array<struct<label:string,token:string>>"))
 
 
-def soft_skills(c: Column) -> Column:
+def soft_skills(c: Column, low: Column | None = None) -> Column:
+    """array<struct<label, token>> of the soft skills named; with `low`, c in lower case, c is of one line with single spaces."""
     made = lambda r: F.struct(F.lit(r[0]).alias("label"), F.lit(r[1]).alias("token"))
-    return let(squeeze(c), lambda s: let(F.lower(s), lambda low: tagged(s, L.SOFT_SKILLS, made, low)))
+    found = lambda s, low: tagged(s, L.SOFT_SKILLS, made, low)
+    return let(squeeze(c), lambda s: let(F.lower(s), lambda low: found(s, low))) if low is None else found(c, low)
 
 
 def task_of(bullet: Column) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import lexicons as L
 from .profile import ai_usage, soft_skills, tasks
-from .text import clean_description, first_match, let, matches, shorten, squeeze, text
+from .text import clean_description, computed, first_match, let, matches, occurs, shorten, squeeze, text
 
 _PARTS = "array<struct<text:string,badge:string>>"
 
@@ -32,7 +32,7 @@ def _from(c: Column, start: Column) -> Column:
 
 def unlabelled(description: Column | str) -> Column:
     """The cleaned description without the labels some boards put before it."""
-    return F.regexp_replace(clean_description(description), L.LABEL_PREFIX, "")
+    return let(clean_description(description), lambda c: F.when(c.rlike(r"(?i)^(?:\s|experience level|description)"), F.regexp_replace(c, L.LABEL_PREFIX, "")).otherwise(c))
 
 
 def badge(piece: Column) -> Column:
@@ -42,9 +42,9 @@ def badge(piece: Column) -> Column:
     def read(p: Column) -> Column:
         peeled = lambda pattern: _strip(F.regexp_replace(p, pattern, ""), " \\-–—(:", left=False)
         return (
-            F.when(~p.rlike(L.BADGE_WORDS), made(p, None))
+            F.when(~let(F.lower(p), lambda low: occurs(p, L.BADGE_WORDS, low)), made(p, None))
             .when(p.rlike(L.LEADING_PLUS), made(F.regexp_replace(p, L.LEADING_PLUS, ""), "plus")).when(p.rlike(L.LEADING_MUST), made(F.regexp_replace(p, L.LEADING_MUST, ""), "must"))
-            .when(p.rlike(L.TRAILING_PLUS), made(peeled(L.TRAILING_PLUS), "plus")).when(p.rlike(L.TRAILING_MUST), made(peeled(L.TRAILING_MUST), "must")).otherwise(made(p, None))
+            .when(p.rlike(L.PLUS_AT_END), made(peeled(L.TRAILING_PLUS), "plus")).when(p.rlike(L.MUST_AT_END), made(peeled(L.TRAILING_MUST), "must")).otherwise(made(p, None))
         )
 
     return let(piece, read)
@@ -52,6 +52,11 @@ def badge(piece: Column) -> Column:
 
 def clean_bullet(piece: Column, most: int = 210) -> Column:
     """One fragment without markers, leaked headers, stray spaces and dangling words; longer ones are cut at a word."""
+    return _cleaned(squeeze(piece), most)
+
+
+def _cleaned(piece: Column, most: int = 210) -> Column:
+    """clean_bullet of a text of one line with single spaces, as all parts of a cleaned description are."""
 
     def capped(p: Column) -> Column:
         head = F.substring(p, 1, most)
@@ -62,9 +67,9 @@ def clean_bullet(piece: Column, most: int = 210) -> Column:
         """An open bracket is closed, or goes if nothing stands in it."""
         inner = F.trim(F.substring_index(p, "(", -1))
         before = _strip(F.regexp_extract(p, r"^(.*)\([^(]*$", 1), " \\-–—,", left=False)
-        return F.when(_count(p, "(") <= _count(p, ")"), p).when(F.length(inner) < 2, before).otherwise(F.concat(_strip(p, " \\-–—,", left=False), F.lit(")")))
+        return F.when(~p.contains("(") | (_count(p, "(") <= _count(p, ")")), p).when(F.length(inner) < 2, before).otherwise(F.concat(_strip(p, " \\-–—,", left=False), F.lit(")")))
 
-    p = _strip(squeeze(piece), " \\t•·–—\\-:;.")
+    p = _strip(piece, " \\t•·–—\\-:;.")
     p = _strip(F.regexp_replace(p, L.LEADING_HEADER, ""), " :–—\\-")
 
     def joined(p: Column) -> Column:
@@ -87,14 +92,15 @@ def looks_like_header(c: Column) -> Column:
 
 
 def _is_bullet(c: Column) -> Column:
-    return F.length(c).between(8, 220) & ~c.rlike(L.HEADER_ONLY) & ~looks_like_header(c) & ~c.rlike(L.BULLET_JUNK)
+    return F.length(c).between(8, 220) & ~c.rlike(L.HEADER_ONLY) & ~looks_like_header(c) & ~c.startswith("#") & ~let(F.lower(c), lambda low: occurs(c, L.BULLET_JUNK, low))
 
 
 def _pieces(section: Column, run_on: str, longest: int, *more: str) -> Column:
     """A section's fragments: at its markers, else at sentences; long ones also where a list has lost its markers."""
     parts = F.when(section.contains("•"), F.split(section, "•")).otherwise(F.split(section, L.SENTENCES))
-    for pattern in (run_on, *more):
-        parts = F.flatten(F.transform(parts, lambda p, pattern=pattern: F.when(F.length(p) > longest, F.split(p, pattern)).otherwise(F.array(p))))
+    cut = lambda pattern: lambda p: F.when(F.length(p) > longest, F.split(p, pattern)).otherwise(F.array(p))
+    for pattern in (run_on, *more):  # a second argument of a transform's function would be the piece's place
+        parts = F.flatten(F.transform(parts, cut(pattern)))
     return parts
 
 
@@ -102,13 +108,12 @@ def bullets(section: Column, default: str | None = None) -> Column:
     """array<struct<text, badge>> of a section; a bare sub-header of advantages makes plus the badge of what follows."""
 
     def cleaned(p: Column) -> Column:
-        return let(badge(squeeze(p)), lambda b: F.struct(clean_bullet(b["text"]).alias("text"), b["badge"].alias("badge")))
+        return let(badge(F.trim(p)), lambda b: F.struct(_cleaned(b["text"]).alias("text"), b["badge"].alias("badge")))
 
     def step(a: Column, x: Column) -> Column:
         kept = _is_bullet(x["text"]) & ((F.length(x["text"]) <= 120) | x["text"].rlike(L.REQUIREMENT_SIGNAL))
         one = F.struct(x["text"].alias("text"), F.coalesce(x["badge"], a["badge"]).alias("badge"))
-        heads = x["text"].rlike(L.PLUS_ONLY)
-        return F.struct(F.when(heads, "plus").otherwise(a["badge"]).alias("badge"), F.when(~heads & kept, F.array_append(a["found"], one)).otherwise(a["found"]).alias("found"))
+        return F.when(x["text"].rlike(L.PLUS_ONLY), F.struct(F.lit("plus").alias("badge"), a["found"].alias("found"))).when(kept, F.struct(a["badge"].alias("badge"), F.array_append(a["found"], one).alias("found"))).otherwise(a)
 
     start = F.struct(F.lit(default).cast("string").alias("badge"), _none(_PARTS).alias("found"))
     return F.aggregate(F.transform(_pieces(section, L.RUN_ON, 80, L.DASHES), cleaned), start, step, lambda a: a["found"])
@@ -124,10 +129,11 @@ def _opening(plain: Column, found: Column, soft: Column) -> Column:
     """Of the first five headers the first that no duty follows, else the first, else a softer one."""
 
     def opens(m: Column) -> Column:
-        head = clean_bullet(F.split(_strip(F.substring(plain, m["end"] + 1, F.lit(160)), " ?:\\-–—•"), "•")[0])
+        head = _cleaned(F.split(_strip(F.substring(plain, m["end"] + 1, F.lit(160)), " ?:\\-–—•"), "•")[0])
         return let(head, lambda h: (h != "") & ~h.rlike(L.DUTY_VERB))
 
-    chosen = lambda five: F.coalesce(F.try_element_at(F.filter(five, opens), F.lit(1)), F.try_element_at(five, F.lit(1)))
+    first = lambda all_: F.try_element_at(all_, F.lit(1))
+    chosen = lambda five: F.when(F.size(five) < 2, first(five)).otherwise(F.coalesce(first(F.filter(five, opens)), first(five)))
     return F.coalesce(let(chosen(F.slice(found, 1, 5)), lambda m: F.when(m.isNotNull(), F.struct(m["start"].alias("start"), m["end"].alias("end")))), soft)
 
 
@@ -136,14 +142,23 @@ def requirements_header(plain: Column) -> Column:
     return _opening(plain, matches(plain, L.REQUIREMENTS), first_match(plain, L.SOFT_REQUIREMENTS))
 
 
-def boundaries(plain: Column) -> Column:
-    """What cuts a description: struct of the places of requirement headers, section ends and headers of advantages, each kind found
-    in one run over the text, and of the one header each that opens the requirements and the duties."""
+def _cuts(plain: Column, low: Column) -> dict[str, Column]:
+    """The places of what cuts a description, each kind found in one run over the text."""
     kinds = {"asks": L.REQUIREMENTS, "ends": L.SECTION_END, "pluses": L.PLUS_SECTION}
-    said = lambda t: F.struct(*(t[k].alias(k) for k in ("plain", "low")), *(matches(t["plain"], p, t["low"]).alias(k) for k, p in kinds.items()), first_match(t["plain"], L.DUTIES, t["low"]).alias("duties"))
-    found = let(let(plain, lambda p: F.struct(p.alias("plain"), F.lower(p).alias("low"))), said)
-    soft = lambda f: F.when(F.size(f["asks"]) == 0, first_match(f["plain"], L.SOFT_REQUIREMENTS, f["low"]))
-    return let(found, lambda f: F.struct(*(f[k].alias(k) for k in ("plain", "asks", "ends", "pluses", "duties")), _opening(f["plain"], f["asks"], soft(f)).alias("header")))
+    return {k: matches(plain, p, low) for k, p in kinds.items()} | {"duties": first_match(plain, L.DUTIES, low)}
+
+
+def _bounds(plain: Column, low: Column, asks: Column, ends: Column, pluses: Column, duties: Column) -> Column:
+    soft = F.when(F.size(asks) == 0, first_match(plain, L.SOFT_REQUIREMENTS, low))
+    return F.struct(plain.alias("plain"), asks.alias("asks"), ends.alias("ends"), pluses.alias("pluses"), duties.alias("duties"), _opening(plain, asks, soft).alias("header"))
+
+
+def boundaries(plain: Column) -> Column:
+    """What cuts a description: struct of the places of requirement headers, section ends and headers of advantages, and of the one
+    header each that opens the requirements and the duties."""
+    named = lambda t: F.struct(t["plain"].alias("plain"), t["low"].alias("low"), *(c.alias(k) for k, c in _cuts(t["plain"], t["low"]).items()))
+    found = let(let(plain, lambda p: F.struct(p.alias("plain"), F.lower(p).alias("low"))), named)
+    return let(found, lambda f: _bounds(*(f[k] for k in ("plain", "low", "asks", "ends", "pluses", "duties"))))
 
 
 def _section(b: Column, header: Column, most: int, *ends: str) -> Column:
@@ -175,7 +190,7 @@ def _requirements(b: Column) -> Column:
 
 def _duties(b: Column) -> Column:
     cut = let(_section(b, b["duties"], 2200, "asks", "ends"), lambda s: F.when(s.isNotNull(), _slice(b["plain"], s["start"], s["end"])))
-    found = F.filter(F.transform(let(cut, lambda s: _pieces(s, L.RUN_ON_DUTIES, 90)), lambda p: clean_bullet(p)), _is_bullet)
+    found = F.filter(F.transform(let(cut, lambda s: _pieces(s, L.RUN_ON_DUTIES, 90)), lambda p: _cleaned(p)), _is_bullet)
     return F.coalesce(F.slice(_once(found), 1, 8), _none("array<string>"))
 
 
@@ -195,6 +210,19 @@ def duties(description: Column | str) -> Column:
     return let(let(unlabelled(description), boundaries), _duties)
 
 
+def _asked(requirements: Column) -> Column:
+    return F.array_join(requirements["text"], " • ")
+
+
+def _mentioned(ai_asked: Column, ai_daily: Column, plain: Column, low: Column | None = None) -> Column:
+    """AI on the job: a mention outside both parts counts as done."""
+    return F.when((F.size(ai_asked) == 0) & (F.size(ai_daily) == 0), ai_usage(plain, low)).otherwise(ai_daily)
+
+
+def _duty_tasks(duties: Column, b: Column) -> Column:
+    return tasks(F.when(F.size(duties) > 0, duties).otherwise(_prose(b)))
+
+
 def sections(description: Column | str) -> Column:
     """struct<requirements, duties, tasks, soft, ai_asked, ai_daily> of a description.
 
@@ -202,16 +230,34 @@ def sections(description: Column | str) -> Column:
     """
 
     def made(x: Column) -> Column:
-        asked = F.array_join(x["requirements"]["text"], " • ")
+        asked = _asked(x["requirements"])
         ai_asked, ai_daily = ai_usage(asked), ai_usage(F.array_join(x["duties"], " • "))
-        done = F.when((F.size(ai_asked) == 0) & (F.size(ai_daily) == 0), ai_usage(x["b"]["plain"])).otherwise(ai_daily)
-        found = tasks(F.when(F.size(x["duties"]) > 0, x["duties"]).otherwise(_prose(x["b"])))
-        return F.struct(x["requirements"].alias("requirements"), x["duties"].alias("duties"), found.alias("tasks"), soft_skills(asked).alias("soft"), ai_asked.alias("ai_asked"), done.alias("ai_daily"))
+        done = _mentioned(ai_asked, ai_daily, x["b"]["plain"])
+        return F.struct(x["requirements"].alias("requirements"), x["duties"].alias("duties"), _duty_tasks(x["duties"], x["b"]).alias("tasks"), soft_skills(asked).alias("soft"), ai_asked.alias("ai_asked"), done.alias("ai_daily"))
 
     parts = let(let(unlabelled(description), boundaries), lambda b: F.struct(b.alias("b"), _requirements(b).alias("requirements"), _duties(b).alias("duties")))
     return let(parts, made)
 
 
+def sectioned(rows: DataFrame, description: str = "description") -> DataFrame:
+    """rows with the parts that `sections` gives, in place of the description.
+
+    Each step is a column of its own: names within one expression are values of lambdas, which Spark interprets and copies at each
+    level, while a column is computed by generated code.
+    """
+    c = F.col
+    kept = [n for n in rows.columns if n != description]
+    at = computed(rows, _text=text(description)).select(*kept, unlabelled("_text").alias("_plain"))
+    at = computed(at, _plain=c("_plain"), _low=F.lower("_plain"))
+    at = computed(at, **{f"_{k}": found for k, found in _cuts(c("_plain"), c("_low")).items()})
+    at = computed(at, _b=_bounds(*(c(f"_{k}") for k in ("plain", "low", "asks", "ends", "pluses", "duties"))))
+    at = computed(at.select(*kept, "_low", "_b"), requirements=_requirements(c("_b")), duties=_duties(c("_b")))
+    at = computed(at, _asked=_asked(c("requirements")), _done=F.array_join("duties", " • "))
+    at = computed(at, _asked_low=F.lower("_asked"), _done_low=F.lower("_done"))
+    at = computed(at, ai_asked=ai_usage(c("_asked"), c("_asked_low")), _ai=ai_usage(c("_done"), c("_done_low")), soft=soft_skills(c("_asked"), c("_asked_low")), tasks=_duty_tasks(c("duties"), c("_b")))
+    return at.select(*kept, "requirements", "duties", "tasks", "soft", "ai_asked", _mentioned(c("ai_asked"), c("_ai"), c("_b.plain"), c("_low")).alias("ai_daily"))
+
+
 def role_summary(description: Column | str, most: int = 230) -> Column:
     """The text from where the role begins, or after a first sentence about the company, cut at a word."""
 

@@ -2,7 +2,7 @@ import datetime
 import time
 
 import pytest
-from postlake.functions.sections import clean_bullet, duties, is_mangled, looks_like_header, requirements
+from postlake.functions.sections import clean_bullet, duties, is_mangled, looks_like_header, requirements, sectioned, sections
 from postlake.operators import enrich, outputs, registry, state
 from postlake.sources.tables import load_state
 from postlake.streaming import incremental
@@ -33,6 +33,26 @@ def test_requirements(spark, text, want):
     assert [tuple(x) for x in got] == want
 
 
+def test_a_list_without_markers_is_cut_where_items_begin(spark):
+    """A long piece is cut by its pattern; the pattern isn't taken for the piece's place in the list."""
+    rows = spark.createDataFrame([("Requirements: 30 months of experience with SQL and reporting in large companies Strong knowledge of Python and of statistics Ability to present results",)], "d string")
+    (got,) = one(rows, requirements("d"))
+    assert [r["text"] for r in got] == ["30 months of experience with SQL and reporting in large companies", "Strong knowledge of Python and of statistics", "Ability to present results"]
+
+
+def test_parts_in_columns_equal_parts_in_one_expression(spark):
+    texts = (
+        None, "", "plain", "Show more Description: We sell tea.", "Experience level: Senior. Requirements: • SQL – a must • Python  (big advantage Nice to have: • dbt\u200b\u00a0and  Airflow • Bonus points: • Jira",
+        "About you: lead the team. Qualifications: Attention to detail. ATTENTION to detail. 5 + years with use of AI to automate work Benefits: lunch", "Responsibilities: • # no • Build dashboards\twith ChatGPT • Our AI platform is https://x.com",
+        "What you'll do: Analyze funnels and present them to stakeholders. Advantage: MBA", "דרישות: ניסיון של שנתיים – חובה • אנגלית – יתרון", "Responsibilities: Requirements: • About the role, is a plus, and",
+    )
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, d string")
+    got = {r["i"]: r for r in sectioned(rows, "d").collect()}
+    parts = ("requirements", "duties", "tasks", "soft", "ai_asked", "ai_daily")
+    for r in rows.select("i", sections("d").alias("s")).collect():
+        assert [got[r["i"]][p] for p in parts] == [r["s"][p] for p in parts], texts[r["i"]]
+
+
 def test_duties_and_bullets(spark):
     (got,) = one(spark.createDataFrame([("Responsibilities: • Build reports daily • build REPORTS daily • Lead a team of four Requirements: • SQL",)], "d string"), duties("d"))
     assert got == ["Build reports daily", "Lead a team of four"]
